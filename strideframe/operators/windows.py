@@ -31,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strideframe.functions.ranking import bucketed_rank
+
 DEFAULT_BUCKET_SECONDS = 86400
 
 
@@ -55,25 +57,8 @@ def positions(
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
 ) -> DataFrame:
     """Add ``pos`` (0-based, by ``ts, tie``) and ``n`` (series length) per ``key``."""
-    b = "_pos_bucket"
-    rows = df.withColumn(b, F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)))
-    local = rows.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(key, b).orderBy(ts, tie)) - 1
-    )
-    counts = rows.groupBy(key, b).agg(F.count(F.lit(1)).alias("_cnt"))
-    per_series = Window.partitionBy(key)
-    offsets = counts.select(
-        key,
-        b,
-        (F.sum("_cnt").over(per_series.orderBy(b).rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-        F.sum("_cnt").over(per_series).alias("n"),
-    ).fillna(0, subset=["_off"])
-    return (
-        local.join(offsets, [key, b], "inner")
-        .withColumn("pos", (F.col("_off") + F.col("_local")).cast("bigint"))
-        .withColumn("n", F.col("n").cast("bigint"))
-        .drop(b, "_local", "_off")
-    )
+    bucket = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000))
+    return bucketed_rank(df, [key], bucket, [ts, tie], rank_name="pos", size_name="n")
 
 
 def window_ids(pos: Column, n: Column, size: int, step: int) -> Column:

@@ -54,11 +54,17 @@ def sql_windowed(size: int, step: int) -> str:
 
 
 # ---------------------------------------------------------------- tab
+# row_id: (orderkey, partkey, suppkey, linenumber, quantity) is the smallest
+# integer-only column set that is unique in the driver's lineitem.
 TAB_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def tab(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select(
+        F.concat_ws(
+            "-",
+            *[F.col(c).cast("bigint").cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")],
+        ).alias("row_id"),
         "l_orderkey",
         "l_linenumber",
         F.col("l_returnflag").alias("class"),
@@ -68,7 +74,7 @@ def tab(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL_TAB = """tab AS (
-  SELECT l_orderkey, l_linenumber, l_returnflag AS class, l_suppkey AS grp,
+  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS BIGINT)) AS row_id, l_orderkey, l_linenumber, l_returnflag AS class, l_suppkey AS grp,
          l_quantity, l_extendedprice, l_discount, l_tax
   FROM lineitem)"""
 
