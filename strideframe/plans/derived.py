@@ -144,3 +144,49 @@ raw AS (SELECT vec_id, y_true, y_pred, cls,
         FROM (SELECT *, CAST(unnest(range({N_CLASSES})) AS INTEGER) AS cls FROM scored)),
 scored_prob AS (SELECT vec_id, y_true, y_pred, cls, raw / sum(raw) OVER (PARTITION BY vec_id) AS p FROM raw)"""
 )
+
+
+# ---------------------------------------------------------------- feature names
+# Naming vocabulary in the style of the reference's feature names.
+NAME_DOMAINS = ["t", "f"]
+NAME_SIGNALS = ["BodyAcc", "GravityAcc", "BodyAccJerk", "BodyGyro", "BodyGyroJerk", "BodyAccMag"]
+NAME_STATS = ["mean()", "std()", "mad()", "max()", "min()", "energy()", "entropy()"]
+NAME_AXES = ["X", "Y", "Z"]
+
+
+def _pick(values: list[str], idx):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+
+
+def feature_name(pos) -> "F.Column":
+    """Name of matrix dimension ``pos`` by rule: every 16th is an angle, the rest ``<t|f><signal>-<stat>-<axis>``."""
+    p = F.col(pos) if isinstance(pos, str) else pos
+    axis = _pick(NAME_AXES, p % 3)
+    return F.when(p % 16 == 15, F.concat(F.lit("angle("), axis, F.lit(",gravityMean)"))).otherwise(
+        F.concat(
+            _pick(NAME_DOMAINS, p % 2),
+            _pick(NAME_SIGNALS, F.floor(p / 2) % 6),
+            F.lit("-"),
+            _pick(NAME_STATS, F.floor(p / 3) % 7),
+            F.lit("-"),
+            axis,
+        )
+    )
+
+
+def _sql_list(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v + "'" for v in values) + "]"
+
+
+SQL_FEATURE_NAME = f"""CASE WHEN pos % 16 = 15 THEN 'angle(' || {_sql_list(NAME_AXES)}[pos % 3 + 1] || ',gravityMean)'
+     ELSE {_sql_list(NAME_DOMAINS)}[pos % 2 + 1] || {_sql_list(NAME_SIGNALS)}[(pos // 2) % 6 + 1] || '-'
+          || {_sql_list(NAME_STATS)}[(pos // 3) % 7 + 1] || '-' || {_sql_list(NAME_AXES)}[pos % 3 + 1] END"""
+
+
+def named_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """``matrix_long`` with the rule-made ``name`` of each dimension."""
+    return matrix_long(spark, d).withColumn("name", feature_name("pos"))
+
+
+SQL_NAMED = SQL_MATRIX_LONG + f""",
+named AS (SELECT *, {SQL_FEATURE_NAME} AS name FROM matrix_long)"""
