@@ -56,3 +56,43 @@ def bucketed_rank(
 def hash_range(hash_col: Column, bits: int = 12) -> Column:
     """Top ``bits`` bits of a 32-bit hash value: ``2^bits`` equal ranges."""
     return F.shiftright(hash_col, 32 - bits)
+
+
+def prefix_below(df: DataFrame, group: list[str], order: str, values: list[str], bits: int = 12) -> DataFrame:
+    """For rows with DISTINCT ``order`` values per group, add ``<v>_below``: the sum of
+    ``v`` over the group's rows with a smaller ``order``.
+
+    The order range of each group is cut into ``2^bits`` equal ranges (from the
+    group's min and max); range totals are summed over a small table and a
+    running sum inside ``(group, range)`` finishes the job, so a group's rows
+    are spread over its ranges.
+    """
+    nb = 2**bits
+    g = group if group else []
+    mm = df.groupBy(*g).agg(F.min(order).alias("_mn"), F.max(order).alias("_mx")) if g else None
+    if g:
+        rows = df.join(mm, g)
+    else:
+        one = df.agg(F.min(order).alias("_mn"), F.max(order).alias("_mx")).first()
+        rows = df.withColumn("_mn", F.lit(one["_mn"])).withColumn("_mx", F.lit(one["_mx"]))
+    o = F.col(order).cast("double")
+    rng = F.when(
+        F.col("_mx") > F.col("_mn"),
+        F.least(F.floor((o - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * nb), F.lit(nb - 1)),
+    ).otherwise(F.lit(0))
+    rows = rows.withColumn("_r", rng).drop("_mn", "_mx")
+    parts = [*g, "_r"]
+    totals = rows.groupBy(*parts).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    per_group = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    offsets = totals.select(
+        *parts,
+        *[
+            F.coalesce(F.sum(f"_t_{v}").over(per_group.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_o_{v}")
+            for v in values
+        ],
+    )
+    inner = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.join(offsets, parts)
+    for v in values:
+        out = out.withColumn(f"{v}_below", F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(inner), F.lit(0)))
+    return out.drop("_r", *[f"_o_{v}" for v in values])
