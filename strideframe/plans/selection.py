@@ -1 +1,136 @@
-"""Queries (filled in below)."""
+"""Correlation, selection and dimension-reduction queries (C1-C9) on ``embeddings``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strideframe.operators import correlate as co
+from strideframe.operators import naming
+from strideframe.plans.catalog import register, with_ctes
+from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_NAMED, matrix_long, named_matrix, table
+from strideframe.plans.naming import SQL_CATEGORY
+
+# The driver's embedding dimensions are nearly uncorrelated (|r| <= 0.18), so
+# the reference's 0.95 would select nothing; 0.1 keeps the operators exercised.
+THRESHOLD = 0.1
+TOP_K = 10
+MI_BINS = 10
+
+SQL_CORR = """corr_m AS (
+  SELECT a.pos AS i, b.pos AS j, corr(a.val, b.val) AS r
+  FROM matrix_long a JOIN matrix_long b USING (vec_id) GROUP BY a.pos, b.pos)"""
+
+
+def corr(spark, d):
+    return co.correlation_matrix(table(spark, d, "embeddings"), vector_col="embedding")
+
+
+@register("c1_correlation", with_ctes(SQL_MATRIX_LONG, SQL_CORR) + "SELECT i, j, r FROM corr_m", floats=["r"])
+def c1_correlation(spark, d):
+    return corr(spark, d)
+
+
+@register(
+    "c2_correlated_pairs",
+    with_ctes(SQL_MATRIX_LONG, SQL_CORR) + f"SELECT i, j, r FROM corr_m WHERE i < j AND abs(r) > {THRESHOLD!r}",
+    floats=["r"],
+)
+def c2_correlated_pairs(spark, d):
+    return co.correlated_pairs(corr(spark, d), THRESHOLD)
+
+
+@register(
+    "c3_drop_correlated",
+    with_ctes(SQL_MATRIX_LONG, SQL_CORR)
+    + f"""SELECT DISTINCT pos AS j FROM matrix_long
+WHERE pos NOT IN (SELECT j FROM corr_m WHERE i < j AND abs(r) > {THRESHOLD!r})""",
+)
+def c3_drop_correlated(spark, d):
+    feats = matrix_long(spark, d).select(F.col("pos").alias("j")).distinct()
+    return co.drop_correlated(feats, corr(spark, d), THRESHOLD)
+
+
+SQL_ANOVA = """anova AS (
+  SELECT pos, (between_raw - S * S / N) / (k - 1) / ((SS - between_raw) / (N - k)) AS f_score
+  FROM (SELECT pos, sum(n) AS N, count(*) AS k, sum(s) AS S, sum(s * s / n) AS between_raw, sum(ss) AS SS
+        FROM (SELECT pos, label, count(val) AS n, sum(val) AS s, sum(val * val) AS ss FROM matrix_long GROUP BY pos, label)
+        GROUP BY pos))"""
+
+
+def anova(spark, d):
+    return co.anova_f(matrix_long(spark, d), "pos", "label", "val")
+
+
+@register("c4_anova_f", with_ctes(SQL_MATRIX_LONG, SQL_ANOVA) + "SELECT pos, f_score FROM anova", floats=["f_score"], bits={"f_score": 16})
+def c4_anova_f(spark, d):
+    return anova(spark, d)
+
+
+@register(
+    "c4_select_k_best",
+    with_ctes(SQL_MATRIX_LONG, SQL_ANOVA) + f"SELECT pos, f_score FROM anova ORDER BY f_score DESC, pos LIMIT {TOP_K}",
+    floats=["f_score"],
+    bits={"f_score": 16},
+)
+def c4_select_k_best(spark, d):
+    return co.top_k(anova(spark, d), "f_score", TOP_K, "pos")
+
+
+@register(
+    "c5_mutual_information",
+    with_ctes(SQL_MATRIX_LONG)
+    + f"""SELECT pos, sum(pxy * ln(pxy / (px * py))) AS mi FROM (
+  SELECT pos, c / n AS pxy, sum(c) OVER (PARTITION BY pos, bin) / n AS px, sum(c) OVER (PARTITION BY pos, label) / n AS py
+  FROM (SELECT pos, bin, label, count(*) AS c, any_value(n) AS n FROM (
+          SELECT pos, label, floor((row_number() OVER (PARTITION BY pos ORDER BY val, vec_id) - 1) * {MI_BINS} / count(*) OVER (PARTITION BY pos)) AS bin,
+                 count(*) OVER (PARTITION BY pos) AS n
+          FROM matrix_long) GROUP BY pos, bin, label))
+GROUP BY pos""",
+    floats=["mi"],
+)
+def c5_mutual_information(spark, d):
+    return co.binned_mutual_information(matrix_long(spark, d), "pos", "label", "val", "vec_id", MI_BINS)
+
+
+@register(
+    "c6_apply_selection",
+    with_ctes(SQL_MATRIX_LONG, SQL_ANOVA)
+    + f"SELECT vec_id, pos, val FROM matrix_long WHERE pos IN (SELECT pos FROM anova ORDER BY f_score DESC, pos LIMIT {TOP_K})",
+    floats=["val"],
+)
+def c6_apply_selection(spark, d):
+    chosen = co.top_k(anova(spark, d), "f_score", TOP_K, "pos").select("pos")
+    return matrix_long(spark, d).join(chosen, "pos", "left_semi").select("vec_id", "pos", "val")
+
+
+@register("c7_pca")
+def c7_pca(spark, d):
+    """PCA: component signs are arbitrary, so the check is rows-only here and by properties in tests."""
+    proj, ratios = co.pca(table(spark, d, "embeddings").select("vec_id", "embedding"), "embedding", 2)
+    del ratios
+    return proj
+
+
+SQL_IMPORTANCE = f"""imp AS (SELECT pos, any_value(name) AS name, var_pop(val) AS importance FROM named GROUP BY pos)"""
+
+
+def importances(spark, d):
+    return named_matrix(spark, d).groupBy("pos").agg(F.first("name").alias("name"), F.var_pop("val").alias("importance"))
+
+
+@register(
+    "c8_importance_ranking",
+    with_ctes(SQL_NAMED, SQL_IMPORTANCE) + "SELECT pos, name, importance FROM imp ORDER BY importance DESC, pos LIMIT 20",
+    floats=["importance"],
+)
+def c8_importance_ranking(spark, d):
+    return co.importance_ranking(importances(spark, d), "pos", "importance", 20)
+
+
+@register(
+    "c9_importance_by_category",
+    with_ctes(SQL_NAMED, SQL_IMPORTANCE) + f"SELECT {SQL_CATEGORY} AS category, sum(importance) AS importance FROM imp GROUP BY 1",
+    floats=["importance"],
+)
+def c9_importance_by_category(spark, d):
+    return co.importance_by_category(importances(spark, d), naming.categorize(F.col("name")), "importance")
