@@ -1 +1,162 @@
-"""Queries (filled in below)."""
+"""Model training, tuning and scoring queries (M1-M11, S8) on ``embeddings``.
+
+Trained models are checked by properties (tests: accuracy above the majority
+baseline, reproducibility); their registered queries are rows-only.  Scoring
+arithmetic (M7, M9-M11) has SQL oracles.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from strideframe.operators import learn, prep, scoring, splits
+from strideframe.plans.catalog import register, with_ctes
+from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_SCORED, SQL_SCORED_PROB, scored, scored_prob, table
+from strideframe.plans.evaluation import CMP_COLS, SQL_COMPARE, SQL_TWO_MODELS, _two_models
+from strideframe.operators import evaluate as ev
+from strideframe.session import checkpoint_dir
+
+SEED = 42
+
+
+def labelled(spark, d):
+    """``vec_id, label (double), features, split, fold, weight``."""
+    e = learn.with_features(table(spark, d, "embeddings"), "embedding").withColumn("label", F.col("label").cast("double"))
+    e = splits.stratified_split(e, "vec_id", "label", 0.15, 0.15, SEED)
+    e = splits.kfold(e, "vec_id", "label", 5, SEED)
+    return prep.sample_weights(e, "label")
+
+
+def _split_accuracy(model, data):
+    rows = [(s, learn.accuracy(model, data.where(F.col("split") == s))) for s in ("train", "val", "test")]
+    return data.sparkSession.createDataFrame(rows, "split string, accuracy double")
+
+
+@register("m1_random_forest")
+def m1_random_forest(spark, d):
+    data = labelled(spark, d).cache()
+    model = learn.random_forest(learn.ModelConfig(n_estimators=50), weight="weight").fit(data.where("split = 'train'"))
+    return _split_accuracy(model, data)
+
+
+@register("m2_boosted_trees")
+def m2_boosted_trees(spark, d):
+    data = labelled(spark, d).cache()
+    model = learn.boosted_trees(learn.ModelConfig(n_estimators=10, max_depth=4)).fit(data.where("split = 'train'"))
+    return _split_accuracy(model, data)
+
+
+@register("m3_mlp")
+def m3_mlp(spark, d):
+    data = labelled(spark, d).cache()
+    model = learn.mlp(64, 10, max_iter=50).fit(data.where("split = 'train'"))
+    return _split_accuracy(model, data)
+
+
+@register("m4_cross_validation")
+def m4_cross_validation(spark, d):
+    data = labelled(spark, d).cache()
+    scores, mean, std = learn.cross_validate(learn.random_forest(learn.ModelConfig(n_estimators=20, max_depth=8)), data)
+    rows = [(i, s, mean, std) for i, s in enumerate(scores)]
+    return spark.createDataFrame(rows, "fold int, accuracy double, cv_mean double, cv_std double")
+
+
+GRID = {"numTrees": [10, 20], "maxDepth": [4, 8]}
+
+
+def _search_frame(spark, results):
+    rows = [(r["order"], str(sorted(r["params"].items())), r["cv_mean"], r["cv_std"]) for r in results]
+    return spark.createDataFrame(rows, "order int, params string, cv_mean double, cv_std double")
+
+
+@register("m5_grid_search")
+def m5_grid_search(spark, d):
+    data = labelled(spark, d).cache()
+    results, _ = learn.search(learn.random_forest(), learn.grid(GRID), data)
+    return _search_frame(spark, results)
+
+
+@register("m6_random_search")
+def m6_random_search(spark, d):
+    data = labelled(spark, d).cache()
+    results, _ = learn.search(learn.random_forest(), learn.random_maps(GRID, 2, SEED), data)
+    return _search_frame(spark, results)
+
+
+@register(
+    "m7_best_model",
+    with_ctes(SQL_SCORED, SQL_TWO_MODELS, SQL_COMPARE) + "SELECT model, accuracy FROM cmp ORDER BY accuracy DESC, model_order LIMIT 1",
+    floats=["accuracy"],
+)
+def m7_best_model(spark, d):
+    two = _two_models(spark, d)
+    cmp = ev.compare_models(two).join(two.select("model", "model_order").distinct(), "model")
+    return cmp.orderBy(F.desc("accuracy"), "model_order").limit(1).select("model", "accuracy")
+
+
+@register("m8_batch_inference")
+def m8_batch_inference(spark, d):
+    data = labelled(spark, d)
+    model = learn.fit_pipeline(learn.random_forest(learn.ModelConfig(n_estimators=20, max_depth=8)), data.where("split = 'train'"))
+    return learn.batch_predict(model, data, ["vec_id"])
+
+
+SQL_NAMES = "CASE " + " ".join(f"WHEN y_pred = {i} THEN '{n}'" for i, n in enumerate(scoring.SERVING_CLASSES)) + " ELSE 'UNKNOWN_' || y_pred END"
+
+
+@register(
+    "m9_prediction_rows",
+    with_ctes(SQL_SCORED_PROB)
+    + f"""SELECT vec_id, y_pred AS prediction, {SQL_NAMES} AS activity, max(CASE WHEN cls = y_pred THEN p END) AS p_pred
+FROM scored_prob GROUP BY vec_id, y_pred""",
+    floats=["p_pred"],
+)
+def m9_prediction_rows(spark, d):
+    sp = scored_prob(spark, d)
+    probs = sp.groupBy("vec_id", "y_pred").agg(F.array_sort(F.collect_list(F.struct("cls", "p"))).alias("_ps"))
+    rows = scoring.prediction_rows(probs.withColumn("_arr", F.transform("_ps", lambda s: s["p"])), "vec_id", "y_pred", "_arr")
+    return rows.select(
+        "vec_id", "prediction", "activity", F.col("probabilities")[F.col("activity")].alias("p_pred")
+    )
+
+
+@register(
+    "m10_softmax_argmax",
+    with_ctes(SQL_MATRIX_LONG)
+    + """SELECT vec_id, CAST(arg_min(pos, (-val, pos)) AS INTEGER) AS argmax, 1.0 / sum(exp(val - mx)) AS p_max
+FROM (SELECT *, max(val) OVER (PARTITION BY vec_id) AS mx FROM matrix_long WHERE pos < 10) GROUP BY vec_id""",
+    floats=["p_max"],
+)
+def m10_softmax_argmax(spark, d):
+    logits = table(spark, d, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 10), lambda v: v.cast("double")).alias("z"))
+    sm = logits.select("vec_id", scoring.argmax(F.col("z")).alias("argmax"), scoring.softmax(F.col("z")).alias("p"))
+    return sm.select("vec_id", "argmax", F.array_max("p").alias("p_max"))
+
+
+@register(
+    "m11_weighted_loss",
+    with_ctes(
+        SQL_SCORED_PROB,
+        """w AS (SELECT y_true, CAST(sum(c) OVER () AS DOUBLE) / (count(*) OVER () * c) AS weight
+          FROM (SELECT y_true, count(*) AS c FROM scored GROUP BY y_true))""",
+    )
+    + """SELECT sum(w.weight * -ln(s.p)) / sum(w.weight) AS loss, avg(CASE WHEN s.y_true = s.y_pred THEN 1.0 ELSE 0.0 END) AS accuracy
+FROM scored_prob s JOIN w USING (y_true) WHERE s.cls = s.y_true""",
+    floats=["loss", "accuracy"],
+)
+def m11_weighted_loss(spark, d):
+    sp = scored_prob(spark, d).where(F.col("cls") == F.col("y_true"))
+    weighted = prep.sample_weights(sp, "y_true", prep.class_weights(scored(spark, d), "y_true"))
+    return scoring.weighted_loss_accuracy(weighted.withColumn("correct", F.col("y_true") == F.col("y_pred")), "p", "weight", "correct")
+
+
+@register("s8_model_roundtrip")
+def s8_model_roundtrip(spark, d):
+    """Fit, save under the session's checkpoint folder, reload, score: rows-only (tests compare scores)."""
+    data = labelled(spark, d)
+    model = learn.fit_pipeline(learn.random_forest(learn.ModelConfig(n_estimators=10, max_depth=6)), data.where("split = 'train'"))
+    path = os.path.join(checkpoint_dir(spark), "models", "s8_random_forest")
+    learn.save_model(model, path)
+    return learn.batch_predict(learn.load_model(path), data, ["vec_id"])
