@@ -1 +1,60 @@
-"""Queries (filled in below)."""
+"""Streaming queries (ST1-ST3): each streams a driver table through ``availableNow``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strideframe.functions.hashing import bucket
+from strideframe.plans import experiments as xp
+from strideframe.plans import features as feat
+from strideframe.plans.catalog import register, with_ctes
+from strideframe.plans.derived import SQL_SCORED, SQL_SERIES, matrix_long, sql_windowed
+from strideframe.streaming import streams as st
+
+
+@register("st1_stream_scoring", with_ctes(SQL_SCORED) + "SELECT vec_id, y_pred FROM scored")
+def st1_stream_scoring(spark, d):
+    centroids = st.fit_centroids(matrix_long(spark, d))
+    s = st.score_stream(st.file_stream(spark, d, "embeddings"), "vec_id", "embedding", centroids)
+    return st.run_available_now(s, "st1").withColumn("y_pred", F.col("y_pred").cast("int"))
+
+
+@register(
+    "st2_stream_windows",
+    with_ctes(SQL_SERIES, sql_windowed(feat.SIZE, feat.STEP))
+    + "SELECT user_id, window_id, count(*) AS n, avg(x) AS mean_x, min(x) AS min_x, max(x) AS max_x FROM win GROUP BY user_id, window_id",
+    floats=["mean_x", "min_x", "max_x"],
+)
+def st2_stream_windows(spark, d):
+    ev = st.file_stream(spark, d, "events").select("user_id", "ts", "event_id", "value")
+    w = st.stream_windows(ev, "user_id", "ts", "event_id", "value", feat.SIZE, feat.OVERLAP)
+    return st.run_available_now(w, "st2")
+
+
+def _prediction_stream(spark, d):
+    o = st.file_stream(spark, d, "orders").where(F.col("o_orderkey") % 13 != 0)
+    assigned = F.when(bucket("o_orderkey", xp.SEED) < 5000, "control").otherwise("treatment")
+    variant = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("treatment")).otherwise(assigned)
+    y = (F.col("o_orderstatus") == "F").cast("int")
+    right = F.when(variant == "control", bucket("o_orderkey", 7) < 9000).otherwise(bucket("o_orderkey", 8) < 9200)
+    return o.select(
+        F.col("o_orderkey").alias("sample_id"),
+        variant.alias("variant"),
+        F.when(right, y).otherwise(1 - y).alias("y_pred"),
+        F.col("o_orderdate").cast("timestamp").alias("t_pred"),
+    )
+
+
+def _outcome_stream(spark, d):
+    o = st.file_stream(spark, d, "orders").where(F.col("o_orderkey") % 20 != 0)
+    return o.select(
+        F.col("o_orderkey").alias("sample_id"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("y_true"),
+        (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 1 DAY")).alias("t_out"),
+    )
+
+
+@register("st3_live_ab", with_ctes(xp.SQL_AB) + "SELECT variant, n, correct, accuracy FROM vm", floats=["accuracy"])
+def st3_live_ab(spark, d):
+    j = st.live_ab(_prediction_stream(spark, d), _outcome_stream(spark, d), "sample_id")
+    return st.variant_totals(st.run_available_now(j, "st3"))
