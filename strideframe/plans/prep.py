@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strideframe.functions.hashing import sql_bucket
 from strideframe.operators import prep, splits
 from strideframe.plans.catalog import register, with_ctes
-from strideframe.plans.derived import SQL_TAB, TAB_COLUMNS, tab
+from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_TAB, TAB_COLUMNS, tab
 
 SEED = 42
 VAL, TEST = 0.15, 0.15
@@ -199,3 +199,50 @@ FROM tab""",
 )
 def d13_kfold(spark, d):
     return splits.kfold(tab(spark, d), "row_id", "class", K_FOLDS, SEED).select("row_id", "class", "fold")
+
+
+# ------------------------------------------------------------------ D14
+D14_THRESHOLD = 0.1
+D14_K = 10
+
+
+def _wide_embeddings(spark, d):
+    from strideframe.plans.derived import table
+
+    e = table(spark, d, "embeddings")
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(64)])
+
+
+@register(
+    "d14_preprocess_pipeline",
+    f"""WITH {SQL_MATRIX_LONG},
+corr_m AS (SELECT a.pos AS i, b.pos AS j, corr(a.val, b.val) AS r FROM matrix_long a JOIN matrix_long b USING (vec_id) GROUP BY a.pos, b.pos),
+kept AS (SELECT DISTINCT pos FROM matrix_long WHERE pos NOT IN (SELECT j FROM corr_m WHERE i < j AND abs(r) > {D14_THRESHOLD!r})),
+anova AS (
+  SELECT pos, (between_raw - S * S / N) / (k - 1) / ((SS - between_raw) / (N - k)) AS f_score
+  FROM (SELECT pos, sum(n) AS N, count(*) AS k, sum(s) AS S, sum(s * s / n) AS between_raw, sum(ss) AS SS
+        FROM (SELECT pos, label, count(val) AS n, sum(val) AS s, sum(val * val) AS ss FROM matrix_long
+              WHERE pos IN (SELECT pos FROM kept) GROUP BY pos, label)
+        GROUP BY pos)),
+top AS (SELECT pos FROM anova ORDER BY f_score DESC, pos LIMIT {D14_K}),
+sp AS (
+  SELECT vec_id, CASE WHEN rk < ceil(n * {_d(TEST)}) THEN 'test'
+                      WHEN rk < ceil(n * {_d(TEST)}) + ceil((n - ceil(n * {_d(TEST)})) * {_d(VAL_OF_REST)}) THEN 'val'
+                      ELSE 'train' END AS split
+  FROM (SELECT vec_id, row_number() OVER (PARTITION BY label ORDER BY {_h("vec_id")}, vec_id) - 1 AS rk,
+               count(*) OVER (PARTITION BY label) AS n FROM embeddings)),
+params AS (SELECT pos, avg(val) AS mu, stddev_pop(val) AS sd FROM matrix_long JOIN sp USING (vec_id)
+           WHERE split = 'train' AND pos IN (SELECT pos FROM top) GROUP BY pos)
+SELECT m.vec_id, sp.split, m.pos, CASE WHEN p.sd = 0 THEN m.val - p.mu ELSE (m.val - p.mu) / p.sd END AS val
+FROM matrix_long m JOIN sp USING (vec_id) JOIN params p USING (pos)""",
+    floats=["val"],
+)
+def d14_preprocess_pipeline(spark, d):
+    from strideframe.operators.preprocess import Preprocessor
+    from strideframe.operators.stats import unpivot
+
+    pre = Preprocessor(normalize=True, remove_correlated=True, correlation_threshold=D14_THRESHOLD, n_select_features=D14_K)
+    feats = [f"f{i}" for i in range(64)]
+    out = pre.fit_transform(_wide_embeddings(spark, d), "vec_id", "label", feats, VAL, TEST, SEED)
+    long = unpivot(out, ["vec_id", "split"], pre.selected_features, "feature", "val")
+    return long.select("vec_id", "split", F.substring("feature", 2, 3).cast("int").alias("pos"), "val")
