@@ -14,6 +14,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strideframe.functions.hashing import bucket
 
@@ -86,7 +87,7 @@ def chi_square_yates(a_ok: Column, a_bad: Column, b_ok: Column, b_bad: Column) -
     return F.when(degenerate, F.lit(0.0)).otherwise(total)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p_value(chi2: pd.Series) -> pd.Series:
     """Upper tail of chi-square with 1 degree of freedom: ``erfc(sqrt(x / 2))``."""
     return chi2.map(lambda x: float("nan") if x is None or x != x else math.erfc(math.sqrt(max(x, 0.0) / 2.0)))

@@ -51,14 +51,14 @@ def rfft_magnitude(values: pd.Series) -> pd.Series:
 
 
 def twiddles(spark, size: int) -> DataFrame:
-    """``(offset, k, c, s)`` with ``c = cos(2 pi k offset / size)``, ``s = sin(...)``."""
+    """``(offset, _k, _c, _s)``: bin ``k``, ``cos`` and ``sin`` of ``2 pi k offset / size``."""
     n_bins = size // 2 + 1
     rows = [
         (o, k, math.cos(2 * math.pi * k * o / size), math.sin(2 * math.pi * k * o / size))
         for o in range(size)
         for k in range(n_bins)
     ]
-    return spark.createDataFrame(rows, "offset int, k int, c double, s double")
+    return spark.createDataFrame(rows, "offset int, _k int, _c double, _s double")
 
 
 def spectrum_dft(windowed: DataFrame, key: str, axis: str, size: int) -> DataFrame:
@@ -68,8 +68,9 @@ def spectrum_dft(windowed: DataFrame, key: str, axis: str, size: int) -> DataFra
     return (
         windowed.select(key, "window_id", "offset", x.alias("_x"))
         .join(tw, "offset")
-        .groupBy(key, "window_id", "k")
-        .agg(F.sqrt(F.sum(F.col("_x") * F.col("c")) ** 2 + F.sum(F.col("_x") * F.col("s")) ** 2).alias("mag"))
+        .groupBy(key, "window_id", "_k")
+        .agg(F.sqrt(F.sum(F.col("_x") * F.col("_c")) ** 2 + F.sum(F.col("_x") * F.col("_s")) ** 2).alias("mag"))
+        .withColumnRenamed("_k", "k")
     )
 
 

@@ -10,14 +10,14 @@ from strideframe.operators import freqfeat, timefeat
 def _one_window(spark, cols: dict[str, list[float]]):
     n = len(next(iter(cols.values())))
     rows = [(1, 0, i, *[float(cols[c][i]) for c in cols]) for i in range(n)]
-    schema = "k long, window_id long, offset int, " + ", ".join(f"{c} double" for c in cols)
+    schema = "sid long, window_id long, offset int, " + ", ".join(f"`{c}` double" for c in cols)
     return spark.createDataFrame(rows, schema)
 
 
 def _features(spark, cols, **kw):
     w = _one_window(spark, cols)
     n = len(next(iter(cols.values())))
-    return freqfeat.extract_window_features(w, "k", list(cols), n, **kw).first().asDict()
+    return freqfeat.extract_window_features(w, "sid", list(cols), n, **kw).first().asDict()
 
 
 def test_sma_of_ones(spark):
@@ -52,7 +52,7 @@ def test_time_domain_width_three_axes(spark):
     rng = np.random.default_rng(42)
     cols = {a: rng.normal(size=128).tolist() for a in "XYZ"}
     f = _features(spark, cols, frequency_domain=False)
-    assert len([k for k in f if k not in ("k", "window_id")]) == 33
+    assert len([k for k in f if k not in ("sid", "window_id")]) == 33
 
 
 def test_dominant_frequency_of_sine(spark):
@@ -60,14 +60,14 @@ def test_dominant_frequency_of_sine(spark):
     x = np.sin(2 * np.pi * 5 * t)
     f = _features(spark, {"0": x.tolist()}, time_domain=False, rate=128.0, n_coeffs=5)
     assert abs(f["dominant_freq_0"] - 5.0) <= 1.0
-    assert len([k for k in f if k not in ("k", "window_id")]) == 4 + 5
+    assert len([k for k in f if k not in ("sid", "window_id")]) == 4 + 5
 
 
 def test_spectrum_matches_numpy_and_native(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=32)
     w = _one_window(spark, {"x": x.tolist()})
-    native = {r["k"]: r["mag"] for r in freqfeat.spectrum_dft(w, "k", "x", 32).collect()}
+    native = {r["k"]: r["mag"] for r in freqfeat.spectrum_dft(w, "sid", "x", 32).collect()}
     fast = _features(spark, {"x": x.tolist()}, time_domain=False, n_coeffs=17)
     ref = np.abs(np.fft.rfft(x))
     for k in range(17):

@@ -32,12 +32,42 @@ def test_stream_windows_equal_batch_over_many_micro_batches(spark, sf_small):
         assert a["mean_x"] == pytest.approx(b["mean_x"])
 
 
-def test_random_forest_beats_majority(spark, sf_small):
-    data = models.labelled(spark, sf_small).cache()
-    model = learn.random_forest(learn.ModelConfig(n_estimators=30), weight="weight").fit(data.where("split = 'train'"))
+def _classification_fixture(spark, n=500, d=20, k=4, seed=42):
+    """Separable classes (as the reference's fixture: 500 x 20, 4 classes, first 400 train)."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    y = rng.integers(0, k, size=n)
+    centres = rng.normal(scale=2.0, size=(k, d))
+    x = centres[y] + rng.normal(size=(n, d))
+    rows = [(i, float(y[i]), x[i].tolist(), "train" if i < 400 else "test") for i in range(n)]
+    df = spark.createDataFrame(rows, "vec_id long, label double, v array<double>, split string")
+    return learn.with_features(df, "v")
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "boosted_trees", "mlp"])
+def test_models_beat_majority(spark, kind):
+    data = _classification_fixture(spark).cache()
+    est = {
+        "random_forest": lambda: learn.random_forest(learn.ModelConfig(n_estimators=30)),
+        "boosted_trees": lambda: learn.boosted_trees(learn.ModelConfig(n_estimators=5, max_depth=3)),
+        "mlp": lambda: learn.mlp(20, 4, hidden=(16,), max_iter=100),
+    }[kind]()
+    model = est.fit(data.where("split = 'train'"))
     acc = learn.accuracy(model, data.where("split = 'test'"))
     majority = data.groupBy("label").count().agg(F.max("count")).first()[0] / data.count()
-    assert acc > majority
+    assert acc > majority + 0.2
+
+
+def test_cross_validation_and_search(spark):
+    from strideframe.operators import splits
+
+    data = splits.kfold(_classification_fixture(spark), "vec_id", "label", 3, 42).cache()
+    scores, mean, std = learn.cross_validate(learn.random_forest(learn.ModelConfig(n_estimators=10, max_depth=5)), data)
+    assert len(scores) == 3 and mean == pytest.approx(sum(scores) / 3) and std >= 0
+    results, best = learn.search(learn.random_forest(), learn.grid({"numTrees": [5, 10], "maxDepth": [2]}), data)
+    assert len(results) == 2 and best["cv_mean"] == max(r["cv_mean"] for r in results)
+    assert len(learn.random_maps({"a": [1, 2, 3], "b": [1, 2]}, 4, 42)) == 4
 
 
 def test_model_roundtrip_same_scores(spark, sf_small):
