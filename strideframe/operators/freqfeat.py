@@ -150,16 +150,36 @@ def extract_window_features(
     if label is not None:
         aggs.append(F.mode(label, True).alias("label"))
     grouped = windowed.groupBy(key, "window_id").agg(*aggs)
+    # Stage the per-axis arrays and their scalars as columns, so the folds below
+    # reference materialised values instead of re-evaluating array expressions.
     for a in axes:
         grouped = grouped.withColumn(f"_v_{a}", timefeat.ordered_values(F.col("_w"), a))
+    if time_domain:
+        grouped = grouped.withColumns(
+            {c: e for a in axes for c, e in (
+                (f"_mn_{a}", F.array_min(f"_v_{a}")),
+                (f"_mx_{a}", F.array_max(f"_v_{a}")),
+                (f"_n_{a}", F.size(f"_v_{a}")),
+                (f"_s_{a}", F.array_sort(f"_v_{a}")),
+            )}
+        )
+        grouped = grouped.withColumns(
+            {f"_h_{a}": timefeat.histogram_counts(F.col(f"_v_{a}"), F.col(f"_mn_{a}"), F.col(f"_mx_{a}")) for a in axes}
+        )
     out: list[Column] = [F.col(key), F.col("window_id")]
     if time_domain:
         for a in axes:
             v = F.col(f"_v_{a}")
-            out += [F.col(f"{s}_{a}") for s in ("mean", "std", "min", "max", "range", "median")]
-            out.append(timefeat.zero_crossing_rate(v, centre_zcr).alias(f"zcr_{a}"))
-            out += [F.col(f"energy_{a}"), F.col(f"iqr_{a}")]
-            out.append(timefeat.histogram_entropy(v).alias(f"entropy_{a}"))
+            srt, n = F.col(f"_s_{a}"), F.col(f"_n_{a}")
+            out += [F.col(f"{s}_{a}") for s in ("mean", "std", "min", "max", "range")]
+            out.append(timefeat.sorted_quantile(srt, n, 0.5).alias(f"median_{a}"))
+            centre = F.col(f"mean_{a}") if centre_zcr else None
+            out.append(timefeat.zero_crossing_rate(v, centre).alias(f"zcr_{a}"))
+            out.append(F.col(f"energy_{a}"))
+            out.append((timefeat.sorted_quantile(srt, n, 0.75) - timefeat.sorted_quantile(srt, n, 0.25)).alias(f"iqr_{a}"))
+            out.append(
+                timefeat.entropy_from_counts(F.col(f"_h_{a}"), F.col(f"_n_{a}"), F.col(f"_mx_{a}") == F.col(f"_mn_{a}")).alias(f"entropy_{a}")
+            )
         out += [F.col("sma"), F.col("magnitude_mean"), F.col("magnitude_std")]
     if frequency_domain:
         for a in axes:

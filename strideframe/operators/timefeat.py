@@ -27,43 +27,60 @@ def collect_sorted(axes: list[str]) -> Column:
     return F.array_sort(F.collect_list(F.struct("offset", *axes)))
 
 
-def zero_crossing_rate(values: Column, centre: bool = False) -> Column:
+def zero_crossing_rate(values: Column, mean: Column | None = None) -> Column:
     """Share of consecutive steps whose sign differs (0 is its own sign); <2 samples gives 0.
 
-    ``centre=True`` subtracts the window mean first, for signals that never cross zero.
+    ``values`` must be a materialised array column; with ``mean`` (a column) the
+    signal is centred first, for signals that never cross zero.  One O(n) fold.
     """
     n = F.size(values)
-    if centre:
-        mean = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v) / n
-        values = F.transform(values, lambda v: v - mean)
-    signs = F.transform(values, F.signum)
-    changes = F.size(
-        F.filter(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: (i < n) & (signs[i] != signs[i - 1]))
+    c = mean if mean is not None else F.lit(0.0)
+    changes = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
+        F.lit(0),
+        lambda acc, i: acc
+        + F.when((i < n) & (F.signum(values[i] - c) != F.signum(values[i - 1] - c)), F.lit(1)).otherwise(F.lit(0)),
     )
     return F.when(n < 2, F.lit(0.0)).otherwise(changes / (n - 1))
 
 
-def histogram_entropy(values: Column, bins: int = ENTROPY_BINS) -> Column:
-    """T5: entropy (nats) of an equal-width histogram over the window's own range.
+def histogram_counts(values: Column, mn: Column, mx: Column, bins: int = ENTROPY_BINS) -> Column:
+    """Counts of ``bins`` equal-width bins over ``[mn, mx]`` (last bin closed): one fold over the values.
 
-    Bin of ``v`` = ``least(floor((v - min) / (max - min) * bins), bins - 1)``;
-    ``-sum(p * ln(p + 1e-10))`` over non-empty bins.  A constant window is 0.
+    Bin of ``v`` = ``least(floor((v - mn) / (mx - mn) * bins), bins - 1)``; ``mn``,
+    ``mx`` and ``values`` must be materialised columns.
     """
-    mn = F.array_min(values)
-    mx = F.array_max(values)
-    n = F.size(values)
-    idx = F.transform(values, lambda v: F.least(F.floor((v - mn) / (mx - mn) * bins), F.lit(bins - 1)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.size(F.filter(idx, lambda i: i == b)))
+    zero = F.array_repeat(F.lit(0), bins)
+    return F.aggregate(
+        values,
+        zero,
+        lambda acc, v: F.transform(
+            acc,
+            lambda cnt, j: cnt
+            + F.when(F.least(F.floor((v - mn) / (mx - mn) * bins), F.lit(bins - 1)) == j, F.lit(1)).otherwise(F.lit(0)),
+        ),
+    )
+
+
+def entropy_from_counts(counts: Column, n: Column, constant: Column) -> Column:
+    """T5: ``-sum(p * ln(p + 1e-10))`` over non-empty bins; a constant window (``constant``) is 0."""
     ent = -F.aggregate(
-        F.filter(counts, lambda c: c > 0),
+        counts,
         F.lit(0.0),
-        lambda acc, c: acc + (c / n) * F.log(c / n + F.lit(EPS)),
+        lambda acc, c: acc + F.when(c > 0, (c / n) * F.log(c / n + F.lit(EPS))).otherwise(F.lit(0.0)),
     )
-    return F.when(mx == mn, F.lit(0.0)).otherwise(ent)
+    return F.when(constant, F.lit(0.0)).otherwise(ent)
+
+
+def histogram_entropy(values: Column, bins: int = ENTROPY_BINS) -> Column:
+    """T5 on an array expression (convenience form; the extractor uses the staged columns)."""
+    mn, mx = F.array_min(values), F.array_max(values)
+    return entropy_from_counts(histogram_counts(values, mn, mx, bins), F.size(values), mx == mn)
 
 
 def axis_aggregates(axis: str) -> list[Column]:
-    """T1, T3, T4 as native aggregates for one axis."""
+    """T1 and T3 as native (partial/final) aggregates for one axis; median and IQR
+    come from the window's sorted samples (``sorted_quantile``)."""
     x = F.col(axis).cast("double")
     return [
         F.avg(x).alias(f"mean_{axis}"),
@@ -71,12 +88,19 @@ def axis_aggregates(axis: str) -> list[Column]:
         F.min(x).alias(f"min_{axis}"),
         F.max(x).alias(f"max_{axis}"),
         (F.max(x) - F.min(x)).alias(f"range_{axis}"),
-        F.median(x).alias(f"median_{axis}"),
         F.avg(x * x).alias(f"energy_{axis}"),
-        (F.percentile(x, 0.75) - F.percentile(x, 0.25)).alias(f"iqr_{axis}"),
     ]
 
 
+def sorted_quantile(sorted_values: Column, n: Column, p: float) -> Column:
+    """Linear-interpolation quantile of a sorted array (numpy / Spark ``percentile`` rule):
+    ``h = p (n - 1)``, ``v[floor h] + (v[floor h + 1] - v[floor h]) (h - floor h)``."""
+    h = F.lit(p) * (n - 1)
+    lo = F.floor(h).cast("int")
+    hi = F.least(lo + 1, n - 1)
+    return sorted_values[lo] + (sorted_values[hi] - sorted_values[lo]) * (h - lo)
+
+
 def cross_axis_aggregates(axes: list[str]) -> list[Column]:
     """T6 (signal magnitude area) and T7 (row-norm mean and population std)."""
     xs = [F.col(a).cast("double") for a in axes]
