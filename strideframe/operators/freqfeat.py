@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strideframe.functions.sizing import check_rows
 from strideframe.operators import timefeat
 
 EPS = 1e-10
@@ -63,6 +64,7 @@ def twiddles(spark, size: int) -> DataFrame:
 
 def spectrum_dft(windowed: DataFrame, key: str, axis: str, size: int) -> DataFrame:
     """F1 native: ``(key, window_id, k, mag)`` by a broadcast twiddle join and sums."""
+    check_rows(size * (size // 2 + 1), what="twiddle table")
     tw = F.broadcast(twiddles(windowed.sparkSession, size))
     x = F.col(axis).cast("double")
     return (

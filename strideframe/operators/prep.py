@@ -13,6 +13,8 @@ from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strideframe.functions.sizing import broadcast_if_small
+
 
 # ----------------------------------------------------------------- D5, D6
 def fit_label_encoder(df: DataFrame, label: str, output: str = "label_idx"):
@@ -96,6 +98,6 @@ def sample_weights(df: DataFrame, label: str, weights: DataFrame | dict | None =
         for k, v in weights.items():
             expr = F.when(F.col(label) == k, F.lit(float(v))).otherwise(expr)
         return df.withColumn("weight", expr)
-    return df.join(F.broadcast(weights.select(label, "weight")), label, "left")
+    return df.join(broadcast_if_small(weights.select(label, "weight")), label, "left")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strideframe.functions.hashing import bucket, sql_bucket
+from strideframe.functions.sizing import broadcast_if_small
 from strideframe.operators.windows import positions
 from strideframe.sources.tables import read_table
 
@@ -97,12 +98,12 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
     """Nearest class centroid: ``vec_id, y_true, y_pred`` (ties to the lower label).
 
     Centroids are ``classes x dims`` rows, a size fixed by the model and not by
-    the data, so the equi-join on the dimension broadcasts them.
+    the data; the equi-join on the dimension broadcasts them after a size check.
     """
     m = matrix_long(spark, d)
     cent = m.groupBy(F.col("label").alias("c"), "pos").agg(F.avg("val").alias("mu"))
     dist = (
-        m.join(F.broadcast(cent), "pos")
+        m.join(broadcast_if_small(cent), "pos")
         .groupBy("vec_id", "label", "c")
         .agg(F.sum((F.col("val") - F.col("mu")) ** 2).alias("d2"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strideframe.functions.sizing import broadcast_if_small
 from strideframe.operators import quality
 from strideframe.plans.catalog import register, with_ctes
 from strideframe.plans.derived import SQL_SERIES, TAB_COLUMNS, table
@@ -28,7 +29,7 @@ def v1_label_constraints(spark, d):
     cust = table(spark, d, "customer")
     nations = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.lit(True).alias("_known"))
     # the dictionary is a dimension table: a left join marks known keys
-    checked = cust.join(F.broadcast(nations), "c_nationkey", "left")
+    checked = cust.join(broadcast_if_small(nations), "c_nationkey", "left")
     return quality.rule_report(
         checked,
         {

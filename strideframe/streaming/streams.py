@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from strideframe.functions.sizing import MAX_BROADCAST_ROWS, check_rows
 from strideframe.operators.windows import window_step
 from strideframe.session import checkpoint_dir
 
@@ -60,7 +61,9 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append") ->
 # ------------------------------------------------------------------ ST1
 def fit_centroids(matrix_long: DataFrame, label: str = "label") -> dict[int, list[float]]:
     """Class centroids of a long matrix: ``classes x dims`` numbers (a model, bounded by its shape)."""
-    rows = matrix_long.groupBy(label, "pos").agg(F.avg("val").alias("mu")).collect()
+    cent = matrix_long.groupBy(label, "pos").agg(F.avg("val").alias("mu"))
+    check_rows(cent.limit(MAX_BROADCAST_ROWS + 1).count(), what="centroid table")
+    rows = cent.collect()
     out: dict[int, dict[int, float]] = {}
     for r in rows:
         out.setdefault(int(r[label]), {})[int(r["pos"])] = float(r["mu"])
