@@ -6,7 +6,8 @@ Positions
 series length ``n``, ordered by ``(ts, tie)``.  A plain
 ``row_number() over (partition by series order by ts)`` runs a whole series
 in one task, so one hot series (a third of all rows) would stall the job.
-Instead rows are cut into time buckets of ``bucket_seconds``:
+Instead rows are cut into time buckets of ``bucket_seconds`` (by default sized
+from the data so the densest series-bucket holds about 2M samples):
 
 1. a local ``row_number`` per ``(series, bucket)``  (one shuffle of the data);
 2. per-bucket counts (map-side combined, one row per bucket) and their running
@@ -15,7 +16,8 @@ Instead rows are cut into time buckets of ``bucket_seconds``:
    partitioned on that key, so only the small side moves.
 
 A bucket of one series holds at most ``rate * bucket_seconds`` samples, which
-bounds every task independently of how the series are skewed.
+bounds every task independently of how the series are skewed; the automatic
+width is refined from the measured peak count of any series bucket.
 
 Windows
 -------
@@ -49,14 +51,42 @@ def n_windows(n: int, size: int, overlap: float) -> int:
     return 0 if n < size else (n - size) // step + 1
 
 
+def auto_bucket_seconds(df: DataFrame, key: str, ts: str, target_rows: int = 1 << 21, max_rounds: int = 6) -> int:
+    """Bucket width (a power of two seconds, 1 s to 1 day) whose densest ``(series, bucket)`` group
+    holds at most about ``target_rows`` samples.
+
+    Each round is one column-pruned, map-side-combined count per ``(series,
+    bucket)`` at the current width; the width shrinks by the measured excess
+    until the peak fits (bursty series may need a second round).
+    """
+    secs = F.unix_seconds(F.col(ts).cast("timestamp"))
+    width = DEFAULT_BUCKET_SECONDS
+    for _ in range(max_rounds):
+        peak = (
+            df.groupBy(key, F.floor(secs / width).alias("_b")).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0]
+            or 0
+        )
+        if peak <= target_rows or width == 1:
+            return width
+        shrunk = max(1, int(width * target_rows / peak))
+        width = 1 << (shrunk.bit_length() - 1)
+    return width
+
+
 def positions(
     df: DataFrame,
     key: str,
     ts: str,
     tie: str,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    bucket_seconds: int | None = None,
 ) -> DataFrame:
-    """Add ``pos`` (0-based, by ``ts, tie``) and ``n`` (series length) per ``key``."""
+    """Add ``pos`` (0-based, by ``ts, tie``) and ``n`` (series length) per ``key``.
+
+    ``bucket_seconds=None`` sizes the time buckets from the data
+    (``auto_bucket_seconds``); any width gives the same positions.
+    """
+    if bucket_seconds is None:
+        bucket_seconds = auto_bucket_seconds(df, key, ts)
     bucket = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000))
     return bucketed_rank(df, [key], bucket, [ts, tie], rank_name="pos", size_name="n")
 
@@ -103,7 +133,7 @@ def sliding_windows(
     tie: str,
     size: int = 128,
     overlap: float = 0.5,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    bucket_seconds: int | None = None,
     on_short: str = "skip",
 ) -> DataFrame:
     """W1 from raw samples: positions then window explode."""

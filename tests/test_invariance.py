@@ -57,3 +57,11 @@ def test_hot_series_spread_over_buckets(spark):
     assert [r[0] for r in got] == list(range(5000))
     buckets = hot.select(F.floor(F.unix_seconds("ts") / 3600)).distinct().count()
     assert buckets > 50
+
+
+def test_auto_bucket_width_shrinks_for_dense_series(spark):
+    dense = spark.range(20000).select(F.lit(1).alias("k"), F.col("id"), F.timestamp_seconds(F.col("id") / 100).alias("ts"))
+    w = windows.auto_bucket_seconds(dense, "k", "ts", target_rows=1000)
+    assert 1 <= w <= 16
+    pos = windows.positions(dense, "k", "ts", "id")
+    assert pos.agg(F.min("pos"), F.max("pos"), F.countDistinct("pos")).first() == (0, 19999, 20000)
