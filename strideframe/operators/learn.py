@@ -117,6 +117,30 @@ def search(estimator, maps: list[dict], df: DataFrame, fold_col: str = "fold", l
 KNOWN_MODELS = ("random_forest", "boosted_trees", "mlp")
 
 
+def make_estimator(kind: str, config: ModelConfig | None = None, n_features: int | None = None, n_classes: int | None = None):
+    """M7: estimator by name; an unknown type is an error."""
+    if kind == "random_forest":
+        return random_forest(config)
+    if kind == "boosted_trees":
+        return boosted_trees(config)
+    if kind == "mlp":
+        if n_features is None or n_classes is None:
+            raise ValueError("mlp needs n_features and n_classes")
+        return mlp(n_features, n_classes)
+    raise ValueError(f"Unknown model type: {kind!r} (known: {', '.join(KNOWN_MODELS)})")
+
+
+def train_and_compare(kinds: list[str], train: DataFrame, val: DataFrame | None = None, label: str = "label", **kw):
+    """M7: fit several models; the best by validation (else training) accuracy, first on ties."""
+    results = []
+    for order, kind in enumerate(kinds):
+        model = make_estimator(kind, **kw).fit(train)
+        score = accuracy(model, val if val is not None else train, label)
+        results.append({"order": order, "model": kind, "score": score, "fitted": model})
+    best = max(results, key=lambda r: (r["score"], -r["order"]))
+    return results, best
+
+
 def fit_pipeline(estimator, df: DataFrame) -> PipelineModel:
     return Pipeline(stages=[estimator]).fit(df)
 

@@ -41,8 +41,13 @@ def compare_versions(versions: DataFrame, runs: DataFrame, metrics: list[str], o
     return v.join(runs.select("run_id", *metrics), "run_id", "left")
 
 
-def best_version(versions_with_metric: DataFrame, metric: str, ascending: bool = False) -> DataFrame:
-    """Best version per name; strictly better replaces, so ties keep the lower version; NULL metrics skipped."""
+def best_version(versions_with_metric: DataFrame, metric: str, ascending: bool = False, strict: bool = False) -> DataFrame:
+    """Best version per name; strictly better replaces, so ties keep the lower version; NULL metrics skipped.
+
+    ``strict=True`` raises when no version carries the metric (one ``take(1)``).
+    """
+    if strict and not versions_with_metric.where(F.col(metric).isNotNull()).take(1):
+        raise ValueError(f"no version has metric {metric!r}")
     order = F.col(metric).asc() if ascending else F.col(metric).desc()
     w = Window.partitionBy("name").orderBy(order, "version")
     return (

@@ -48,3 +48,14 @@ def test_roll(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0],)], "v array<double>")
     assert df.select(naming.roll(F.col("v"), F.lit(1))).first()[0] == [4.0, 1.0, 2.0, 3.0]
     assert df.select(naming.roll(F.col("v"), F.lit(-1))).first()[0] == [2.0, 3.0, 4.0, 1.0]
+
+
+def test_best_version_strict_and_unknown_model(spark):
+    from strideframe.operators import learn
+
+    v = spark.createDataFrame([("m", 1, None), ("m", 2, None)], "name string, version int, acc double")
+    assert runs.best_version(v, "acc").count() == 0
+    with pytest.raises(ValueError):
+        runs.best_version(v, "acc", strict=True)
+    with pytest.raises(ValueError):
+        learn.make_estimator("svm")
