@@ -34,8 +34,13 @@ def bucketed_rank(
     r = "_rank_range"
     rows = df.withColumn(r, range_col)
     parts = [*group, r]
-    local = rows.withColumn("_local", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)) - 1)
-    counts = rows.groupBy(*parts).agg(F.count(F.lit(1)).alias("_cnt"))
+    in_range = Window.partitionBy(*parts)
+    local = rows.withColumn("_local", F.row_number().over(in_range.orderBy(*order)) - 1).withColumn(
+        "_cnt", F.count(F.lit(1)).over(in_range)
+    )
+    # one row per range, taken from the ranked rows: the input is scanned,
+    # projected and shuffled once (the exchange is reused by both branches)
+    counts = local.where(F.col("_local") == 0).select(*parts, "_cnt")
     per_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     cols = [
         *parts,
@@ -49,7 +54,7 @@ def bucketed_rank(
     return (
         local.join(offsets, parts, "inner")
         .withColumn(rank_name, (F.col("_off") + F.col("_local")).cast("bigint"))
-        .drop(r, "_local", "_off")
+        .drop(r, "_local", "_off", "_cnt")
     )
 
 
