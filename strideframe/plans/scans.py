@@ -91,7 +91,7 @@ def s5_load_one_split(spark, d):
 def write_events_csv(spark, d) -> str:
     out = _folder(spark, d, "events_csv")
     ev = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    ev.repartition(4, "user_id").write.mode("overwrite").option("header", "true").csv(out)
+    ev.repartition("user_id").write.mode("overwrite").option("header", "true").csv(out)
     return out
 
 

@@ -98,13 +98,16 @@ def _parts(spark: SparkSession, path: str) -> list[str]:
     return names
 
 
-def write_matrix(df: DataFrame, id_col: str, cols: dict[str, Column], out_dir: str, partitions: int = 8) -> None:
+def write_matrix(df: DataFrame, id_col: str, cols: dict[str, Column], out_dir: str, partitions: int | None = None) -> None:
     """Write aligned text files ``<name>`` (one line per row, ordered by ``id_col``).
 
     The frame is range-partitioned and sorted on ``id_col`` once; every file is
     written from that same ordering, so part ``k`` of every file holds the same
-    rows and line positions agree across files.
+    rows and line positions agree across files.  ``partitions`` defaults to the
+    session's shuffle partitions.
     """
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.repartitionByRange(partitions, id_col).sortWithinPartitions(id_col).cache()
     for name, col in cols.items():
         ordered.select(col.cast("string").alias("value")).write.mode("overwrite").text(f"{out_dir}/{name}")
