@@ -3,17 +3,18 @@
 The reference stores a split as three aligned text files: a whitespace
 separated feature matrix without header, a label file and a subject file,
 aligned by LINE POSITION.  Position is a global property of a file, so the
-scan numbers lines with ``zipWithIndex`` over a Hadoop text RDD (splits in
-file and offset order; one counting job, no shuffle) and turns them into an
-explicit ``row_id`` key; after that everything is joins on ``row_id``.
+scan numbers lines from the split metadata of the text source (file, block
+start) and turns them into an explicit ``row_id`` key; after that everything
+is joins on ``row_id``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strideframe.functions.sizing import broadcast_if_small
 from strideframe.operators import stats
 
 # The activity dictionary of the reference (ids 1..6).
@@ -22,9 +23,26 @@ SPLITS = ("train", "test")
 
 
 def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``row_id, line``: 0-based line numbers over the files in the given order."""
-    rdd = spark.sparkContext.textFile(",".join(paths)).zipWithIndex()
-    return spark.createDataFrame(rdd.map(lambda t: (t[1], t[0])), "row_id bigint, line string")
+    """``row_id, line``: 0-based line numbers over the files in path order, computed in the JVM.
+
+    A text scan split is a contiguous byte range of one file, and
+    ``monotonically_increasing_id`` numbers the rows of a task consecutively, so
+    a line's number is the lines of all earlier splits (ordered by file path and
+    block start; the per-split table has one row per split) plus its distance
+    from its split's first row.  No row goes through Python.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("_f"),
+        F.col("_metadata.file_block_start").alias("_b"),
+        F.monotonically_increasing_id().alias("_m"),
+    )
+    per_split = lines.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    order = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_split = per_split.withColumn("_off", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+    return lines.join(broadcast_if_small(per_split), ["_f", "_b"]).select(
+        (F.col("_off") + F.col("_m") - F.col("_m0")).alias("row_id"), "line"
+    )
 
 
 def parse_matrix(lines: DataFrame, width: int | None = None) -> DataFrame:
