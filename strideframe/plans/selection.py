@@ -107,8 +107,7 @@ def c6_apply_selection(spark, d):
 def c7_pca(spark, d):
     """PCA: component signs are arbitrary, so the check is rows-only here and by properties in tests."""
     proj, ratios = co.pca(table(spark, d, "embeddings").select("vec_id", "embedding"), "embedding", 2)
-    del ratios
-    return proj
+    return proj.withColumns({f"explained_variance_{i}": F.lit(float(r)) for i, r in enumerate(ratios)})
 
 
 SQL_IMPORTANCE = f"""imp AS (SELECT pos, any_value(name) AS name, var_pop(val) AS importance FROM named GROUP BY pos)"""

@@ -88,3 +88,23 @@ def test_prediction_rows_and_softmax(spark):
     z = spark.createDataFrame([([1.0, 3.0, 3.0],)], "z array<double>")
     r = z.select(scoring.softmax(F.col("z")).alias("p"), scoring.argmax(F.col("z")).alias("a")).first()
     assert sum(r["p"]) == pytest.approx(1.0) and r["a"] == 1
+
+
+def test_pca_matches_numpy_up_to_sign(spark, sf_small):
+    import numpy as np
+
+    from strideframe.operators import correlate
+
+    e = spark.read.parquet(f"{sf_small}/embeddings.parquet").select("vec_id", "embedding")
+    proj, ratios = correlate.pca(e, "embedding", 2)
+    got = {r["vec_id"]: (r["pc_0"], r["pc_1"]) for r in proj.collect()}
+    rows = sorted((r["vec_id"], r["embedding"]) for r in e.collect())
+    x = np.array([v for _, v in rows], dtype=np.float64)
+    xc = x - x.mean(axis=0)
+    _, s, vt = np.linalg.svd(xc, full_matrices=False)
+    ref = xc @ vt[:2].T
+    for i, (vid, _) in enumerate(rows):
+        assert abs(got[vid][0]) == pytest.approx(abs(ref[i, 0]), abs=1e-6)
+        assert abs(got[vid][1]) == pytest.approx(abs(ref[i, 1]), abs=1e-6)
+    evr = (s**2 / (s**2).sum())[:2]
+    assert ratios == pytest.approx(evr.tolist(), abs=1e-9)
