@@ -73,15 +73,11 @@ def promote_best(versions: DataFrame, best: DataFrame) -> DataFrame:
     )
 
 
-def early_stop(loss_log: DataFrame, patience: int = 3, min_delta: float = 0.001) -> DataFrame:
-    """Per run, the epoch where early stopping fires and the best epoch up to it.
+def early_stop_fold(loss_log: DataFrame, patience: int = 3, min_delta: float = 0.001) -> DataFrame:
+    """R8 reference form: a left fold over each run's epoch-ordered log (one array per run).
 
-    Improvement: ``loss < best - min_delta`` (then the counter resets); the
-    stop fires when ``patience`` epochs in a row brought no improvement.  The
-    best epoch is the first plain minimum among the epochs trained.  The state
-    depends on the whole prefix (``best`` only moves on an improvement), so the
-    rule is a left fold over the run's epoch-ordered log; a run's log has one
-    row per training epoch.
+    Exact but holds a whole run in one row; ``early_stop`` is the scalable form
+    and is tested against this one.
     """
     arr = F.array_sort(F.collect_list(F.struct(F.col("epoch").cast("bigint").alias("e"), F.col("loss").cast("double").alias("l"))))
     init = F.struct(
@@ -114,3 +110,94 @@ def early_stop(loss_log: DataFrame, patience: int = 3, min_delta: float = 0.001)
         F.col("s.min_epoch").alias("best_epoch"),
         F.col("s.min_loss").alias("best_loss"),
     )
+
+
+def early_stop(
+    loss_log: DataFrame, patience: int = 3, min_delta: float = 0.001, block: int = 65536
+) -> DataFrame:
+    """Per run, the epoch where early stopping fires and the best epoch up to it.
+
+    Rule: an epoch improves when ``loss < best - min_delta`` (then ``best`` =
+    its loss and the counter resets); the stop fires when ``patience`` epochs in
+    a row brought no improvement; the best epoch is the first plain minimum
+    among the epochs trained.  Epochs are ``0..n-1`` per run.
+
+    ``best`` only changes at improvement epochs, and along the recursion the
+    next improvement after an improvement epoch ``e`` is the first
+    ``j in (e, e + patience]`` with ``loss_j < loss_e - min_delta`` (else the
+    stop fires at ``e + patience``, if that epoch exists).  That pointer needs
+    only the next ``patience`` losses: ``lead`` over blocks of ``block`` epochs
+    plus a ``patience``-row halo.  Inside a block the pointers are followed
+    from each of the ``patience`` possible entry epochs (one ordered pass
+    each), giving a ``patience``-entry transfer table per block; a per-run fold
+    over the block tables (``n / block`` of them) finds the stop.  No task or
+    row holds more than one block of a run.
+    """
+    if patience > block:
+        raise ValueError("patience must not exceed the block size")
+    ll = loss_log.select(
+        "run_id", F.col("epoch").cast("bigint").alias("epoch"), F.col("loss").cast("double").alias("loss")
+    )
+    blk = F.floor(F.col("epoch") / block)
+    own = ll.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
+    halo = (
+        ll.where((F.pmod(F.col("epoch"), F.lit(block)) < patience) & (F.col("epoch") >= block))
+        .withColumn("_blk", blk - 1)
+        .withColumn("_halo", F.lit(True))
+    )
+    w = Window.partitionBy("run_id", "_blk").orderBy("epoch")
+    thr = F.col("loss") - F.lit(min_delta)
+    nxt = F.coalesce(
+        *[F.when(F.lead("loss", k).over(w) < thr, F.col("epoch") + k) for k in range(1, patience + 1)]
+    )
+    pointers = own.unionByName(halo).select("run_id", "_blk", "epoch", "_halo", nxt.alias("nxt")).where(~F.col("_halo"))
+
+    arr = F.array_sort(F.collect_list(F.struct("epoch", "nxt")))
+
+    def follow(entry):
+        init = F.struct(entry.alias("cur"), F.lit(False).alias("dead"))
+
+        def step(s, x):
+            hit = (~s["dead"]) & (x["epoch"] == s["cur"])
+            return F.struct(
+                F.when(hit & x["nxt"].isNotNull(), x["nxt"]).otherwise(s["cur"]).alias("cur"),
+                (s["dead"] | (hit & x["nxt"].isNull())).alias("dead"),
+            )
+
+        return F.aggregate(F.col("_pts"), init, step)
+
+    per_block = pointers.groupBy("run_id", "_blk").agg(arr.alias("_pts"))
+    base = F.col("_blk") * block
+    per_block = per_block.select(
+        "run_id",
+        "_blk",
+        F.array(*[follow(base + k) for k in range(patience)]).alias("_t"),
+    )
+    n = ll.groupBy("run_id").agg((F.max("epoch") + 1).alias("_n"))
+    runs_ = per_block.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("_blk", "_t"))).alias("_bs")).join(n, "run_id")
+
+    def chain(s, b):
+        k = (s["cur"] - b["_blk"] * block).cast("int")
+        t = F.element_at(b["_t"], k + 1)
+        live = ~s["done"]
+        return F.struct(
+            F.when(live, t["cur"]).otherwise(s["cur"]).alias("cur"),
+            (s["done"] | (live & t["dead"])).alias("done"),
+        )
+
+    walked = runs_.select(
+        "run_id",
+        "_n",
+        F.aggregate("_bs", F.struct(F.lit(0).cast("bigint").alias("cur"), F.lit(False).alias("done")), chain).alias("_s"),
+    )
+    stops = walked.select(
+        "run_id",
+        F.when(F.col("_s.done") & (F.col("_s.cur") + patience <= F.col("_n") - 1), F.col("_s.cur") + patience)
+        .cast("bigint")
+        .alias("stop_epoch"),
+    )
+    trained = ll.join(stops, "run_id").where(F.col("stop_epoch").isNull() | (F.col("epoch") <= F.col("stop_epoch")))
+    best = trained.groupBy("run_id", "stop_epoch").agg(
+        F.min_by("epoch", F.struct("loss", "epoch")).alias("best_epoch"), F.min("loss").alias("best_loss")
+    )
+    return best.select("run_id", "stop_epoch", "best_epoch", "best_loss")

@@ -59,3 +59,22 @@ def test_best_version_strict_and_unknown_model(spark):
         runs.best_version(v, "acc", strict=True)
     with pytest.raises(ValueError):
         learn.make_estimator("svm")
+
+
+def test_blocked_early_stop_equals_fold(spark):
+    import random
+
+    rng = random.Random(3)
+    seqs = {}
+    for r in range(40):
+        n = rng.randint(1, 60)
+        cur, seq = 5.0, []
+        for _ in range(n):
+            cur += rng.choice([-0.3, -0.01, 0.0, 0.2, -0.002])
+            seq.append(round(cur, 3))
+        seqs[f"r{r}"] = seq
+    log = _log(spark, seqs)
+    for patience in (1, 3, 5):
+        a = sorted(tuple(r) for r in runs.early_stop(log, patience, 0.005, block=7).collect())
+        b = sorted(tuple(r) for r in runs.early_stop_fold(log, patience, 0.005).collect())
+        assert a == b
