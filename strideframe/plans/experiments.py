@@ -1,8 +1,8 @@
 """A/B experiment queries (X1-X9) on a request log derived from ``orders``.
 
 ``ab_log``: every order is a request (``sample_id = o_orderkey``) except
-``o_orderkey % 13 = 0`` (never routed); urgent orders are forced to the
-treatment; ``y_true = (o_orderstatus = 'F')``; the control model is right when
+low-priority orders (``5-LOW`` bypasses the experiment, so their outcomes
+have no assignment); urgent orders are forced to the treatment; ``y_true = (o_orderstatus = 'F')``; the control model is right when
 ``bucket(id, 7) < 9000``, the treatment's when ``bucket(id, 8) < 9200``;
 outcomes arrive for every order except ``o_orderkey % 20 = 0``.
 """
@@ -23,10 +23,11 @@ ACC = {"control": (7, 9000), "treatment": (8, 9200)}
 MDES = [0.05, 0.10, 0.20]
 POWERS = [0.80, 0.90]
 ALPHA = 0.05
+UNROUTED = "5-LOW"
 
 
 def _requests(spark, d):
-    return table(spark, d, "orders").where(F.col("o_orderkey") % 13 != 0).select(
+    return table(spark, d, "orders").where(F.col("o_orderpriority") != UNROUTED).select(
         F.col("o_orderkey").alias("sample_id"), "o_orderpriority", "o_totalprice"
     )
 
@@ -71,7 +72,7 @@ def metrics(spark, d):
 _B42 = sql_bucket("o_orderkey", SEED)
 SQL_AB = f"""req AS (SELECT o_orderkey AS sample_id, o_orderpriority, o_totalprice,
                     CASE WHEN {_B42} < 5000 THEN 'control' ELSE 'treatment' END AS assigned
-             FROM orders WHERE o_orderkey % 13 <> 0),
+             FROM orders WHERE o_orderpriority <> '5-LOW'),
 preds AS (SELECT o_orderkey AS sample_id, 'control' AS variant,
                  CASE WHEN {sql_bucket("o_orderkey", 7)} < 9000 THEN y ELSE 1 - y END AS y_pred
           FROM (SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS y FROM orders)
@@ -112,7 +113,7 @@ _CHI = _sql_chi2(
 
 @register(
     "x1_traffic_split",
-    f"SELECT o_orderkey AS sample_id, CASE WHEN {_B42} < 5000 THEN 'control' ELSE 'treatment' END AS variant FROM orders WHERE o_orderkey % 13 <> 0",
+    f"SELECT o_orderkey AS sample_id, CASE WHEN {_B42} < 5000 THEN 'control' ELSE 'treatment' END AS variant FROM orders WHERE o_orderpriority <> '5-LOW'",
 )
 def x1_traffic_split(spark, d):
     return _requests(spark, d).select("sample_id", ex.assign_variant("sample_id", WEIGHTS, SEED).alias("variant"))

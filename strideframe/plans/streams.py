@@ -32,7 +32,7 @@ def st2_stream_windows(spark, d):
 
 
 def _prediction_stream(spark, d):
-    o = st.file_stream(spark, d, "orders").where(F.col("o_orderkey") % 13 != 0)
+    o = st.file_stream(spark, d, "orders").where(F.col("o_orderpriority") != xp.UNROUTED)
     assigned = F.when(bucket("o_orderkey", xp.SEED) < 5000, "control").otherwise("treatment")
     variant = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("treatment")).otherwise(assigned)
     y = (F.col("o_orderstatus") == "F").cast("int")
