@@ -6,6 +6,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strideframe.functions.sizing import MAX_BROADCAST_ROWS, check_rows
+
 # The serving dictionary of the reference (ids 0..5, dataset order).
 SERVING_CLASSES = ["WALKING", "WALKING_UPSTAIRS", "WALKING_DOWNSTAIRS", "SITTING", "STANDING", "LAYING"]
 
@@ -53,3 +55,26 @@ def weighted_loss_accuracy(df: DataFrame, p_true: str, weight: str, correct: str
         (F.sum(w * -F.log(F.col(p_true))) / F.sum(w)).alias("loss"),
         F.avg(F.col(correct).cast("double")).alias("accuracy"),
     )
+
+
+# ------------------------------------------------------------------ nearest class centroid
+def fit_centroids(matrix_long: DataFrame, label: str = "label") -> dict[int, list[float]]:
+    """Class centroids of a long matrix: ``classes x dims`` numbers (a model, bounded by its shape)."""
+    cent = matrix_long.groupBy(label, "pos").agg(F.avg("val").alias("mu"))
+    check_rows(cent.limit(MAX_BROADCAST_ROWS + 1).count(), what="centroid table")
+    rows = cent.collect()
+    out: dict[int, dict[int, float]] = {}
+    for r in rows:
+        out.setdefault(int(r[label]), {})[int(r["pos"])] = float(r["mu"])
+    return {c: [v[i] for i in sorted(v)] for c, v in out.items()}
+
+
+def nearest_centroid(vec: Column, centroids: dict[int, list[float]]) -> Column:
+    """Label of the closest centroid (squared distance), ties to the lower label."""
+    x = F.transform(vec, lambda v: v.cast("double"))
+    cands = []
+    for c in sorted(centroids):
+        mu = F.array(*[F.lit(m) for m in centroids[c]])
+        d2 = F.aggregate(F.zip_with(x, mu, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, t: s + t)
+        cands.append(F.struct(d2.alias("d2"), F.lit(c).alias("c")))
+    return F.array_min(F.array(*cands))["c"]

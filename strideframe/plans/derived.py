@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strideframe.functions.hashing import bucket, sql_bucket
-from strideframe.functions.sizing import broadcast_if_small
 from strideframe.operators.windows import positions
 from strideframe.sources.tables import read_table
 
@@ -94,21 +93,31 @@ SQL_MATRIX_LONG = """matrix_long AS (
   FROM embeddings)"""
 
 
+_CENTROIDS: dict[tuple[str, str], dict[int, list[float]]] = {}
+
+
+def centroids(spark: SparkSession, d: str) -> dict[int, list[float]]:
+    """Fitted class centroids of ``embeddings`` (one aggregate, ``classes x dims`` values), once per session and table."""
+    from strideframe.operators.scoring import fit_centroids
+
+    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    if key not in _CENTROIDS:
+        _CENTROIDS[key] = fit_centroids(matrix_long(spark, d))
+    return _CENTROIDS[key]
+
+
 def scored(spark: SparkSession, d: str) -> DataFrame:
     """Nearest class centroid: ``vec_id, y_true, y_pred`` (ties to the lower label).
 
-    Centroids are ``classes x dims`` rows, a size fixed by the model and not by
-    the data; the equi-join on the dimension broadcasts them after a size check.
+    The fitted centroids (a size-checked ``classes x dims`` model) are applied
+    as a per-row expression: no join and no shuffle of the vectors.
     """
-    m = matrix_long(spark, d)
-    cent = m.groupBy(F.col("label").alias("c"), "pos").agg(F.avg("val").alias("mu"))
-    dist = (
-        m.join(broadcast_if_small(cent), "pos")
-        .groupBy("vec_id", "label", "c")
-        .agg(F.sum((F.col("val") - F.col("mu")) ** 2).alias("d2"))
+    from strideframe.operators.scoring import nearest_centroid
+
+    e = table(spark, d, "embeddings")
+    return e.select(
+        "vec_id", F.col("label").alias("y_true"), nearest_centroid(F.col("embedding"), centroids(spark, d)).cast("int").alias("y_pred")
     )
-    best = dist.groupBy("vec_id", "label").agg(F.min_by("c", F.struct("d2", "c")).alias("y_pred"))
-    return best.select("vec_id", F.col("label").alias("y_true"), "y_pred")
 
 
 SQL_SCORED = (
