@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strideframe.llm import bpe, contamination, secrets
+from strideframe.llm import bpe, brown, contamination, langid, secrets, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.scores(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -36,6 +40,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, QueryFn]:
     found = {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
