@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strideframe.llm import bpe, brown, contamination, langid, secrets, toxicity
+from strideframe.llm import bpe, brown, contamination, langid, lzprint, secrets, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lzprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op9_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
