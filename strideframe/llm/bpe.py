@@ -20,13 +20,13 @@ is row-wise, so ties, repeated rows, null ids and further columns pass through.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 from strideframe.llm import packed
 
 CACHE_WORDS = 400_000
-_SPACE_RUN = re.compile(r"\s ").search
+#: text encoded at a time: the more, the fewer distinct words
+SLICE_BYTES = 6 << 20
 
 #: Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -169,40 +170,90 @@ class PairIndexEncoder:
         self.known.update(zip(new, self.encode_words(new), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text.
+        """Packed ids of each text."""
+        flat, offs = self.encode_column(pa.array(texts, pa.string()))
+        raw = flat.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and their offsets.
 
         A pre-token can only contain a space as its first character, unless
         white space stands before that space.  Texts without white space before
-        a space are therefore cut at spaces first, and whole pieces are looked up.
+        a space are therefore cut at spaces, and each distinct piece is encoded
+        once; other texts are cut into their pre-tokens.
         """
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        if len(self.known_after_space) > CACHE_WORDS:
-            self.known_after_space.clear()
+        for cache in (self.known, self.known_after_space):
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
         if not self.known:
             self.known.update(self.special)
+        odd = pc.match_substring_regex(texts, r"[\s\pZ\x0b\x1c-\x1f\x85] ").to_numpy(zero_copy_only=False)
+        for name in self.special:
+            odd = odd | pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(texts, " ")
+        codes = cut.flatten().dictionary_encode()
+        pieces, codes = codes.dictionary, codes.indices.to_numpy().astype(np.int64)
+        offs = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
+        # the first piece of a text has no space before it; odd texts are one piece of their own
+        heads, odd_rows = offs[:-1], np.flatnonzero(odd)
+        plain = np.ones(len(codes), bool)
+        plain[heads] = False
+        for i in odd_rows.tolist():
+            plain[offs[i] : offs[i + 1]] = False
+        used = np.zeros(len(pieces), bool)
+        used[codes[plain]] = True
+        used = np.flatnonzero(used)
+        words = pieces.take(pa.array(used)).to_pylist()
         spaced = self.known_after_space
-        plain = [not _SPACE_RUN(t) and not any(s in t for s in self.special) for t in texts]
-        cut = [t.split(" ") if ok else self.pieces(t) for t, ok in zip(texts, plain, strict=True)]
-        fresh = set()
-        for words, ok in zip(cut, plain, strict=True):
-            if ok:
-                fresh.update(words[1:])
-        fresh = [w for w in fresh if w not in spaced]
+        known = list(map(spaced.get, words))
+        fresh = [w for w, ids in zip(words, known, strict=True) if ids is None]
         fresh_split = [self.split(" " + w) for w in fresh]
-        heads = [self.split(words[0]) if ok else words for words, ok in zip(cut, plain, strict=True)]
-        self._learn(fresh_split + heads)
-        get, get_spaced = self.known.__getitem__, spaced.__getitem__
-        spaced.update(zip(fresh, (b"".join(map(get, parts)) for parts in fresh_split), strict=True))
-        out = []
-        for words, head, ok in zip(cut, heads, plain, strict=True):
-            ids = b"".join(map(get, head))
-            out.append(ids + b"".join(map(get_spaced, words[1:])) if ok else ids)
-        return out
+        first = pieces.take(pa.array(codes[heads])).to_pylist()
+        head_split = [self.split(w) for w in first]
+        for i in odd_rows.tolist():
+            head_split[i] = self.pieces(texts[i].as_py())
+        self._learn(fresh_split + head_split)
+        get = self.known.__getitem__
+        fresh_ids = [b"".join(map(get, parts)) for parts in fresh_split]
+        spaced.update(zip(fresh, fresh_ids, strict=True))
+        entry = [b""] * len(pieces)
+        rest = iter(fresh_ids)
+        for k, ids in zip(used.tolist(), known, strict=True):
+            entry[k] = next(rest) if ids is None else ids
+        entry += [b"".join(map(get, parts)) for parts in head_split]
+        entry.append(b"")
+        codes[~plain] = len(entry) - 1
+        codes[heads] = len(pieces) + np.arange(len(heads))
+        size = np.array([len(x) for x in entry], np.int64) // 4
+        flat = np.frombuffer(b"".join(entry), "<u4")
+        return _gather(flat, np.cumsum(size) - size, size, codes, offs)
+
+    def decode_column(self, ids: np.ndarray, offs: np.ndarray) -> pa.Array:
+        """The texts of packed ids."""
+        if not hasattr(self, "token_bytes"):
+            self.token_size = np.array([len(t) for t in self.tokens], np.int64)
+            self.token_bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+            self.token_start = np.cumsum(self.token_size) - self.token_size
+        raw, ends = _gather(self.token_bytes, self.token_start, self.token_size, ids.astype(np.int64), offs)
+        out = pa.Array.from_buffers(pa.large_binary(), len(offs) - 1, [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+        try:
+            return out.cast(pa.large_string()).cast(pa.string())
+        except pa.ArrowInvalid:  # ids that no text has may cut characters apart
+            return pa.array([x.decode("utf-8", "replace") for x in out.to_pylist()], pa.string())
 
     def decode(self, ids: bytes) -> str:
-        table = self.tokens
-        return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        flat = np.frombuffer(ids, "<u4")
+        return self.decode_column(flat, np.array([0, len(flat)], np.int64))[0].as_py()
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray, codes: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Join the pieces ``flat[start[c]:start[c] + size[c]]`` for each code; offsets of rows of codes become offsets of items."""
+    n = size[codes]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    shift = np.repeat(start[codes] - ends[:-1], n)
+    shift += np.arange(len(shift))
+    return flat[shift], ends[offs]
 
 
 _ENCODERS: dict[int, PairIndexEncoder] = {}
@@ -252,11 +303,11 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", decoded: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(shared)
         for batch in batches:
-            for part, _, _ in packed.slices(batch, text):
-                ids = coder.encode([t or "" for t in part.column(text).to_pylist()])
-                cols = [*part.columns, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            for part, _, _ in packed.slices(batch, text, SLICE_BYTES):
+                ids, offs = coder.encode_column(part.column(text).fill_null(""))
+                cols = [*part.columns, pa.array(np.diff(offs)), packed.binary_rows(ids, offs)]
                 if decoded:
-                    cols.append(pa.array([coder.decode(x) for x in ids], pa.string()))
+                    cols.append(coder.decode_column(ids, offs))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return kept.mapInArrow(run, schema)
