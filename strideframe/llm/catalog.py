@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strideframe.llm import bpe, brown, contamination, langid, lzprint, secrets, toxicity
+from strideframe.llm import bpe, brown, contamination, langid, lzprint, neardup, secrets, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.report(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
