@@ -282,12 +282,6 @@ class _Shared:
         return self.handle.value
 
 
-def _fresh(name: str, taken: Iterable[str]) -> str:
-    while name.lower() in {t.lower() for t in taken}:
-        name = f"_{name}"
-    return name
-
-
 def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", decoded: bool = True) -> DataFrame:
     """Add ``bpe_n`` (long), ``bpe_ids`` (binary, little-endian 32-bit ids) and, if asked, ``bpe_text`` (their decoding).
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strideframe.llm.stored import written
+from strideframe.llm.stored import Scratch
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
@@ -39,10 +39,12 @@ def _state(edges: DataFrame) -> tuple:
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``node, component`` (the least node of the component) for every node of an edge ``u, v`` (long, u != v)."""
-    edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
+    scratch = Scratch(edges.sparkSession, "components")
+    edges = scratch.write(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
     before = _state(edges)
     for _ in range(most_rounds if before[0] else 0):
-        edges = written(_small_star(written(_large_star(edges), "large-star")), "small-star")
+        large = scratch.write(_large_star(edges), "large")
+        edges = scratch.write(_small_star(large), "small")
         now = _state(edges)
         if now == before:
             break
@@ -50,6 +52,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         if before[0]:
             raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )
+    least = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    out = scratch.write(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(least), "result")
+    scratch.drop(keep=("result",))
+    return out

@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from strideframe.functions.sizing import broadcast_if_small
 from strideframe.llm import packed
+from strideframe.llm.stored import unused
 from strideframe.session import checkpoint_dir
 
 WINDOW = 10
@@ -44,6 +45,8 @@ SHINGLE = 5
 BLOCK = 2_000_000
 #: windows beside which occurrences are joined by shuffle, not by broadcast
 MAX_BROADCAST_WINDOWS = 20_000
+#: text digests of contaminated rows that are handed to all tasks; more are joined by shuffle
+MAX_BROADCAST_KEYS = 200_000
 
 _WINDOWS = "item_id string, words array<string>, shingles array<long>"
 _HITS = "array<struct<pos:int,shingle:long,before:int,words:array<string>>>"
@@ -213,7 +216,8 @@ def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
     Only the texts of contaminated rows are looked up again: the test is carried
     as the digest of the text, so repeated and null ids need no care.
     """
-    texts = docs.select("text").withColumn("digest_", F.sha2("text", 256))
-    found = find_contaminated(spark, texts, benchmark).filter("n_hit > 0").select("digest_").distinct()
-    marked = docs.withColumn("digest_", F.sha2("text", 256))
-    return marked.join(found, "digest_", "left_anti").drop("digest_")
+    key = unused("digest", docs)
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias(key)
+    found = find_contaminated(spark, docs.select("text", digest), benchmark).filter("n_hit > 0").select(key).distinct()
+    found = broadcast_if_small(found, MAX_BROADCAST_KEYS)
+    return docs.select("*", digest).join(found, key, "left_anti").drop(key)

@@ -45,9 +45,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strideframe.functions.sizing import broadcast_if_small
 from strideframe.llm import packed
 from strideframe.llm.components import components
-from strideframe.llm.stored import written
+from strideframe.llm.stored import Scratch, unused
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -115,7 +116,7 @@ def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.nda
     return float((1.0 / bottom).sum())
 
 
-_SIGNED = "row long, doc_id long, n int, digest binary, signature binary, shingles binary, weights binary"
+_SIGNED = "row long, doc_id long, text_key string, n int, digest binary, signature binary, shingles binary, weights binary"
 
 
 def _sign(docs: DataFrame) -> DataFrame:
@@ -140,9 +141,9 @@ def _sign(docs: DataFrame) -> DataFrame:
                             digests.append(hashlib.blake2b(sh[a:b].tobytes() + (w or b""), digest_size=16).digest())
                             sigs.append(sig[i].tobytes())
                             weights.append(w)
-                    cols = [part.column("row"), part.column("doc_id"), pa.array(count.astype(np.int32)), pa.array(digests, pa.binary())]
+                    cols = [part.column("row"), part.column("doc_id"), part.column("text_key"), pa.array(count.astype(np.int32)), pa.array(digests, pa.binary())]
                     cols += [pa.array(sigs, pa.binary()), packed.binary_rows(sh, rows), pa.array(weights, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "n", "digest", "signature", "shingles", "weights"])
+                    yield pa.RecordBatch.from_arrays(cols, names=[f.partition(" ")[0] for f in _SIGNED.split(", ")])
 
     return docs.mapInArrow(run, _SIGNED)
 
@@ -209,43 +210,46 @@ def _labelled(reps: DataFrame, edges: DataFrame) -> DataFrame:
     return reps.select("rep").join(comp, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"))
 
 
-def find_classes(docs: DataFrame, key: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(members, links)``.
+def find_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(members, links)``, both written.
 
-    ``members`` has for each row of ``docs`` ``row`` (the column ``key``, a
-    distinct long, or else the number of the row in the scan), ``doc_id,
-    class_id, class_size, stays``; ``links`` has the verified links
-    ``u, v, similarity`` between the rows that stand for groups of copies.
+    ``members`` has a row for each row of ``docs``: ``row`` (its number in the
+    scan), ``doc_id, text_key`` (digest of the text), ``class_id, class_size,
+    stays``; ``links`` has the verified links ``u, v, similarity`` between the
+    rows that stand for groups of copies.
     """
-    number = F.monotonically_increasing_id() if key is None else F.col(key)
-    rows = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = written(_sign(rows), "signed")
+    store = Scratch(docs.sparkSession, "neardup")
+    key = F.md5(F.col("text").cast("binary")).alias("text_key")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), key, "text")
+    signed = store.write(_sign(rows), "signed")
     # copies: the least row of each digest stands for all
     groups = signed.filter("digest is not null").groupBy("digest").agg(F.min(F.struct("row", "signature")).alias("r"))
-    reps = written(groups.select("digest", F.col("r.row").alias("rep"), F.col("r.signature").alias("signature")), "reps")
-    bands = [
-        F.xxhash64(F.lit(b), F.substring("signature", 4 * BAND * b + 1, 4 * BAND)) for b in range(REGISTERS // BAND)
-    ]
+    reps = store.write(groups.select("digest", F.col("r.row").alias("rep"), F.col("r.signature").alias("signature")), "reps")
+    bands = [F.xxhash64(F.lit(b), F.substring("signature", 4 * BAND * b + 1, 4 * BAND)) for b in range(REGISTERS // BAND)]
     banded = reps.filter("signature is not null").select("rep", F.explode(F.array(*bands)).alias("bucket"))
     heads = banded.groupBy("bucket").agg(F.min("rep").alias("head"), F.count("*").alias("size")).filter("size > 1").select("bucket", "head")
-    in_buckets = written(banded.join(heads, "bucket"), "buckets")
+    in_buckets = store.write(banded.join(heads, "bucket"), "buckets")
     stars = in_buckets.filter("rep <> head").select(F.col("head").alias("u"), F.col("rep").alias("v")).distinct()
     bags_of = signed.select("row", "shingles", "weights")
-    links = written(_verified(stars, bags_of), "star-links")
-    labels = written(_labelled(reps, links.select("u", "v")), "labels")
-    mixed = in_buckets.join(labels, "rep").select("bucket", "rep", "component")
-    mixed = mixed.join(reps.select("rep", "signature"), "rep")
-    more = written(_verified(written(_within_buckets(mixed), "bucket-pairs"), bags_of), "bucket-links")
+    links = store.write(_verified(stars, bags_of), "star-links")
+    labels = _labelled(reps, links.select("u", "v"))
+    mixed = in_buckets.join(labels, "rep").select("bucket", "rep", "component").join(reps.select("rep", "signature"), "rep")
+    rest = store.write(_within_buckets(mixed), "bucket-pairs")
+    more = store.write(_verified(rest, bags_of), "bucket-links")
+    links = store.write(links.unionByName(more).dropDuplicates(["u", "v"]), "links")
     if not more.isEmpty():
-        links = links.unionByName(more).dropDuplicates(["u", "v"])
-        labels = written(_labelled(reps, links.select("u", "v")), "labels")
+        labels = _labelled(reps, links.select("u", "v"))
     placed = (
-        signed.select("row", "doc_id", "digest")
+        signed.select("row", "doc_id", "text_key", "digest")
         .join(reps.join(labels, "rep").select("digest", "component"), "digest", "left")
         .withColumn("component", F.coalesce("component", "row"))
     )
     classes = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.min("row").alias("first"))
-    members = placed.join(classes, "component").select("row", "doc_id", "class_id", "class_size", (F.col("row") == F.col("first")).alias("stays"))
+    members = placed.join(classes, "component").select(
+        "row", "doc_id", "text_key", "class_id", "class_size", (F.col("row") == F.col("first")).alias("stays")
+    )
+    members = store.write(members, "members")
+    store.drop(keep=("members", "links"))
     return members, links
 
 
@@ -255,18 +259,27 @@ def report(docs: DataFrame) -> DataFrame:
     return members.select("doc_id", "class_id", "class_size", "stays")
 
 
+#: keys of leaving rows that are handed to all tasks; more are joined by shuffle
+MAX_BROADCAST_KEYS = 500_000
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one of each class, with all columns.
 
-    Rows that leave are named by their row number.  It is taken from the scan
-    of ``docs`` as written in the shared folder, so it means the same row in
-    both passes, whatever the order of the files.
+    A row is found again by its id and the digest of its text.  Rows that have
+    both in common are copies, of which one stays or none.
     """
-    taken = {c.lower() for c in docs.columns}
-    row = "row"
-    while row in taken:
-        row += "_"
-    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    members, _ = find_classes(numbered.select(F.col(row).alias("key"), "doc_id", "text"), key="key")
-    leaving = members.filter("not stays").select(F.col("row").alias(row))
-    return numbered.join(leaving, row, "left_anti").drop(row)
+    members, _ = find_classes(docs)
+    by_key = members.groupBy("doc_id", "text_key").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+    key = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text_key", F.lit("null")))
+    on = [unused("key_", docs), unused("whole_", docs)]
+    named = [F.xxhash64(key).alias(on[0]), key.alias(on[1])]
+    leaving = by_key.filter("not stays").select(*named)
+    repeated = by_key.filter("stays and n > 1").select(*named)
+    own = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")))
+    marked = docs.withColumn(on[1], own).withColumn(on[0], F.xxhash64(on[1]))
+    stays = marked.join(broadcast_if_small(leaving, MAX_BROADCAST_KEYS), on, "left_anti")
+    if not repeated.isEmpty():
+        again = broadcast_if_small(repeated, MAX_BROADCAST_KEYS)
+        stays = stays.join(again, on, "left_anti").unionByName(stays.join(again, on, "left_semi").dropDuplicates(on))
+    return stays.select(*docs.columns)

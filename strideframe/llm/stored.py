@@ -4,14 +4,47 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from strideframe.session import checkpoint_dir
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+class Scratch:
+    """Tables written under ``spark.checkpoint.dir``; writing cuts the lineage and survives lost executors.
+
+    ``drop`` deletes the tables of this object that are not named in ``keep``;
+    call it when nothing lazy reads them any more.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.base = f"{checkpoint_dir(spark).rstrip('/')}/strideframe-{name}-{uuid.uuid4().hex}"
+        self.paths: list[str] = []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.base}/{len(self.paths)}-{name}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, keep: tuple[str, ...] = ()) -> None:
+        jvm = self.spark._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            if path.rpartition("/")[2].partition("-")[2] not in keep:
+                where = jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(conf).delete(where, True)
+        self.paths = [p for p in self.paths if p.rpartition("/")[2].partition("-")[2] in keep]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/strideframe-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """One table that stays."""
+    return Scratch(df.sparkSession, name).write(df, name)
