@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strideframe.llm import bpe, brown, contamination, langid, lzprint, neardup, secrets, toxicity
+from strideframe.llm import bpe, brown, chunks, contamination, langid, lzprint, neardup, secrets, toxicity, urlfilter, urlfilter_data
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.filter_urls(urlfilter_data.captures(pages), urlfilter_data.entries(pages))
+
+
 def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.scores(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.report(table(spark, sf_dir, "documents"))
+
+
 def op8_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lzprint.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -62,4 +71,4 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_url_filter": urlfilter_data.oracle_sql()}
