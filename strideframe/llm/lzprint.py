@@ -1,7 +1,7 @@
 """Lempel-Ziv phrase fingerprints of documents.
 
-A text is parsed into dictionary phrases (LZ78 over its UTF-8 bytes: each
-phrase is the longest earlier phrase and one more byte).  The phrases' hashes
+A text is parsed into dictionary phrases (LZ78 over its words and punctuation
+marks: each phrase is the longest earlier phrase and one more symbol).  The phrases' hashes
 form a set; the fingerprint holds its ``K`` least 32-bit hashes in ascending
 order, as hexadecimal text.  Two fingerprints are compared by the share of the
 ``K`` least hashes of their union that both hold, an estimate of the Jaccard
@@ -9,13 +9,12 @@ similarity of the phrase sets (exact for texts of few phrases).  Two texts
 without phrases have likeness 1, one without and one with have 0.
 
 ``compare_with_next`` also parses each text with its second half replaced by
-the start of the next text, where the common first half is parsed once.  The
-next text is that of the following row by descending id (null ids last, ties
+the start of the next text.  The next text is that of the following row by descending id (null ids last, ties
 by the text's hash); after the last row comes the first.  Rows are dealt to ranges of
 ids of bounded size, and each range also gets the first row of the range that
 follows, so no task needs the whole order.
 
-Null and empty texts have no phrases; repeated rows follow each other.
+Null, empty and blank texts have no phrases; repeated rows follow each other.
 """
 
 from __future__ import annotations
@@ -35,53 +34,55 @@ RANGE_ROWS = 4000
 MAX_RANGES = 20_000
 
 
-class Parse:
-    """State of a parse that can be extended."""
-
-    def __init__(self, phrases: dict[int, int] | None = None, node: int = 0, ends: list[int] | None = None, length: int = 0):
-        self.phrases = {} if phrases is None else phrases
-        self.node = node
-        self.ends = [] if ends is None else ends
-        self.length = length
-
-    def copy(self) -> Parse:
-        return Parse(self.phrases.copy(), self.node, self.ends.copy(), self.length)
-
-    def extend(self, data: bytes) -> Parse:
-        phrases, node = self.phrases, self.node
-        find, add_end = phrases.get, self.ends.append
-        fresh = len(phrases) + 1
-        at = self.length
-        for byte in data:
-            at += 1
-            key = node << 8 | byte
-            node = find(key, 0)
-            if not node:
-                phrases[key] = fresh
-                fresh += 1
-                add_end(at)
-        self.node, self.length = node, at
-        return self
-
-
-def sketches(texts: list[bytes], ends: list[list[int]], k: int = K) -> list[np.ndarray]:
+def symbols(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the symbols of all rows, and the rows' offsets: words (runs of
+    letters, digits and non-ASCII characters) and single other characters but white space."""
+    word = packed.WORD_BYTES[packed.LOWER[data]]
+    starts, ends, _ = packed.spans(word, offs)
+    marks = np.flatnonzero(~word & packed.TOKEN_BYTES[data])
+    starts, ends = np.concatenate([starts, marks]), np.concatenate([ends, marks + 1])
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], ends[order]
+    return packed.hash_spans(data, starts, ends), np.searchsorted(starts, offs)
+
+
+def phrase_ends(codes: list[int]) -> list[int]:
+    """Ends of the phrases of one text, given the 40-bit codes of its symbols."""
+    phrases: dict[int, int] = {}
+    put = phrases.setdefault
+    ends: list[int] = []
+    node, fresh, at = 0, 1, 0
+    for code in codes:
+        at += 1
+        node = put(node << 40 | code, fresh)
+        if node == fresh:
+            fresh += 1
+            node = 0
+            ends.append(at)
+    return ends
+
+
+def sketches(data: np.ndarray, offs: np.ndarray, k: int = K) -> list[np.ndarray]:
     """The least ``k`` phrase hashes of each text (uint32, ascending)."""
+    hashes, rows = symbols(data, offs)
+    n = len(offs) - 1
+    codes = (hashes >> np.uint64(24)).tolist()
+    bounds = rows.tolist()
+    ends = [phrase_ends(codes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     sizes = np.array([len(e) for e in ends], np.int64)
-    if not sizes.sum():
-        return [np.zeros(0, np.uint32) for _ in texts]
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    base = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-    row = np.repeat(np.arange(len(texts)), sizes)
-    stop = np.concatenate([np.array(e, np.int64) for e in ends if e])
-    first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    row = np.repeat(np.arange(n), sizes)
+    if not len(row):
+        return [np.zeros(0, np.uint32)] * n
+    stop = np.concatenate([np.array(e, np.int64) for e in ends]) + rows[row]
     start = np.empty_like(stop)
     start[1:] = stop[:-1]
-    start[first[sizes > 0]] = 0
-    hashes = packed.hash_spans(data, start + base[row], stop + base[row]) >> np.uint64(32)
-    keys = np.unique(row.astype(np.uint64) << np.uint64(32) | hashes)
-    cuts = np.searchsorted(keys >> np.uint64(32), np.arange(len(texts) + 1))
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    start[first] = rows[row[first]]
+    least = packed.hash_runs(hashes, start, stop) >> np.uint64(32)
+    keys = np.unique(row.astype(np.uint64) << np.uint64(32) | least)
+    cuts = np.searchsorted(keys >> np.uint64(32), np.arange(n + 1, dtype=np.uint64)).tolist()
     least = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    return [least[a : min(b, a + k)] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    return [least[a : min(b, a + k)] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def likeness(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
@@ -108,9 +109,8 @@ def fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprint") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, _, _ in packed.slices(batch, text):
-                texts = [(t or "").encode() for t in part.column(text).to_pylist()]
-                found = sketches(texts, [Parse().extend(t).ends for t in texts])
+            for part, data, offs in packed.slices(batch, text):
+                found = sketches(data, offs)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([text_of(s) for s in found], pa.string())], names=schema.names)
 
     return kept.mapInArrow(run, schema)
@@ -133,14 +133,12 @@ def _range_of(cuts: list[int]):
     """Number of the range of an id: 1 and up, 0 for null ids, which come last."""
     bounds = F.lit(cuts).cast("array<bigint>")
     # bounds are sorted: the number of bounds up to the id, found by binary search
-    at = F.lit(0).cast("long")
-    step = 1
-    while step <= len(cuts):
-        step *= 2
-    while step >= 1:
-        probe = at + step
-        at = F.when((probe <= len(cuts)) & (F.try_element_at(bounds, probe.cast("int")) <= F.col("doc_id")), probe).otherwise(at)
-        step //= 2
+    steps = [1 << i for i in range(len(cuts).bit_length(), -1, -1)]
+
+    def narrow(at, step):
+        return F.when((at + step <= len(cuts)) & (F.try_element_at(bounds, at + step) <= F.col("doc_id")), at + step).otherwise(at)
+
+    at = F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), narrow).cast("long")
     return F.when(F.col("doc_id").isNull(), F.lit(0).cast("long")).otherwise(at + 1)
 
 
@@ -166,42 +164,18 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     by = Window.partitionBy("range").orderBy("extra", F.desc_nulls_last("doc_id"), order, "text")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    following = F.lead("text").over(by)
-    rows = (
-        dealt.unionByName(extra)
-        .withColumn("next", following)
-        .select(
-            "doc_id",
-            "extra",
-            n.cast("long").alias("n_chars"),
-            F.when(F.col("extra"), F.col("text")).otherwise(F.substring("text", F.lit(1), n - half)).cast("binary").alias("kept"),
-            F.when(F.col("extra"), F.lit("")).otherwise(F.substring("text", n - half + 1, half)).cast("binary").alias("cut"),
-            F.when(F.col("extra"), F.lit("")).otherwise(F.substring("next", F.lit(1), half)).cast("binary").alias("put"),
-        )
-        .withColumn("edited_sha256", F.sha2(F.concat("kept", "put"), 256))
-    )
-    return rows.mapInArrow(_compare, _OUT)
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next", F.lit(1), half))
+    rows = dealt.unionByName(extra).withColumn("next", F.lead("text").over(by))
+    rows = rows.select("doc_id", "extra", n.cast("long").alias("n_chars"), "text", F.when(~F.col("extra"), edited).otherwise("").alias("edited"))
+    return rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).mapInArrow(_compare, _OUT)
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order; an extra row only serves its predecessor, so one row is held back."""
     held = None  # (doc_id, n_chars, sha, sketch, edited sketch)
     for batch in batches:
-        sizes = sum(np.diff(packed.text_bytes(batch.column(c))[1]) for c in ("kept", "cut"))
-        at = 0
-        while at < batch.num_rows:
-            end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), packed.SLICE_BYTES, "right")))
-            part = batch.slice(at, end - at)
-            at = end
-            texts, ends, edited, edited_ends = [], [], [], []
-            for kept, cut, put in zip(*(part.column(c).to_pylist() for c in ("kept", "cut", "put")), strict=True):
-                state = Parse().extend(kept)
-                other = state.copy().extend(put)
-                texts.append(kept + cut)
-                ends.append(state.extend(cut).ends)
-                edited.append(kept + put)
-                edited_ends.append(other.ends)
-            own, new = sketches(texts, ends), sketches(edited, edited_ends)
+        for part, data, offs in packed.slices(batch, "text"):
+            own, new = sketches(data, offs), sketches(*packed.text_bytes(part.column("edited")))
             out = []
             ids, chars, digests, extras = (part.column(c).to_pylist() for c in ("doc_id", "n_chars", "edited_sha256", "extra"))
             for i, extra in enumerate(extras):

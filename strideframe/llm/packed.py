@@ -123,6 +123,13 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
+def hash_runs(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of items (equal runs of equal hashes, equal results wherever they stand)."""
+    powers, inverse = _powers(len(hashes) + 1)
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(hashes * powers[: len(hashes)], dtype=_U)])
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
 def words(data: np.ndarray, offs: np.ndarray, members: np.ndarray = WORD_BYTES):
     """Lower-cased words of every row: ``lowered bytes, starts, ends, row offsets, hashes``."""
     low = LOWER[data]
