@@ -21,6 +21,18 @@ def hash32(id_col: Column | str, seed: int | str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
+def hash60(id_col: Column | str, seed: int | str) -> Column:
+    """First 15 hex digits of md5(id:seed) as a non-negative bigint (0 .. 2^60-1)."""
+    c = F.col(id_col) if isinstance(id_col, str) else id_col
+    digest = F.md5(F.concat(c.cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def sql_hash60(id_sql: str, seed: int | str) -> str:
+    """DuckDB text of ``hash60``."""
+    return f"((('0x' || substr(md5(CAST({id_sql} AS VARCHAR) || ':{seed}'), 1, 15))::UBIGINT)::BIGINT)"
+
+
 def bucket(id_col: Column | str, seed: int | str, buckets: int = BUCKETS) -> Column:
     """hash32 modulo ``buckets`` (10000 by default)."""
     return F.pmod(hash32(id_col, seed), F.lit(buckets))

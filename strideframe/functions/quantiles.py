@@ -3,90 +3,105 @@
 ``percentile`` keeps every value of a group in one aggregation buffer, which is
 fine for a 128-sample window and wrong for a 30 TB column.  Here:
 
-1. count rows per ``(group, value)`` (map-side combined: duplicates collapse);
-2. per group ``min``, ``max``, ``n``: one row per group;
-3. cut each group's value range into ``2^bits`` equal ranges; running counts
-   per range (small table) give each range's rank offset, and a running count
-   inside ``(group, range)`` gives every distinct value its rank interval
-   ``[start, end)``;
-4. the value at rank ``r`` is the one with ``start <= r < end``;
-   ``q(p) = v[floor(h)] + (v[floor(h)+1] - v[floor(h)]) * (h - floor(h))`` with
-   ``h = p * (n - 1)``, as numpy, Spark ``percentile`` and DuckDB
-   ``quantile_cont`` define it.
+1. one pass takes per group the number of values and, around each target rank,
+   a bracket of two approximate quantiles (mergeable sketches);
+2. a second pass counts the values below each bracket and keeps the distinct
+   values inside with their counts: about ``2 * MARGIN / ACCURACY`` of the rows, and one
+   row for a value however often it occurs;
+3. ranks inside a bracket give the value at each target rank.
+
+No pass shuffles the rows, and far-out values do not matter.  Groups with so
+many rows that a bracket may hold more than ``MOST_INSIDE`` values take the full
+path, which ranks their distinct values over data-driven ranges.
+
+``q(p) = v[floor(h)] + (v[floor(h)+1] - v[floor(h)]) * (h - floor(h))`` with
+``h = p * (n - 1)``, as numpy, Spark ``percentile`` and DuckDB
+``quantile_cont`` define it.  NULL and NaN values do not count; NULL groups are
+groups; a group without values has no row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strideframe.functions.nullsafe import key_columns
+from strideframe.functions.ranking import prefix_below
+from strideframe.functions.sizing import broadcast_if_small, local_if_small
 
-def exact_quantiles(long_df: DataFrame, group: list[str], value: str, probs: list[float], bits: int = 12) -> DataFrame:
-    """``group..., p, q`` for every group and probability (nulls ignored)."""
-    if not group:
-        one = exact_quantiles(long_df.withColumn("_all", F.lit(0)), ["_all"], value, probs, bits)
-        return one.drop("_all")
-    nb = 2**bits
-    vc = long_df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
-    mm = vc.groupBy(*group).agg(
-        F.min(value).alias("_mn"), F.max(value).alias("_mx"), F.sum("_c").alias("_n")
-    )
-    rng = F.when(
-        F.col("_mx") > F.col("_mn"),
-        F.least(F.floor((F.col(value) - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * nb), F.lit(nb - 1)),
-    ).otherwise(F.lit(0))
-    v = vc.join(mm, group).withColumn("_r", rng)
-    per_range = v.groupBy(*group, "_r").agg(F.sum("_c").alias("_rc"))
-    g = Window.partitionBy(*group)
-    offsets = per_range.select(
-        *group,
-        "_r",
-        F.coalesce(F.sum("_rc").over(g.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(
-            "_off"
-        ),
-    )
-    inner = Window.partitionBy(*group, "_r").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        v.join(offsets, [*group, "_r"])
-        .withColumn("_end", F.col("_off") + F.sum("_c").over(inner))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-    )
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("p"),
-                F.floor(F.lit(float(p)) * (F.col("_n") - 1)).alias("lo"),
-                (F.lit(float(p)) * (F.col("_n") - 1)).alias("h"),
-            )
-            for p in probs
-        ]
-    )
-    hits = (
-        ranked.select(*group, value, "_start", "_end", "_n", F.inline(targets))
-        .withColumn("hi", F.least(F.col("lo") + 1, F.col("_n") - 1))
-        .where(
-            ((F.col("_start") <= F.col("lo")) & (F.col("lo") < F.col("_end")))
-            | ((F.col("_start") <= F.col("hi")) & (F.col("hi") < F.col("_end")))
-        )
+ACCURACY = 2000
+#: width of a bracket on either side of its rank, in errors of the sketch
+MARGIN = 3
+MOST_INSIDE = 2_000_000
+
+
+def _targets(n: Column, probs: list[float]) -> Column:
+    def one(p: float) -> Column:
+        h = F.lit(float(p)) * (n - 1)
+        return F.struct(F.lit(float(p)).alias("p"), h.alias("h"), F.floor(h).alias("lo"), F.least(F.floor(h) + 1, n - 1).alias("hi"))
+
+    return F.array(*[one(p) for p in probs])
+
+
+def _picked(ranked: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``keys..., p, q`` from distinct values with rank intervals ``[_start, _end)`` and their targets."""
+    at = lambda rank: (F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
+    found = ranked.groupBy(*keys, "p", "h").agg(F.max(F.when(at("lo"), F.col(value))).alias("_lo"), F.max(F.when(at("hi"), F.col(value))).alias("_hi"))
+    frac = F.col("h") - F.floor("h")
+    return found.select(*keys, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("q"))
+
+
+def _by_ranges(rows: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
+    """The full path: ranks of all distinct values."""
+    counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    total = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    ranked = prefix_below(counts, keys, value, ["_c"]).join(broadcast_if_small(total), keys)
+    ranked = ranked.select(*keys, value, F.col("_c_below").alias("_start"), (F.col("_c_below") + F.col("_c")).alias("_end"), F.inline(_targets(F.col("_n"), probs)))
+    hit = ((F.col("_start") <= F.col("lo")) & (F.col("lo") < F.col("_end"))) | ((F.col("_start") <= F.col("hi")) & (F.col("hi") < F.col("_end")))
+    return _picked(ranked.where(hit), keys, value)
+
+
+def exact_quantiles(long_df: DataFrame, group: list[str], value: str, probs: list[float]) -> DataFrame:
+    """``group..., p, q`` for every group and probability."""
+    keyed, keys = key_columns(long_df.select(*group, value), group)
+    if not keys:
+        keyed, keys = keyed.withColumn("_key0", F.lit(0)), ["_key0"]
+    number = F.col(value)
+    rows = keyed.where(number.isNotNull() & ~F.isnan(number.cast("double"))).select(*keys, value)
+    shares = [s for p in probs for s in (max(0.0, p - MARGIN / ACCURACY), min(1.0, p + MARGIN / ACCURACY))]
+    sketch = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, shares, ACCURACY).alias("_b"))
+    sketch, _ = local_if_small(sketch)
+    # few rows: all are inside
+    few = F.col("_n") <= 4 * ACCURACY
+    bracket = lambda i: F.when(~few, F.element_at("_b", i))
+    targets = F.transform(
+        _targets(F.col("_n"), probs),
+        lambda t, i: F.struct(t["p"].alias("p"), t["h"].alias("h"), t["lo"].alias("lo"), t["hi"].alias("hi"), bracket(2 * i + 1).alias("low"), bracket(2 * i + 2).alias("high")),
     )
-    is_lo = (F.col("_start") <= F.col("lo")) & (F.col("lo") < F.col("_end"))
-    is_hi = (F.col("_start") <= F.col("hi")) & (F.col("hi") < F.col("_end"))
-    out = hits.groupBy(*group, "p").agg(
-        F.max(F.when(is_lo, F.col(value))).alias("_vlo"),
-        F.max(F.when(is_hi, F.col(value))).alias("_vhi"),
-        F.first("h").alias("_h"),
+    many = F.col("_n") * (2 * MARGIN / ACCURACY) > MOST_INSIDE
+    each = rows.join(sketch.where(~many), keys).select(*keys, value, F.inline(targets))
+    below_bracket = F.col("low").isNotNull() & (number < F.col("low"))
+    # values below a bracket become one row, values inside a row each; those above are not needed
+    inside = (
+        each.where(F.col("high").isNull() | (number <= F.col("high")))
+        .groupBy(*keys, "p", "h", "lo", "hi", F.when(~below_bracket, number).alias(value))
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
-    frac = F.col("_h") - F.floor(F.col("_h"))
-    return out.select(*group, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("q"))
+    upto = Window.partitionBy(*keys, "p").orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.withColumn("_end", F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c"))
+    found = _picked(ranked.where(F.col(value).isNotNull()), keys, value)
+    # the sketch's error is below MARGIN / ACCURACY, so this cannot happen; never return a wrong value silently
+    found = found.withColumn("q", F.when(F.col("q").isNull(), F.raise_error(F.lit("a quantile bracket missed its rank")).cast("double")).otherwise(F.col("q")))
+    if not sketch.where(many).isEmpty():
+        found = found.unionByName(_by_ranges(rows.join(sketch.where(many).select(*keys), keys, "left_semi"), keys, value, probs))
+    if not group:
+        return found.select("p", "q")
+    names = keyed.select(*keys, *group).distinct()
+    return found.join(broadcast_if_small(names), keys).select(*group, "p", "q")
 
 
 def quantile_columns(long_df: DataFrame, group: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Wide form: one column per named probability."""
     q = exact_quantiles(long_df, group, value, list(probs.values()))
-    if not group:
-        return q.agg(
-            *[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(name) for name, p in probs.items()]
-        )
-    return q.groupBy(*group).agg(
-        *[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(name) for name, p in probs.items()]
-    )
+    aggs = [F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(name) for name, p in probs.items()]
+    return q.groupBy(*group).agg(*aggs) if group else q.agg(*aggs)

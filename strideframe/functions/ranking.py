@@ -11,7 +11,8 @@ bounded by a range instead of a group:
 3. the offsets join back on ``(g, range)``; the rows are already partitioned by
    that key, so only the small side moves.
 
-The result equals ``row_number() - 1`` over the group ordered by
+Rows with a NULL group key form a group of their own.  The result equals
+``row_number() - 1`` over the group ordered by
 ``(range, order...)``; when ``range`` is monotone in the first order column,
 that is the plain ordering.
 """
@@ -21,6 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strideframe.functions.cuts import below, cut_table
+from strideframe.functions.nullsafe import key_columns
+
 
 def bucketed_rank(
     df: DataFrame,
@@ -32,8 +36,10 @@ def bucketed_rank(
 ) -> DataFrame:
     """Add a 0-based ``rank_name`` (and optionally the group size) using range cuts."""
     r = "_rank_range"
-    rows = df.withColumn(r, range_col)
-    parts = [*group, r]
+    keyed, keys = key_columns(df, group)
+    # rows without an order value come first, as they do in an ascending order
+    rows = keyed.withColumn(r, F.coalesce(range_col.cast("bigint"), F.lit(-(2**62))))
+    parts = [*keys, r]
     in_range = Window.partitionBy(*parts)
     local = rows.withColumn("_local", F.row_number().over(in_range.orderBy(*order)) - 1).withColumn(
         "_cnt", F.count(F.lit(1)).over(in_range)
@@ -41,7 +47,7 @@ def bucketed_rank(
     # one row per range, taken from the ranked rows: the input is scanned,
     # projected and shuffled once (the exchange is reused by both branches)
     counts = local.where(F.col("_local") == 0).select(*parts, "_cnt")
-    per_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    per_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     cols = [
         *parts,
         F.coalesce(
@@ -54,7 +60,7 @@ def bucketed_rank(
     return (
         local.join(offsets, parts, "inner")
         .withColumn(rank_name, (F.col("_off") + F.col("_local")).cast("bigint"))
-        .drop(r, "_local", "_off", "_cnt")
+        .drop(*parts, "_local", "_off", "_cnt")
     )
 
 
@@ -63,41 +69,26 @@ def hash_range(hash_col: Column, bits: int = 12) -> Column:
     return F.shiftright(hash_col, 32 - bits)
 
 
-def prefix_below(df: DataFrame, group: list[str], order: str, values: list[str], bits: int = 12) -> DataFrame:
+def prefix_below(df: DataFrame, group: list[str], order: str, values: list[str], rows_per_range: int | None = None) -> DataFrame:
     """For rows with DISTINCT ``order`` values per group, add ``<v>_below``: the sum of
     ``v`` over the group's rows with a smaller ``order``.
 
-    The order range of each group is cut into ``2^bits`` equal ranges (from the
-    group's min and max); range totals are summed over a small table and a
-    running sum inside ``(group, range)`` finishes the job, so a group's rows
-    are spread over its ranges.
+    The rows of each group are cut into ranges of about equal size by the
+    group's approximate quantiles; range totals are summed over a small table
+    and a running sum inside ``(group, range)`` finishes the job, so a group's
+    rows are spread over its ranges however its values lie.
     """
-    nb = 2**bits
-    g = group if group else []
-    mm = df.groupBy(*g).agg(F.min(order).alias("_mn"), F.max(order).alias("_mx")) if g else None
-    if g:
-        rows = df.join(mm, g)
-    else:
-        one = df.agg(F.min(order).alias("_mn"), F.max(order).alias("_mx")).first()
-        rows = df.withColumn("_mn", F.lit(one["_mn"])).withColumn("_mx", F.lit(one["_mx"]))
-    o = F.col(order).cast("double")
-    rng = F.when(
-        F.col("_mx") > F.col("_mn"),
-        F.least(F.floor((o - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * nb), F.lit(nb - 1)),
-    ).otherwise(F.lit(0))
-    rows = rows.withColumn("_r", rng).drop("_mn", "_mx")
-    parts = [*g, "_r"]
+    keyed, keys = key_columns(df, group)
+    if not keys:
+        keyed, keys = keyed.withColumn("_key0", F.lit(0)), ["_key0"]
+    table = cut_table(keyed, keys, order, rows_per_range=rows_per_range)
+    rows = keyed.join(table, keys).withColumn("_r", below(F.col("_cuts"), F.col(order))).drop("_cuts")
+    parts = [*keys, "_r"]
     totals = rows.groupBy(*parts).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    per_group = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
-    offsets = totals.select(
-        *parts,
-        *[
-            F.coalesce(F.sum(f"_t_{v}").over(per_group.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_o_{v}")
-            for v in values
-        ],
-    )
+    before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*parts, *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values])
     inner = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     out = rows.join(offsets, parts)
     for v in values:
         out = out.withColumn(f"{v}_below", F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(inner), F.lit(0)))
-    return out.drop("_r", *[f"_o_{v}" for v in values])
+    return out.drop(*parts, *[f"_o_{v}" for v in values])

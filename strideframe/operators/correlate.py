@@ -17,7 +17,8 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strideframe.functions.ranking import bucketed_rank
+from strideframe.functions.nullsafe import join_by
+from strideframe.functions.ranking import prefix_below
 
 
 def correlation_matrix(df: DataFrame, vector_col: str | None = None, cols: list[str] | None = None) -> DataFrame:
@@ -68,20 +69,21 @@ def top_k(scores: DataFrame, score: str, k: int, tie: str) -> DataFrame:
     return scores.orderBy(F.desc_nulls_last(score), tie).limit(k)
 
 
-def binned_mutual_information(long: DataFrame, feature: str, label: str, value: str, row_id: str, bins: int = 10) -> DataFrame:
+def binned_mutual_information(long: DataFrame, feature: str, label: str, value: str, bins: int = 10) -> DataFrame:
     """C5 (re-aimed): mutual information (nats) between equal-frequency bins of a feature and the class.
 
-    Bin of a value = ``floor(rank * bins / n)`` with rank by ``(value, row_id)`` in
-    the feature; ranks come from ``bucketed_rank`` over value ranges, so a feature
-    column is not sorted in one task.
+    Equal values share a bin: the bin of a value is ``floor(r * bins / n)`` where
+    ``r`` is the number of smaller values.  Rows are counted by ``(feature, value,
+    label)`` before anything moves, so a value that fills a third of the rows is
+    one row for each label; ranks come from data-driven ranges.
     """
-    mm = long.groupBy(feature).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
-    rng = F.when(
-        F.col("_mx") > F.col("_mn"), F.least(F.floor((F.col(value) - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * 4096), F.lit(4095))
-    ).otherwise(F.lit(0))
-    ranked = bucketed_rank(long.join(mm, feature), [feature], rng, [value, row_id], rank_name="_rk", size_name="_n")
-    binned = ranked.withColumn("bin", F.floor(F.col("_rk") * bins / F.col("_n")))
-    joint = binned.groupBy(feature, "bin", label).agg(F.count(F.lit(1)).alias("c"), F.first("_n").alias("n"))
+    counts = long.where(F.col(value).isNotNull()).groupBy(feature, value, label).agg(F.count(F.lit(1)).alias("c"))
+    distinct = counts.groupBy(feature, value).agg(F.sum("c").alias("_c"))
+    total = counts.groupBy(feature).agg(F.sum("c").alias("n"))
+    ranked = join_by(prefix_below(distinct, [feature], value, ["_c"]), total, [feature])
+    bins_of = ranked.select(feature, value, "n", F.floor(F.col("_c_below") * bins / F.col("n")).alias("bin"))
+    # NULL labels are a class of their own; values are not NULL here
+    joint = counts.join(bins_of, [feature, value]).groupBy(feature, "bin", label).agg(F.sum("c").alias("c"), F.first("n").alias("n"))
     wb = Window.partitionBy(feature, "bin")
     wc = Window.partitionBy(feature, label)
     terms = joint.select(

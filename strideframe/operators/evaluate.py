@@ -10,15 +10,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strideframe.functions.ranking import prefix_below
+from strideframe.functions.sizing import local_if_small
+
+#: labels of a dense confusion matrix
+MAX_LABELS = 2000
 
 
 def label_pairs(scored: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
-    """All ``(t, p)`` pairs over the sorted union of labels: exploded from ONE aggregate row."""
-    labels = scored.select(F.col(y_true).alias("l")).unionByName(scored.select(F.col(y_pred).alias("l"))).distinct()
-    one = labels.agg(F.array_sort(F.collect_list("l")).alias("ls"))
-    return one.select(F.explode("ls").alias(y_true), "ls").select(y_true, F.explode("ls").alias(y_pred))
+    """All ``(t, p)`` pairs over the union of labels, which E1 asks for: the (counted) label table beside itself."""
+    counts = scored.groupBy(y_true, y_pred).agg(F.count(F.lit(1)).alias("_c"))
+    labels = counts.select(F.explode(F.array(y_true, y_pred)).alias("l")).distinct()
+    labels, small = local_if_small(labels, MAX_LABELS)
+    if not small:
+        raise ValueError(f"more than {MAX_LABELS} labels: use the sparse counts of per_class")
+    known = [r[0] for r in labels.collect()]
+    every = F.array(*[F.lit(x) for x in known]).cast(T.ArrayType(scored.schema[y_true].dataType))
+    return labels.select(F.col("l").alias(y_true), F.explode(every).alias(y_pred))
 
 
 def confusion_matrix(scored: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
@@ -40,14 +50,19 @@ def accuracy(scored: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred")
 
 
 def per_class(scored: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
-    """``label, precision, recall, f1, support``; a zero division gives 0."""
-    cm = confusion_matrix(scored, y_true, y_pred)
-    rows = cm.groupBy(F.col(y_true).alias("label")).agg(
-        F.sum("count").alias("support"), F.sum(F.when(F.col(y_true) == F.col(y_pred), F.col("count"))).alias("tp")
+    """``label, precision, recall, f1, support``; a zero division gives 0.
+
+    Needs the pairs that occur only: one partial aggregate over the rows, then
+    sums over its (at most classes squared) rows.
+    """
+    counts = scored.groupBy(F.col(y_true).alias("_t"), F.col(y_pred).alias("_p")).agg(F.count(F.lit(1)).alias("c"))
+    hit = F.when(F.col("_t") == F.col("_p"), F.col("c")).otherwise(0)
+    sides = F.array(
+        F.struct(F.col("_t").alias("label"), F.col("c").alias("support"), F.lit(0).cast("bigint").alias("predicted"), hit.alias("tp")),
+        F.struct(F.col("_p").alias("label"), F.lit(0).cast("bigint").alias("support"), F.col("c").alias("predicted"), F.lit(0).cast("bigint").alias("tp")),
     )
-    cols = cm.groupBy(F.col(y_pred).alias("label")).agg(F.sum("count").alias("predicted"))
+    m = counts.select(F.inline(sides)).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")])
     z = F.lit(0.0)
-    m = rows.join(cols, "label")
     p = F.coalesce(F.try_divide(F.col("tp"), F.col("predicted")), z)
     r = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), z)
     return (
@@ -58,31 +73,29 @@ def per_class(scored: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred")
     )
 
 
-def averages(pc: DataFrame) -> DataFrame:
+def averages(pc: DataFrame, *more) -> DataFrame:
     """E5: macro and support-weighted precision, recall and F1 (one row)."""
     n = F.sum("support")
     return pc.agg(
         *[F.avg(m).alias(f"{m}_macro") for m in ("precision", "recall", "f1")],
         *[(F.sum(F.col(m) * F.col("support")) / n).alias(f"{m}_weighted") for m in ("precision", "recall", "f1")],
+        *more,
     )
 
 
 def report(scored: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """Class rows, then ``accuracy`` (f1 = accuracy), ``macro avg`` and ``weighted avg`` rows."""
     pc = per_class(scored, y_true, y_pred)
-    av = averages(pc)
-    n = scored.count()
-    acc = accuracy(scored, y_true, y_pred)
     rows = pc.select(F.col("label").cast("string").alias("label"), "precision", "recall", "f1", "support")
-    acc_row = acc.select(
-        F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"), F.lit(None).cast("double").alias("recall"),
-        F.col("accuracy").alias("f1"), F.lit(n).cast("bigint").alias("support"),
-    )
-    macro = av.select(F.lit("macro avg").alias("label"), F.col("precision_macro").alias("precision"), F.col("recall_macro").alias("recall"),
-                      F.col("f1_macro").alias("f1"), F.lit(n).cast("bigint").alias("support"))
-    weighted = av.select(F.lit("weighted avg").alias("label"), F.col("precision_weighted").alias("precision"),
-                         F.col("recall_weighted").alias("recall"), F.col("f1_weighted").alias("f1"), F.lit(n).cast("bigint").alias("support"))
-    return rows.unionByName(acc_row).unionByName(macro).unionByName(weighted)
+    # a true positive is recall times support; the sums give accuracy without another scan
+    total = averages(pc, F.sum("support").alias("n"), F.sum(F.col("recall") * F.col("support")).alias("right"))
+    none = F.lit(None).cast("double")
+
+    def line(name, precision, recall, f1):
+        return F.struct(F.lit(name).alias("label"), precision.alias("precision"), recall.alias("recall"), f1.alias("f1"), F.col("n").cast("bigint").alias("support"))
+
+    kinds = [line(f"{k} avg", *[F.col(f"{m}_{k}") for m in ("precision", "recall", "f1")]) for k in ("macro", "weighted")]
+    return rows.unionByName(total.select(F.inline(F.array(line("accuracy", none, none, F.try_divide(F.col("right"), F.col("n"))), *kinds))))
 
 
 def _score_counts(scores: DataFrame, cls: str, y_true: str, p: str) -> DataFrame:
@@ -100,13 +113,14 @@ def roc_auc_by_class(scores: DataFrame, cls: str = "cls", y_true: str = "y_true"
     Only classes present in ``y_true`` are scored.
     """
     sc = prefix_below(_score_counts(scores, cls, y_true, p), [cls], p, ["neg"])
-    present = scores.select(F.col(y_true).alias(cls)).distinct()
     agg = sc.groupBy(cls).agg(
         F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)).alias("_u"),
         F.sum("pos").alias("_p"),
         F.sum("neg").alias("_n"),
     )
-    return agg.join(present, cls, "left_semi").select(cls, F.try_divide(F.col("_u"), F.col("_p") * F.col("_n")).alias("auc"))
+    # doubles: the product of two counts leaves 64 bits at 4e9 rows
+    pairs = F.col("_p").cast("double") * F.col("_n").cast("double")
+    return agg.where(F.col("_p") > 0).select(cls, F.try_divide(F.col("_u"), pairs).alias("auc"))
 
 
 def roc_auc(scores: DataFrame, cls: str = "cls", y_true: str = "y_true", p: str = "p", binary: bool = False) -> DataFrame:

@@ -18,7 +18,12 @@ from pyspark.sql import types as T
 
 from strideframe.functions.hashing import bucket
 
-CHI2_95 = 3.841458820694124  # chi-square quantile .95 with one degree of freedom
+
+def chi2_critical(confidence: float) -> float:
+    """Chi-square quantile with one degree of freedom: the square of a normal quantile."""
+    if not 0 < confidence < 1:
+        raise ValueError("confidence must lie between 0 and 1")
+    return NormalDist().inv_cdf((1 + confidence) / 2) ** 2
 
 
 def thresholds(weights: dict[str, float]) -> list[tuple[str, int]]:
@@ -72,8 +77,10 @@ def variant_metrics(joined: DataFrame, variants: list[str], y_true: str = "y_tru
 def chi_square_yates(a_ok: Column, a_bad: Column, b_ok: Column, b_bad: Column) -> Column:
     """2x2 chi-square with Yates' correction (each |O - E| reduced by min(.5, |O - E|)).
 
-    A table with a zero expected count (an empty row or column) gives 0.
+    A table with a zero expected count (an empty row or column) gives 0.  Counts
+    are multiplied as doubles: their products leave 64 bits at 4e9 rows a variant.
     """
+    a_ok, a_bad, b_ok, b_bad = (c.cast("double") for c in (a_ok, a_bad, b_ok, b_bad))
     n = a_ok + a_bad + b_ok + b_bad
     ra, rb, c_ok, c_bad = a_ok + a_bad, b_ok + b_bad, a_ok + b_ok, a_bad + b_bad
     cells = [(a_ok, ra, c_ok), (a_bad, ra, c_bad), (b_ok, rb, c_ok), (b_bad, rb, c_bad)]
@@ -93,30 +100,35 @@ def chi2_p_value(chi2: pd.Series) -> pd.Series:
     return chi2.map(lambda x: float("nan") if x is None or x != x else math.erfc(math.sqrt(max(x, 0.0) / 2.0)))
 
 
-def ab_result(metrics: DataFrame, control: str, treatment: str, confidence: float = 0.95) -> DataFrame:
-    """One row: accuracies, relative improvement, chi-square, decision, sample sizes."""
-    pick = lambda v, c: F.max(F.when(F.col("variant") == v, F.col(c)))
-    row = metrics.agg(
-        pick(control, "n").alias("n_control"),
-        pick(control, "correct").alias("ok_control"),
-        pick(treatment, "n").alias("n_treatment"),
-        pick(treatment, "correct").alias("ok_treatment"),
+def ab_result(metrics: DataFrame, control: str | None = None, confidence: float = 0.95) -> DataFrame:
+    """A row for each treatment against the control: accuracies, relative improvement,
+    chi-square, p-value, decision at the given confidence, sample sizes.
+
+    The control is the variant of that name, else the first in alphabetical order.
+    """
+    if control is None:
+        control = metrics.agg(F.min("variant")).first()[0]
+    base = metrics.where(F.col("variant") == control).select(
+        F.lit(control).alias("control"), F.col("n").alias("n_control"), F.col("correct").alias("ok_control")
+    )
+    others = metrics.where(F.col("variant") != control).select(
+        F.lit(control).alias("control"), F.col("variant").alias("treatment"), F.col("n").alias("n_treatment"), F.col("correct").alias("ok_treatment")
     )
+    row = others.join(F.broadcast(base), "control")  # one row: the control
     ca = F.try_divide(F.col("ok_control").cast("double"), F.col("n_control"))
     ta = F.try_divide(F.col("ok_treatment").cast("double"), F.col("n_treatment"))
     chi2 = chi_square_yates(
         F.col("ok_control"), F.col("n_control") - F.col("ok_control"), F.col("ok_treatment"), F.col("n_treatment") - F.col("ok_treatment")
     )
-    if abs(confidence - 0.95) > 1e-12:
-        raise ValueError("only the 95% decision threshold is tabulated")
-    return row.select(
-        F.lit(control).alias("control"),
-        F.lit(treatment).alias("treatment"),
+    return row.withColumn("chi2", chi2).select(
+        "control",
+        "treatment",
         ca.alias("control_accuracy"),
         ta.alias("treatment_accuracy"),
         F.when(F.coalesce(ca, F.lit(0.0)) == 0, F.lit(0.0)).otherwise((ta - ca) / ca).alias("relative_improvement"),
-        chi2.alias("chi2"),
-        (chi2 > F.lit(CHI2_95)).alias("significant"),
+        "chi2",
+        chi2_p_value(F.col("chi2")).alias("p_value"),
+        (F.col("chi2") > F.lit(chi2_critical(confidence))).alias("significant"),
         "n_control",
         "n_treatment",
     )

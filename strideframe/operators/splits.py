@@ -9,14 +9,13 @@ third of all rows is still spread over ``2^bits`` tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strideframe.functions.hashing import bucket, hash32
+from strideframe.functions.hashing import bucket, hash32, hash60
+from strideframe.functions.nullsafe import join_by
 from strideframe.functions.ranking import bucketed_rank, hash_range
-
-
-MAX_BROADCAST_CLASSES = 100_000
+from strideframe.functions.sizing import local_if_small
 
 
 def hash_rank(df: DataFrame, id_col: str, seed: int, group: list[str], rank_name="rank", size_name="n_group", bits=12):
@@ -102,7 +101,7 @@ def group_split(
         .otherwise("train")
         .alias("split"),
     )
-    return df.join(table, group, "inner")
+    return join_by(df, table, [group])
 
 
 def members(df: DataFrame, keys: DataFrame, on: str, keep: bool = True) -> DataFrame:
@@ -117,34 +116,52 @@ def kfold(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 42) ->
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows without replacement: the ``n`` smallest hashes (a bounded top-k)."""
-    return df.orderBy(hash32(id_col, seed), F.col(id_col)).limit(n)
+    """``n`` rows without replacement: the ``n`` smallest hashes (ties by id).
+
+    A first pass counts rows by the top bits of the hash; only the rows of the
+    range that the ``n``-th falls in are ranked, the ranges below it are kept whole.
+    """
+    h = "_h"
+    rows = df.withColumn(h, hash32(id_col, seed))
+    by_range = rows.groupBy(hash_range(F.coalesce(F.col(h), F.lit(0)), 16).alias("_r")).agg(F.count(F.lit(1)).alias("_c")).collect()
+    kept, cut = 0, 1 << 16
+    for r in sorted(by_range, key=lambda r: r["_r"]):
+        if kept + r["_c"] > n:
+            cut = r["_r"]
+            break
+        kept += r["_c"]
+    place = hash_range(F.coalesce(F.col(h), F.lit(0)), 16)
+    whole = rows.where(place < cut)
+    rest = bucketed_rank(rows.where(place == cut), [], F.lit(0), [h, id_col], rank_name="_rank")
+    return whole.drop(h).unionByName(rest.where(F.col("_rank") < n - kept).drop("_rank", h))
 
 
 def balanced_resample(df: DataFrame, id_col: str, label: str, n_draws: int | None = None, seed: int = 42) -> DataFrame:
     """``n_draws`` draws with replacement giving each class the same expected share.
 
-    Draw ``i`` takes class ``i mod k`` (classes in alphabetical order) and in it
-    the row of rank ``hash32(i, seed) mod class_size``: an equi-join of the
-    draw table with the ranked rows on ``(class index, rank)``.
+    Draw ``i`` takes class ``i mod k`` (classes in alphabetical order, NULL
+    first) and in it the row of rank ``hash60(i, seed) mod class_size``: an
+    equi-join of the draw table with the ranked rows on ``(class index, rank)``.
+    The ranked rows also give the classes; the draws are joined to them by
+    broadcast when their counted number allows.
     """
     spark = df.sparkSession
-    ranked = hash_rank(df, id_col, seed, [label])
-    classes = ranked.select(label, "n_group").distinct().withColumn(
-        "cls_idx", F.dense_rank().over(Window.orderBy(label)) - 1
-    )
-    k = classes.count()
-    if k > MAX_BROADCAST_CLASSES:
-        raise ValueError(f"{k} classes: too many for a class-balanced resample")
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
+    # classes are few beside the rows: numbered by a ranked table, not in one window
+    numbered = bucketed_rank(counts, [], F.lit(0), [F.col(label).asc_nulls_first()], rank_name="cls_idx", size_name="k")
+    classes, _ = local_if_small(numbered)
+    k = classes.agg(F.max("k")).first()[0] or 0
+    if not k:
+        return df.withColumn("draw", F.lit(0).cast("bigint")).select("draw", *df.columns)
     if n_draws is None:
         n_draws = df.count()
+    ranked = join_by(hash_rank(df, id_col, seed, [label]).drop("n_group"), classes.select(label, "cls_idx"), [label])
     draws = (
         spark.range(n_draws)
         .withColumnRenamed("id", "draw")
-        .withColumn("cls_idx", F.pmod(F.col("draw"), F.lit(k)).cast("int"))
-        .join(F.broadcast(classes), "cls_idx")
-        .withColumn("rank", F.pmod(hash32(F.col("draw"), seed), F.col("n_group")))
-        .select("draw", label, "rank")
+        .withColumn("cls_idx", F.pmod(F.col("draw"), F.lit(k)))
+        .join(classes.select("cls_idx", "n_class"), "cls_idx")
+        .withColumn("rank", F.pmod(hash60(F.col("draw"), seed), F.col("n_class")))
+        .select("draw", "cls_idx", "rank")
     )
-    return draws.join(ranked.drop("n_group"), [label, "rank"], "inner").drop("rank")
-
+    return draws.join(ranked, ["cls_idx", "rank"], "inner").drop("rank", "cls_idx").select("draw", *df.columns)

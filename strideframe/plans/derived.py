@@ -93,20 +93,14 @@ SQL_MATRIX_LONG = """matrix_long AS (
   FROM embeddings)"""
 
 
-_CENTROIDS: dict[tuple[str, str], dict[int, list[float]]] = {}
-
-
 def centroids(spark: SparkSession, d: str) -> dict[int, list[float]]:
-    """Fitted class centroids of ``embeddings`` (one aggregate, ``classes x dims`` values), once per session and table."""
+    """Fitted class centroids of ``embeddings`` (one aggregate, ``classes x dims`` values)."""
     from strideframe.operators.scoring import fit_centroids
 
-    key = (spark.sparkContext.applicationId, d.rstrip("/"))
-    if key not in _CENTROIDS:
-        _CENTROIDS[key] = fit_centroids(matrix_long(spark, d))
-    return _CENTROIDS[key]
+    return fit_centroids(matrix_long(spark, d))
 
 
-def scored(spark: SparkSession, d: str) -> DataFrame:
+def scored(spark: SparkSession, d: str, fitted: dict[int, list[float]] | None = None) -> DataFrame:
     """Nearest class centroid: ``vec_id, y_true, y_pred`` (ties to the lower label).
 
     The fitted centroids (a size-checked ``classes x dims`` model) are applied
@@ -114,9 +108,10 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
     """
     from strideframe.operators.scoring import nearest_centroid
 
+    fitted = fitted or centroids(spark, d)
     e = table(spark, d, "embeddings")
     return e.select(
-        "vec_id", F.col("label").alias("y_true"), nearest_centroid(F.col("embedding"), centroids(spark, d)).cast("int").alias("y_pred")
+        "vec_id", F.col("label").alias("y_true"), nearest_centroid(F.col("embedding"), fitted).cast("int").alias("y_pred")
     )
 
 
@@ -130,13 +125,11 @@ scored AS (SELECT vec_id, label AS y_true, arg_min(c, (d2, c)) AS y_pred FROM di
 )
 
 
-N_CLASSES = 10
-
-
 def scored_prob(spark: SparkSession, d: str) -> DataFrame:
     """``vec_id, y_true, y_pred, cls, p``: md5-made scores, favouring the predicted class, normalised by row."""
-    s = scored(spark, d)
-    raw = s.withColumn("cls", F.explode(F.sequence(F.lit(0), F.lit(N_CLASSES - 1)))).withColumn(
+    fitted = centroids(spark, d)
+    s = scored(spark, d, fitted)
+    raw = s.withColumn("cls", F.explode(F.array(*[F.lit(int(c)) for c in sorted(fitted)]))).withColumn(
         "raw",
         (bucket(F.concat(F.col("vec_id").cast("string"), F.lit("-"), F.col("cls").cast("string")), 11) + 1)
         + F.when(F.col("cls") == F.col("y_pred"), F.lit(6000)).otherwise(F.lit(0)),
@@ -151,7 +144,7 @@ SQL_SCORED_PROB = (
 raw AS (SELECT vec_id, y_true, y_pred, cls,
                {sql_bucket("vec_id || '-' || cls", 11)} + 1
                + CASE WHEN cls = y_pred THEN 6000 ELSE 0 END AS raw
-        FROM (SELECT *, CAST(unnest(range({N_CLASSES})) AS INTEGER) AS cls FROM scored)),
+        FROM scored, (SELECT DISTINCT CAST(label AS INTEGER) AS cls FROM embeddings)),
 scored_prob AS (SELECT vec_id, y_true, y_pred, cls, raw / sum(raw) OVER (PARTITION BY vec_id) AS p FROM raw)"""
 )
 

@@ -126,11 +126,11 @@ def m9_prediction_rows(spark, d):
     "m10_softmax_argmax",
     with_ctes(SQL_MATRIX_LONG)
     + """SELECT vec_id, CAST(arg_min(pos, (-val, pos)) AS INTEGER) AS argmax, 1.0 / sum(exp(val - mx)) AS p_max
-FROM (SELECT *, max(val) OVER (PARTITION BY vec_id) AS mx FROM matrix_long WHERE pos < 10) GROUP BY vec_id""",
+FROM (SELECT *, max(val) OVER (PARTITION BY vec_id) AS mx FROM matrix_long) GROUP BY vec_id""",
     floats=["p_max"],
 )
 def m10_softmax_argmax(spark, d):
-    logits = table(spark, d, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 10), lambda v: v.cast("double")).alias("z"))
+    logits = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("z"))
     sm = logits.select("vec_id", scoring.argmax(F.col("z")).alias("argmax"), scoring.softmax(F.col("z")).alias("p"))
     return sm.select("vec_id", "argmax", F.array_max("p").alias("p_max"))
 

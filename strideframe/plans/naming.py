@@ -114,17 +114,13 @@ def s2_dedupe_names(spark, d):
 
 @register(
     "p6_magnitude",
-    """SELECT label, avg(sqrt(CAST(embedding[1] AS DOUBLE) * CAST(embedding[1] AS DOUBLE)
-                         + CAST(embedding[2] AS DOUBLE) * CAST(embedding[2] AS DOUBLE)
-                         + CAST(embedding[3] AS DOUBLE) * CAST(embedding[3] AS DOUBLE))) AS mean_magnitude
-FROM embeddings GROUP BY label""",
+    with_ctes(SQL_MATRIX_LONG)
+    + """SELECT label, avg(m) AS mean_magnitude FROM (SELECT vec_id, label, sqrt(sum(val * val)) AS m FROM matrix_long GROUP BY vec_id, label) GROUP BY label""",
     floats=["mean_magnitude"],
 )
 def p6_magnitude(spark, d):
-    e = table(spark, d, "embeddings").select(
-        "label", *[F.col("embedding")[i].cast("double").alias(a) for i, a in enumerate(["ax", "ay", "az"])]
-    )
-    return e.groupBy("label").agg(F.avg(naming.magnitude("ax", "ay", "az")).alias("mean_magnitude"))
+    e = table(spark, d, "embeddings").select("label", naming.vector_magnitude("embedding").alias("m"))
+    return e.groupBy("label").agg(F.avg("m").alias("mean_magnitude"))
 
 
 SEQ_LEN, CHANNELS = 16, 4

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.functions.hashing import sql_bucket
+from strideframe.functions.hashing import sql_bucket, sql_hash60
 from strideframe.operators import prep, splits
 from strideframe.plans.catalog import register, with_ctes
 from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_TAB, TAB_COLUMNS, tab
@@ -172,7 +172,7 @@ def d10_sample_weights(spark, d):
         """classes AS (SELECT class, n_group, dense_rank() OVER (ORDER BY class) - 1 AS cls_idx
             FROM (SELECT DISTINCT class, n_group FROM ranked))""",
         f"""draws AS (
-  SELECT d.draw, c.class, {_h("d.draw")} % c.n_group AS rk
+  SELECT d.draw, c.class, {sql_hash60("d.draw", SEED)} % c.n_group AS rk
   FROM (SELECT range AS draw FROM range((SELECT count(*) FROM tab))) d
   JOIN classes c ON d.draw % (SELECT count(*) FROM classes) = c.cls_idx)""",
     )

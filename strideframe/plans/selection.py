@@ -82,14 +82,14 @@ def c4_select_k_best(spark, d):
     + f"""SELECT pos, sum(pxy * ln(pxy / (px * py))) AS mi FROM (
   SELECT pos, c / n AS pxy, sum(c) OVER (PARTITION BY pos, bin) / n AS px, sum(c) OVER (PARTITION BY pos, label) / n AS py
   FROM (SELECT pos, bin, label, count(*) AS c, any_value(n) AS n FROM (
-          SELECT pos, label, floor((row_number() OVER (PARTITION BY pos ORDER BY val, vec_id) - 1) * {MI_BINS} / count(*) OVER (PARTITION BY pos)) AS bin,
+          SELECT pos, label, floor((rank() OVER (PARTITION BY pos ORDER BY val) - 1) * {MI_BINS} / count(*) OVER (PARTITION BY pos)) AS bin,
                  count(*) OVER (PARTITION BY pos) AS n
           FROM matrix_long) GROUP BY pos, bin, label))
 GROUP BY pos""",
     floats=["mi"],
 )
 def c5_mutual_information(spark, d):
-    return co.binned_mutual_information(matrix_long(spark, d), "pos", "label", "val", "vec_id", MI_BINS)
+    return co.binned_mutual_information(matrix_long(spark, d), "pos", "label", "val", MI_BINS)
 
 
 @register(

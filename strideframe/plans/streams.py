@@ -32,7 +32,7 @@ def st2_stream_windows(spark, d):
 
 
 def _prediction_stream(spark, d):
-    o = st.file_stream(spark, d, "orders").where(F.col("o_orderpriority") != xp.UNROUTED)
+    o = st.file_stream(spark, d, "orders")
     assigned = F.when(bucket("o_orderkey", xp.SEED) < 5000, "control").otherwise("treatment")
     variant = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("treatment")).otherwise(assigned)
     y = (F.col("o_orderstatus") == "F").cast("int")
@@ -46,7 +46,7 @@ def _prediction_stream(spark, d):
 
 
 def _outcome_stream(spark, d):
-    o = st.file_stream(spark, d, "orders").where(F.col("o_orderkey") % 20 != 0)
+    o = st.file_stream(spark, d, "orders")
     return o.select(
         F.col("o_orderkey").alias("sample_id"),
         (F.col("o_orderstatus") == "F").cast("int").alias("y_true"),

@@ -49,7 +49,7 @@ def test_auc_matches_brute_force_with_ties(spark):
 
 def test_chi_square_yates_and_p_value(spark):
     m = spark.createDataFrame([("control", 10, 8), ("treatment", 10, 4)], "variant string, n long, correct long")
-    r = ex.ab_result(m, "control", "treatment").first()
+    r = ex.ab_result(m, "control").first()
     assert r["chi2"] == pytest.approx(1.875)
     assert r["significant"] is False
     assert r["relative_improvement"] == pytest.approx((0.4 - 0.8) / 0.8)
@@ -59,7 +59,7 @@ def test_chi_square_yates_and_p_value(spark):
 
 def test_chi_square_degenerate(spark):
     m = spark.createDataFrame([("control", 10, 10), ("treatment", 10, 10)], "variant string, n long, correct long")
-    assert ex.ab_result(m, "control", "treatment").first()["chi2"] == 0.0
+    assert ex.ab_result(m, "control").first()["chi2"] == 0.0
 
 
 def test_sample_size_known_value(spark):
