@@ -40,8 +40,8 @@ from strideframe.llm.langid import remainder
 
 CHAIN = 64
 #: bounds of the sample that is learned from: documents of a class, characters of one
-SAMPLE = 3000
-SAMPLE_CHARS = 100_000
+SAMPLE = 2000
+SAMPLE_CHARS = 30_000
 MIN_DOCS = 8
 INDICATOR_SHARE = 0.6
 SPAN_MARGINAL = 0.5
@@ -66,7 +66,7 @@ def features(data: np.ndarray, offs: np.ndarray):
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
+    return (hashes >> np.uint64(64 - FEATURE_BITS)).astype(np.int32)
 
 
 def chains(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
