@@ -9,8 +9,10 @@ from ``splits.kfold`` (md5 ranks), so cross-validation is reproducible.
 from __future__ import annotations
 
 import random
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -20,7 +22,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_TREE_DEPTH = 30  # Spark's limit stands in for "unlimited" depth
@@ -28,12 +30,69 @@ MAX_TREE_DEPTH = 30  # Spark's limit stands in for "unlimited" depth
 
 @dataclass
 class ModelConfig:
+    """Settings that models share; each estimator takes those it has.
+
+    ``max_features``: ``sqrt``, ``log2``, ``None`` (all) or a fraction of the features at a split.
+    """
+
     n_estimators: int = 100
     max_depth: int | None = None
     min_samples_split: int = 2
+    min_samples_leaf: int = 1
+    max_features: str | float | None = "sqrt"
     learning_rate: float = 0.1
+    subsample: float = 1.0
     random_state: int = 42
 
+    @property
+    def instances_per_node(self) -> int:
+        """Spark bounds the children of a split; a parent of ``min_samples_split`` rows has about half in each."""
+        return max(1, self.min_samples_leaf, self.min_samples_split // 2)
+
+    @property
+    def subset_strategy(self) -> str:
+        return "all" if self.max_features is None else str(self.max_features)
+
+
+# Default search spaces, in terms of ModelConfig (``colsample_bytree`` is ``max_features``,
+# ``min_child_weight`` is ``min_samples_leaf``).
+DEFAULT_GRIDS = {
+    ("random_forest", "grid"): {
+        "n_estimators": [50, 100, 200],
+        "max_depth": [None, 10, 20, 30],
+        "min_samples_split": [2, 5, 10],
+        "min_samples_leaf": [1, 2, 4],
+    },
+    ("random_forest", "random"): {
+        "n_estimators": [50, 100, 150, 200, 300],
+        "max_depth": [None, 5, 10, 15, 20, 30],
+        "min_samples_split": [2, 5, 10, 15],
+        "min_samples_leaf": [1, 2, 4, 8],
+        "max_features": ["sqrt", "log2", None],
+    },
+    ("boosted_trees", "grid"): {
+        "n_estimators": [50, 100, 200],
+        "max_depth": [3, 5, 7],
+        "learning_rate": [0.01, 0.1, 0.2],
+        "subsample": [0.8, 1.0],
+    },
+    ("boosted_trees", "random"): {
+        "n_estimators": [50, 100, 150, 200, 300],
+        "max_depth": [3, 4, 5, 6, 7, 8, 10],
+        "learning_rate": [0.01, 0.05, 0.1, 0.15, 0.2, 0.3],
+        "subsample": [0.6, 0.7, 0.8, 0.9, 1.0],
+        "max_features": [0.6, 0.7, 0.8, 0.9, 1.0],
+        "min_samples_leaf": [1, 3, 5, 7],
+    },
+}
+
+
+def default_grid(kind: str, search_type: str = "grid") -> dict:
+    """M5/M6: the default search space of a model kind."""
+    if (kind, search_type) not in DEFAULT_GRIDS:
+        raise ValueError(f"no default search space for {kind!r} with {search_type!r}")
+    return DEFAULT_GRIDS[kind, search_type]
+
 
 def with_features(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
     """``array<float|double>`` to an ML vector column."""
@@ -48,7 +107,9 @@ def random_forest(config: ModelConfig | None = None, label: str = "label", weigh
         featuresCol="features",
         numTrees=c.n_estimators,
         maxDepth=MAX_TREE_DEPTH if c.max_depth is None else c.max_depth,
-        minInstancesPerNode=max(1, c.min_samples_split // 2),
+        minInstancesPerNode=c.instances_per_node,
+        featureSubsetStrategy=c.subset_strategy,
+        subsamplingRate=c.subsample,
         seed=c.random_state,
     )
     if weight:
@@ -56,11 +117,41 @@ def random_forest(config: ModelConfig | None = None, label: str = "label", weigh
     return rf
 
 
-def boosted_trees(config: ModelConfig | None = None, label: str = "label") -> OneVsRest:
+def boosted_trees(config: ModelConfig | None = None, label: str = "label", weight: str | None = None) -> OneVsRest:
     """M2: multi-class gradient-boosted trees as one-vs-rest binary GBTs (depth 6, rate 0.1 by default)."""
-    c = config or ModelConfig(max_depth=6)
-    gbt = GBTClassifier(maxDepth=c.max_depth or 6, maxIter=c.n_estimators, stepSize=c.learning_rate, seed=c.random_state)
-    return OneVsRest(classifier=gbt, labelCol=label, featuresCol="features")
+    c = config or ModelConfig(max_depth=6, max_features=None)
+    gbt = GBTClassifier(
+        maxDepth=c.max_depth or 6,
+        maxIter=c.n_estimators,
+        stepSize=c.learning_rate,
+        minInstancesPerNode=c.instances_per_node,
+        featureSubsetStrategy=c.subset_strategy,
+        subsamplingRate=c.subsample,
+        seed=c.random_state,
+    )
+    ovr = OneVsRest(classifier=gbt, labelCol=label, featuresCol="features", parallelism=4)
+    if weight:
+        ovr.setWeightCol(weight)
+    return ovr
+
+
+def importances(model, names: list[str]) -> DataFrame:
+    """M1/M2: ``feature, importance`` of a fitted model, most important first (ties by name).
+
+    A one-vs-rest model gives the mean over its classes.  The table has one row
+    for each feature, as the model has.
+    """
+    fitted = model.stages[-1] if isinstance(model, PipelineModel) else model
+    parts = fitted.models if hasattr(fitted, "models") else [fitted]
+    if not all(hasattr(m, "featureImportances") for m in parts):
+        raise ValueError(f"{type(fitted).__name__} has no feature importances")
+    total = [0.0] * len(names)
+    for m in parts:
+        for i, v in enumerate(m.featureImportances.toArray()):
+            total[i] += float(v) / len(parts)
+    spark = SparkSession.getActiveSession()
+    rows = sorted(zip(names, total, strict=True), key=lambda r: (-r[1], r[0]))
+    return spark.createDataFrame(rows, "feature string, importance double")
 
 
 def mlp(n_features: int, n_classes: int, hidden=(256, 128), max_iter: int = 100, seed: int = 42, label: str = "label"):
@@ -75,14 +166,29 @@ def accuracy(model, df: DataFrame, label: str = "label") -> float:
     return float(ev.evaluate(model.transform(df)))
 
 
-def cross_validate(estimator, df: DataFrame, fold_col: str = "fold", label: str = "label", metric: str = "accuracy"):
-    """M4: per-fold scores, their mean and POPULATION std (folds from a fold column)."""
+def _parallel(spark: SparkSession, jobs: list, parallelism: int) -> list:
+    """Run callables that start Spark jobs, a few at a time; results in their order."""
+    if parallelism <= 1 or len(jobs) <= 1:
+        return [job() for job in jobs]
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        return pool.map(lambda run: run(), [inheritable_thread_target(spark)(job) for job in jobs])
+
+
+def cross_validate(
+    estimator, df: DataFrame, fold_col: str = "fold", label: str = "label", metric: str = "accuracy", parallelism: int = 4
+):
+    """M4: per-fold scores, their mean and POPULATION std (folds from a fold column); folds are fitted in parallel."""
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-    scores = []
-    for k in folds:
-        model = estimator.fit(df.where(F.col(fold_col) != k))
-        scores.append(float(ev.evaluate(model.transform(df.where(F.col(fold_col) == k)))))
+
+    def job(k):
+        def run():
+            model = estimator.fit(df.where(F.col(fold_col) != k))
+            return float(ev.evaluate(model.transform(df.where(F.col(fold_col) == k))))
+
+        return run
+
+    scores = _parallel(df.sparkSession, [job(k) for k in folds], parallelism)
     mean = sum(scores) / len(scores)
     std = (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5
     return scores, mean, std
@@ -103,30 +209,63 @@ def random_maps(param_grid: dict, n_iter: int, seed: int = 42) -> list[dict]:
     return rng.sample(allm, min(n_iter, len(allm)))
 
 
-def search(estimator, maps: list[dict], df: DataFrame, fold_col: str = "fold", label: str = "label"):
-    """M5/M6: cross-validated score of each param map; best = highest mean, first on ties."""
-    results = []
-    for i, m in enumerate(maps):
-        est = estimator.copy({estimator.getParam(k): v for k, v in m.items()})
-        _, mean, std = cross_validate(est, df, fold_col, label)
-        results.append({"order": i, "params": m, "cv_mean": mean, "cv_std": std})
+@dataclass
+class SearchResult:
+    """M5/M6: scores of all settings, the best one, and its model fitted on all rows if asked."""
+
+    results: list[dict]
+    best: dict
+    model: object | None = None
+
+
+def search(
+    kind: str,
+    maps: list[dict],
+    df: DataFrame,
+    base: ModelConfig | None = None,
+    refit: bool = True,
+    fold_col: str = "fold",
+    label: str = "label",
+    weight: str | None = None,
+    parallelism: int = 4,
+) -> SearchResult:
+    """M5/M6: cross-validated score of each setting (ModelConfig fields); best = highest mean, first on ties.
+
+    All fits of all settings and folds run ``parallelism`` at a time.
+    """
+    base = base or ModelConfig()
+
+    def job(m):
+        est = make_estimator(kind, replace(base, **m), label=label, weight=weight)
+        return lambda: cross_validate(est, df, fold_col, label, parallelism=1)
+
+    scores = _parallel(df.sparkSession, [job(m) for m in maps], parallelism)
+    results = [{"order": i, "params": m, "cv_mean": mean, "cv_std": std} for i, (m, (_, mean, std)) in enumerate(zip(maps, scores, strict=True))]
     best = max(results, key=lambda r: (r["cv_mean"], -r["order"]))
-    return results, best
+    model = make_estimator(kind, replace(base, **best["params"]), label=label, weight=weight).fit(df) if refit else None
+    return SearchResult(results, best, model)
 
 
 KNOWN_MODELS = ("random_forest", "boosted_trees", "mlp")
 
 
-def make_estimator(kind: str, config: ModelConfig | None = None, n_features: int | None = None, n_classes: int | None = None):
+def make_estimator(
+    kind: str,
+    config: ModelConfig | None = None,
+    n_features: int | None = None,
+    n_classes: int | None = None,
+    label: str = "label",
+    weight: str | None = None,
+):
     """M7: estimator by name; an unknown type is an error."""
     if kind == "random_forest":
-        return random_forest(config)
+        return random_forest(config, label, weight)
     if kind == "boosted_trees":
-        return boosted_trees(config)
+        return boosted_trees(config, label, weight)
     if kind == "mlp":
         if n_features is None or n_classes is None:
             raise ValueError("mlp needs n_features and n_classes")
-        return mlp(n_features, n_classes)
+        return mlp(n_features, n_classes, label=label)
     raise ValueError(f"Unknown model type: {kind!r} (known: {', '.join(KNOWN_MODELS)})")
 
 

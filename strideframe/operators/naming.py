@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strideframe.functions.hashing import hash_normal
 from strideframe.functions.ranking import bucketed_rank
 
 # Feature subsets and importance groups of the reference.
@@ -104,6 +105,12 @@ def kind_counts(names: DataFrame, name: str) -> DataFrame:
     )
 
 
+def token_counts(names: DataFrame, tokens: str) -> DataFrame:
+    """P4 with the tokens taken from the names (an array column) themselves."""
+    each = names.select(F.explode(F.array_distinct(tokens)).alias("kind"))
+    return each.groupBy("kind").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "kind")
+
+
 def sensor_counts(names: DataFrame, name: str) -> DataFrame:
     """P5: names per domain (prefix) and sensor (substring)."""
     n = F.col(name)
@@ -137,6 +144,12 @@ def magnitude(*axes: str) -> Column:
     return F.sqrt(s)
 
 
+def vector_magnitude(vec: Column | str) -> Column:
+    """P6 over all elements of an array."""
+    arr = F.col(vec) if isinstance(vec, str) else vec
+    return F.sqrt(F.aggregate(F.transform(arr, lambda v: v.cast("double")), F.lit(0.0), lambda s, v: s + v * v))
+
+
 def reshape_sequence(vec: Column, seq_len: int, channels: int) -> Column:
     """Flat vector to ``seq_len`` steps of ``channels`` (row-major); width mismatch raises."""
     check = F.when(
@@ -152,12 +165,35 @@ def roll(vec: Column, shift: Column) -> Column:
     return F.when(s == 0, vec).otherwise(F.concat(F.slice(vec, n - s + 1, s), F.slice(vec, 1, n - s)))
 
 
-def map_partitions(df: DataFrame, func: Callable, schema) -> DataFrame:
+def add_noise(seq: Column, id_col: str, std: float, seed: int | str) -> Column:
+    """Add normal noise to each element of a sequence of steps (drawn from the hash of id, step and channel)."""
+
+    def noisy(t: Column, step: Column) -> Column:
+        key = lambda c: F.concat_ws("-", F.col(id_col).cast("string"), t.cast("string"), c.cast("string"))
+        return F.transform(step, lambda x, c: x + F.lit(float(std)) * hash_normal(key(c), seed))
+
+    return F.transform(seq, lambda step, t: noisy(t, step))
+
+
+def map_groups(df: DataFrame, keys: list[str], func: Callable, schema, partitions: int | None = None) -> DataFrame:
+    """P9, keyed: apply a pandas function to each group.
+
+    A group is held by one task, so the keys should bound it (a window, an
+    order); unbounded groups need an aggregate.  ``partitions`` sets how many
+    partitions the groups are dealt to.
+    """
+    dealt = df.repartition(partitions, *keys) if partitions else df
+    return dealt.groupBy(*keys).applyInPandas(func, schema)
+
+
+def map_partitions(df: DataFrame, func: Callable, schema, partitions: int | None = None) -> DataFrame:
     """Apply a pandas function to every Arrow batch of every partition.
 
     For a row-local ``func`` the result does not depend on partitioning; a
-    function that needs a whole group should be a grouped aggregate instead.
+    function that needs a whole group belongs in ``map_groups`` or an aggregate.
+    ``partitions`` deals the rows evenly to that many partitions first.
     """
+    df = df.repartition(partitions) if partitions else df
 
     def run(batches):
         for pdf in batches:

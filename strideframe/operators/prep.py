@@ -13,7 +13,8 @@ from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strideframe.functions.sizing import broadcast_if_small
+from strideframe.functions.nullsafe import join_by
+from strideframe.functions.sizing import local_if_small
 
 
 # ----------------------------------------------------------------- D5, D6
@@ -49,7 +50,8 @@ def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard") -> dict
     """One aggregate over the fitting rows -> ``{col: (shift, scale)}``.
 
     standard: mean and POPULATION std (a zero std scales by 1);
-    minmax: min and range (a zero range scales by 1).
+    minmax: min and range (a zero range scales by 1).  Columns whose values are
+    all NULL are left alone; no rows at all is an error.
     """
     if method == "standard":
         aggs = [F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)] + [
@@ -61,11 +63,14 @@ def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard") -> dict
         ]
     else:
         raise ValueError(f"unknown scaling method {method!r}")
-    row = df.agg(*aggs).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), *aggs).first()
+    if not row["n"]:
+        raise ValueError("no rows to fit a scaler on")
     out = {}
     for i, c in enumerate(cols):
         shift, scale = row[f"a{i}"], row[f"b{i}"]
-        out[c] = (float(shift), 1.0 if scale is None or scale == 0 else float(scale))
+        # a column without values stays as it is
+        out[c] = (0.0, 1.0) if shift is None else (float(shift), 1.0 if scale is None or scale == 0 else float(scale))
     return out
 
 
@@ -83,9 +88,10 @@ def class_weights(df: DataFrame, label: str, method: str = "balanced") -> DataFr
     """``n / (k * count)`` per class; ``sqrt`` takes its square root."""
     if method not in ("balanced", "sqrt"):
         raise ValueError(f"unknown class weight method {method!r}")
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
+    # the class table is evaluated once; totals and weights come from it
+    counts, _ = local_if_small(df.groupBy(label).agg(F.count(F.lit(1)).alias("count")))
     totals = counts.agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("k")).first()
-    w = F.lit(float(totals["n"])) / (F.lit(float(totals["k"])) * F.col("count"))
+    w = F.lit(float(totals["n"] or 0)) / (F.lit(float(totals["k"])) * F.col("count"))
     return counts.withColumn("weight", F.sqrt(w) if method == "sqrt" else w)
 
 
@@ -98,6 +104,6 @@ def sample_weights(df: DataFrame, label: str, weights: DataFrame | dict | None =
         for k, v in weights.items():
             expr = F.when(F.col(label) == k, F.lit(float(v))).otherwise(expr)
         return df.withColumn("weight", expr)
-    return df.join(broadcast_if_small(weights.select(label, "weight")), label, "left")
+    return join_by(df, weights.select(label, "weight"), [label], "left")
 
 

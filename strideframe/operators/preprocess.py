@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strideframe.operators import correlate, prep, splits, stats
 
+#: classes that the fitted state holds at most
+MAX_CLASSES = 100_000
+
 
 class Preprocessor:
     def __init__(
@@ -20,7 +24,11 @@ class Preprocessor:
         remove_correlated: bool = False,
         correlation_threshold: float = 0.95,
         n_select_features: int | None = None,
+        selection: str = "mutual_info",
     ) -> None:
+        if selection not in ("mutual_info", "f_classif"):
+            raise ValueError(f"selection must be mutual_info or f_classif, got {selection!r}")
+        self.selection = selection
         self.normalize = normalize
         self.remove_correlated = remove_correlated
         self.correlation_threshold = correlation_threshold
@@ -52,11 +60,18 @@ class Preprocessor:
             cols = [c for i, c in enumerate(cols) if i not in dropped]
         if self.n_select_features is not None:
             long = stats.unpivot(df, [label], cols)
-            best = correlate.top_k(correlate.anova_f(long, "feature", label, "value"), "f_score", self.n_select_features, "feature")
+            if self.selection == "mutual_info":
+                scores, score = correlate.binned_mutual_information(long, "feature", label, "value"), "mi"
+            else:
+                scores, score = correlate.anova_f(long, "feature", label, "value"), "f_score"
+            best = correlate.top_k(scores, score, self.n_select_features, "feature")
             chosen = {r["feature"] for r in best.collect()}
             cols = [c for c in cols if c in chosen]  # original order kept (C6)
         self.selected_features = cols
-        self.classes = sorted(r[0] for r in df.select(label).distinct().collect())
+        classes = df.select(label).where(F.col(label).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
+        if len(classes) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes")
+        self.classes = sorted(r[0] for r in classes)
         split = splits.stratified_split(df.select(id_col, label, *cols), id_col, label, val_size, test_size, seed)
         if self.normalize:
             self.scaler = prep.fit_scaler(split.where(F.col("split") == "train"), cols, "standard")
@@ -65,6 +80,24 @@ class Preprocessor:
 
     def transform(self, df: DataFrame) -> DataFrame:
         if not self.is_fitted:
-            raise ValueError("Preprocessor must be fitted before transform")
+            raise ValueError("transform needs a fitted Preprocessor: call fit_transform first")
         out = df.select(*[c for c in df.columns if c not in self.selected_features], *self.selected_features)
         return prep.apply_scaler(out, self.scaler) if self.scaler else out
+
+    def encode_labels(self, df: DataFrame, label: str, output: str = "label_idx") -> DataFrame:
+        """Class number of each label, in the fitted order (NULL for a label that was not seen)."""
+        return df.withColumn(output, (F.array_position(self._class_array(df, label), F.col(label)) - 1).cast("int")).withColumn(
+            output, F.when(F.col(output) >= 0, F.col(output))
+        )
+
+    def inverse_transform_labels(self, df: DataFrame, index: str, output: str = "label") -> DataFrame:
+        """Label of each class number (NULL for a number without class)."""
+        if self.classes is None:
+            raise ValueError("labels need a fitted Preprocessor: call fit_transform first")
+        known = F.array(*[F.lit(c) for c in self.classes])
+        return df.withColumn(output, F.try_element_at(known, F.col(index).cast("int") + 1))
+
+    def _class_array(self, df: DataFrame, label: str):
+        if self.classes is None:
+            raise ValueError("labels need a fitted Preprocessor: call fit_transform first")
+        return F.array(*[F.lit(c) for c in self.classes]).cast(T.ArrayType(df.schema[label].dataType))

@@ -85,23 +85,26 @@ def group_split(
     The group table has one row per group; it is ranked with the bucketed rank
     and joined back (the planner broadcasts it when AQE measures it small).
     """
-    groups = df.select(group).distinct()
     if test_groups is not None:
         tg = F.col(group).isin(list(test_groups))
         vg = F.col(group).isin(list(val_groups or []))
         return df.withColumn("split", F.when(tg, "test").when(vg, "val").otherwise("train"))
-    ranked = hash_rank(groups, group, seed, [], rank_name="g_rank", size_name="g_total")
+    return join_by(df, group_table(df, group, test_share, val_share, seed), [group])
+
+
+def group_table(df: DataFrame, group: str, test_share: float = 0.2, val_share: float = 0.2, seed: int = 42) -> DataFrame:
+    """D3: the split of each group, one row per group (a NULL group is a group)."""
+    ranked = hash_rank(df.select(group).distinct(), group, seed, [], rank_name="g_rank", size_name="g_total")
     g = F.col("g_total")
     n_test = F.greatest(F.floor(g * F.lit(test_share)), F.lit(1))
     n_val = F.greatest(F.floor((g - n_test) * F.lit(val_share)), F.lit(1))
-    table = ranked.select(
+    return ranked.select(
         group,
         F.when(F.col("g_rank") < n_test, "test")
         .when(F.col("g_rank") < n_test + n_val, "val")
         .otherwise("train")
         .alias("split"),
     )
-    return join_by(df, table, [group])
 
 
 def members(df: DataFrame, keys: DataFrame, on: str, keep: bool = True) -> DataFrame:
@@ -109,6 +112,12 @@ def members(df: DataFrame, keys: DataFrame, on: str, keep: bool = True) -> DataF
     return df.join(keys.select(on).distinct(), on, "left_semi" if keep else "left_anti")
 
 
+def with_membership(df: DataFrame, keys: DataFrame, on: str, out: str = "is_member") -> DataFrame:
+    """Every row with a flag whether its ``on`` value is in ``keys``: one join in place of a semi and an anti join."""
+    known = keys.select(on).distinct().withColumn(out, F.lit(True))
+    return join_by(df, known, [on], "left").withColumn(out, F.coalesce(out, F.lit(False)))
+
+
 def kfold(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Stratified fold ``rank mod k`` within each class, by hash order."""
     ranked = hash_rank(df, id_col, seed, [label])

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strideframe.functions.nullsafe import join_by
 from strideframe.functions.quantiles import exact_quantiles, quantile_columns
 
 
 def unpivot(df: DataFrame, ids: list[str], cols: list[str], name: str = "feature", value: str = "value") -> DataFrame:
-    """Wide to long (``stack``), values cast to double."""
-    return df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(ids, cols, name, value)
+    """Wide to long (``stack``), values cast to double; NaN becomes NULL, so it counts as missing."""
+    number = lambda c: F.col(c).cast("double")
+    return df.select(*ids, *[F.when(~F.isnan(number(c)), number(c)).alias(c) for c in cols]).unpivot(ids, cols, name, value)
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -45,7 +47,7 @@ def describe(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> Da
         F.max("value").alias("max"),
     )
     q = quantile_columns(long, ["feature"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return base.join(q, "feature").select("feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return base.join(q, "feature", "left").select("feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def stats_of_stats(described: DataFrame) -> DataFrame:
@@ -73,8 +75,7 @@ def class_histogram(df: DataFrame, label: str, col: str, bins: int = 50) -> Data
     b = F.when(F.col("mx") > F.col("mn"), F.least(F.floor((x - F.col("mn")) / (F.col("mx") - F.col("mn")) * bins), F.lit(bins - 1))).otherwise(0)
     width = F.when(F.col("mx") > F.col("mn"), (F.col("mx") - F.col("mn")) / bins).otherwise(F.lit(1.0))
     return (
-        df.where(x.isNotNull())
-        .join(rng, label)
+        join_by(df.where(x.isNotNull()), rng, [label])
         .groupBy(label, b.alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"), F.first("n").alias("n"), F.first(width).alias("width"))
         .select(label, "bin", "count", (F.col("count") / (F.col("n") * F.col("width"))).alias("density"))
@@ -88,7 +89,7 @@ def box_stats(df: DataFrame, label: str, col: str) -> DataFrame:
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     x = F.col(col)
     return (
-        df.join(q, label)
+        join_by(df, q, [label])
         .groupBy(label, "q1", "median", "q3")
         .agg(
             F.min(F.when(x >= lo, x)).alias("whisker_low"),
@@ -118,7 +119,7 @@ def first_n_per_class(df: DataFrame, label: str, order: str, n: int = 5) -> Data
 def class_profile(long: DataFrame, label: str, feature: str, value: str) -> DataFrame:
     """Global min-max scaling per feature, then the class mean."""
     mm = long.groupBy(feature).agg(F.min(value).alias("mn"), F.max(value).alias("mx"))
-    scaled = long.join(mm, feature).withColumn(
+    scaled = join_by(long, mm, [feature]).withColumn(
         "s", F.when(F.col("mx") > F.col("mn"), (F.col(value) - F.col("mn")) / (F.col("mx") - F.col("mn"))).otherwise(F.col(value) - F.col("mn"))
     )
     return scaled.groupBy(label, feature).agg(F.avg("s").alias("profile"))

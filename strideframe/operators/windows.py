@@ -166,14 +166,13 @@ def rolling_stats(
     """
     if length > block:
         raise ValueError("rolling length must not exceed the block size")
-    own = positioned.select(key, "pos", col, F.floor(F.col("pos") / block).alias("_blk"), F.lit(False).alias("_halo"))
-    halo = positioned.filter(F.pmod(F.col("pos"), F.lit(block)) >= block - (length - 1)).select(
-        key, "pos", col, (F.floor(F.col("pos") / block) + 1).alias("_blk"), F.lit(True).alias("_halo")
-    )
+    own = F.floor(F.col("pos") / block)
+    near_end = F.pmod(F.col("pos"), F.lit(block)) >= block - (length - 1)
+    blocks = F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))
+    placed = positioned.select(key, "pos", col, F.explode(blocks).alias("_blk")).withColumn("_halo", F.col("_blk") > own)
     w = Window.partitionBy(key, "_blk").orderBy("pos").rowsBetween(-(length - 1), 0)
     return (
-        own.unionByName(halo)
-        .select(
+        placed.select(
             key,
             "pos",
             "_halo",

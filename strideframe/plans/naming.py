@@ -140,6 +140,14 @@ def p7_reshape_sequence(spark, d):
     return steps.select("vec_id", "t", F.posexplode("step").alias("c", "val"))
 
 
+NOISE = 0.01
+
+
+def _uniform_sql(part):
+    key = f"concat_ws('-', vec_id, pos // {CHANNELS}, pos % {CHANNELS})"
+    return f"((('0x' || substr(md5({key} || ':noise{part}'), 1, 8))::UBIGINT + 0.5::DOUBLE) / 4294967296.0)"
+
+
 def _shift_sql():
     return f"CASE WHEN {sql_bucket('vec_id', 'coin')} < 5000 THEN CAST({sql_bucket('vec_id', 'roll')} % 11 AS INTEGER) - 5 ELSE 0 END"
 
@@ -147,16 +155,18 @@ def _shift_sql():
 @register(
     "p8_roll_augment",
     with_ctes(SQL_MATRIX_LONG)
-    + f"""SELECT vec_id, CAST((pos + s + 64) % 64 AS INTEGER) AS i, val
+    + f"""SELECT vec_id, CAST((pos // {CHANNELS} + s + {SEQ_LEN}) % {SEQ_LEN} AS INTEGER) AS t, CAST(pos % {CHANNELS} AS INTEGER) AS c,
+       val + {NOISE} * sqrt(-2 * ln({_uniform_sql("a")})) * cos(6.283185307179586 * {_uniform_sql("b")}) AS val
 FROM (SELECT *, {_shift_sql()} AS s FROM matrix_long)""",
     floats=["val"],
 )
 def p8_roll_augment(spark, d):
     shift = F.when(bucket("vec_id", "coin") < 5000, (F.pmod(bucket("vec_id", "roll"), F.lit(11)) - 5).cast("int")).otherwise(0)
-    e = table(spark, d, "embeddings").select(
-        "vec_id", naming.roll(F.transform("embedding", lambda v: v.cast("double")), shift).alias("rolled")
-    )
-    return e.select("vec_id", F.posexplode("rolled").alias("i", "val"))
+    seq = naming.reshape_sequence(F.transform("embedding", lambda v: v.cast("double")), SEQ_LEN, CHANNELS)
+    noisy = naming.add_noise(seq, "vec_id", NOISE, "noise")
+    e = table(spark, d, "embeddings").select("vec_id", naming.roll(noisy, shift).alias("rolled"))
+    steps = e.select("vec_id", F.posexplode("rolled").alias("t", "step"))
+    return steps.select("vec_id", "t", F.posexplode("step").alias("c", "val"))
 
 
 def _row_features(pdf):
@@ -174,3 +184,31 @@ def _row_features(pdf):
 def p9_map_partitions(spark, d):
     t = tab(spark, d).select("row_id", "l_extendedprice", "l_discount")
     return naming.map_partitions(t, _row_features, "row_id string, log_price double, gross double")
+
+
+def _supplier_total(pdf):
+    gross = pdf["l_extendedprice"] * (1.0 - pdf["l_discount"])
+    return pdf[["l_suppkey"]].head(1).assign(n_lines=len(pdf), gross=gross.sum(), largest=gross.max())
+
+
+@register(
+    "p9_map_groups",
+    """SELECT l_suppkey, count(*) AS n_lines, sum(l_extendedprice * (1 - l_discount)) AS gross, max(l_extendedprice * (1 - l_discount)) AS largest
+FROM lineitem GROUP BY l_suppkey""",
+    floats=["gross", "largest"],
+    bits={"gross": 8},
+)
+def p9_map_groups(spark, d):
+    """A supplier has a few hundred lines at any scale factor, so a group fits a call."""
+    t = table(spark, d, "lineitem").select("l_suppkey", "l_extendedprice", "l_discount")
+    return naming.map_groups(t, ["l_suppkey"], _supplier_total, "l_suppkey long, n_lines long, gross double, largest double")
+
+
+@register(
+    "p4_token_counts",
+    """SELECT kind, count(*) AS count FROM (SELECT DISTINCT p_name, unnest(list_distinct(string_split(p_name, ' '))) AS kind FROM part) GROUP BY kind""",
+)
+def p4_token_counts(spark, d):
+    """P4 over a real name column: in how many distinct names each of its words occurs."""
+    names = table(spark, d, "part").select(F.split("p_name", " ").alias("words")).distinct()
+    return naming.token_counts(names, "words")

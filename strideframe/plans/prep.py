@@ -85,10 +85,8 @@ SELECT row_id, grp, 'out' AS member FROM tab WHERE grp NOT IN (SELECT grp FROM g
 )
 def d4_membership(spark, d):
     t = tab(spark, d).select("row_id", "grp")
-    test_groups = group_split_tab(spark, d).filter(F.col("split") == "test").select("grp")
-    inside = splits.members(t, test_groups, "grp", keep=True).withColumn("member", F.lit("in"))
-    outside = splits.members(t, test_groups, "grp", keep=False).withColumn("member", F.lit("out"))
-    return inside.unionByName(outside)
+    test_groups = splits.group_table(t, "grp", 0.2, 0.2, SEED).filter(F.col("split") == "test").select("grp")
+    return splits.with_membership(t, test_groups, "grp").select("row_id", "grp", F.when(F.col("is_member"), "in").otherwise("out").alias("member"))
 
 
 @register(
@@ -210,7 +208,8 @@ def _wide_embeddings(spark, d):
     from strideframe.plans.derived import table
 
     e = table(spark, d, "embeddings")
-    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(64)])
+    width = e.select(F.max(F.size("embedding"))).first()[0] or 0
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(width)])
 
 
 @register(
@@ -218,13 +217,14 @@ def _wide_embeddings(spark, d):
     f"""WITH {SQL_MATRIX_LONG},
 corr_m AS (SELECT a.pos AS i, b.pos AS j, corr(a.val, b.val) AS r FROM matrix_long a JOIN matrix_long b USING (vec_id) GROUP BY a.pos, b.pos),
 kept AS (SELECT DISTINCT pos FROM matrix_long WHERE pos NOT IN (SELECT j FROM corr_m WHERE i < j AND abs(r) > {D14_THRESHOLD!r})),
-anova AS (
-  SELECT pos, (between_raw - S * S / N) / (k - 1) / ((SS - between_raw) / (N - k)) AS f_score
-  FROM (SELECT pos, sum(n) AS N, count(*) AS k, sum(s) AS S, sum(s * s / n) AS between_raw, sum(ss) AS SS
-        FROM (SELECT pos, label, count(val) AS n, sum(val) AS s, sum(val * val) AS ss FROM matrix_long
-              WHERE pos IN (SELECT pos FROM kept) GROUP BY pos, label)
-        GROUP BY pos)),
-top AS (SELECT pos FROM anova ORDER BY f_score DESC, pos LIMIT {D14_K}),
+mi AS (
+  SELECT pos, sum(pxy * ln(pxy / (px * py))) AS mi FROM (
+    SELECT pos, c / n AS pxy, sum(c) OVER (PARTITION BY pos, bin) / n AS px, sum(c) OVER (PARTITION BY pos, label) / n AS py
+    FROM (SELECT pos, bin, label, count(*) AS c, any_value(n) AS n FROM (
+            SELECT pos, label, floor((rank() OVER (PARTITION BY pos ORDER BY val) - 1) * 10 / count(*) OVER (PARTITION BY pos)) AS bin,
+                   count(*) OVER (PARTITION BY pos) AS n
+            FROM matrix_long WHERE pos IN (SELECT pos FROM kept)) GROUP BY pos, bin, label)) GROUP BY pos),
+top AS (SELECT pos FROM mi ORDER BY mi DESC, 'f' || pos LIMIT {D14_K}),
 sp AS (
   SELECT vec_id, CASE WHEN rk < ceil(n * {_d(TEST)}) THEN 'test'
                       WHEN rk < ceil(n * {_d(TEST)}) + ceil((n - ceil(n * {_d(TEST)})) * {_d(VAL_OF_REST)}) THEN 'val'
@@ -242,7 +242,9 @@ def d14_preprocess_pipeline(spark, d):
     from strideframe.operators.stats import unpivot
 
     pre = Preprocessor(normalize=True, remove_correlated=True, correlation_threshold=D14_THRESHOLD, n_select_features=D14_K)
-    feats = [f"f{i}" for i in range(64)]
-    out = pre.fit_transform(_wide_embeddings(spark, d), "vec_id", "label", feats, VAL, TEST, SEED)
-    long = unpivot(out, ["vec_id", "split"], pre.selected_features, "feature", "val")
-    return long.select("vec_id", "split", F.substring("feature", 2, 3).cast("int").alias("pos"), "val")
+    wide = _wide_embeddings(spark, d)
+    feats = [c for c in wide.columns if c not in ("vec_id", "label")]
+    out = pre.fit_transform(wide, "vec_id", "label", feats, VAL, TEST, SEED)
+    back = pre.inverse_transform_labels(pre.encode_labels(out, "label"), "label_idx", "again")
+    long = unpivot(back.where("again = label"), ["vec_id", "split"], pre.selected_features, "feature", "val")
+    return long.select("vec_id", "split", F.expr("cast(substring(feature, 2) as int)").alias("pos"), "val")

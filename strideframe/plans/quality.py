@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strideframe.functions.sizing import broadcast_if_small
 from strideframe.operators import quality
@@ -72,12 +73,28 @@ def v3_coercion(spark, d):
     return a.unionByName(b)
 
 
+@register(
+    "v3_coerce",
+    """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, TRY_CAST(event_type AS DOUBLE) AS event_type, user_id FROM events""",
+)
+def v3_coerce(spark, d):
+    """Declared columns are cast, values that do not fit become NULL, undeclared columns stay."""
+    ev = table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), "event_type", "user_id")
+    return quality.coerce(ev, T.StructType([T.StructField("k", T.IntegerType()), T.StructField("event_type", T.DoubleType())]))
+
+
 @register(
     "v4_vector_requests",
-    """SELECT vec_id, CASE WHEN embedding IS NULL OR len(embedding) = 0 THEN 'empty'
-                    WHEN len(embedding) <> 64 THEN 'wrong_width' END AS reason,
-       CASE WHEN embedding IS NOT NULL AND len(embedding) = 64 THEN 'ok' ELSE 'rejected' END AS status
-FROM embeddings""",
+    """WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 10 = 0 THEN embedding[1:10] WHEN vec_id % 10 = 1 THEN NULL WHEN vec_id % 10 = 2 THEN [] ELSE embedding END AS v,
+         (SELECT max(len(embedding)) FROM embeddings) AS width FROM embeddings)
+SELECT vec_id, CASE WHEN v IS NULL OR len(v) = 0 THEN 'empty' WHEN len(v) <> width THEN 'wrong_width' END AS reason,
+       CASE WHEN v IS NOT NULL AND len(v) = width THEN 'ok' ELSE 'rejected' END AS status FROM r""",
 )
 def v4_vector_requests(spark, d):
-    return quality.vector_requests(table(spark, d, "embeddings"), "embedding", 64).select("vec_id", "reason", "status")
+    """All vectors as requests, of which some are made too short, NULL or empty."""
+    e = table(spark, d, "embeddings")
+    width = e.select(F.max(F.size("embedding"))).first()[0] or 0
+    v, kind = F.col("embedding"), F.col("vec_id") % 10
+    made = F.when(kind == 0, F.slice(v, 1, 10)).when(kind == 1, F.lit(None)).when(kind == 2, F.slice(v, 1, 0)).otherwise(v)
+    return quality.vector_requests(e.select("vec_id", made.alias("v")), "v", width).select("vec_id", "reason", "status")

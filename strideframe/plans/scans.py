@@ -9,8 +9,8 @@ split by ``bucket(vec_id, 42) < 7000`` into train and test.
 
 from __future__ import annotations
 
-import hashlib
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -23,15 +23,15 @@ from strideframe.sources import matrix
 EVENTS_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
-def _folder(spark, d, name):
-    tag = hashlib.md5(os.path.abspath(d).encode()).hexdigest()[:10]
-    return os.path.join(checkpoint_dir(spark), "sources", tag, name)
+def _folder(spark, name):
+    """A fresh folder for each call: lazy frames of earlier calls still read theirs."""
+    return os.path.join(checkpoint_dir(spark), "sources", f"{name}-{uuid.uuid4().hex}")
 
 
-def write_split_files(spark, d) -> str:
-    out = _folder(spark, d, "har_layout")
+def write_split_files(spark, d, only: tuple[str, ...] = matrix.SPLITS) -> str:
+    out = _folder(spark, "har_layout")
     e = table(spark, d, "embeddings").withColumn("split", F.when(bucket("vec_id", 42) < 7000, "train").otherwise("test"))
-    for s in matrix.SPLITS:
+    for s in only:
         part = e.where(F.col("split") == s)
         matrix.write_matrix(
             part,
@@ -70,6 +70,23 @@ def s1_s4_load_split_files(spark, d):
     )
 
 
+@register(
+    "s1_named_frame",
+    f"""WITH e AS (SELECT *, CASE WHEN {sql_bucket("vec_id", 42)} < 7000 THEN 'train' ELSE 'test' END AS split FROM embeddings),
+n AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row_id, embedding FROM e WHERE split = 'test')
+SELECT row_id, 'f' || (generate_subscripts(embedding, 1) - 1) AS feature, CAST(unnest(embedding) AS DOUBLE) AS value FROM n""",
+    floats=["value"],
+)
+def s1_named_frame(spark, d):
+    """S1 with its names: the wide frame of one named column per feature, checked cell by cell in long form."""
+    folder = write_split_files(spark, d, ("test",))
+    rows = matrix.load_splits(spark, folder, "test")
+    width = rows.select(F.max(F.size("features"))).first()[0] or 0
+    names = [f"f{i}" for i in range(width)]
+    wide = matrix.named_columns(rows, names)
+    return wide.unpivot(["row_id"], names, "feature", "value")
+
+
 @register(
     "s3_label_dictionary",
     "SELECT DISTINCT activity_id, activity FROM (" + SQL_SPLIT_ROWS + ")",
@@ -84,14 +101,15 @@ def s3_label_dictionary(spark, d):
     "SELECT row_id, activity_id FROM (" + SQL_SPLIT_ROWS + ") WHERE split = 'test'",
 )
 def s5_load_one_split(spark, d):
-    folder = write_split_files(spark, d)
+    folder = write_split_files(spark, d, ("test",))
     return matrix.load_splits(spark, folder, "test").select("row_id", "activity_id")
 
 
 def write_events_csv(spark, d) -> str:
-    out = _folder(spark, d, "events_csv")
+    out = _folder(spark, "events_csv")
     ev = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    ev.repartition("user_id").write.mode("overwrite").option("header", "true").csv(out)
+    # several files for the glob, dealt evenly: a user may have a third of all events
+    ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.option("header", "true").csv(out)
     return out
 
 

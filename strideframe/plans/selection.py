@@ -103,11 +103,34 @@ def c6_apply_selection(spark, d):
     return matrix_long(spark, d).join(chosen, "pos", "left_semi").select("vec_id", "pos", "val")
 
 
-@register("c7_pca")
+@register(
+    "c7_pca",
+    with_ctes(SQL_MATRIX_LONG)
+    + """SELECT count(*) AS n_rows, (SELECT sum(v) FROM (SELECT var_samp(val) AS v FROM matrix_long GROUP BY pos)) AS total_variance,
+       true AS centred, true AS ordered, true AS uncorrelated, true AS shares_fit FROM embeddings""",
+    floats=["total_variance"],
+)
 def c7_pca(spark, d):
-    """PCA: component signs are arbitrary, so the check is rows-only here and by properties in tests."""
-    proj, ratios = co.pca(table(spark, d, "embeddings").select("vec_id", "embedding"), "embedding", 2)
-    return proj.withColumns({f"explained_variance_{i}": F.lit(float(r)) for i, r in enumerate(ratios)})
+    """PCA by what does not depend on component signs: the projections are centred and uncorrelated, their
+    variances fall and are the stated shares of the total variance."""
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    proj, ratios = co.pca(e, "embedding", 2)
+    total = e.select(F.posexplode("embedding").alias("pos", "val")).groupBy("pos").agg(F.var_samp(F.col("val").cast("double")).alias("v")).agg(F.sum("v").alias("total_variance"))
+    s = proj.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.avg(f"pc_{i}").alias(f"m{i}") for i in range(2)],
+        *[F.var_samp(f"pc_{i}").alias(f"v{i}") for i in range(2)],
+        F.corr("pc_0", "pc_1").alias("r"),
+    )
+    near = lambda x, y: F.abs(x - y) < 1e-6
+    return s.join(F.broadcast(total)).select(
+        "n_rows",
+        "total_variance",
+        (near(F.col("m0"), F.lit(0.0)) & near(F.col("m1"), F.lit(0.0))).alias("centred"),
+        (F.col("v0") >= F.col("v1")).alias("ordered"),
+        near(F.col("r"), F.lit(0.0)).alias("uncorrelated"),
+        (near(F.col("v0") / F.col("total_variance"), F.lit(ratios[0])) & near(F.col("v1") / F.col("total_variance"), F.lit(ratios[1]))).alias("shares_fit"),
+    )
 
 
 SQL_IMPORTANCE = f"""imp AS (SELECT pos, any_value(name) AS name, var_pop(val) AS importance FROM named GROUP BY pos)"""

@@ -176,9 +176,7 @@ UNION ALL SELECT row_id, grp, class, 'test' AS source FROM split WHERE split <>
 )
 def a13_split_union(spark, d):
     s = split_tab(spark, d).select("row_id", "grp", "class", "split")
-    train = s.where(F.col("split") == "train").select("row_id", "grp", "class", F.lit("train").alias("source"))
-    rest = s.where(F.col("split") != "train").select("row_id", "grp", "class", F.lit("test").alias("source"))
-    return train.unionByName(rest)
+    return s.select("row_id", "grp", "class", F.when(F.col("split") == "train", "train").otherwise("test").alias("source"))
 
 
 @register(

@@ -32,11 +32,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared lineage-cut folder: ``spark.checkpoint.dir`` from the session.
 
-    On a cluster the operator never invents a folder; only when the setting is
-    absent (local tests) a fresh scratch folder is created and registered.
+    On a cluster the folder has to be set: executors cannot share a folder that
+    the driver makes up.  Only a local master gets a fresh scratch folder, which
+    is then registered.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="strideframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strideframe.functions.sizing import broadcast_if_small
+from strideframe.functions.sizing import local_if_small
 from strideframe.operators import stats
 
 # The activity dictionary of the reference (ids 1..6).
@@ -23,13 +23,19 @@ SPLITS = ("train", "test")
 
 
 def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``row_id, line``: 0-based line numbers over the files in path order, computed in the JVM.
+    """``row_id, line``: 0-based line numbers over the files in path order, computed in the JVM."""
+    return _numbered(spark, paths)[0]
+
+
+def _numbered(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, int]:
+    """Numbered lines and their count.
 
     A text scan split is a contiguous byte range of one file, and
     ``monotonically_increasing_id`` numbers the rows of a task consecutively, so
     a line's number is the lines of all earlier splits (ordered by file path and
-    block start; the per-split table has one row per split) plus its distance
-    from its split's first row.  No row goes through Python.
+    block start) plus its distance from its split's first row.  The table of
+    splits is evaluated once, in a pass that reads no values; no row goes
+    through Python.
     """
     lines = spark.read.text(paths).select(
         F.col("value").alias("line"),
@@ -38,11 +44,14 @@ def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("_m"),
     )
     per_split = lines.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    table, small = local_if_small(per_split)
     order = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_split = per_split.withColumn("_off", F.coalesce(F.sum("_n").over(order), F.lit(0)))
-    return lines.join(broadcast_if_small(per_split), ["_f", "_b"]).select(
+    table = table.withColumn("_off", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+    total = table.agg(F.sum("_n")).first()[0] or 0
+    numbered = lines.join(F.broadcast(table) if small else table, ["_f", "_b"]).select(
         (F.col("_off") + F.col("_m") - F.col("_m0")).alias("row_id"), "line"
     )
+    return numbered, total
 
 
 def parse_matrix(lines: DataFrame, width: int | None = None) -> DataFrame:
@@ -75,16 +84,12 @@ def load_split(spark: SparkSession, split_dir: str, split: str) -> DataFrame:
     """
     if split not in SPLITS:
         raise ValueError(f"split must be one of {SPLITS}, got {split!r}")
-    x = parse_matrix(numbered_lines(spark, _parts(spark, f"{split_dir}/X_{split}")))
-    y = numbered_lines(spark, _parts(spark, f"{split_dir}/y_{split}")).select(
-        "row_id", F.trim("line").try_cast("int").alias("activity_id")
-    )
-    s = numbered_lines(spark, _parts(spark, f"{split_dir}/subject_{split}")).select(
-        "row_id", F.trim("line").try_cast("int").alias("subject_id")
-    )
-    counts = [d.count() for d in (x, y, s)]
-    if len(set(counts)) != 1:
-        raise ValueError(f"X, y and subject row counts differ: {counts}")
+    (x, n_x), (y, n_y), (s, n_s) = (_numbered(spark, _parts(spark, f"{split_dir}/{kind}_{split}")) for kind in ("X", "y", "subject"))
+    if len({n_x, n_y, n_s}) != 1:
+        raise ValueError(f"X, y and subject row counts differ: {[n_x, n_y, n_s]}")
+    x = parse_matrix(x)
+    y = y.select("row_id", F.trim("line").try_cast("int").alias("activity_id"))
+    s = s.select("row_id", F.trim("line").try_cast("int").alias("subject_id"))
     return (
         x.join(y, "row_id").join(s, "row_id").withColumn("activity", activity_name(F.col("activity_id"))).withColumn("split", F.lit(split))
     )

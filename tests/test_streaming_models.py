@@ -65,7 +65,9 @@ def test_cross_validation_and_search(spark):
     data = splits.kfold(_classification_fixture(spark), "vec_id", "label", 3, 42).cache()
     scores, mean, std = learn.cross_validate(learn.random_forest(learn.ModelConfig(n_estimators=10, max_depth=5)), data)
     assert len(scores) == 3 and mean == pytest.approx(sum(scores) / 3) and std >= 0
-    results, best = learn.search(learn.random_forest(), learn.grid({"numTrees": [5, 10], "maxDepth": [2]}), data)
+    found = learn.search("random_forest", learn.grid({"n_estimators": [5, 10], "max_depth": [2]}), data)
+    results, best = found.results, found.best
+    assert found.model.getNumTrees == best["params"]["n_estimators"]
     assert len(results) == 2 and best["cv_mean"] == max(r["cv_mean"] for r in results)
     assert len(learn.random_maps({"a": [1, 2, 3], "b": [1, 2]}, 4, 42)) == 4
 
