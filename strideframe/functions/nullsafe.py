@@ -26,14 +26,23 @@ def _stand_in(kind: T.DataType) -> Column:
     return F.lit(0).cast(kind)
 
 
-def key_columns(df: DataFrame, keys: list[str], prefix: str = "_key") -> tuple[DataFrame, list[str]]:
-    """Add the stand-in columns for ``keys``; returns the frame and their names."""
+def key_columns(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Add stand-in columns for those of ``keys`` that can be NULL; returns the frame and the names to group by."""
     added: dict[str, Column] = {}
-    for i, k in enumerate(keys):
-        kind = df.schema[k].dataType
-        added[f"{prefix}{i}"] = F.coalesce(F.col(k), _stand_in(kind))
-        added[f"{prefix}{i}_null"] = F.col(k).isNull()
-    return df.withColumns(added) if added else df, list(added)
+    names: list[str] = []
+    taken = set(df.columns)
+    for k in keys:
+        field = df.schema[k]
+        if not field.nullable:
+            names.append(k)
+            continue
+        name = f"_key_{k}"
+        while name in taken or f"{name}_null" in taken:
+            name += "_"
+        added[name] = F.coalesce(F.col(k), _stand_in(field.dataType))
+        added[f"{name}_null"] = F.col(k).isNull()
+        names += [name, f"{name}_null"]
+    return df.withColumns(added) if added else df, names
 
 
 def join_by(df: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", broadcast: bool = True) -> DataFrame:
@@ -42,7 +51,8 @@ def join_by(df: DataFrame, table: DataFrame, keys: list[str], how: str = "inner"
     The table is broadcast when its counted size allows; else the planner joins
     by shuffle, where skewed keys of ``df`` are split by AQE.
     """
-    left, names = key_columns(df, keys)
-    right, _ = key_columns(table, keys)
-    right = right.drop(*keys)
+    names = [f"_on{i}" for i in range(2 * len(keys))]
+    pairs = [c for k in keys for c in (F.coalesce(F.col(k), _stand_in(df.schema[k].dataType)), F.col(k).isNull())]
+    left = df.withColumns(dict(zip(names, pairs, strict=True)))
+    right = table.withColumns(dict(zip(names, pairs, strict=True))).drop(*keys)
     return left.join(broadcast_if_small(right) if broadcast else right, names, how).drop(*names)

@@ -60,7 +60,7 @@ def bucketed_rank(
     return (
         local.join(offsets, parts, "inner")
         .withColumn(rank_name, (F.col("_off") + F.col("_local")).cast("bigint"))
-        .drop(*parts, "_local", "_off", "_cnt")
+        .drop(*[k for k in keys if k not in df.columns], r, "_local", "_off", "_cnt")
     )
 
 
@@ -91,4 +91,4 @@ def prefix_below(df: DataFrame, group: list[str], order: str, values: list[str],
     out = rows.join(offsets, parts)
     for v in values:
         out = out.withColumn(f"{v}_below", F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(inner), F.lit(0)))
-    return out.drop(*parts, *[f"_o_{v}" for v in values])
+    return out.drop(*[k for k in keys if k not in df.columns], "_r", *[f"_o_{v}" for v in values])

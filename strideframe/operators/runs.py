@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strideframe.functions.nullsafe import key_columns
+from strideframe.functions.ranking import bucketed_rank
+
 
 def best_run(runs: DataFrame, metric: str, ascending: bool = False) -> DataFrame:
     """The best run by ``metric`` (runs without it last; ties by run_id); empty input gives nothing."""
@@ -120,7 +123,8 @@ def early_stop(
     Rule: an epoch improves when ``loss < best - min_delta`` (then ``best`` =
     its loss and the counter resets); the stop fires when ``patience`` epochs in
     a row brought no improvement; the best epoch is the first plain minimum
-    among the epochs trained.  Epochs are ``0..n-1`` per run.
+    among the epochs trained.  Epochs are numbers that rise within a run; gaps
+    do not matter, and a NULL run is a run.
 
     ``best`` only changes at improvement epochs, and along the recursion the
     next improvement after an improvement epoch ``e`` is the first
@@ -135,30 +139,26 @@ def early_stop(
     """
     if patience > block:
         raise ValueError("patience must not exceed the block size")
-    ll = loss_log.select(
-        "run_id", F.col("epoch").cast("bigint").alias("epoch"), F.col("loss").cast("double").alias("loss")
-    )
-    blk = F.floor(F.col("epoch") / block)
-    own = ll.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
-    halo = (
-        ll.where((F.pmod(F.col("epoch"), F.lit(block)) < patience) & (F.col("epoch") >= block))
-        .withColumn("_blk", blk - 1)
-        .withColumn("_halo", F.lit(True))
+    ll, keys = key_columns(
+        loss_log.select("run_id", F.col("epoch").cast("bigint").alias("epoch"), F.col("loss").cast("double").alias("loss")), ["run_id"]
     )
-    w = Window.partitionBy("run_id", "_blk").orderBy("epoch")
+    # places in a run, not epoch numbers: a log may have gaps
+    ll = bucketed_rank(ll, keys, F.floor(F.col("epoch") / block), ["epoch", "loss"], rank_name="pos", size_name="n")
+    own = F.floor(F.col("pos") / block)
+    near_start = (F.pmod(F.col("pos"), F.lit(block)) < patience) & (F.col("pos") >= block)
+    placed = ll.withColumn("_blk", F.explode(F.when(near_start, F.array(own, own - 1)).otherwise(F.array(own)))).withColumn("_halo", F.col("_blk") < own)
+    w = Window.partitionBy(*keys, "_blk").orderBy("pos")
     thr = F.col("loss") - F.lit(min_delta)
-    nxt = F.coalesce(
-        *[F.when(F.lead("loss", k).over(w) < thr, F.col("epoch") + k) for k in range(1, patience + 1)]
-    )
-    pointers = own.unionByName(halo).select("run_id", "_blk", "epoch", "_halo", nxt.alias("nxt")).where(~F.col("_halo"))
+    nxt = F.coalesce(*[F.when(F.lead("loss", k).over(w) < thr, F.col("pos") + k) for k in range(1, patience + 1)])
+    pointers = placed.select(*keys, "run_id", "n", "_blk", "pos", "_halo", nxt.alias("nxt")).where(~F.col("_halo"))
 
-    arr = F.array_sort(F.collect_list(F.struct("epoch", "nxt")))
+    arr = F.array_sort(F.collect_list(F.struct("pos", "nxt")))
 
     def follow(entry):
         init = F.struct(entry.alias("cur"), F.lit(False).alias("dead"))
 
         def step(s, x):
-            hit = (~s["dead"]) & (x["epoch"] == s["cur"])
+            hit = (~s["dead"]) & (x["pos"] == s["cur"])
             return F.struct(
                 F.when(hit & x["nxt"].isNotNull(), x["nxt"]).otherwise(s["cur"]).alias("cur"),
                 (s["dead"] | (hit & x["nxt"].isNull())).alias("dead"),
@@ -166,15 +166,10 @@ def early_stop(
 
         return F.aggregate(F.col("_pts"), init, step)
 
-    per_block = pointers.groupBy("run_id", "_blk").agg(arr.alias("_pts"))
+    per_block = pointers.groupBy(*keys, "_blk").agg(arr.alias("_pts"), F.first("n").alias("n"))
     base = F.col("_blk") * block
-    per_block = per_block.select(
-        "run_id",
-        "_blk",
-        F.array(*[follow(base + k) for k in range(patience)]).alias("_t"),
-    )
-    n = ll.groupBy("run_id").agg((F.max("epoch") + 1).alias("_n"))
-    runs_ = per_block.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("_blk", "_t"))).alias("_bs")).join(n, "run_id")
+    per_block = per_block.select(*keys, "n", "_blk", F.array(*[follow(base + k) for k in range(patience)]).alias("_t"))
+    runs_ = per_block.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_blk", "_t"))).alias("_bs"), F.first("n").alias("n"))
 
     def chain(s, b):
         k = (s["cur"] - b["_blk"] * block).cast("int")
@@ -185,19 +180,15 @@ def early_stop(
             (s["done"] | (live & t["dead"])).alias("done"),
         )
 
-    walked = runs_.select(
-        "run_id",
-        "_n",
-        F.aggregate("_bs", F.struct(F.lit(0).cast("bigint").alias("cur"), F.lit(False).alias("done")), chain).alias("_s"),
-    )
-    stops = walked.select(
-        "run_id",
-        F.when(F.col("_s.done") & (F.col("_s.cur") + patience <= F.col("_n") - 1), F.col("_s.cur") + patience)
-        .cast("bigint")
-        .alias("stop_epoch"),
-    )
-    trained = ll.join(stops, "run_id").where(F.col("stop_epoch").isNull() | (F.col("epoch") <= F.col("stop_epoch")))
-    best = trained.groupBy("run_id", "stop_epoch").agg(
-        F.min_by("epoch", F.struct("loss", "epoch")).alias("best_epoch"), F.min("loss").alias("best_loss")
+    start = F.struct(F.lit(0).cast("bigint").alias("cur"), F.lit(False).alias("done"))
+    walked = runs_.select(*keys, "n", F.aggregate("_bs", start, chain).alias("_s"))
+    fires = F.col("_s.done") & (F.col("_s.cur") + patience <= F.col("n") - 1)
+    stops = walked.select(*keys, F.when(fires, F.col("_s.cur") + patience).cast("bigint").alias("stop_pos"))
+    trained = ll.join(stops, keys).where(F.col("stop_pos").isNull() | (F.col("pos") <= F.col("stop_pos")))
+    best = trained.groupBy(*keys).agg(
+        F.first("run_id").alias("run_id"),
+        F.max(F.when(F.col("pos") == F.col("stop_pos"), F.col("epoch"))).alias("stop_epoch"),
+        F.min_by("epoch", F.struct("loss", "epoch")).alias("best_epoch"),
+        F.min("loss").alias("best_loss"),
     )
     return best.select("run_id", "stop_epoch", "best_epoch", "best_loss")

@@ -26,12 +26,12 @@ def probability_map(prob: Column, names: list[str] = SERVING_CLASSES) -> Column:
     )
 
 
-def prediction_rows(scored: DataFrame, id_col: str, pred: str, prob: str | None = None, vector: bool = False) -> DataFrame:
+def prediction_rows(scored: DataFrame, id_col: str, pred: str, prob: str | None = None, vector: bool = False, names: list[str] = SERVING_CLASSES) -> DataFrame:
     """M9: ``id, prediction, activity`` and, when probabilities exist, ``probabilities`` map."""
-    cols = [id_col, F.col(pred).cast("int").alias("prediction"), class_name(F.col(pred).cast("int")).alias("activity")]
+    cols = [id_col, F.col(pred).cast("int").alias("prediction"), class_name(F.col(pred).cast("int"), names).alias("activity")]
     if prob is not None:
         arr = vector_to_array(F.col(prob)) if vector else F.col(prob)
-        cols.append(probability_map(arr).alias("probabilities"))
+        cols.append(probability_map(arr, names).alias("probabilities"))
     return scored.select(*cols)
 
 
@@ -69,12 +69,19 @@ def fit_centroids(matrix_long: DataFrame, label: str = "label") -> dict[int, lis
     return {c: [v[i] for i in sorted(v)] for c, v in out.items()}
 
 
-def nearest_centroid(vec: Column, centroids: dict[int, list[float]]) -> Column:
-    """Label of the closest centroid (squared distance), ties to the lower label."""
+def centroid_distances(vec: Column, centroids: dict[int, list[float]]) -> Column:
+    """Squared distances to the centroids, in the order of their labels."""
     x = F.transform(vec, lambda v: v.cast("double"))
-    cands = []
-    for c in sorted(centroids):
+
+    def distance(c: int) -> Column:
         mu = F.array(*[F.lit(m) for m in centroids[c]])
-        d2 = F.aggregate(F.zip_with(x, mu, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, t: s + t)
-        cands.append(F.struct(d2.alias("d2"), F.lit(c).alias("c")))
-    return F.array_min(F.array(*cands))["c"]
+        return F.aggregate(F.zip_with(x, mu, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, t: s + t)
+
+    return F.array(*[distance(c) for c in sorted(centroids)])
+
+
+def nearest_centroid(vec: Column, centroids: dict[int, list[float]]) -> Column:
+    """Label of the closest centroid (squared distance), ties to the lower label."""
+    labels = F.array(*[F.lit(c) for c in sorted(centroids)])
+    pairs = F.zip_with(centroid_distances(vec, centroids), labels, lambda d, c: F.struct(d.alias("d2"), c.alias("c")))
+    return F.array_min(pairs)["c"]

@@ -8,22 +8,38 @@ from strideframe.functions.hashing import bucket
 from strideframe.plans import experiments as xp
 from strideframe.plans import features as feat
 from strideframe.plans.catalog import register, with_ctes
-from strideframe.plans.derived import SQL_SCORED, SQL_SERIES, matrix_long, sql_windowed
+from strideframe.plans.derived import SQL_SCORED, SQL_SERIES, centroids, sql_windowed
+from strideframe.plans.models import SQL_NAMES
 from strideframe.streaming import streams as st
 
 
-@register("st1_stream_scoring", with_ctes(SQL_SCORED) + "SELECT vec_id, y_pred FROM scored")
+@register(
+    "st1_stream_scoring",
+    with_ctes(
+        SQL_SCORED,
+        """sm AS (SELECT vec_id, c, exp(-d2 + min(d2) OVER (PARTITION BY vec_id)) AS e FROM dist),
+pr AS (SELECT vec_id, c, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM sm)""",
+    )
+    + f"""SELECT s.vec_id, s.y_pred AS prediction, {SQL_NAMES} AS activity, pr.p AS p_pred
+FROM scored s JOIN pr ON pr.vec_id = s.vec_id AND pr.c = s.y_pred""",
+    floats=["p_pred"],
+)
 def st1_stream_scoring(spark, d):
-    centroids = st.fit_centroids(matrix_long(spark, d))
-    s = st.score_stream(st.file_stream(spark, d, "embeddings"), "vec_id", "embedding", centroids)
-    return st.run_available_now(s, "st1").withColumn("y_pred", F.col("y_pred").cast("int"))
+    fitted = centroids(spark, d)
+    s = st.score_stream(st.file_stream(spark, d, "embeddings"), "vec_id", "embedding", fitted)
+    rows = st.run_available_now(s, "st1")
+    return rows.select("vec_id", "prediction", "activity", F.col("probabilities")[F.col("activity")].alias("p_pred"))
+
+
+_ST2 = [f"{s}_x" for s in st.STATISTICS]
 
 
 @register(
     "st2_stream_windows",
     with_ctes(SQL_SERIES, sql_windowed(feat.SIZE, feat.STEP))
-    + "SELECT user_id, window_id, count(*) AS n, avg(x) AS mean_x, min(x) AS min_x, max(x) AS max_x FROM win GROUP BY user_id, window_id",
-    floats=["mean_x", "min_x", "max_x"],
+    + """SELECT user_id, window_id, count(*) AS n, avg(x) AS mean_x, stddev_pop(x) AS std_x, min(x) AS min_x, max(x) AS max_x,
+       max(x) - min(x) AS range_x, median(x) AS median_x FROM win GROUP BY user_id, window_id""",
+    floats=_ST2,
 )
 def st2_stream_windows(spark, d):
     ev = st.file_stream(spark, d, "events").select("user_id", "ts", "event_id", "value")
@@ -57,4 +73,4 @@ def _outcome_stream(spark, d):
 @register("st3_live_ab", with_ctes(xp.SQL_AB) + "SELECT variant, n, correct, accuracy FROM vm", floats=["accuracy"])
 def st3_live_ab(spark, d):
     j = st.live_ab(_prediction_stream(spark, d), _outcome_stream(spark, d), "sample_id")
-    return st.variant_totals(st.run_available_now(j, "st3"))
+    return st.run_totals(j, "st3")

@@ -1,17 +1,20 @@
 """Structured Streaming forms (ST1-ST3).
 
-* ST1 ``score_stream``: stateless append: each incoming row is scored by a
-  fitted nearest-centroid model (centroids are ``classes x dims`` literals).
+* ST1 ``score_stream``: stateless append: each incoming row gets its prediction
+  row (id, class number, class name, probabilities), from a fitted nearest
+  centroid model (``classes x dims`` literals) or any fitted pipeline.
 * ST2 ``stream_windows``: count-based sliding windows per series with
   ``applyInPandasWithState``.  State per series = samples seen and the last
   ``size - 1`` values (bounded by the window size).  Within a micro-batch a
-  series' samples are sorted by ``(ts, tie)``; a sample not after the last
-  one already consumed is late and dropped (counted in the state).
+  series' samples are sorted by ``(ts, tie)`` and all complete windows are
+  reduced at once; a sample not after the last one already consumed is late: it
+  is left out, and a counter row (``window_id`` -1) tells how many were.
 * ST3 ``live_ab``: prediction stream joined to a later outcome stream by id
-  with watermarks and a time bound; per-variant totals are read back.
+  with watermarks and a time bound; per-variant totals are kept in the stream.
 
-Every query runs with ``trigger(availableNow=True)`` into a file sink under
-the session's checkpoint folder, then the sink is read as a batch frame.
+Every query runs with ``trigger(availableNow=True)`` under the session's
+checkpoint folder; file streams take ``FILES_PER_TRIGGER`` files at a time, so
+a micro-batch is bounded whatever waits.
 """
 
 from __future__ import annotations
@@ -22,22 +25,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from strideframe.operators.scoring import fit_centroids, nearest_centroid  # noqa: F401  (re-exported)
+from strideframe.operators.scoring import SERVING_CLASSES, argmax, centroid_distances, class_name, prediction_rows, softmax
 from strideframe.operators.windows import window_step
 from strideframe.session import checkpoint_dir
 
 
-def file_stream(spark: SparkSession, folder: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of ``<folder>/<name>.parquet`` (schema taken from the file, no inference)."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(folder)
+#: files of a micro-batch
+FILES_PER_TRIGGER = 64
+
+
+def file_stream(spark: SparkSession, folder: str, name: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Streaming scan of ``<folder>/<name>.parquet``, a file or a folder of files (schema taken from the files)."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
@@ -59,43 +67,72 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append") ->
 
 
 # ------------------------------------------------------------------ ST1
-def score_stream(stream: DataFrame, id_col: str, vec: str, centroids: dict[int, list[float]]) -> DataFrame:
-    """ST1: stateless scoring of each incoming row."""
-    return stream.select(id_col, nearest_centroid(F.col(vec), centroids).alias("y_pred"))
+def score_stream(stream: DataFrame, id_col: str, vec: str, centroids: dict[int, list[float]], names: list[str] = SERVING_CLASSES) -> DataFrame:
+    """ST1: the prediction row of each incoming row; probabilities are the softmax of the negative distances."""
+    near = centroid_distances(F.col(vec), centroids)
+    scored = stream.select(id_col, near.alias("_d"))
+    order = F.array(*[F.lit(int(c)) for c in sorted(centroids)])
+    p = softmax(F.transform("_d", lambda d: -d))
+    rows = scored.select(id_col, F.element_at(order, argmax(p) + 1).alias("prediction"), p.alias("_p"), order.alias("_c"))
+    named = F.map_from_entries(F.zip_with("_c", "_p", lambda c, q: F.struct(class_name(c, names).alias("k"), q.alias("v"))))
+    return rows.select(id_col, "prediction", class_name(F.col("prediction"), names).alias("activity"), named.alias("probabilities"))
+
+
+def score_stream_with(model, stream: DataFrame, id_col: str, names: list[str] = SERVING_CLASSES) -> DataFrame:
+    """ST1 with a fitted Spark ML pipeline or classifier."""
+    return prediction_rows(model.transform(stream), id_col, "prediction", "probability", vector=True, names=names)
 
 
 # ------------------------------------------------------------------ ST2
+STATISTICS = ("mean", "std", "min", "max", "range", "median")
+LATE = -1
+
+
+def window_statistics(values: np.ndarray) -> dict[str, np.ndarray]:
+    """T1 of each row of a ``(windows, size)`` matrix."""
+    low, high = values.min(axis=1), values.max(axis=1)
+    return {"mean": values.mean(axis=1), "std": values.std(axis=1), "min": low, "max": high, "range": high - low, "median": np.median(values, axis=1)}
+
+
 def stream_windows(
     stream: DataFrame, key: str, ts: str, tie: str, value: str, size: int = 128, overlap: float = 0.5
 ) -> DataFrame:
-    """ST2: per-series sliding windows (count-based) with window count, mean, min and max of ``value``."""
+    """ST2: per-series sliding windows (count-based) with the T1 statistics of ``value``.
+
+    Window rows hold ``n = size``; a row with ``window_id = LATE`` holds in ``n``
+    the late samples of one micro-batch.
+    """
     step = window_step(size, overlap)
-    out_schema = f"{key} long, window_id long, n long, mean_x double, min_x double, max_x double"
-    state_schema = "n_seen long, last_ts timestamp, last_tie long, buf array<double>, dropped long"
+    out_schema = f"{key} long, window_id long, n long, " + ", ".join(f"{s}_x double" for s in STATISTICS)
+    state_schema = "n_seen long, last_ts timestamp, last_tie long, buf array<double>"
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            n_seen, last_ts, last_tie, buf, dropped = state.get
-            buf = list(buf)
-        else:
-            n_seen, last_ts, last_tie, buf, dropped = 0, None, None, [], 0
+        n_seen, last_ts, last_tie, buf = state.get if state.exists else (0, None, None, [])
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values([ts, tie], kind="stable")
-        rows = []
-        for t, i, x in zip(batch[ts].tolist(), batch[tie].tolist(), batch[value].tolist()):
-            if last_ts is not None and (t, i) <= (last_ts, last_tie):
-                dropped += 1
-                continue
-            last_ts, last_tie = t, i
-            buf.append(float(x))
-            n_seen += 1
-            if n_seen >= size and (n_seen - size) % step == 0:
-                w = np.asarray(buf[-size:], dtype=np.float64)
-                rows.append((k[0], (n_seen - size) // step, size, float(w.mean()), float(w.min()), float(w.max())))
-            if len(buf) > size - 1:
-                buf = buf[-(size - 1):] if size > 1 else []
-        state.update((n_seen, last_ts, last_tie, buf, dropped))
-        if rows:
-            yield pd.DataFrame(rows, columns=[key, "window_id", "n", "mean_x", "min_x", "max_x"])
+        late = 0
+        if last_ts is not None and len(batch):
+            stamp = pd.Timestamp(last_ts)
+            after = (batch[ts] > stamp) | ((batch[ts] == stamp) & (batch[tie] > last_tie))
+            late = int((~after).sum())
+            batch = batch[after]
+        if late:
+            row = {key: [k[0]], "window_id": [LATE], "n": [late]}
+            yield pd.DataFrame(row | {f"{s}_x": [None] for s in STATISTICS}).astype({f"{s}_x": "float64" for s in STATISTICS})
+        if not len(batch):
+            state.update((n_seen, last_ts, last_tie, list(buf)))
+            return
+        first = n_seen - len(buf)  # position of the buffer's first sample
+        values = np.concatenate([np.asarray(list(buf), dtype=np.float64), batch[value].to_numpy(dtype=np.float64)])
+        seen = n_seen + len(batch)
+        # windows that end among the new samples
+        lo = max(0, -(-(n_seen + 1 - size) // step)) if n_seen >= size else 0
+        ids = np.arange(lo, (seen - size) // step + 1) if seen >= size else np.zeros(0, np.int64)
+        if len(ids):
+            frames = np.lib.stride_tricks.sliding_window_view(values, size)[ids * step - first]
+            found = window_statistics(frames)
+            yield pd.DataFrame({key: k[0], "window_id": ids, "n": size} | {f"{s}_x": found[s] for s in STATISTICS})
+        tail = values[-(size - 1):] if size > 1 else values[:0]
+        state.update((seen, batch[ts].iloc[-1].to_pydatetime(), int(batch[tie].iloc[-1]), tail.tolist()))
 
     return stream.groupBy(key).applyInPandasWithState(fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
@@ -115,6 +152,40 @@ def live_ab(predictions: DataFrame, outcomes: DataFrame, id_col: str, bound: str
 
 
 def variant_totals(joined: DataFrame) -> DataFrame:
-    return joined.groupBy("variant").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("y_true") == F.col("y_pred")).alias("correct")
-    ).withColumn("accuracy", F.col("correct") / F.col("n"))
+    """``variant, n, correct, accuracy`` of joined rows (or of partial totals with ``n`` and ``correct``)."""
+    if {"n", "correct"} <= set(joined.columns):
+        sums = joined.groupBy("variant").agg(F.sum("n").alias("n"), F.sum("correct").alias("correct"))
+    else:
+        right = F.count_if(F.col("y_true") == F.col("y_pred"))
+        sums = joined.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), right.alias("correct"))
+    return sums.withColumn("accuracy", F.col("correct") / F.col("n"))
+
+
+def run_totals(joined: DataFrame, name: str) -> DataFrame:
+    """Run a stream of joined rows; each micro-batch writes the totals so far (a row for each variant).
+
+    A batch adds its own counts to the totals of the batch before it, under its
+    number, so a batch that is run again replaces its own totals; the last
+    folder is the live result.  Joined rows themselves are not kept.
+    """
+    spark = joined.sparkSession
+    base = os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
+    schema = "variant string, n long, correct long, accuracy double"
+    done: list[int] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        now = variant_totals(batch)
+        before = [k for k in done if k < number]
+        if before:
+            earlier = spark.read.schema(schema).parquet(f"{base}/totals/{before[-1]}")
+            now = variant_totals(now.select("variant", "n", "correct").unionByName(earlier.select("variant", "n", "correct")))
+        now.write.mode("overwrite").parquet(f"{base}/totals/{number}")
+        done.append(number)
+
+    q = joined.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{base}/totals/{done[-1]}")

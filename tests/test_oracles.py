@@ -5,7 +5,6 @@ import pytest
 from strideframe.plans.catalog import all_queries
 from strideframe.plans.oracle_check import duck, rows_of
 
-SLOW = {"m1_random_forest", "m2_boosted_trees", "m3_mlp", "m4_cross_validation", "m5_grid_search", "m6_random_search"}
 QUERIES = sorted(n for n, q in all_queries().items() if q.sql is not None)
 
 
