@@ -30,6 +30,8 @@ HEADLINE = [
     "e7_roc_auc",
     "x6_ab_result",
     "r8_early_stop",
+    "m1_random_forest",
+    "m2_boosted_trees",
 ]
 
 

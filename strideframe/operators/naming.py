@@ -15,8 +15,14 @@ from pyspark.sql import functions as F
 from strideframe.functions.hashing import hash_normal
 from strideframe.functions.ranking import bucketed_rank
 
-# Feature subsets and importance groups of the reference.
-SUBSETS = ["all", "time", "body_acc", "gyro"]
+# The rule of each feature subset (``any`` name, a ``prefix``, or a text that the name ``contains``).
+SUBSETS = {
+    "all": ("any", ""),
+    "time": ("prefix", "t"),
+    "body_acc": ("contains", "BodyAcc"),
+    "gyro": ("contains", "Gyro"),
+}
+# Importance groups and the texts that place a name in them.
 IMPORTANCE_GROUPS = {
     "body_acceleration": ["tBodyAcc", "fBodyAcc"],
     "gravity_acceleration": ["tGravityAcc"],
@@ -27,7 +33,9 @@ IMPORTANCE_GROUPS = {
     "std_features": ["-std()"],
     "frequency_domain": ["fBody"],
 }
+# Statistic tokens of feature names.
 FEATURE_KINDS = ["mean()", "std()", "mad()", "max()", "min()", "energy()", "entropy()"]
+# Domains and sensors by name.
 SENSOR_KINDS = {
     "time_domain": ("prefix", "t"),
     "frequency_domain": ("prefix", "f"),
@@ -37,41 +45,28 @@ SENSOR_KINDS = {
 }
 
 
+def _subset_rule(subset: str) -> tuple[str, str]:
+    if subset not in SUBSETS:
+        raise ValueError(f"{subset!r} is not a feature subset; known: {', '.join(SUBSETS)}")
+    return SUBSETS[subset]
+
+
 def subset_predicate(name: Column, subset: str) -> Column:
-    """``all``; ``time`` = starts with ``t``; ``body_acc`` = contains ``BodyAcc``; ``gyro`` = contains ``Gyro``."""
-    if subset == "all":
-        return F.lit(True)
-    if subset == "time":
-        return name.startswith("t")
-    if subset == "body_acc":
-        return name.contains("BodyAcc")
-    if subset == "gyro":
-        return name.contains("Gyro")
-    raise ValueError(f"Unknown feature_subset: {subset}")
+    """Whether a name belongs to a subset of ``SUBSETS``."""
+    how, text = _subset_rule(subset)
+    return F.lit(True) if how == "any" else name.startswith(text) if how == "prefix" else name.contains(text)
 
 
 def select_subset(df: DataFrame, subset: str) -> DataFrame:
-    """P1 on a wide frame: keep the columns whose names pass the subset rule (driver-side names)."""
-    subset_predicate(F.lit(""), subset)  # validates the name
-    if subset == "all":
-        return df
-    test = {
-        "time": lambda c: c.startswith("t"),
-        "body_acc": lambda c: "BodyAcc" in c,
-        "gyro": lambda c: "Gyro" in c,
-    }[subset]
-    return df.select([c for c in df.columns if test(c)])
+    """P1 on a wide frame: keep the columns whose names pass the subset's rule (driver-side names)."""
+    how, text = _subset_rule(subset)
+    keep = [c for c in df.columns if how == "any" or (c.startswith(text) if how == "prefix" else text in c)]
+    return df.select(keep)
 
 
 def matching_subsets(name: Column) -> Column:
     """Array of the P1 subsets a name belongs to."""
-    return F.filter(
-        F.array(*[F.lit(s) for s in SUBSETS]),
-        lambda s: (s == "all")
-        | ((s == "time") & name.startswith("t"))
-        | ((s == "body_acc") & name.contains("BodyAcc"))
-        | ((s == "gyro") & name.contains("Gyro")),
-    )
+    return F.array_compact(F.array(*[F.when(subset_predicate(name, s), F.lit(s)) for s in SUBSETS]))
 
 
 def importance_groups(name: Column) -> Column:

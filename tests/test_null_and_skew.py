@@ -194,3 +194,13 @@ def test_checkpoint_folder_needs_a_setting_off_local_masters(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Fake())
+
+
+def test_subsets_of_a_wide_frame(spark):
+    df = spark.createDataFrame([(1.0,) * 4], "`tBodyAcc-X` double, `fBodyAcc-X` double, `tGyro-Y` double, angle double")
+    assert naming.select_subset(df, "all").columns == df.columns
+    assert naming.select_subset(df, "time").columns == ["tBodyAcc-X", "tGyro-Y"]
+    assert naming.select_subset(df, "body_acc").columns == ["tBodyAcc-X", "fBodyAcc-X"]
+    assert naming.select_subset(df, "gyro").columns == ["tGyro-Y"]
+    with pytest.raises(ValueError):
+        naming.select_subset(df, "other")
