@@ -106,15 +106,11 @@ def token_counts(names: DataFrame, tokens: str) -> DataFrame:
     return each.groupBy("kind").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "kind")
 
 
-def sensor_counts(names: DataFrame, name: str) -> DataFrame:
-    """P5: names per domain (prefix) and sensor (substring)."""
+def sensor_counts(names: DataFrame, name: str, kinds: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """P5: one row with the number of names per rule (``prefix`` or ``contains`` a text; domains and sensors by default)."""
     n = F.col(name)
-    return names.agg(
-        *[
-            F.count_if(n.startswith(v) if how == "prefix" else n.contains(v)).alias(k)
-            for k, (how, v) in SENSOR_KINDS.items()
-        ]
-    )
+    rules = SENSOR_KINDS if kinds is None else kinds
+    return names.agg(*[F.count_if(n.startswith(v) if how == "prefix" else n.contains(v)).alias(k) for k, (how, v) in rules.items()])
 
 
 def dedupe_names(names: DataFrame, name: str, order: str, range_bits: int = 12) -> DataFrame:

@@ -212,3 +212,17 @@ def p4_token_counts(spark, d):
     """P4 over a real name column: in how many distinct names each of its words occurs."""
     names = table(spark, d, "part").select(F.split("p_name", " ").alias("words")).distinct()
     return naming.token_counts(names, "words")
+
+
+PART_KINDS = {"red": ("prefix", "red "), "blue": ("prefix", "blue "), "bolts": ("contains", "bolt"), "rings": ("contains", "ring")}
+
+
+@register(
+    "p5_part_counts",
+    "SELECT "
+    + ", ".join(f"count_if({'starts_with' if how == 'prefix' else 'contains'}(p_name, '{v}')) AS {k}" for k, (how, v) in PART_KINDS.items())
+    + " FROM part",
+)
+def p5_part_counts(spark, d):
+    """P5 over a real name column, with its own rules."""
+    return naming.sensor_counts(table(spark, d, "part"), "p_name", PART_KINDS)
