@@ -9,8 +9,6 @@ whose ``d x d`` result is schema-sized, not data-sized.  Univariate scores
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Correlation

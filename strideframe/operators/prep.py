@@ -7,8 +7,6 @@ those parameters as literals, so applying a fit never shuffles or joins.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

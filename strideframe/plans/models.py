@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from strideframe.operators import learn, prep, scoring, splits
 from strideframe.plans.catalog import register, with_ctes
 from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_SCORED, SQL_SCORED_PROB, scored, scored_prob, table
-from strideframe.plans.evaluation import CMP_COLS, SQL_COMPARE, SQL_TWO_MODELS, _two_models
+from strideframe.plans.evaluation import SQL_COMPARE, SQL_TWO_MODELS, _two_models
 from strideframe.operators import evaluate as ev
 from strideframe.plans.prep import TEST, VAL_OF_REST, _d, _h
 from strideframe.session import checkpoint_dir

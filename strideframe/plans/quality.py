@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 
 from strideframe.functions.sizing import broadcast_if_small
 from strideframe.operators import quality
-from strideframe.plans.catalog import register, with_ctes
-from strideframe.plans.derived import SQL_SERIES, TAB_COLUMNS, table
+from strideframe.plans.catalog import register
+from strideframe.plans.derived import TAB_COLUMNS, table
 
 # The market-segment dictionary of the customer table.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]

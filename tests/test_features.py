@@ -1,10 +1,7 @@
-import math
-
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from strideframe.operators import freqfeat, timefeat
+from strideframe.operators import freqfeat
 
 
 def _one_window(spark, cols: dict[str, list[float]]):
