@@ -15,14 +15,16 @@ Jaccard similarity of the shingle sets).
    agree with probability J_P.
 2. Copies.  Documents with equal bags form a class; its least row stands for it.
 3. Banding.  Representatives whose signatures agree in a whole band share a
-   bucket.  Each is compared with the bucket's least member first; verified
-   links are joined to components.  Buckets that then still hold several
-   components are searched whole: members are dealt in blocks, signatures are
-   compared in numpy, and pairs of different components whose signatures agree
-   in ``LEAST_AGREE`` registers are verified.  So a group of thousands of near
-   copies costs one pair for each, yet no candidate pair between different
-   components goes unchecked.
-4. Verification computes J_P from the shingles themselves.
+   bucket.  Each is compared with the bucket's least member first; pairs that
+   agree in at least ``LEAST_AGREE`` registers are verified, and the links are
+   joined to components.  Buckets that then still hold several components are
+   searched whole: members are dealt in blocks, and within a pair of blocks the
+   members of different components that agree enough are verified where they
+   are, so only links leave the block.  A group of thousands of near copies
+   costs one pair for each, and no candidate pair between different components
+   goes unchecked.
+4. Verification computes J_P from the shingles themselves; only the texts of
+   candidates are shingled again, so no bags of the whole corpus are stored.
 
 At similarity 0.8 a pair shares no bucket with probability 2e-4 and agrees in
 fewer than ``LEAST_AGREE`` registers with probability 3e-5.
@@ -48,7 +50,7 @@ from pyspark.sql import functions as F
 from strideframe.functions.sizing import broadcast_if_small
 from strideframe.llm import packed
 from strideframe.llm.components import components
-from strideframe.llm.stored import Scratch, unused
+from strideframe.llm.stored import Scratch, small_batches, unused
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -57,8 +59,12 @@ BAND = 4
 LEAST_AGREE = 38
 #: members of a bucket that are compared in one task call
 BLOCK = 1024
+#: shingles of those members, so that long texts make smaller blocks
+BLOCK_SHINGLES = 1_000_000
 #: rows of a slice while signing
 ROWS = 2048
+#: 64-bit keys that are handed to all tasks; more are joined by shuffle
+MAX_BROADCAST_KEYS = 500_000
 
 _U = np.uint64
 _LOW48 = _U((1 << 48) - 1)
@@ -116,40 +122,81 @@ def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.nda
     return float((1.0 / bottom).sum())
 
 
-_SIGNED = "row long, doc_id long, text_key string, n int, digest binary, signature binary, shingles binary, weights binary"
+_SIGNED = "row long, doc_id long, text_key string, n int, digest binary, signature binary"
 
 
 def _sign(docs: DataFrame) -> DataFrame:
+    """Number of shingles, digest of the bag and signature of each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("neardup")
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 for part, data, offs in packed.slices(batch.slice(at, ROWS), "text"):
                     sh, n, rows = bags(data, offs)
                     sig = signatures(sh, n, rows)
-                    count = np.diff(rows)
                     raw = data.tobytes()
-                    digests, sigs, weights = [], [], []
+                    digests, sigs = [], []
                     for i in range(part.num_rows):
                         a, b = rows[i], rows[i + 1]
                         if a == b:
                             text = raw[offs[i] : offs[i + 1]]
                             digests.append(hashlib.blake2b(text, digest_size=16, key=b"text").digest() if text else None)
                             sigs.append(None)
-                            weights.append(None)
                         else:
-                            w = n[a:b].astype("<u4").tobytes() if (n[a:b] > 1).any() else None
-                            digests.append(hashlib.blake2b(sh[a:b].tobytes() + (w or b""), digest_size=16).digest())
+                            w = n[a:b].astype("<u4").tobytes() if (n[a:b] > 1).any() else b""
+                            digests.append(hashlib.blake2b(sh[a:b].tobytes() + w, digest_size=16).digest())
                             sigs.append(sig[i].tobytes())
-                            weights.append(w)
-                    cols = [part.column("row"), part.column("doc_id"), part.column("text_key"), pa.array(count.astype(np.int32)), pa.array(digests, pa.binary())]
-                    cols += [pa.array(sigs, pa.binary()), packed.binary_rows(sh, rows), pa.array(weights, pa.binary())]
+                    cols = [part.column(c) for c in ("row", "doc_id", "text_key")]
+                    cols += [pa.array(np.diff(rows).astype(np.int32)), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())]
                     yield pa.RecordBatch.from_arrays(cols, names=[f.partition(" ")[0] for f in _SIGNED.split(", ")])
 
     return docs.mapInArrow(run, _SIGNED)
 
 
-def _verified(pairs: DataFrame, bags_of: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` whose similarity is at least ``SIMILAR``, with it."""
+def _bags(docs: DataFrame) -> DataFrame:
+    """``bag_key`` and the packed bag of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                for part, data, offs in packed.slices(batch.slice(at, ROWS), "text"):
+                    sh, n, rows = bags(data, offs)
+                    weights = [n[a:b].astype("<u4").tobytes() if (n[a:b] > 1).any() else None for a, b in zip(rows[:-1], rows[1:], strict=True)]
+                    cols = [part.column("bag_key"), packed.binary_rows(sh, rows), pa.array(weights, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(cols, names=["bag_key", "shingles", "weights"])
+
+    return docs.mapInArrow(run, "bag_key long, shingles binary, weights binary")
+
+
+def _agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs whose signatures agree in at least ``LEAST_AGREE`` registers, with the keys of their bags."""
+    left = reps.select(F.col("rep").alias("u"), F.col("signature").alias("s"), F.col("bag_key").alias("key_u"))
+    right = reps.select(F.col("rep").alias("v"), F.col("signature").alias("t"), F.col("bag_key").alias("key_v"))
+    kept = ["u", "v", "key_u", "key_v"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, REGISTERS) for c in ("s", "t"))
+            at = pa.array(np.flatnonzero((a == b).sum(axis=1) >= LEAST_AGREE))
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in kept], names=kept)
+
+    return pairs.join(right, "v").join(left, "u").mapInArrow(run, "u long, v long, key_u long, key_v long")
+
+
+def _bags_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """The bags of the wanted keys: only these texts are read again and shingled."""
+    texts = docs.withColumn("bag_key", F.xxhash64("doc_id", "text_key")).select("bag_key", "text")
+    found = _bags(texts.join(broadcast_if_small(wanted.distinct(), MAX_BROADCAST_KEYS), "bag_key", "left_semi"))
+    return found.dropDuplicates(["bag_key"])  # repeated rows have equal keys and bags
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs ``u, v, key_u, key_v`` whose similarity is at least ``SIMILAR``, with it.
+
+    Only the texts of candidates are read again and shingled; each bag moves
+    once, and once more for each pair.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,41 +214,76 @@ def _verified(pairs: DataFrame, bags_of: DataFrame) -> DataFrame:
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("u").take(at), batch.column("v").take(at), pa.array(values, pa.float64())], names=["u", "v", "similarity"])
 
-    left = bags_of.select(F.col("row").alias("u"), "shingles", "weights")
-    right = bags_of.select(F.col("row").alias("v"), F.col("shingles").alias("shingles_v"), F.col("weights").alias("weights_v"))
-    return pairs.join(right, "v").join(left, "u").mapInArrow(run, "u long, v long, similarity double")
-
-
-def _within_buckets(members: DataFrame) -> DataFrame:
-    """Pairs of different components inside the buckets whose signatures agree in enough registers."""
-    size = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("component").alias("a"), F.max("component").alias("b"))
-    mixed = size.filter("a <> b and size > 2").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    bags_of = _bags_of(pairs.select(F.explode(F.array("key_u", "key_v")).alias("bag_key")), docs)
+    left = bags_of.withColumnRenamed("bag_key", "key_u")
+    right = bags_of.select(F.col("bag_key").alias("key_v"), F.col("shingles").alias("shingles_v"), F.col("weights").alias("weights_v"))
+    return pairs.join(right, "key_v").join(left, "key_u").mapInArrow(run, "u long, v long, similarity double")
+
+
+_PLACED = "bucket long, p int, q int, block int, rep long, component long, signature binary, bag_key long"
+
+
+def _candidates(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of the left block with the rows of the right block that are in other components and agree enough."""
+    block = table.column("block").to_numpy()
+    comp = table.column("component").to_numpy()
+    p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
+    sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, REGISTERS)
+    left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
+    for k, i in enumerate(left.tolist()):
+        others = right[k + 1 :] if p == q else right
+        others = others[comp[others] != comp[i]]
+        near = others[(sig[others] == sig[i]).sum(axis=1) >= LEAST_AGREE]
+        if len(near):
+            yield i, near
+
+
+def _suspects(table: pa.Table) -> pa.Table:
+    """The rows that are in a candidate pair."""
+    seen = np.zeros(table.num_rows, bool)
+    for i, near in _candidates(table):
+        seen[i] = True
+        seen[near] = True
+    return table.filter(pa.array(seen))
+
+
+def _links_inside(table: pa.Table) -> pa.Table:
+    """The candidate pairs whose similarity is at least ``SIMILAR``."""
+    rep = table.column("rep").to_numpy()
+    bag = [np.frombuffer(x, _U) for x in table.column("shingles").to_pylist()]
+    weight = [None if x is None else np.frombuffer(x, "<u4") for x in table.column("weights").to_pylist()]
+    size = np.array([len(x) for x in bag])
+    starts = np.cumsum(size) - size
+    values, code = np.unique(np.concatenate(bag), return_inverse=True)
+    held = np.zeros(len(values), np.int64)
+    found: list[tuple[int, int, float]] = []
+    for i, near in _candidates(table):
+        own = code[starts[i] : starts[i] + size[i]]
+        held[own] = 1
+        shared = np.add.reduceat(held[code], starts)[near]
+        held[own] = 0
+        score = shared / (size[i] + size[near] - shared)
+        for j, plain in zip(near.tolist(), score.tolist(), strict=True):
+            if weight[i] is not None or weight[j] is not None:
+                x, y = (np.ones(size[k], np.uint32) if weight[k] is None else weight[k] for k in (i, j))
+                plain = probability_jaccard(bag[i], x, bag[j], y)
+            if plain >= SIMILAR - 1e-12:
+                found.append((min(rep[i], rep[j]), max(rep[i], rep[j]), plain))
+    u, v, near = zip(*found, strict=True) if found else ((), (), ())
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "similarity": pa.array(near, pa.float64())})
+
+
+def _placed(members: DataFrame) -> DataFrame:
+    """Members of buckets with several components, dealt to pairs of blocks."""
+    size = members.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.sum("n").alias("volume"), F.min("component").alias("a"), F.max("component").alias("b")
+    )
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("volume") / BLOCK_SHINGLES)).cast("int")
+    mixed = size.filter("a <> b and size > 2").select("bucket", blocks.alias("blocks"))
     placed = members.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "bucket", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "rep", "component", "signature"
-    )
-
-    def run(table: pa.Table) -> pa.Table:
-        block = table.column("block").to_numpy()
-        rep = table.column("rep").to_numpy()
-        comp = table.column("component").to_numpy()
-        p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
-        sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, REGISTERS)
-        left = np.flatnonzero(block == p)
-        right = np.flatnonzero(block == q)
-        us, vs = [], []
-        for k, i in enumerate(left.tolist()):
-            others = right[k + 1 :] if p == q else right
-            others = others[comp[others] != comp[i]]
-            near = others[(sig[others] == sig[i]).sum(axis=1) >= LEAST_AGREE]
-            us.append(np.full(len(near), rep[i]))
-            vs.append(rep[near])
-        u = np.concatenate([*us, np.zeros(0, np.int64)]).astype(np.int64)
-        v = np.concatenate([*vs, np.zeros(0, np.int64)]).astype(np.int64)
-        return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
-
-    return dealt.groupBy("bucket", "p", "q").applyInArrow(run, "u long, v long").distinct()
+    p, q = F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")
+    return dealt.select("bucket", p, q, "block", "rep", "component", "signature", "bag_key")
 
 
 def _labelled(reps: DataFrame, edges: DataFrame) -> DataFrame:
@@ -218,24 +300,27 @@ def find_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     stays``; ``links`` has the verified links ``u, v, similarity`` between the
     rows that stand for groups of copies.
     """
-    store = Scratch(docs.sparkSession, "neardup")
+    store = Scratch(small_batches(docs).sparkSession, "neardup")
     key = F.md5(F.col("text").cast("binary")).alias("text_key")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), key, "text")
     signed = store.write(_sign(rows), "signed")
     # copies: the least row of each digest stands for all
-    groups = signed.filter("digest is not null").groupBy("digest").agg(F.min(F.struct("row", "signature")).alias("r"))
-    reps = store.write(groups.select("digest", F.col("r.row").alias("rep"), F.col("r.signature").alias("signature")), "reps")
+    member = F.struct("row", "signature", "n", F.xxhash64("doc_id", "text_key").alias("bag_key"))
+    groups = signed.filter("digest is not null").groupBy("digest").agg(F.min(member).alias("r"))
+    reps = store.write(groups.select("digest", F.col("r.row").alias("rep"), "r.n", "r.signature", "r.bag_key"), "reps")
     bands = [F.xxhash64(F.lit(b), F.substring("signature", 4 * BAND * b + 1, 4 * BAND)) for b in range(REGISTERS // BAND)]
     banded = reps.filter("signature is not null").select("rep", F.explode(F.array(*bands)).alias("bucket"))
     heads = banded.groupBy("bucket").agg(F.min("rep").alias("head"), F.count("*").alias("size")).filter("size > 1").select("bucket", "head")
     in_buckets = store.write(banded.join(heads, "bucket"), "buckets")
     stars = in_buckets.filter("rep <> head").select(F.col("head").alias("u"), F.col("rep").alias("v")).distinct()
-    bags_of = signed.select("row", "shingles", "weights")
-    links = store.write(_verified(stars, bags_of), "star-links")
+    near = store.write(_agreeing(stars, reps), "near-stars")
+    links = store.write(_verified(near, rows), "star-links")
     labels = _labelled(reps, links.select("u", "v"))
-    mixed = in_buckets.join(labels, "rep").select("bucket", "rep", "component").join(reps.select("rep", "signature"), "rep")
-    rest = store.write(_within_buckets(mixed), "bucket-pairs")
-    more = store.write(_verified(rest, bags_of), "bucket-links")
+    members = in_buckets.join(labels, "rep").select("bucket", "rep", "component").join(reps.select("rep", "n", "signature", "bag_key"), "rep")
+    suspects = store.write(_placed(members).groupBy("bucket", "p", "q").applyInArrow(_suspects, _PLACED), "suspects")
+    with_bags = suspects.join(_bags_of(suspects.select("bag_key"), rows), "bag_key")
+    inside = with_bags.groupBy("bucket", "p", "q").applyInArrow(_links_inside, "u long, v long, similarity double")
+    more = store.write(inside.dropDuplicates(["u", "v"]), "bucket-links")
     links = store.write(links.unionByName(more).dropDuplicates(["u", "v"]), "links")
     if not more.isEmpty():
         labels = _labelled(reps, links.select("u", "v"))
@@ -259,10 +344,6 @@ def report(docs: DataFrame) -> DataFrame:
     return members.select("doc_id", "class_id", "class_size", "stays")
 
 
-#: keys of leaving rows that are handed to all tasks; more are joined by shuffle
-MAX_BROADCAST_KEYS = 500_000
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one of each class, with all columns.
 

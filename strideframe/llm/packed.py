@@ -11,7 +11,7 @@ A null text is an empty text everywhere.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,17 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 _pow = np.ones(1, _U)
 _inv = np.ones(1, _U)
 
+_held: dict[str, object] = {}
+
+
+def held(owner: str, make: Callable[[], object] = lambda: None) -> object:
+    """State that a Python worker keeps between tasks; what other operators kept is let go."""
+    if owner not in _held:
+        _held.clear()
+        _held[owner] = make()
+    return _held[owner]
+
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 

@@ -9,6 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from strideframe.session import checkpoint_dir
 
 
+#: bytes of an Arrow batch that goes to a Python worker and back
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound the Arrow batches of ``df``'s session by bytes, and return ``df``.
+
+    Rows of text differ in size a thousandfold; the default of 64 MB is held by
+    the executor and by its Python worker, going and coming, for each task.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def unused(name: str, df: DataFrame) -> str:
     """``name``, with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
