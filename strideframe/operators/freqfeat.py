@@ -34,6 +34,10 @@ EPS = 1e-10
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def rfft_magnitude(values: pd.Series) -> pd.Series:
     """|rfft(x)| of every window in the batch (windows of equal length are stacked)."""
+    lengths = values.map(len, na_action="ignore")
+    if len(values) and lengths.notna().all() and lengths.nunique() == 1 and lengths.iloc[0]:
+        # the usual batch: windows of one length, stacked at once
+        return pd.Series(list(np.abs(np.fft.rfft(np.stack(values.to_numpy()).astype(np.float64), axis=1))))
     out = [None] * len(values)
     by_len: dict[int, list[int]] = {}
     for i, v in enumerate(values):
@@ -165,9 +169,6 @@ def extract_window_features(
                 (f"_s_{a}", F.array_sort(f"_v_{a}")),
             )}
         )
-        grouped = grouped.withColumns(
-            {f"_h_{a}": timefeat.histogram_counts(F.col(f"_v_{a}"), F.col(f"_mn_{a}"), F.col(f"_mx_{a}")) for a in axes}
-        )
     out: list[Column] = [F.col(key), F.col("window_id")]
     if time_domain:
         for a in axes:
@@ -179,9 +180,7 @@ def extract_window_features(
             out.append(timefeat.zero_crossing_rate(v, centre).alias(f"zcr_{a}"))
             out.append(F.col(f"energy_{a}"))
             out.append((timefeat.sorted_quantile(srt, n, 0.75) - timefeat.sorted_quantile(srt, n, 0.25)).alias(f"iqr_{a}"))
-            out.append(
-                timefeat.entropy_from_counts(F.col(f"_h_{a}"), F.col(f"_n_{a}"), F.col(f"_mx_{a}") == F.col(f"_mn_{a}")).alias(f"entropy_{a}")
-            )
+            out.append(timefeat.entropy_of_sorted(srt, F.col(f"_mn_{a}"), F.col(f"_mx_{a}"), n).alias(f"entropy_{a}"))
         out += [F.col("sma"), F.col("magnitude_mean"), F.col("magnitude_std")]
     if frequency_domain:
         for a in axes:

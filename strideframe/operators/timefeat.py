@@ -44,38 +44,32 @@ def zero_crossing_rate(values: Column, mean: Column | None = None) -> Column:
     return F.when(n < 2, F.lit(0.0)).otherwise(changes / (n - 1))
 
 
-def histogram_counts(values: Column, mn: Column, mx: Column, bins: int = ENTROPY_BINS) -> Column:
-    """Counts of ``bins`` equal-width bins over ``[mn, mx]`` (last bin closed): one fold over the values.
+def entropy_of_sorted(sorted_values: Column, mn: Column, mx: Column, n: Column, bins: int = ENTROPY_BINS) -> Column:
+    """T5: ``-sum(p * ln(p + 1e-10))`` over the non-empty of ``bins`` equal-width bins; a constant window is 0.
 
-    Bin of ``v`` = ``least(floor((v - mn) / (mx - mn) * bins), bins - 1)``; ``mn``,
-    ``mx`` and ``values`` must be materialised columns.
+    Bin of ``v`` = ``least(floor((v - mn) / (mx - mn) * bins), bins - 1)``.  One
+    fold over the sorted samples: equal bins stand next to each other, so the
+    fold keeps the current bin and its run and adds a term when the bin changes.
     """
-    zero = F.array_repeat(F.lit(0), bins)
-    return F.aggregate(
-        values,
-        zero,
-        lambda acc, v: F.transform(
-            acc,
-            lambda cnt, j: cnt
-            + F.when(F.least(F.floor((v - mn) / (mx - mn) * bins), F.lit(bins - 1)) == j, F.lit(1)).otherwise(F.lit(0)),
-        ),
-    )
 
+    def bin_of(v: Column) -> Column:
+        return F.least(F.floor((v - mn) / (mx - mn) * bins), F.lit(bins - 1)).cast("int")
 
-def entropy_from_counts(counts: Column, n: Column, constant: Column) -> Column:
-    """T5: ``-sum(p * ln(p + 1e-10))`` over non-empty bins; a constant window (``constant``) is 0."""
-    ent = -F.aggregate(
-        counts,
-        F.lit(0.0),
-        lambda acc, c: acc + F.when(c > 0, (c / n) * F.log(c / n + F.lit(EPS))).otherwise(F.lit(0.0)),
-    )
-    return F.when(constant, F.lit(0.0)).otherwise(ent)
+    def term(run: Column) -> Column:
+        return F.when(run > 0, (run / n) * F.log(run / n + F.lit(EPS))).otherwise(F.lit(0.0))
 
+    def step(acc: Column, v: Column) -> Column:
+        b = bin_of(v)
+        same = acc["bin"] == b
+        return F.struct(
+            b.alias("bin"),
+            F.when(same, acc["run"] + 1).otherwise(F.lit(1)).alias("run"),
+            F.when(same, acc["sum"]).otherwise(acc["sum"] + term(acc["run"])).alias("sum"),
+        )
 
-def histogram_entropy(values: Column, bins: int = ENTROPY_BINS) -> Column:
-    """T5 on an array expression (convenience form; the extractor uses the staged columns)."""
-    mn, mx = F.array_min(values), F.array_max(values)
-    return entropy_from_counts(histogram_counts(values, mn, mx, bins), F.size(values), mx == mn)
+    start = F.struct(F.lit(-1).alias("bin"), F.lit(0).alias("run"), F.lit(0.0).alias("sum"))
+    total = F.aggregate(sorted_values, start, step, lambda acc: -(acc["sum"] + term(acc["run"])))
+    return F.when(mx == mn, F.lit(0.0)).otherwise(total)
 
 
 def axis_aggregates(axis: str) -> list[Column]:
