@@ -20,7 +20,7 @@ is row-wise, so ties, repeated rows, null ids and further columns pass through.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.llm import packed
+from strideframe.llm.stored import small_batches
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: text encoded at a time: the more, the fewer distinct words
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 8 << 20
 
 #: Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -76,7 +77,8 @@ def load_vocabulary(path: str) -> dict:
 
 
 class PairIndexEncoder:
-    def __init__(self, vocabulary: dict):
+    def __init__(self, vocabulary: dict, cache_words: int = CACHE_WORDS):
+        self.cache_words = cache_words
         self.tokens = vocabulary["tokens"]
         self.special = {s: int(i).to_bytes(4, "little") for s, i in vocabulary["special"].items()}
         self.byte_ids = vocabulary["bytes"]
@@ -184,10 +186,9 @@ class PairIndexEncoder:
         once; other texts are cut into their pre-tokens.
         """
         for cache in (self.known, self.known_after_space):
-            if len(cache) > CACHE_WORDS:
+            if len(cache) > self.cache_words:
                 cache.clear()
-        if not self.known:
-            self.known.update(self.special)
+        self.known.update(self.special)
         odd = pc.match_substring_regex(texts, r"[\s\pZ\x0b\x1c-\x1f\x85] ").to_numpy(zero_copy_only=False)
         for name in self.special:
             odd = odd | pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
@@ -251,20 +252,15 @@ def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray, codes: np.nda
     """Join the pieces ``flat[start[c]:start[c] + size[c]]`` for each code; offsets of rows of codes become offsets of items."""
     n = size[codes]
     ends = np.concatenate([[0], np.cumsum(n)])
-    shift = np.repeat(start[codes] - ends[:-1], n)
-    shift += np.arange(len(shift))
+    kind = np.int32 if max(int(ends[-1]), len(flat)) < 1 << 31 else np.int64
+    shift = np.repeat((start[codes] - ends[:-1]).astype(kind), n)
+    shift += np.arange(len(shift), dtype=kind)
     return flat[shift], ends[offs]
 
 
-_ENCODERS: dict[int, PairIndexEncoder] = {}
-
-
-def _encoder(shared) -> PairIndexEncoder:
+def _encoder(shared, cache_words: int = CACHE_WORDS) -> PairIndexEncoder:
     """One encoder for each worker process and broadcast vocabulary."""
-    if shared.id not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[shared.id] = PairIndexEncoder(shared.value)
-    return _ENCODERS[shared.id]
+    return packed.held(f"bpe {shared.id}", lambda: PairIndexEncoder(shared.value, cache_words))
 
 
 class _Shared:
@@ -282,24 +278,36 @@ class _Shared:
         return self.handle.value
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", decoded: bool = True) -> DataFrame:
-    """Add ``bpe_n`` (long), ``bpe_ids`` (binary, little-endian 32-bit ids) and, if asked, ``bpe_text`` (their decoding).
+def encode(
+    docs: DataFrame,
+    tokenizer_path: str,
+    text: str = "text",
+    decoded: bool = True,
+    as_array: bool = False,
+    cache_words: int = CACHE_WORDS,
+    slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
+    """Add ``bpe_n`` (long), ``bpe_ids`` (binary, little-endian 32-bit ids, or an array of ints) and, if asked, ``bpe_text`` (their decoding).
 
     Columns of those names in ``docs`` are replaced; all others are kept.
+    ``cache_words`` (encodings a worker keeps) and ``slice_bytes`` (text encoded
+    at a time) trade memory for time; results do not depend on them.
     """
+    small_batches(docs)
     shared = _Shared(docs.sparkSession, load_vocabulary(tokenizer_path))
     added = ["bpe_n", "bpe_ids", "bpe_text"] if decoded else ["bpe_n", "bpe_ids"]
     kept = docs.drop(*[c for c in docs.columns if c.lower() in added and c.lower() != text.lower()])
-    kinds = {"bpe_n": T.LongType(), "bpe_ids": T.BinaryType(), "bpe_text": T.StringType()}
+    kinds = {"bpe_n": T.LongType(), "bpe_ids": T.ArrayType(T.IntegerType()) if as_array else T.BinaryType(), "bpe_text": T.StringType()}
     schema = T.StructType([*kept.schema.fields, *[T.StructField(c, kinds[c]) for c in added]])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(shared)
+        coder = _encoder(shared, cache_words)
         for batch in batches:
-            for part, _, _ in packed.slices(batch, text, SLICE_BYTES):
+            for part, _, _ in packed.slices(batch, text, slice_bytes):
                 ids, offs = coder.encode_column(part.column(text).fill_null(""))
-                cols = [*part.columns, pa.array(np.diff(offs)), packed.binary_rows(ids, offs)]
+                found = packed.list_column(ids.astype(np.int32), offs, pa.int32()) if as_array else packed.binary_rows(ids, offs)
+                cols = [*part.columns, pa.array(np.diff(offs)), found]
                 if decoded:
                     cols.append(coder.decode_column(ids, offs))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
@@ -307,20 +315,6 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", decoded: bo
     return kept.mapInArrow(run, schema)
 
 
-def unpack_ids(df: DataFrame, ids: str = "bpe_ids", out: str = "ids") -> DataFrame:
-    """Replace packed ids by an array of ints."""
-    schema = T.StructType([f for f in df.schema.fields if f.name != ids] + [T.StructField(out, T.ArrayType(T.IntegerType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offs = packed.text_bytes(batch.column(ids).fill_null(b""))
-            cols = [batch.column(f.name) for f in schema.fields[:-1]]
-            cols.append(packed.list_column(np.frombuffer(data.tobytes(), "<i4"), offs // 4, pa.int32()))
-            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
-
-    return df.mapInArrow(run, schema)
-
-
 def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """Add the decoded text of an array of ids; null ids give an empty text."""
     shared = _Shared(df.sparkSession, load_vocabulary(tokenizer_path))

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from strideframe.llm import packed
 from strideframe.llm.langid import remainder
-from strideframe.llm.stored import written
+from strideframe.llm.stored import small_batches, written
 
 UNITS = 1024
 OWN_UNITS = 511  # unit 0 is the end token, 1..511 frequent words, the rest endings
@@ -220,7 +220,7 @@ class Model:
 
 def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     """The model, and the written table of all word counts (``word, unit, n, frequent``)."""
-    spark = train.sparkSession
+    spark = small_batches(train).sparkSession
     counts = written(word_counts(train), "word-counts")
     whole = counts.agg(F.sum("n"), F.count("*")).first()
     total, distinct = int(whole[0] or 0), int(whole[1])
@@ -255,7 +255,7 @@ _ROW = "brown_row_"
 
 def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """Every row of ``docs`` without its text, with ``n_tokens, n_known, base_score, score``."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     added = ("n_tokens", "n_known", "base_score", "score", "part_", "rare_", _ROW)
     kept = docs.drop(*[c for c in docs.columns if c.lower() in added]).withColumn(_ROW, F.monotonically_increasing_id())
     fields = [f for f in kept.schema.fields if f.name != "text"]
@@ -268,6 +268,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     log_c = np.log10
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("brown")
         m = shared.value
         for batch in batches:
             for part, data, offs in packed.slices(batch, "text"):

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.llm import packed
-from strideframe.llm.stored import Scratch, unused
+from strideframe.llm.stored import Scratch, small_batches, unused
 
 WINDOW = 16
 MASK_BITS = 4
@@ -95,6 +95,7 @@ def _chunked(docs: DataFrame) -> DataFrame:
     schema = T.StructType([*kept.schema.fields, *T._parse_datatype_string("chars_ long, digests_ array<long>, ends_ array<int>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("chunks")
         for batch in batches:
             for part, data, offs in packed.slices(batch, "text"):
                 ends = cuts(data, offs)
@@ -160,7 +161,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
 
     Columns of those names are replaced.
     """
-    store = Scratch(docs.sparkSession, "chunks")
+    store = Scratch(small_batches(docs).sparkSession, "chunks")
     added = ("n_chars", "n_chunks", "n_repeated", "repeated", "removed", "row_", "chars_", "digests_", "ends_", "found")
     kept = docs.drop(*[c for c in docs.columns if c.lower() in added])
     keys = [c for c in kept.columns if c != "text"]

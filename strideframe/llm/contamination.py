@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from strideframe.functions.sizing import broadcast_if_small
 from strideframe.llm import packed
-from strideframe.llm.stored import unused
+from strideframe.llm.stored import small_batches, unused
 from strideframe.session import checkpoint_dir
 
 WINDOW = 10
@@ -85,6 +85,7 @@ def _occurrences(docs: DataFrame, wanted, reach: int, sizes: list[int]) -> DataF
     arrow = pa.list_(pa.struct([("pos", pa.int32()), ("shingle", pa.int64()), ("before", pa.int32()), ("words", pa.list_(pa.string()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("contamination")
         hashes_wanted = wanted.value
         # a bitmap over 24 bits of the hash answers almost all questions
         coarse = np.zeros(1 << 24, bool)
@@ -128,6 +129,7 @@ def find_contaminated(
 ) -> DataFrame:
     """Every row of ``docs`` with ``n_words``, ``n_hit`` and ``items``; its text is dropped."""
     checkpoint_dir(spark)
+    small_batches(docs)
     windows = _windows(benchmark, window, shingle).checkpoint()
     unique = windows.select("words", "shingles").distinct().withColumn("win", F.sha2(F.concat_ws(" ", "words"), 256))
     hashes = windows.select(F.explode("shingles").alias("shingle")).distinct()

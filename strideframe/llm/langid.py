@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.llm import packed
+from strideframe.llm.stored import small_batches
 
 DIMS = 4096
 CENTROIDS = 4
@@ -126,6 +127,7 @@ class Model:
 
 
 def _sliced(batches: Iterator[pa.RecordBatch], text: str):
+    packed.held("langid")
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
             yield from packed.slices(batch.slice(at, ROWS), text)
@@ -148,7 +150,7 @@ def _document_frequency(train: DataFrame, text: str) -> tuple[np.ndarray, int]:
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE, k: int = CENTROIDS) -> Model | None:
     """Learn from rows with a language; None if there is no such row with a letter."""
-    train = train.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    train = small_batches(train).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     sizes = {r[0]: r[1] for r in train.groupBy("lang").agg(F.count("*")).collect()}
     if not sizes:
         return None
@@ -193,7 +195,7 @@ ADDED = ("lang_pred", "lang_score", "lang_rejected")
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``lang_score`` and ``lang_rejected``; columns of those names are replaced."""
-    kept = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
+    kept = small_batches(docs).drop(*[c for c in docs.columns if c.lower() in ADDED])
     kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
     schema = T.StructType([*kept.schema.fields, *[T.StructField(c, t) for c, t in zip(ADDED, kinds, strict=True)]])
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strideframe.llm import packed
+from strideframe.llm.stored import small_batches
 
 K = 64
 #: rows of a range, and the most ranges (range bounds are handed to all tasks)
@@ -104,7 +105,7 @@ def text_of(sketch: np.ndarray) -> str:
 
 def fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """Add the fingerprint of each text."""
-    kept = docs.drop(out) if out != text else docs
+    kept = small_batches(docs.drop(out) if out != text else docs)
     schema = kept.withColumn(out, F.lit("")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +148,7 @@ _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edi
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """The result of ``op8`` for every row of ``docs`` (``doc_id``, ``text``)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     cuts, after = _ranges(docs.select("doc_id"))
     if not after:
         return docs.sparkSession.createDataFrame([], _OUT)
@@ -172,6 +173,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order; an extra row only serves its predecessor, so one row is held back."""
+    packed.held("lzprint")
     held = None  # (doc_id, n_chars, sha, sketch, edited sketch)
     for batch in batches:
         for part, data, offs in packed.slices(batch, "text"):

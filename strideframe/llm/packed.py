@@ -11,6 +11,8 @@ A null text is an empty text everywhere.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,9 +31,16 @@ _held: dict[str, object] = {}
 
 
 def held(owner: str, make: Callable[[], object] = lambda: None) -> object:
-    """State that a Python worker keeps between tasks; what other operators kept is let go."""
+    """State that a Python worker keeps between tasks; what other operators kept is let go.
+
+    Called when a task begins.  The memory that earlier tasks' arrays left in
+    the C library's heap goes back to the system then.
+    """
     if owner not in _held:
         _held.clear()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+    if owner not in _held:
         _held[owner] = make()
     return _held[owner]
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.llm import packed
+from strideframe.llm.stored import small_batches
 
 #: a set of alternatives larger than this is not followed further
 MAX_ALTERNATIVES = 256
@@ -205,20 +206,17 @@ class Scanner:
 
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
-_SCANNERS: dict[tuple[Rule, ...], Scanner] = {}
 
 
 def find_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, out: str = "secret_spans") -> DataFrame:
     """Add the array ``secret_spans`` of (kind, start, end); a column of that name is replaced."""
-    kept = docs.drop(out) if out != text else docs
+    kept = small_batches(docs.drop(out) if out != text else docs)
     schema = T.StructType([*kept.schema.fields, T.StructField(out, T.ArrayType(SPAN))])
     kinds = [r.kind for r in rules]
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if rules not in _SCANNERS:
-            _SCANNERS[rules] = Scanner(rules)
-        scanner = _SCANNERS[rules]
+        scanner = packed.held(f"secrets {rules}", lambda: Scanner(rules))
         for batch in batches:
             for part, data, offs in packed.slices(batch, text):
                 found = scanner.scan(part.column(text).to_pylist(), data, offs)

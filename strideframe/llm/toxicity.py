@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 from strideframe.llm import packed
 from strideframe.llm.langid import remainder
+from strideframe.llm.stored import small_batches
 
 CHAIN = 64
 #: bounds of the sample that is learned from: documents of a class, characters of one
@@ -271,12 +272,13 @@ ADDED = ("tox_score", "tox_spans")
 
 def score(docs: DataFrame, field: Field | None, text: str = "text") -> DataFrame:
     """Add ``tox_score`` and ``tox_spans``; columns of those names are replaced."""
-    kept = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
+    kept = small_batches(docs).drop(*[c for c in docs.columns if c.lower() in ADDED])
     schema = T.StructType([*kept.schema.fields, T.StructField("tox_score", T.DoubleType()), T.StructField("tox_spans", T.ArrayType(SPAN))])
     arrow = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("toxicity")
         model = shared.value
         for batch in batches:
             for part, data, offs in packed.slices(batch, text):

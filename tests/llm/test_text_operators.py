@@ -54,7 +54,8 @@ def test_bpe_edge_rows(spark):
     assert {"row_", "score"} <= set(out.columns)
     rows = out.collect()
     assert all(r["bpe_text"] == (r["text"] or "") for r in rows)
-    back = bpe.decode(bpe.unpack_ids(out.drop("text", "bpe_text")), PATH, out="text").collect()
+    arrays = bpe.encode(docs, PATH, decoded=False, as_array=True)
+    back = bpe.decode(arrays.drop("text"), PATH, ids="bpe_ids", out="text").collect()
     assert sorted(r["text"] for r in back) == sorted(r["text"] or "" for r in rows)
     assert bpe.encode(empty_docs(spark), PATH).count() == 0
 
