@@ -20,7 +20,7 @@ Jaccard similarity of the shingle sets).
    joined to components.  Buckets that then still hold several components are
    searched whole: members are dealt in blocks, and within a pair of blocks the
    members of different components that agree enough are verified where they
-   are, so only links leave the block.  A group of thousands of near copies
+   are, and only links that join components leave the block.  A group of thousands of near copies
    costs one pair for each, and no candidate pair between different components
    goes unchecked.
 4. Verification computes J_P from the shingles themselves; only the texts of
@@ -248,8 +248,17 @@ def _suspects(table: pa.Table) -> pa.Table:
 
 
 def _links_inside(table: pa.Table) -> pa.Table:
-    """The candidate pairs whose similarity is at least ``SIMILAR``."""
+    """Links that join the components of a group: of the candidate pairs whose similarity is at least
+    ``SIMILAR``, those between components that no earlier link has joined (at most one for each member)."""
     rep = table.column("rep").to_numpy()
+    comp = table.column("component").to_numpy()
+    joined = {int(c): int(c) for c in comp}
+
+    def root(c: int) -> int:
+        while joined[c] != c:
+            joined[c] = c = joined[joined[c]]
+        return c
+
     bag = [np.frombuffer(x, _U) for x in table.column("shingles").to_pylist()]
     weight = [None if x is None else np.frombuffer(x, "<u4") for x in table.column("weights").to_pylist()]
     size = np.array([len(x) for x in bag])
@@ -258,19 +267,26 @@ def _links_inside(table: pa.Table) -> pa.Table:
     held = np.zeros(len(values), np.int64)
     found: list[tuple[int, int, float]] = []
     for i, near in _candidates(table):
+        apart = [j for j in near.tolist() if root(int(comp[j])) != root(int(comp[i]))]
+        if not apart:
+            continue
         own = code[starts[i] : starts[i] + size[i]]
         held[own] = 1
-        shared = np.add.reduceat(held[code], starts)[near]
+        shared = np.add.reduceat(held[code], starts)
         held[own] = 0
-        score = shared / (size[i] + size[near] - shared)
-        for j, plain in zip(near.tolist(), score.tolist(), strict=True):
+        for j in apart:
+            a, b = root(int(comp[i])), root(int(comp[j]))
+            if a == b:
+                continue
+            score = float(shared[j] / (size[i] + size[j] - shared[j]))
             if weight[i] is not None or weight[j] is not None:
                 x, y = (np.ones(size[k], np.uint32) if weight[k] is None else weight[k] for k in (i, j))
-                plain = probability_jaccard(bag[i], x, bag[j], y)
-            if plain >= SIMILAR - 1e-12:
-                found.append((min(rep[i], rep[j]), max(rep[i], rep[j]), plain))
-    u, v, near = zip(*found, strict=True) if found else ((), (), ())
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "similarity": pa.array(near, pa.float64())})
+                score = probability_jaccard(bag[i], x, bag[j], y)
+            if score >= SIMILAR - 1e-12:
+                joined[a] = b
+                found.append((min(rep[i], rep[j]), max(rep[i], rep[j]), score))
+    u, v, scores = zip(*found, strict=True) if found else ((), (), ())
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "similarity": pa.array(scores, pa.float64())})
 
 
 def _placed(members: DataFrame) -> DataFrame:
@@ -297,8 +313,8 @@ def find_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``members`` has a row for each row of ``docs``: ``row`` (its number in the
     scan), ``doc_id, text_key`` (digest of the text), ``class_id, class_size,
-    stays``; ``links`` has the verified links ``u, v, similarity`` between the
-    rows that stand for groups of copies.
+    stays``; ``links`` has verified links ``u, v, similarity`` between the rows
+    that stand for groups of copies, enough of them to connect each class.
     """
     store = Scratch(small_batches(docs).sparkSession, "neardup")
     key = F.md5(F.col("text").cast("binary")).alias("text_key")
