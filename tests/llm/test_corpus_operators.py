@@ -290,6 +290,29 @@ def test_cut_repeats_and_edges(spark):
     assert chunks.cut_repeats(empty_docs(spark)).count() == 0
 
 
+@pytest.mark.parametrize("most", [4, 8])
+def test_op7_catches_every_passage_of_51_words(spark, most):
+    rng = np.random.default_rng(7)
+
+    def text(n):
+        return " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, most + 1))) for _ in range(n))
+
+    passages = [text(51) for _ in range(150)]
+    docs = [(2 * i + k, f"{text(40)} {p} {text(40)}") for i, p in enumerate(passages) for k in (0, 1)]
+    # neighbours that share only 25 words
+    docs += [(300 + i, f"{text(40)} {p} {text(40)}") for p, i in zip([x for x in (text(25) for _ in range(20)) for _ in (0, 1)], range(40), strict=True)]
+    got = by_id(chunks.find_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)))
+    for i, t in docs[:300]:
+        start = t.index(passages[i // 2])
+        whole = (start, start + len(passages[i // 2]))
+        # the passage is reported but for the broken chunks at its ends, and cut from one of both
+        assert sum(max(0, min(s["end"], whole[1]) - max(s["start"], whole[0])) for s in got[i]["repeated"]) >= min(len(passages[i // 2]) - 2 * chunks.REACH, 180)
+        assert got[i]["repeated"]
+    assert all(bool(got[2 * i]["removed"]) != bool(got[2 * i + 1]["removed"]) for i in range(150))
+    if most == 4:
+        assert not any(got[300 + i]["repeated"] for i in range(40))
+
+
 # --- Lempel-Ziv fingerprints
 
 
