@@ -96,16 +96,34 @@ def word_counts(train: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.first("unit").alias("unit"), F.sum("n").alias("n"))
 
 
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The ``most`` words with the greatest counts, ties by the word."""
+    return counts.orderBy(F.desc("n"), "word").limit(most)
+
+
 def _top(counts: DataFrame, most: int) -> tuple[DataFrame, int]:
-    """The words with the greatest counts, at most ``most``, and the count from which on they are taken."""
-    cap = 1 << 20
-    sizes = counts.groupBy(F.least("n", F.lit(cap)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()
-    total, least = 0, cap
-    for n, words in sizes:
-        if total + words > most:
+    """The words with the greatest counts, at most ``most``, and the count from which on they are taken.
+
+    Counts are looked at in ranges, 1,024 at a time, first all and then those inside the range that the bound falls in.
+    """
+    top = int(counts.agg(F.max("n")).first()[0] or 0)
+    total, low, high = 0, 1, top + 1  # words from ``high`` on are taken, those below ``low`` are not
+    while low < high:
+        step = -(-(high - low) // 1024)
+        inside = counts.filter((F.col("n") >= low) & (F.col("n") < high))
+        sizes = inside.groupBy(F.expr(f"(n - {low}) div {step}").alias("range")).agg(F.count("*").alias("words")).orderBy(F.desc("range")).collect()
+        below, split = high, False
+        for k, words in sizes:
+            if total + words > most:
+                low, high, split = low + k * step, min(below, low + (k + 1) * step), True
+                break
+            total, below = total + words, low + k * step
+        if not split:
+            high = below if sizes else low
             break
-        total, least = total + words, n
-    return counts.filter(F.col("n") >= least), least
+        if step == 1:  # words of one count: all or none
+            low = high
+    return counts.filter(F.col("n") >= high), high
 
 
 def _sorted_pairs(df: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -225,8 +243,7 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     whole = counts.agg(F.sum("n"), F.count("*")).first()
     total, distinct = int(whole[0] or 0), int(whole[1])
     end = int(END)
-    frequent, _ = _top(counts.filter(F.col("word") != end), OWN_UNITS)
-    own, _ = _sorted_pairs(frequent, OWN_UNITS)
+    own, _ = _sorted_pairs(_most_frequent(counts.filter(F.col("word") != end), OWN_UNITS), OWN_UNITS)
     top, least = _top(counts, DICTIONARY)
     keys, n = _sorted_pairs(top, DICTIONARY)
     pairs = unit_bigrams(train, spark.sparkContext.broadcast(own))
@@ -240,7 +257,7 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     words = np.zeros(UNITS)
     rest = counts.filter(F.col("word") != end)
     if len(own):
-        rest = rest.join(F.broadcast(frequent.select("word")), "word", "left_anti")
+        rest = rest.join(F.broadcast(spark.createDataFrame([(w,) for w in own.view(np.int64).tolist()], "word long")), "word", "left_anti")
     for unit, k in rest.groupBy("unit").agg(F.count("*")).collect():
         words[unit] += k
     words[1 : 1 + len(own)] += 1

@@ -122,6 +122,18 @@ def test_exchange_finds_planted_classes():
     assert sum(c.most_common(1)[0][1] for c in groups.values()) >= 0.9 * n
 
 
+@pytest.mark.parametrize("counts", [[(1 << 20) + i for i in range(600)], [1 << 21] * 600, [1 << 40, 1 << 30, 5, 5, 3], [7] * 3, []])
+@pytest.mark.parametrize("most", [2, 4, 511, 1000])
+def test_top_words_are_bounded_at_any_count(spark, counts, most):
+    df = spark.createDataFrame([(i, 0, n) for i, n in enumerate(counts)], "word long, unit int, n long")
+    top, least = brown._top(df, most)
+    taken = [r["n"] for r in top.collect()]
+    assert len(brown._sorted_pairs(brown._most_frequent(df, most), most)[0]) == min(most, len(counts))
+    # all words from the least count that fits on
+    want = [n for n in counts if sum(m >= n for m in counts) <= most]
+    assert sorted(taken) == sorted(want) and all(n >= least for n in taken)
+
+
 def test_brown_edges(spark):
     edge = edge_docs(spark)
     found = brown.scores(edge)
