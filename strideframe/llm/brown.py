@@ -8,7 +8,11 @@ words are units of their own, all others share a unit with the words of the
 same ending (last two bytes, hashed), so an unseen word has a unit too.  The
 exchange algorithm moves units between ``CLASSES`` classes while the class
 bigram likelihood grows; it needs the unit bigram counts only, whose number is
-bounded by the square of ``UNITS``, whatever the size of the corpus.
+bounded by the square of ``UNITS``, whatever the size of the corpus.  Then each
+further word of the dictionary that occurs ``SEEN`` times or more goes to the
+class of greatest likelihood by its own counts of (class before, class after),
+over all training texts.  Unseen and rarer words, and words beyond the
+dictionary, keep the class of their ending.
 
 Model.  ``p(w | previous) = p(class(w) | class(previous)) * p(w | class(w))``.
 Transitions are smoothed towards the classes' shares with ``TRANSITION`` pseudo
@@ -45,11 +49,14 @@ from strideframe.llm.stored import small_batches, written
 UNITS = 1024
 OWN_UNITS = 511  # unit 0 is the end token, 1..511 frequent words, the rest endings
 CLASSES = 64
-SWEEPS = 8
+#: occurrences from which on a word has a class by its own contexts
+SEEN = 10
 ADD = 0.1
 TRANSITION = 20.0
-#: bound of the words that every task holds (8 + 4 bytes each)
+#: bound of the words that every task holds (8 + 8 bytes each, and 8 + 8 more if classed by contexts)
 DICTIONARY = 500_000
+#: distinct (word, contexts) that a task gathers before it hands them on
+GATHERED = 1_000_000
 #: no word has this hash: it stands for the end token
 END = np.uint64(1)
 
@@ -148,8 +155,8 @@ def unit_bigrams(train: DataFrame, own) -> np.ndarray:
         for batch in batches:
             for part, data, offs in packed.slices(batch, "text"):
                 h, u, rows = tokens(data, offs)
-                u = _units(h, u, keys)
-                _, u, rows = _sequence(h, u, rows)
+                at, known = _lookup(keys, h)
+                _, u, rows = _sequence(h, np.where(known, at + 1, u), rows)
                 total += np.bincount(np.concatenate([[0], u[:-1]]) * UNITS + u, minlength=UNITS * UNITS)
         at = np.flatnonzero(total)
         for lo in range(0, len(at), 100_000):
@@ -163,11 +170,91 @@ def unit_bigrams(train: DataFrame, own) -> np.ndarray:
 
 
 def _units(h: np.ndarray, ending: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Place in ``Model.cls``: the word's own, or else its ending's."""
     at, known = _lookup(own, h)
-    return np.where(known, at + 1, ending)
+    return np.where(known, UNITS + at, ending)
 
 
-def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+def class_bigrams(train: DataFrame, shared) -> np.ndarray:
+    """Counts of consecutive classes over all training texts; ``shared`` holds the words with a class and ``Model.cls``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cls = shared.value
+        total = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            for _, data, offs in packed.slices(batch, "text"):
+                h, u, rows = tokens(data, offs)
+                _, u, _ = _sequence(h, _units(h, u, own), rows)
+                c = cls[u]
+                total += np.bincount(np.concatenate([[0], c[:-1]]) * CLASSES + c, minlength=CLASSES * CLASSES)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["pair", "n"])
+
+    out = np.zeros(CLASSES * CLASSES)
+    for pair, n in train.select("text").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n")).collect():
+        out[pair] = n
+    return out.reshape(CLASSES, CLASSES)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, code = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(code, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
+def word_classes(train: DataFrame, shared, log_trans: np.ndarray, log_size: np.ndarray) -> DataFrame:
+    """``word`` (place among the wanted words) and ``cls``: the class of greatest likelihood of the word's occurrences.
+
+    ``shared`` holds the words with a class, ``Model.cls`` and the wanted words (hashes, sorted).
+    """
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cls, wanted = shared.value
+        parts: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+
+        def rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(keys), 100_000):
+                k = keys[lo : lo + 100_000]
+                pair = (k & (CLASSES * CLASSES - 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array((k // (CLASSES * CLASSES)).astype(np.int32)), pa.array(pair), pa.array(n[lo : lo + 100_000])], names=["word", "pair", "n"])
+
+        for batch in batches:
+            for _, data, offs in packed.slices(batch, "text"):
+                h, u, row = tokens(data, offs)
+                h, u, _ = _sequence(h, _units(h, u, own), row)
+                c = cls[u]
+                at, known = _lookup(wanted, h)
+                i = np.flatnonzero(known)  # an end token is no wanted word, so each has a token after it
+                before = np.where(i > 0, c[i - 1], 0)
+                parts.append(np.unique((at[i] * CLASSES + before) * CLASSES + c[i + 1], return_counts=True))
+                if sum(len(k) for k, _ in parts) > 2 * GATHERED:
+                    parts = [_summed(parts)]
+                    if len(parts[0][0]) > GATHERED:
+                        yield from rows(*parts[0])
+                        parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        yield from rows(*_summed(parts))
+
+    # log of p(class | before) and p(after | class), less the emission's denominator
+    gain = np.concatenate([log_trans - log_size[None, :], log_trans.T])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                found = part.column("found")
+                of = np.repeat(np.arange(len(found)), np.asarray(found.value_lengths()))
+                values = found.flatten()
+                pair, n = np.asarray(values.field("pair")).astype(np.int64), np.asarray(values.field("n"))
+                width = 2 * CLASSES
+                seen = np.bincount(of * width + pair // CLASSES, n, len(found) * width) + np.bincount(of * width + CLASSES + pair % CLASSES, n, len(found) * width)
+                score = seen.reshape(-1, width) @ gain
+                score[:, 0] = -np.inf  # the end token's class
+                yield pa.RecordBatch.from_arrays([part.column("word"), pa.array(score.argmax(axis=1).astype(np.int32))], names=["word", "cls"])
+
+    counted = train.select("text").mapInArrow(contexts, "word int, pair int, n long").repartition("word").groupBy("word", "pair").agg(F.sum("n").alias("n"))
+    return counted.groupBy("word").agg(F.collect_list(F.struct("pair", "n")).alias("found")).mapInArrow(best, "word int, cls int")
+
+
+def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     """Class of each unit.  Unit 0 keeps class 0 for itself; others move to the class that
     raises the class bigram likelihood most, until a sweep moves nothing."""
     n = len(pairs)
@@ -181,7 +268,9 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     def xlog(x):
         return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
-    for _ in range(sweeps):
+    least = 1e-9 + 1e-12 * float(xlog(table).sum())  # gains below are rounding
+    moved = 1
+    while moved:
         moved = 0
         for w in order.tolist():
             if size[w] == 0:
@@ -196,7 +285,8 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
             base[old, :] -= out_row
             base[:, old] -= in_col
             base[old, old] -= own
-            left, right = base.sum(axis=1), base.sum(axis=0)
+            # the margins hold w's neighbours, whatever class w goes to
+            left, right = base.sum(axis=1) + in_col, base.sum(axis=0) + out_row
             # gain of adding w to class d: its row, its column, the crossing cell, and the margins
             row_gain = (xlog(base + out_row[None, :]) - xlog(base)).sum(axis=1)
             col_gain = (xlog(base + in_col[:, None]) - xlog(base)).sum(axis=0)
@@ -208,7 +298,7 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
             gain = row_gain + col_gain + cross - margin
             gain[0] = -np.inf
             new = int(np.argmax(gain))
-            if gain[new] <= gain[old] + 1e-9:
+            if gain[new] <= gain[old] + least:
                 new = old
             base[new, :] += out_row
             base[:, new] += in_col
@@ -219,15 +309,13 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
                 member[w] = 0
                 member[w, new] = 1
                 moved += 1
-        if not moved:
-            break
     return cls
 
 
 @dataclass
 class Model:
-    own: np.ndarray  # hashes of the words that are units, sorted
-    cls: np.ndarray  # class of each unit
+    own: np.ndarray  # hashes of the words with a class of their own, sorted
+    cls: np.ndarray  # class of each unit, then of each of these words
     log_trans: np.ndarray
     log_size: np.ndarray  # log10 of each class's emission denominator
     keys: np.ndarray  # dictionary: hashes, sorted
@@ -247,22 +335,43 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     top, least = _top(counts, DICTIONARY)
     keys, n = _sorted_pairs(top, DICTIONARY)
     pairs = unit_bigrams(train, spark.sparkContext.broadcast(own))
-    cls = exchange(pairs)
-    member = np.eye(CLASSES)[cls]
-    table = member.T @ pairs @ member
-    after = table.sum(axis=0)
-    share = (after + 1.0) / (after.sum() + CLASSES)
-    log_trans = np.log10((table + TRANSITION * share[None, :]) / (table.sum(axis=1, keepdims=True) + TRANSITION))
-    # distinct words of each class: those of the ending units, and the units of their own
+    units = exchange(pairs)
+    cls = np.concatenate([units, units[1 : 1 + len(own)]])
+    # how many distinct words each ending has, those with a class of their own among them
     words = np.zeros(UNITS)
-    rest = counts.filter(F.col("word") != end)
-    if len(own):
-        rest = rest.join(F.broadcast(spark.createDataFrame([(w,) for w in own.view(np.int64).tolist()], "word long")), "word", "left_anti")
-    for unit, k in rest.groupBy("unit").agg(F.count("*")).collect():
+    for unit, k in counts.filter(F.col("word") != end).groupBy("unit").agg(F.count("*")).collect():
         words[unit] += k
-    words[1 : 1 + len(own)] += 1
     words[0] = 1
-    log_size = np.log10(after + ADD * (words @ member + 1))
+
+    def parameters(table: np.ndarray, cls: np.ndarray, endings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        after = table.sum(axis=0)
+        share = (after + 1.0) / (after.sum() + CLASSES)
+        log_trans = np.log10((table + TRANSITION * share[None, :]) / (table.sum(axis=1, keepdims=True) + TRANSITION))
+        distinct = words.copy()
+        np.subtract.at(distinct, endings, 1)
+        v = np.bincount(cls[:UNITS], distinct, CLASSES) + np.bincount(cls[UNITS:], minlength=CLASSES)
+        return log_trans, np.log10(after + ADD * (v + 1))
+
+    held = top.filter(F.col("word") != end).select("word", "unit", "n").toPandas()
+    held = held.assign(h=held["word"].to_numpy(np.int64).view(np.uint64)).sort_values("h")
+    h, ending, times = held["h"].to_numpy(np.uint64), held["unit"].to_numpy(np.int64), held["n"].to_numpy(np.int64)
+    member = np.eye(CLASSES)[units]
+    table = member.T @ pairs @ member
+    frequent = counts.filter(F.col("word").isin(own.view(np.int64).tolist())).select("word", "unit").collect()
+    by_word = {r[0]: r[1] for r in frequent}
+    own_endings = np.array([by_word[w] for w in own.view(np.int64).tolist()], np.int64)
+    log_trans, log_size = parameters(table, cls, own_endings)
+    further = (times >= SEEN) & ~np.isin(h, own)
+    if further.any():
+        wanted = h[further]
+        found = word_classes(train, spark.sparkContext.broadcast((own, cls, wanted)), log_trans, log_size).toPandas()
+        new = np.zeros(len(wanted), np.int64)
+        new[found["word"].to_numpy()] = found["cls"].to_numpy()
+        own = np.concatenate([own, wanted])
+        order = np.argsort(own)
+        own, cls = own[order], np.concatenate([units, np.concatenate([cls[UNITS:], new])[order]])
+        table = class_bigrams(train, spark.sparkContext.broadcast((own, cls)))
+        log_trans, log_size = parameters(table, cls, np.concatenate([own_endings, ending[further]]))
     model = Model(own, cls, log_trans, log_size, keys, n, total, distinct)
     return model, counts.withColumn("frequent", F.col("n") >= least)
 

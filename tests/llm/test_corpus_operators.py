@@ -122,6 +122,23 @@ def test_exchange_finds_planted_classes():
     assert sum(c.most_common(1)[0][1] for c in groups.values()) >= 0.9 * n
 
 
+def test_words_beyond_the_units_are_classed_by_their_contexts(spark, monkeypatch):
+    monkeypatch.setattr(brown, "OWN_UNITS", 40)
+    rng = np.random.default_rng(5)
+    # two kinds of words in turn; all have the same ending, so a spelling tells nothing
+    kinds = [[f"{k}{i:03d}zz" for i in range(150)] for k in "ab"]
+    docs = [(i, " ".join(str(rng.choice(kinds[j % 2])) for j in range(20))) for i in range(600)]
+    model, _ = brown.fit(spark.createDataFrame(docs, "doc_id long, text string"))
+    found = []
+    for kind in kinds:
+        data, offs = packed.text_bytes(pa.array([" ".join(kind)]))
+        h, u, _ = brown.tokens(data, offs)
+        place = brown._units(h, u, model.own)
+        assert (place >= brown.UNITS).all()
+        found.append(set(model.cls[place].tolist()))
+    assert not found[0] & found[1]
+
+
 @pytest.mark.parametrize("counts", [[(1 << 20) + i for i in range(600)], [1 << 21] * 600, [1 << 40, 1 << 30, 5, 5, 3], [7] * 3, []])
 @pytest.mark.parametrize("most", [2, 4, 511, 1000])
 def test_top_words_are_bounded_at_any_count(spark, counts, most):
