@@ -91,7 +91,7 @@ def m1_importances(spark, d):
 @register("m2_boosted_trees", SQL_SPLIT_SIZES)
 def m2_boosted_trees(spark, d):
     with held(labelled(spark, d)) as data:
-        config = learn.ModelConfig(n_estimators=5, max_depth=3, max_features=None, learning_rate=0.3)
+        config = learn.ModelConfig(n_estimators=10, max_depth=4, max_features=None, learning_rate=0.1)
         return _split_report(learn.boosted_trees(config, weight="weight").fit(_train(data)), data)
 
 

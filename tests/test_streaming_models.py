@@ -110,3 +110,16 @@ def test_pca_matches_numpy_up_to_sign(spark, sf_small):
         assert abs(got[vid][1]) == pytest.approx(abs(ref[i, 1]), abs=1e-6)
     evr = (s**2 / (s**2).sum())[:2]
     assert ratios == pytest.approx(evr.tolist(), abs=1e-9)
+
+
+def test_boosted_trees_train_at_their_full_size(spark, sf_small, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def boosted(config, weight=None):
+        raise Seen(config.n_estimators, config.max_depth, config.learning_rate, weight)
+
+    monkeypatch.setattr(learn, "boosted_trees", boosted)
+    with pytest.raises(Seen) as found:
+        models.m2_boosted_trees(spark, sf_small)
+    assert found.value.args == (10, 4, 0.1, "weight")
