@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strideframe.llm import bpe, brown, chunks, contamination, infill, langid, lzprint, neardup, secrets, toxicity, urlfilter, urlfilter_data
+from strideframe.llm import align, bpe, brown, chunks, contamination, infill, langid, lineruns, lzprint, neardup, secrets, toxicity, urlfilter, urlfilter_data
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -69,10 +69,22 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineruns.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digests(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, QueryFn]:
     found = {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": urlfilter_data.oracle_sql(), "op11_fill_in_middle": infill.oracle_sql()}
+    return {
+        "op1_url_filter": urlfilter_data.oracle_sql(),
+        "op11_fill_in_middle": infill.oracle_sql(),
+        "op12_line_dedup": lineruns.oracle_sql(),
+    }

@@ -43,21 +43,31 @@ class Scratch:
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/strideframe-{name}-{uuid.uuid4().hex}"
         self.paths: list[str] = []
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.base}/{len(self.paths)}-{name}"
-        self.paths.append(path)
-        df.write.parquet(path)
+    def place(self, name: str) -> str:
+        """A new path of this object for a table that the caller writes."""
+        self.paths.append(f"{self.base}/{len(self.paths)}-{name}")
+        return self.paths[-1]
+
+    def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = self.place(name)
+        df.write.parquet(path, partitionBy=list(partition_by) or None)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
     def drop(self, keep: tuple[str, ...] = ()) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for path in self.paths:
             if path.rpartition("/")[2].partition("-")[2] not in keep:
-                where = jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(conf).delete(where, True)
+                self._delete(path)
         self.paths = [p for p in self.paths if p.rpartition("/")[2].partition("-")[2] in keep]
 
+    def drop_one(self, name: str) -> None:
+        for path in [p for p in self.paths if p.rpartition("/")[2].partition("-")[2] == name]:
+            self._delete(path)
+            self.paths.remove(path)
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """One table that stays."""
