@@ -50,6 +50,12 @@ def hash_normal(id_col: Column | str, seed: int | str) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(6.283185307179586) * u2)
 
 
+def sql_normal(id_sql: str, seed: int | str) -> str:
+    """DuckDB text of ``hash_normal``."""
+    u1, u2 = (f"((('0x' || substr(md5({id_sql} || ':{seed}{part}'), 1, 8))::UBIGINT + 0.5) / {float(2**32)!r})" for part in "ab")
+    return f"(sqrt(-2.0 * ln({u1})) * cos(6.283185307179586 * {u2}))"
+
+
 def sql_bucket(id_sql: str, seed: int | str, buckets: int = BUCKETS) -> str:
     """DuckDB text of ``bucket`` for the oracle queries."""
     return f"((('0x' || substr(md5(CAST({id_sql} AS VARCHAR) || ':{seed}'), 1, 8))::UBIGINT) % {buckets})"

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from strideframe.functions.nullsafe import join_by
 from strideframe.functions.ranking import prefix_below
+from strideframe.functions.sizing import local_if_small
 
 
 def correlation_matrix(df: DataFrame, vector_col: str | None = None, cols: list[str] | None = None) -> DataFrame:
@@ -43,22 +44,26 @@ def drop_correlated(features: DataFrame, corr: DataFrame, threshold: float = 0.9
 
 
 def anova_f(long: DataFrame, feature: str, label: str, value: str) -> DataFrame:
-    """C4: one-way ANOVA F per feature from per-(feature, class) count, sum, sum of squares."""
-    g = long.groupBy(feature, label).agg(
-        F.count(value).alias("n"), F.sum(value).alias("s"), F.sum(F.col(value) * F.col(value)).alias("ss")
-    )
-    t = g.groupBy(feature).agg(
+    """C4: one-way ANOVA F per feature, from each class's count, mean and central second moment.
+
+    Values are taken relative to their feature's mean (a first, small aggregate),
+    so a large common offset costs no digits.
+    """
+    centre, _ = local_if_small(long.groupBy(feature).agg(F.avg(value).alias("_centre")))
+    off = F.col(value) - F.col("_centre")
+    moved = join_by(long, centre, [feature], broadcast=False).withColumn("_off", off)
+    g = moved.groupBy(feature, label).agg(F.count("_off").alias("n"), F.avg("_off").alias("m"), F.var_pop("_off").alias("v"))
+    each = Window.partitionBy(feature)
+    grand = F.sum(F.col("n") * F.col("m")).over(each) / F.sum("n").over(each)
+    t = g.withColumn("_d", F.col("m") - grand).groupBy(feature).agg(
         F.sum("n").alias("N"),
         F.count(F.lit(1)).alias("k"),
-        F.sum("s").alias("S"),
-        F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between_raw"),
-        F.sum("ss").alias("SS"),
+        F.sum(F.col("n") * F.col("_d") * F.col("_d")).alias("ssb"),
+        F.sum(F.col("n") * F.col("v")).alias("ssw"),
     )
-    ssb = F.col("between_raw") - F.col("S") * F.col("S") / F.col("N")
-    ssw = F.col("SS") - F.col("between_raw")
     return t.select(
         feature,
-        F.try_divide(ssb / (F.col("k") - 1), ssw / (F.col("N") - F.col("k"))).alias("f_score"),
+        F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("N") - F.col("k"))).alias("f_score"),
     )
 
 

@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strideframe.operators import correlate, prep, splits, stats
+from strideframe.operators import correlate, information, prep, splits, stats
+
+#: scores to select by: nearest-neighbour or binned mutual information, ANOVA F
+SELECTIONS = ("mutual_info", "binned_mutual_info", "f_classif")
 
 #: classes that the fitted state holds at most
 MAX_CLASSES = 100_000
@@ -26,8 +29,8 @@ class Preprocessor:
         n_select_features: int | None = None,
         selection: str = "mutual_info",
     ) -> None:
-        if selection not in ("mutual_info", "f_classif"):
-            raise ValueError(f"selection must be mutual_info or f_classif, got {selection!r}")
+        if selection not in SELECTIONS:
+            raise ValueError(f"selection must be one of {', '.join(SELECTIONS)}, got {selection!r}")
         self.selection = selection
         self.normalize = normalize
         self.remove_correlated = remove_correlated
@@ -59,8 +62,10 @@ class Preprocessor:
             }
             cols = [c for i, c in enumerate(cols) if i not in dropped]
         if self.n_select_features is not None:
-            long = stats.unpivot(df, [label], cols)
+            long = stats.unpivot(df, [id_col, label], cols)
             if self.selection == "mutual_info":
+                scores, score = information.neighbour_information(long, id_col, "feature", label, "value"), "mi"
+            elif self.selection == "binned_mutual_info":
                 scores, score = correlate.binned_mutual_information(long, "feature", label, "value"), "mi"
             else:
                 scores, score = correlate.anova_f(long, "feature", label, "value"), "f_score"

@@ -8,6 +8,7 @@ from strideframe.functions.hashing import sql_bucket, sql_hash60
 from strideframe.operators import prep, splits
 from strideframe.plans.catalog import register, with_ctes
 from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_TAB, TAB_COLUMNS, tab
+from strideframe.plans.selection import sql_neighbours
 
 SEED = 42
 VAL, TEST = 0.15, 0.15
@@ -217,14 +218,8 @@ def _wide_embeddings(spark, d):
     f"""WITH {SQL_MATRIX_LONG},
 corr_m AS (SELECT a.pos AS i, b.pos AS j, corr(a.val, b.val) AS r FROM matrix_long a JOIN matrix_long b USING (vec_id) GROUP BY a.pos, b.pos),
 kept AS (SELECT DISTINCT pos FROM matrix_long WHERE pos NOT IN (SELECT j FROM corr_m WHERE i < j AND abs(r) > {D14_THRESHOLD!r})),
-mi AS (
-  SELECT pos, sum(pxy * ln(pxy / (px * py))) AS mi FROM (
-    SELECT pos, c / n AS pxy, sum(c) OVER (PARTITION BY pos, bin) / n AS px, sum(c) OVER (PARTITION BY pos, label) / n AS py
-    FROM (SELECT pos, bin, label, count(*) AS c, any_value(n) AS n FROM (
-            SELECT pos, label, floor((rank() OVER (PARTITION BY pos ORDER BY val) - 1) * 10 / count(*) OVER (PARTITION BY pos)) AS bin,
-                   count(*) OVER (PARTITION BY pos) AS n
-            FROM matrix_long WHERE pos IN (SELECT pos FROM kept)) GROUP BY pos, bin, label)) GROUP BY pos),
-top AS (SELECT pos FROM mi ORDER BY mi DESC, 'f' || pos LIMIT {D14_K}),
+{sql_neighbours("'f' || m.pos")},
+top AS (SELECT pos FROM knn_mi WHERE pos IN (SELECT pos FROM kept) ORDER BY mi DESC, 'f' || pos LIMIT {D14_K}),
 sp AS (
   SELECT vec_id, CASE WHEN rk < ceil(n * {_d(TEST)}) THEN 'test'
                       WHEN rk < ceil(n * {_d(TEST)}) + ceil((n - ceil(n * {_d(TEST)})) * {_d(VAL_OF_REST)}) THEN 'val'

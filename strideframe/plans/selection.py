@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strideframe.functions.hashing import sql_normal
 from strideframe.operators import correlate as co
+from strideframe.operators import information as info
 from strideframe.operators import naming
 from strideframe.plans.catalog import register, with_ctes
 from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_NAMED, matrix_long, named_matrix, table
@@ -51,17 +53,16 @@ def c3_drop_correlated(spark, d):
 
 
 SQL_ANOVA = """anova AS (
-  SELECT pos, (between_raw - S * S / N) / (k - 1) / ((SS - between_raw) / (N - k)) AS f_score
-  FROM (SELECT pos, sum(n) AS N, count(*) AS k, sum(s) AS S, sum(s * s / n) AS between_raw, sum(ss) AS SS
-        FROM (SELECT pos, label, count(val) AS n, sum(val) AS s, sum(val * val) AS ss FROM matrix_long GROUP BY pos, label)
-        GROUP BY pos))"""
+  SELECT pos, ((total - within_sum) / (k - 1)) / (within_sum / (N - k)) AS f_score
+  FROM (SELECT pos, var_pop(val) * count(val) AS total, count(val) AS N, count(DISTINCT label) AS k FROM matrix_long GROUP BY pos)
+  JOIN (SELECT pos, sum(v * n) AS within_sum FROM (SELECT pos, label, var_pop(val) AS v, count(val) AS n FROM matrix_long GROUP BY pos, label) GROUP BY pos) USING (pos))"""
 
 
 def anova(spark, d):
     return co.anova_f(matrix_long(spark, d), "pos", "label", "val")
 
 
-@register("c4_anova_f", with_ctes(SQL_MATRIX_LONG, SQL_ANOVA) + "SELECT pos, f_score FROM anova", floats=["f_score"], bits={"f_score": 16})
+@register("c4_anova_f", with_ctes(SQL_MATRIX_LONG, SQL_ANOVA) + "SELECT pos, f_score FROM anova", floats=["f_score"])
 def c4_anova_f(spark, d):
     return anova(spark, d)
 
@@ -70,7 +71,6 @@ def c4_anova_f(spark, d):
     "c4_select_k_best",
     with_ctes(SQL_MATRIX_LONG, SQL_ANOVA) + f"SELECT pos, f_score FROM anova ORDER BY f_score DESC, pos LIMIT {TOP_K}",
     floats=["f_score"],
-    bits={"f_score": 16},
 )
 def c4_select_k_best(spark, d):
     return co.top_k(anova(spark, d), "f_score", TOP_K, "pos")
@@ -92,6 +92,54 @@ def c5_mutual_information(spark, d):
     return co.binned_mutual_information(matrix_long(spark, d), "pos", "label", "val", MI_BINS)
 
 
+# brute force: all pairs of a class for the distance to the k-th neighbour, all pairs of a feature for the count
+_K = info.NEIGHBOURS
+
+
+def sql_neighbours(name: str) -> str:
+    """CTEs up to ``knn_mi (pos, mi)``; ``name`` is the feature's name as SQL over ``m``."""
+    return f"""xs AS (
+  SELECT m.vec_id, m.pos, m.label, m.val / s.sd + {info.NOISE!r} * greatest(1.0, s.size / s.sd) * {sql_normal(f"m.vec_id || '|' || {name}", info.SEED)} AS x
+  FROM matrix_long m JOIN (SELECT pos, CASE WHEN stddev_pop(val) > 0 THEN stddev_pop(val) ELSE 1.0 END AS sd, avg(abs(val)) AS size FROM matrix_long GROUP BY pos) s USING (pos)),
+cls AS (SELECT pos, label, count(*) AS n FROM xs GROUP BY pos, label HAVING count(*) > 1),
+near AS (
+  SELECT vec_id, pos, n, least({_K}, n - 1) AS k, d AS r
+  FROM (SELECT a.vec_id, a.pos, c.n, abs(b.x - a.x) AS d, row_number() OVER (PARTITION BY a.pos, a.vec_id ORDER BY abs(b.x - a.x)) AS o
+        FROM xs a JOIN cls c ON a.pos = c.pos AND a.label = c.label JOIN xs b ON a.pos = b.pos AND a.label = b.label AND a.vec_id <> b.vec_id)
+  WHERE o = least({_K}, n - 1)),
+inside AS (
+  SELECT i.vec_id, i.pos, i.n, i.k, count(*) AS m
+  FROM near i JOIN xs a ON a.pos = i.pos AND a.vec_id = i.vec_id
+  JOIN (SELECT xs.* FROM xs JOIN cls USING (pos, label)) b ON b.pos = i.pos AND abs(b.x - a.x) < i.r GROUP BY ALL),
+psi AS (SELECT g AS n, -0.57721566490153286061 + coalesce(sum(1.0 / g) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p
+        FROM (SELECT unnest(range(1, (SELECT count(DISTINCT vec_id) + 1 FROM matrix_long))) AS g)),
+knn_mi AS (
+  SELECT pos, greatest(0.0, any_value(pt.p) + avg(pk.p) - avg(pn.p) - avg(pm.p)) AS mi
+  FROM inside i JOIN (SELECT pos, count(*) AS total FROM inside GROUP BY pos) t USING (pos)
+  JOIN psi pt ON pt.n = t.total JOIN psi pk ON pk.n = i.k JOIN psi pn ON pn.n = i.n JOIN psi pm ON pm.n = i.m GROUP BY pos)"""
+
+
+SQL_NEIGHBOURS = sql_neighbours("m.pos")
+
+
+def neighbour_information(spark, d):
+    return info.neighbour_information(matrix_long(spark, d), "vec_id", "pos", "label", "val")
+
+
+@register("c5_neighbour_information", with_ctes(SQL_MATRIX_LONG, SQL_NEIGHBOURS) + "SELECT pos, mi FROM knn_mi", floats=["mi"])
+def c5_neighbour_information(spark, d):
+    return neighbour_information(spark, d)
+
+
+@register(
+    "c5_select_k_best",
+    with_ctes(SQL_MATRIX_LONG, SQL_NEIGHBOURS) + f"SELECT pos, mi FROM knn_mi ORDER BY mi DESC, pos LIMIT {TOP_K}",
+    floats=["mi"],
+)
+def c5_select_k_best(spark, d):
+    return co.top_k(neighbour_information(spark, d), "mi", TOP_K, "pos")
+
+
 @register(
     "c6_apply_selection",
     with_ctes(SQL_MATRIX_LONG, SQL_ANOVA)
