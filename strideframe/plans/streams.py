@@ -8,7 +8,7 @@ from strideframe.functions.hashing import bucket
 from strideframe.plans import experiments as xp
 from strideframe.plans import features as feat
 from strideframe.plans.catalog import register, with_ctes
-from strideframe.plans.derived import SQL_SCORED, SQL_SERIES, centroids, sql_windowed
+from strideframe.plans.derived import SQL_SCORED, SQL_SERIES, centroids, sql_windowed, table
 from strideframe.plans.models import SQL_NAMES
 from strideframe.streaming import streams as st
 
@@ -42,9 +42,15 @@ _ST2 = [f"{s}_x" for s in st.STATISTICS]
     floats=_ST2,
 )
 def st2_stream_windows(spark, d):
-    ev = st.file_stream(spark, d, "events").select("user_id", "ts", "event_id", "value")
-    w = st.stream_windows(ev, "user_id", "ts", "event_id", "value", feat.SIZE, feat.OVERLAP)
-    return st.run_available_now(w, "st2")
+    """The files of a table are in no order of time: the watermark waits for the table's whole span."""
+    ev = st.file_stream(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = table(spark, d, "events").agg(F.max(micros) - F.min(micros)).first()[0] or 0
+
+    def windows(stream):
+        return st.stream_windows(stream, "user_id", "ts", "event_id", "value", feat.SIZE, feat.OVERLAP, f"{span // 1_000_000 + 1} seconds")
+
+    return st.run_to_end(windows, ev, "ts", "st2")
 
 
 def _prediction_stream(spark, d):

@@ -173,7 +173,8 @@ def test_late_samples_are_counted(spark):
             os.utime(os.path.join(folder, f"d{i}", name), (stamp, stamp))
     schema = spark.read.parquet(os.path.join(folder, "d0")).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(folder)
-    got = st.run_available_now(st.stream_windows(stream, "user_id", "ts", "event_id", "value", 4, 0.5), "late").collect()
+    make = lambda s: st.stream_windows(s, "user_id", "ts", "event_id", "value", 4, 0.5, "0 seconds")
+    got = st.run_to_end(make, stream, "ts", "late").collect()
     assert sum(r["n"] for r in got if r["window_id"] == st.LATE) == 3
     seen = [0, 1, 2, 6, 7, 8, 9, 10, 11]
     found = {r["window_id"]: r for r in got if r["window_id"] != st.LATE}

@@ -19,8 +19,9 @@ def test_stream_windows_equal_batch_over_many_micro_batches(spark, sf_small):
         os.utime(os.path.join(folder, f"d{i:03d}"))
     schema = ev.schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(folder)
-    w = st.stream_windows(stream.select("user_id", "ts", "event_id", "value"), "user_id", "ts", "event_id", "value", 16, 0.5)
-    got = st.run_available_now(w, "test-st2").orderBy("user_id", "window_id").collect()
+    stream = stream.select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
+    make = lambda s: st.stream_windows(s, "user_id", "ts", "event_id", "value", 16, 0.5, "60 days")
+    got = st.run_to_end(make, stream, "ts", "test-st2").orderBy("user_id", "window_id").collect()
     from strideframe.operators import windows
 
     batch = windows.sliding_windows(ev, "user_id", "ts", "event_id", 16, 0.5).groupBy("user_id", "window_id").agg(
@@ -32,6 +33,102 @@ def test_stream_windows_equal_batch_over_many_micro_batches(spark, sf_small):
         assert a["mean_x"] == pytest.approx(b["mean_x"])
 
 
+def _samples(n=800, users=2):
+    from datetime import datetime, timedelta, timezone
+
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    return [(i % users, start + timedelta(seconds=7 * (i // users)), i, float((i * 37) % 101)) for i in range(n)]
+
+
+SAMPLE = "user_id long, ts timestamp, event_id long, value double"
+
+
+def _write_files(spark, folder, parts):
+    """One file for each part, each with a later modification time."""
+    import time
+
+    for i, rows in enumerate(parts):
+        path = os.path.join(folder, f"p{i}")
+        spark.createDataFrame(rows, SAMPLE).coalesce(1).write.parquet(path)
+        for f in os.listdir(path):
+            os.utime(os.path.join(path, f), (time.time() + i, time.time() + i))
+
+
+def _event_windows(spark, parts, files, delay):
+    folder = tempfile.mkdtemp(prefix="sf-stream-")
+    _write_files(spark, folder, parts)
+    stream = spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", files).option("recursiveFileLookup", "true").parquet(folder)
+    out = st.run_to_end(lambda s: st.stream_windows(s, "user_id", "ts", "event_id", "value", 16, 0.5, delay), stream, "ts", "test-st2")
+    return sorted((tuple(r) for r in out.collect()), key=str)
+
+
+@pytest.mark.parametrize("files", [1, 64])
+def test_windows_do_not_depend_on_file_order(spark, files):
+    """The later file first: all samples count, whatever a trigger takes."""
+    rows = _samples()
+    got = _event_windows(spark, [rows[400:], rows[:400]], files, "2 hours")
+    want = []
+    for u in range(2):
+        x = [r[3] for r in rows if r[0] == u]
+        for w in range((len(x) - 16) // 8 + 1):
+            v = x[8 * w : 8 * w + 16]
+            want.append((u, w, 16, round(sum(v) / 16, 9), min(v), max(v)))
+    assert len(got) == 98 and [(*r[:3], round(r[3], 9), r[5], r[6]) for r in sorted(got)] == want
+
+
+def test_samples_behind_the_watermark_are_counted(spark):
+    rows = _samples()
+    got = _event_windows(spark, [rows[400:], rows[:400]], 1, "10 seconds")
+    late = [r for r in got if r[1] == st.LATE]
+    assert sum(r[2] for r in late) == 400 and len(got) - len(late) == 48
+
+
+def test_windows_of_odd_samples(spark):
+    """Equal times go by the tie; no time is late; a series shorter than a window has none; NULL series are one series."""
+    rows = _samples(64, 1)
+    odd = [(None, t, i, v) for _, t, i, v in rows[:20]] + [(0, None, 999, 1.0), (5, rows[0][1], 7, 2.0)]
+    same = [(9, rows[0][1], i, float(i)) for i in reversed(range(24))]
+    got = _event_windows(spark, [rows + odd, same], 1, "1 hour")
+    assert [r[:3] for r in got if r[0] == 9] == [(9, 0, 16), (9, 1, 16)]
+    assert [r[5:7] for r in got if r[0] == 9] == [(0.0, 15.0), (8.0, 23.0)]
+    assert [r[:3] for r in got if r[1] == st.LATE] == [(0, st.LATE, 1)]
+    assert sum(r[0] is None for r in got) == 1 and not any(r[0] == 5 for r in got)
+
+
+@pytest.mark.parametrize("fail_after_write", [False, True])
+def test_totals_go_on_after_a_stop_in_any_batch(spark, monkeypatch, fail_after_write):
+    """The chain is stopped in its second batch, before or after the batch's totals are written, and run again."""
+    folder = tempfile.mkdtemp(prefix="sf-ab-")
+    schema = "id long, variant string, y_pred int, y_true int"
+    rows = [(i, "ab"[i % 3 == 0], i % 2, (i // 2) % 2) for i in range(300)]
+    for k in range(3):
+        spark.createDataFrame(rows[100 * k : 100 * k + 100], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in/{k}")
+
+    def joined():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+
+    write = st._write_totals
+
+    def stopping(batch, number, base):
+        if number == 1 and not fail_after_write:
+            raise RuntimeError("stopped")
+        write(batch, number, base)
+        if number == 1:
+            raise RuntimeError("stopped")
+
+    monkeypatch.setattr(st, "_write_totals", stopping)
+    with pytest.raises(Exception, match="stopped"):
+        st.run_totals(joined(), "test-ab", f"{folder}/ab", files_per_trigger=1)
+    monkeypatch.setattr(st, "_write_totals", write)
+    got = {r["variant"]: (r["n"], r["correct"]) for r in st.run_totals(joined(), "test-ab", f"{folder}/ab", files_per_trigger=1).collect()}
+    want = {v: (sum(r[1] == v for r in rows), sum(r[1] == v and r[2] == r[3] for r in rows)) for v in "ab"}
+    assert got == want
+    # more input: the totals go on
+    spark.createDataFrame([(900, "a", 1, 1)], schema).coalesce(1).write.parquet(f"{folder}/in/9")
+    again = {r["variant"]: (r["n"], r["correct"]) for r in st.run_totals(joined(), "test-ab", f"{folder}/ab").collect()}
+    assert again["a"] == (want["a"][0] + 1, want["a"][1] + 1) and again["b"] == want["b"]
+
+
 def _classification_fixture(spark, n=500, d=20, k=4, seed=42):
     """Separable classes (as the reference's fixture: 500 x 20, 4 classes, first 400 train)."""
     import numpy as np
