@@ -3,11 +3,12 @@
 Features are cut into quantile bins once.  A round adds one tree for each class,
 all grown level by level together: one job a level sums first and second
 derivatives of the loss by (class, node, feature, bin) inside each task, adds
-the tasks' sums up with map-side combining, and finds each node's best split
-where its sums are.  Only splits and leaf values (bounded by the tree budget)
-come to the driver.  Margins of the rounds so far are a column of the cached
-rows; every ``CHECKPOINT_ROUNDS`` rounds the rows are checkpointed, which bounds
-the lineage that a lost executor has to run again.
+the tasks' sums up as a tree, and finds each node's best split where its sums
+are.  Only splits and leaf values (bounded by the tree budget)
+come to the driver.  The rows are cached with their margins; those of the last
+rounds are computed as they are needed, and every ``CHECKPOINT_ROUNDS`` rounds
+the rows are checkpointed with them.  That bounds both this work and the lineage
+that a lost executor has to run again.
 
 Gain, leaf value and the bound on a child's second derivatives are the usual
 second-order ones (``REGULARISATION`` is the L2 term).  Missing values lie in
@@ -24,9 +25,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +38,9 @@ REGULARISATION = 1.0
 FEATURE_BLOCK = 512
 #: bytes of rows that one task handles
 TASK_BYTES = 64 << 20
-CHECKPOINT_ROUNDS = 16
+CHECKPOINT_ROUNDS = 8
+#: sums of so many tasks are added in one step, then those sums, until one is left
+ADDED_TOGETHER = 64
 MAX_DEPTH = 12
 #: cut points that the model holds at most (features x bins)
 MAX_CUTS = 16_000_000
@@ -64,6 +66,11 @@ def _leaves(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarra
         at = np.where(inner, 2 * at + 1 + right, at)
 
 
+def number_of_task() -> int:
+    context = TaskContext.get()
+    return context.partitionId() if context else 0
+
+
 def _softmax(margins: np.ndarray) -> np.ndarray:
     e = np.exp(margins - margins.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -95,6 +102,15 @@ class Round:
         return np.column_stack([v[_leaves(bins, f, c)] for f, c, v in zip(self.feature, self.cut, self.value, strict=True)])
 
 
+def _margins(batch: pa.RecordBatch, pending: list[Round], classes: int, width: int) -> np.ndarray:
+    """The margins of the rows of a batch after the rounds that their column does not hold yet."""
+    total = _matrix(batch.column("margins"), "<f8", classes)
+    bins = _matrix(batch.column("bins"), "u1", width)
+    for trees in pending:
+        total = total + trees.margins(bins)
+    return total
+
+
 @dataclass
 class BoostedModel:
     """A fitted booster; ``transform`` adds ``rawPrediction``, ``probability`` (vectors) and ``prediction``."""
@@ -193,19 +209,19 @@ class Booster:
         classes, width = size["top"] + 1, size["width"]
         cuts = self._cuts(rows, width)
         parts = -(-size["n"] * (width + 8 * classes + 24) // TASK_BYTES)
-        rows = rows.coalesce(parts) if parts < rows.rdd.getNumPartitions() else rows
+        now = rows.rdd.getNumPartitions()
+        rows, parts = (rows.coalesce(parts), parts) if parts < now else (rows, now)
         state = self._start(rows, cuts, classes).persist(StorageLevel.MEMORY_AND_DISK)
         model = BoostedModel(cuts, [], classes, np.zeros(width), self.features_col)
         checkpoint_dir(df.sparkSession)
+        pending: list[Round] = []  # rounds that the rows' margins do not hold yet
         for number in range(self.n_estimators):
-            trees = self._grow(state, number, model)
+            trees = self._grow(state, parts, number, model, pending)
             model.rounds.append(trees)
-            if number + 1 < self.n_estimators:
-                after = self._advance(state, trees, classes, width)
-                after = after.checkpoint() if (number + 1) % CHECKPOINT_ROUNDS == 0 else after.persist(StorageLevel.MEMORY_AND_DISK)
-                before, state = state, after
-                if (number + 1) % CHECKPOINT_ROUNDS == 0:
-                    before.unpersist()
+            pending.append(trees)
+            if len(pending) == CHECKPOINT_ROUNDS and number + 1 < self.n_estimators:
+                before, state, pending = state, self._advance(state, pending, classes, width).checkpoint(), []
+                before.unpersist()
         state.unpersist()
         return model
 
@@ -235,12 +251,12 @@ class Booster:
 
         return rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, _STATE)
 
-    def _advance(self, state: DataFrame, trees: Round, classes: int, width: int) -> DataFrame:
-        """Add a round's leaf values to the rows' margins."""
+    def _advance(self, state: DataFrame, pending: list[Round], classes: int, width: int) -> DataFrame:
+        """Add the leaf values of some rounds to the rows' margins."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                margins = _matrix(b.column("margins"), "<f8", classes) + trees.margins(_matrix(b.column("bins"), "u1", width))
+                margins = _margins(b, pending, classes, width)
                 cols = [b.column(c) for c in ("row", "label", "weight", "bins")]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([m.tobytes() for m in margins], pa.binary())], names=["row", "label", "weight", "bins", "margins"])
 
@@ -255,14 +271,14 @@ class Booster:
             out[k, random.Random(f"{self.seed}:{number}:{k}").sample(range(width), most)] = True
         return out
 
-    def _grow(self, state: DataFrame, number: int, model: BoostedModel) -> Round:
+    def _grow(self, state: DataFrame, parts: int, number: int, model: BoostedModel, pending: list[Round]) -> Round:
         classes, width = model.classes, len(model.cuts)
         trees = Round.empty(classes, self.max_depth)
         allowed = self._allowed(number, classes, width)
         open_nodes = [[0] for _ in range(classes)]
         for depth in range(self.max_depth + 1):
             # leaf values of the last level come from their parents' sums
-            found = self._level(state, number, trees, open_nodes, allowed, model) if depth < self.max_depth else []
+            found = self._level(state, parts, number, trees, open_nodes, allowed, model, pending) if depth < self.max_depth else []
             best: dict[tuple[int, int], tuple] = {}
             for r in found:
                 key = (r["cls"], r["node"])
@@ -281,7 +297,7 @@ class Booster:
                 break
         return trees
 
-    def _level(self, state: DataFrame, number: int, trees: Round, open_nodes: list[list[int]], allowed: np.ndarray, model: BoostedModel) -> list:
+    def _level(self, state: DataFrame, parts: int, number: int, trees: Round, open_nodes: list, allowed: np.ndarray, model: BoostedModel, pending: list) -> list:
         """The best split of each open node: one row for each (class, node, block of features)."""
         classes, width, bins = model.classes, len(model.cuts), self.bins
         subsample, seed, least = self.subsample, self.seed + 7919 * number, self.min_child_weight
@@ -294,7 +310,7 @@ class Booster:
                 at[nodes] = np.arange(len(nodes))
             for b in batches:
                 own = _matrix(b.column("bins"), "u1", width)
-                p = _softmax(_matrix(b.column("margins"), "<f8", classes))
+                p = _softmax(_margins(b, pending, classes, width))
                 weight = b.column("weight").to_numpy()
                 if subsample < 1:
                     h = b.column("row").to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
@@ -318,14 +334,18 @@ class Booster:
                 for i, node in enumerate(nodes):
                     for block in blocks:
                         found = total[k][i, block * bins : (block + FEATURE_BLOCK) * bins].ravel()
-                        key = [pa.array([x], pa.int32()) for x in (k, node, block)]
-                        yield pa.RecordBatch.from_arrays([*key, pa.array([found.tolist()], pa.list_(pa.float64()))], names=["cls", "node", "block", "sums"])
+                        key = [pa.array([x], pa.int32()) for x in (k, node, block, number_of_task())]
+                        yield pa.RecordBatch.from_arrays([*key, pa.array([found.tobytes()], pa.binary())], names=["cls", "node", "block", "part", "sums"])
+
+        def add(group: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(x, "<f8") for x in group.column("sums").to_pylist())
+            return group.slice(0, 1).set_column(4, "sums", pa.array([total.tobytes()], pa.binary()))
 
         def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
             for b in batches:
                 for k, node, block, flat in zip(*[b.column(c).to_pylist() for c in ("cls", "node", "block", "sums")], strict=True):
-                    gh = np.array(flat).reshape(-1, bins, 2)
+                    gh = np.frombuffer(flat, "<f8").reshape(-1, bins, 2)
                     total = gh[0].sum(axis=0)
                     left = gh.cumsum(axis=1)[:, :-1]
                     right = total - left
@@ -341,6 +361,12 @@ class Booster:
                 kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * 4]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["cls", "node", "feature", "cut", "gain", "value", "left", "right"])
 
-        partial = state.mapInArrow(sums, "cls int, node int, block int, sums array<double>")
-        added = partial.groupBy("cls", "node", "block").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
-        return added.mapInArrow(split, "cls int, node int, feature int, cut int, gain double, value double, left double, right double").collect()
+        best = "cls int, node int, feature int, cut int, gain double, value double, left double, right double"
+        if parts == 1:
+            return state.mapInArrow(lambda batches: split(sums(batches)), best).collect()
+        kind = "cls int, node int, block int, part int, sums binary"
+        added = state.mapInArrow(sums, kind)
+        while parts > 1:
+            parts = -(-parts // ADDED_TOGETHER)
+            added = added.withColumn("part", F.col("part") % parts).groupBy("cls", "node", "block", "part").applyInArrow(add, kind)
+        return added.mapInArrow(split, best).collect()

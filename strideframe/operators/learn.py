@@ -15,9 +15,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -25,6 +23,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strideframe.operators.boosting import BoostedModel, Booster
+
 MAX_TREE_DEPTH = 30  # Spark's limit stands in for "unlimited" depth
 
 
@@ -117,40 +117,36 @@ def random_forest(config: ModelConfig | None = None, label: str = "label", weigh
     return rf
 
 
-def boosted_trees(config: ModelConfig | None = None, label: str = "label", weight: str | None = None) -> OneVsRest:
-    """M2: multi-class gradient-boosted trees as one-vs-rest binary GBTs (depth 6, rate 0.1 by default)."""
+def boosted_trees(config: ModelConfig | None = None, label: str = "label", weight: str | None = None) -> Booster:
+    """M2: one multi-class booster with a softmax objective (depth 6, rate 0.1 by default); its model gives probabilities."""
     c = config or ModelConfig(max_depth=6, max_features=None)
-    gbt = GBTClassifier(
-        maxDepth=c.max_depth or 6,
-        maxIter=c.n_estimators,
-        stepSize=c.learning_rate,
-        minInstancesPerNode=c.instances_per_node,
-        featureSubsetStrategy=c.subset_strategy,
-        subsamplingRate=c.subsample,
+    return Booster(
+        n_estimators=c.n_estimators,
+        max_depth=c.max_depth or 6,
+        learning_rate=c.learning_rate,
+        subsample=c.subsample,
+        max_features=c.max_features,
+        min_child_weight=c.min_samples_leaf,
         seed=c.random_state,
+        label_col=label,
+        weight_col=weight,
     )
-    ovr = OneVsRest(classifier=gbt, labelCol=label, featuresCol="features", parallelism=4)
-    if weight:
-        ovr.setWeightCol(weight)
-    return ovr
 
 
 def importances(model, names: list[str]) -> DataFrame:
     """M1/M2: ``feature, importance`` of a fitted model, most important first (ties by name).
 
-    A one-vs-rest model gives the mean over its classes.  The table has one row
-    for each feature, as the model has.
+    The table has one row for each feature, as the model has.
     """
     fitted = model.stages[-1] if isinstance(model, PipelineModel) else model
-    parts = fitted.models if hasattr(fitted, "models") else [fitted]
-    if not all(hasattr(m, "featureImportances") for m in parts):
+    if isinstance(fitted, BoostedModel):
+        values = fitted.importances
+    elif hasattr(fitted, "featureImportances"):
+        values = [float(v) for v in fitted.featureImportances.toArray()]
+    else:
         raise ValueError(f"{type(fitted).__name__} has no feature importances")
-    total = [0.0] * len(names)
-    for m in parts:
-        for i, v in enumerate(m.featureImportances.toArray()):
-            total[i] += float(v) / len(parts)
     spark = SparkSession.getActiveSession()
-    rows = sorted(zip(names, total, strict=True), key=lambda r: (-r[1], r[0]))
+    rows = sorted(zip(names, values, strict=True), key=lambda r: (-r[1], r[0]))
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
@@ -266,7 +262,7 @@ def make_estimator(
         if n_features is None or n_classes is None:
             raise ValueError("mlp needs n_features and n_classes")
         return mlp(n_features, n_classes, label=label)
-    raise ValueError(f"Unknown model type: {kind!r} (known: {', '.join(KNOWN_MODELS)})")
+    raise ValueError(f"no estimator is named {kind!r}; there are {', '.join(KNOWN_MODELS)}")
 
 
 def train_and_compare(kinds: list[str], train: DataFrame, val: DataFrame | None = None, label: str = "label", **kw):
@@ -280,16 +276,23 @@ def train_and_compare(kinds: list[str], train: DataFrame, val: DataFrame | None
     return results, best
 
 
-def fit_pipeline(estimator, df: DataFrame) -> PipelineModel:
-    return Pipeline(stages=[estimator]).fit(df)
+def fit_pipeline(estimator, df: DataFrame):
+    """The fitted pipeline of an estimator, or the booster's model, which transforms alike."""
+    return estimator.fit(df) if isinstance(estimator, Booster) else Pipeline(stages=[estimator]).fit(df)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Persist a fitted pipeline (overwrite)."""
-    model.write().overwrite().save(path)
+def save_model(model, path: str) -> None:
+    """Persist a fitted pipeline or booster (overwrite)."""
+    if isinstance(model, BoostedModel):
+        model.save(SparkSession.getActiveSession(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str, kind: str = "pipeline"):
+    """A saved model; ``kind`` is ``pipeline`` or ``boosted_trees``."""
+    if kind == "boosted_trees":
+        return BoostedModel.load(SparkSession.getActiveSession(), path)
     return PipelineModel.load(path)
 
 

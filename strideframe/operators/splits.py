@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strideframe.functions.hashing import bucket, hash32, hash60
+from strideframe.functions.hashing import hash32, hash60
 from strideframe.functions.nullsafe import join_by
 from strideframe.functions.ranking import bucketed_rank, hash_range
 from strideframe.functions.sizing import local_if_small
@@ -32,6 +32,11 @@ def hash_rank(df: DataFrame, id_col: str, seed: int, group: list[str], rank_name
     return out.drop(h)
 
 
+def share_cuts(test_size: float, val_size: float) -> tuple[int, int]:
+    """Upper ends of the test and val parts of the 60-bit hash range."""
+    return round(test_size * 2**60), round((test_size + val_size) * 2**60)
+
+
 def stratified_split(
     df: DataFrame,
     id_col: str,
@@ -48,14 +53,13 @@ def stratified_split(
     test_size))`` of the remaining ``m`` are val, the rest train.  (sklearn
     allots remainders randomly; this rule is deterministic, sizes differ by less
     than one row per class.)
-    Unstratified (D2): hash bucket thresholds, a map-only projection.
+    Unstratified (D2): thresholds of a 60-bit hash, a map-only projection.
     """
     if not 0 < test_size < 1 or not 0 <= val_size < 1 or val_size + test_size >= 1:
         raise ValueError("sizes must satisfy 0 < test, 0 <= val, val + test < 1")
     if not stratify:
-        b = bucket(id_col, seed)
-        t_cut = int(round(test_size * 10000))
-        v_cut = t_cut + int(round(val_size * 10000))
+        b = hash60(id_col, seed)
+        t_cut, v_cut = share_cuts(test_size, val_size)
         return df.withColumn(
             "split", F.when(b < t_cut, "test").when(b < v_cut, "val").otherwise("train")
         )

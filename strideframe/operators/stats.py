@@ -37,17 +37,16 @@ def distinct_per_class(df: DataFrame, label: str, group: str, approx: bool = Fal
 
 
 def describe(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> DataFrame:
-    """A4: count, mean, sample std, min, exact 25/50/75 %, max per column (one long aggregate)."""
-    long = unpivot(df, ids or [], cols)
-    base = long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    q = quantile_columns(long, ["feature"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return base.join(q, "feature", "left").select("feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    """A4: count, mean, sample std, min, exact 25/50/75 %, max per column (two scans)."""
+    base = {
+        "count": F.count("value"),
+        "mean": F.avg("value"),
+        "std": F.stddev_samp("value"),
+        "min": F.min("value"),
+        "max": F.max("value"),
+    }
+    q = quantile_columns(unpivot(df, ids or [], cols), ["feature"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, base)
+    return q.select("feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def stats_of_stats(described: DataFrame) -> DataFrame:

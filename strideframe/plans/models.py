@@ -13,6 +13,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from strideframe.operators import learn, prep, scoring, splits
@@ -24,6 +25,8 @@ from strideframe.plans.prep import TEST, VAL_OF_REST, _d, _h
 from strideframe.session import checkpoint_dir
 
 SEED = 42
+#: rows of a fit that one task holds at ease; fits run a job for each level, whose tasks should not be tiny
+ROWS_PER_TASK = 100_000
 
 
 def labelled(spark, d):
@@ -46,10 +49,11 @@ SQL_SPLIT_SIZES = with_ctes(SQL_LABELLED) + "SELECT split, count(*) AS n_rows, s
 
 @contextmanager
 def held(df):
-    """Rows that several fits read, cached for as long as they do."""
+    """Rows that several fits read, cached for as long as they do, in as many partitions as their size asks for."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield df
+        parts = max(2, -(-df.count() // ROWS_PER_TASK))
+        yield df.coalesce(parts) if parts < df.rdd.getNumPartitions() else df
     finally:
         df.unpersist()
 
@@ -95,6 +99,17 @@ def m2_boosted_trees(spark, d):
         return _split_report(learn.boosted_trees(config, weight="weight").fit(_train(data)), data)
 
 
+@register("m2_probabilities", "SELECT vec_id, true AS sums_to_one, true AS most_likely FROM embeddings")
+def m2_probabilities(spark, d):
+    """Every row's class probabilities by the booster: together 1, the predicted class the likeliest."""
+    with held(labelled(spark, d)) as data:
+        config = learn.ModelConfig(n_estimators=5, max_depth=3, max_features=None)
+        model = learn.boosted_trees(config, weight="weight").fit(_train(data))
+    p = model.transform(labelled(spark, d)).withColumn("p", vector_to_array("probability"))
+    total = F.aggregate("p", F.lit(0.0), lambda a, b: a + b)
+    return p.select("vec_id", (F.abs(total - 1) < 1e-9).alias("sums_to_one"), (F.element_at("p", F.col("prediction").cast("int") + 1) == F.array_max("p")).alias("most_likely"))
+
+
 @register("m3_mlp", SQL_SPLIT_SIZES)
 def m3_mlp(spark, d):
     with held(labelled(spark, d)) as data:
@@ -153,8 +168,7 @@ FROM (VALUES ('random_forest', 0), ('boosted_trees', 1)) t(model, "order")""",
 def m7_train_and_compare(spark, d):
     with held(labelled(spark, d)) as data:
         val = data.where(F.col("split") == "val")
-        config = learn.ModelConfig(n_estimators=5, max_depth=4)
-        results, best = learn.train_and_compare(["random_forest", "boosted_trees"], _train(data), val, config=config)
+        results, best = learn.train_and_compare(["random_forest", "boosted_trees"], _train(data), val, config=learn.ModelConfig(n_estimators=50))
         n_val = val.count()
     n_best = sum(r["order"] == best["order"] and r["score"] == max(x["score"] for x in results) for r in results)
     rows = [(r["model"], r["order"], n_val, 0 <= r["score"] <= 1, n_best) for r in results]

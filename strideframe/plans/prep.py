@@ -47,8 +47,8 @@ def d1_stratified_split(spark, d):
 @register(
     "d2_random_split",
     with_ctes(SQL_TAB)
-    + f"""SELECT row_id, class, CASE WHEN {sql_bucket("row_id", SEED)} < 1500 THEN 'test'
-                              WHEN {sql_bucket("row_id", SEED)} < 3000 THEN 'val' ELSE 'train' END AS split FROM tab""",
+    + f"""SELECT row_id, class, CASE WHEN {sql_hash60("row_id", SEED)} < {splits.share_cuts(TEST, VAL)[0]} THEN 'test'
+                              WHEN {sql_hash60("row_id", SEED)} < {splits.share_cuts(TEST, VAL)[1]} THEN 'val' ELSE 'train' END AS split FROM tab""",
 )
 def d2_random_split(spark, d):
     return splits.stratified_split(tab(spark, d), "row_id", "class", VAL, TEST, SEED, stratify=False).select(

@@ -73,18 +73,17 @@ def s1_s4_load_split_files(spark, d):
 @register(
     "s1_named_frame",
     f"""WITH e AS (SELECT *, CASE WHEN {sql_bucket("vec_id", 42)} < 7000 THEN 'train' ELSE 'test' END AS split FROM embeddings),
-n AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row_id, embedding FROM e WHERE split = 'test')
-SELECT row_id, 'f' || (generate_subscripts(embedding, 1) - 1) AS feature, CAST(unnest(embedding) AS DOUBLE) AS value FROM n""",
+n AS (SELECT split, row_number() OVER (PARTITION BY split ORDER BY vec_id) - 1 AS row_id, embedding FROM e)
+SELECT split, row_id, 'f' || (generate_subscripts(embedding, 1) - 1) AS feature, CAST(unnest(embedding) AS DOUBLE) AS value FROM n""",
     floats=["value"],
 )
 def s1_named_frame(spark, d):
     """S1 with its names: the wide frame of one named column per feature, checked cell by cell in long form."""
-    folder = write_split_files(spark, d, ("test",))
-    rows = matrix.load_splits(spark, folder, "test")
+    rows = matrix.load_splits(spark, write_split_files(spark, d))
     width = rows.select(F.max(F.size("features"))).first()[0] or 0
     names = [f"f{i}" for i in range(width)]
-    wide = matrix.named_columns(rows, names)
-    return wide.unpivot(["row_id"], names, "feature", "value")
+    wide = matrix.named_columns(rows, names, ["split", "row_id"])
+    return wide.unpivot(["split", "row_id"], names, "feature", "value")
 
 
 @register(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strideframe.operators import stats
 from strideframe.plans import features as feat
 from strideframe.plans.catalog import register, with_ctes
-from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_TAB, TAB_COLUMNS, matrix_long, tab
+from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_TAB, TAB_COLUMNS, matrix_long, tab, table
 from strideframe.plans.prep import SQL_SPLIT, split_tab
 
 SPLITS = ["train", "val", "test"]
@@ -28,12 +28,15 @@ def a1_class_distribution(spark, d):
     "a2_counts_by_split",
     with_ctes(SQL_TAB, SQL_SPLIT)
     + """SELECT c.class, coalesce(s.train, 0) AS train, coalesce(s.val, 0) AS val, coalesce(s.test, 0) AS test
-FROM (SELECT DISTINCT class FROM tab) c LEFT JOIN (
+FROM (SELECT l_returnflag AS class FROM lineitem UNION SELECT o_orderstatus FROM orders) c LEFT JOIN (
   SELECT class, count_if(split = 'train') AS train, count_if(split = 'val') AS val, count_if(split = 'test') AS test
   FROM split GROUP BY class) s USING (class)""",
 )
 def a2_counts_by_split(spark, d):
-    return stats.counts_by_split(split_tab(spark, d), "class", tab(spark, d), SPLITS)
+    """The dictionary holds order states as well, classes that no row of ``tab`` has."""
+    flags = tab(spark, d).select("class")
+    states = table(spark, d, "orders").select(F.col("o_orderstatus").alias("class"))
+    return stats.counts_by_split(split_tab(spark, d), "class", flags.unionByName(states), SPLITS)
 
 
 @register(

@@ -66,9 +66,9 @@ def parse_matrix(lines: DataFrame, width: int | None = None) -> DataFrame:
     return out
 
 
-def named_columns(matrix: DataFrame, names: list[str]) -> DataFrame:
-    """S1 + S2: wide frame with one named double column per feature."""
-    return matrix.select("row_id", *[F.col("features")[i].alias(n) for i, n in enumerate(names)])
+def named_columns(matrix: DataFrame, names: list[str], keys: list[str] | None = None) -> DataFrame:
+    """S1 + S2: wide frame with one named double column per feature, after the row's ``keys``."""
+    return matrix.select(*(keys or ["row_id"]), *[F.col("features")[i].alias(n) for i, n in enumerate(names)])
 
 
 def activity_name(activity_id: Column) -> Column:
