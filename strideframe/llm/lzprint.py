@@ -1,7 +1,8 @@
 """Lempel-Ziv phrase fingerprints of documents.
 
-A text is parsed into dictionary phrases (LZ78 over its words and punctuation
-marks: each phrase is the longest earlier phrase and one more symbol).  The phrases' hashes
+A text is parsed into dictionary phrases (LZ78 over its symbols, which
+are runs of ASCII letters and digits and all other characters one by one: each
+phrase is the longest earlier phrase and one more symbol).  The phrases' hashes
 form a set; the fingerprint holds its ``K`` least 32-bit hashes in ascending
 order, as hexadecimal text.  Two fingerprints are compared by the share of the
 ``K`` least hashes of their union that both hold, an estimate of the Jaccard
@@ -35,13 +36,21 @@ RANGE_ROWS = 4000
 MAX_RANGES = 20_000
 
 
+#: bytes of ASCII words
+_WORD = packed.WORD_BYTES.copy()
+_WORD[0x80:] = False
+
+
 def symbols(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the symbols of all rows, and the rows' offsets: words (runs of
-    letters, digits and non-ASCII characters) and single other characters but white space."""
-    word = packed.WORD_BYTES[packed.LOWER[data]]
+    """Hashes of the symbols of all rows, and the rows' offsets: runs of ASCII
+    letters and digits, and every other character but ASCII white space."""
+    word = _WORD[packed.LOWER[data]]
     starts, ends, _ = packed.spans(word, offs)
-    marks = np.flatnonzero(~word & packed.TOKEN_BYTES[data])
-    starts, ends = np.concatenate([starts, marks]), np.concatenate([ends, marks + 1])
+    head = (data & 0xC0) != 0x80
+    single = np.flatnonzero(~word & head & packed.TOKEN_BYTES[data])
+    heads = np.append(np.flatnonzero(head), len(data))
+    after = heads[np.searchsorted(heads, single, "right")] if len(single) else single
+    starts, ends = np.concatenate([starts, single]), np.concatenate([ends, after])
     order = np.argsort(starts, kind="stable")
     starts, ends = starts[order], ends[order]
     return packed.hash_spans(data, starts, ends), np.searchsorted(starts, offs)

@@ -1,9 +1,11 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Two labels, plain and toxic, over the words of a text; a chain is at most
-``CHAIN`` consecutive words.  The emission of a word is the sum of hashed
-feature weights: the word and its first 4, 5 and 6 bytes.  Forward-backward
-gives each word's marginal probability of being toxic.  A document's score is a
+Two labels, plain and toxic, over all words of a text.  The emission of a word
+is the sum of hashed feature weights: the word and its first 4, 5 and 6 bytes.
+Forward-backward over the whole text gives each word's marginal probability of
+being toxic: blocks of ``CHAIN`` words are summed up as 2 x 2 matrices first, a
+pass over the blocks of each text carries the messages from block to block, and
+the words inside all blocks follow in parallel.  A document's score is a
 calibrated function of its greatest marginal and of the sum of its marginals;
 its offending spans are the runs of words whose marginal is at least
 ``SPAN_MARGINAL``.
@@ -12,7 +14,8 @@ Learning needs labelled words, while ``labels.toxic`` marks documents.  Words
 are therefore labelled first: a feature that at least ``MIN_DOCS`` training
 documents hold, nearly all of them toxic (lower confidence bound at least
 ``INDICATOR_SHARE``), marks its words in toxic documents as toxic.  The field
-is fitted to those labels, and the calibration to the documents' labels.  All
+is fitted to those labels in stretches of ``CHAIN`` words (those with a toxic
+word, and others), and the calibration to the documents' labels.  All
 of this uses a bounded sample of the training rows: at most ``SAMPLE``
 documents of each class with at most ``SAMPLE_CHARS`` characters, by the least
 hash of their text.
@@ -85,14 +88,77 @@ def _log_add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.logaddexp(a, b)
 
 
-def forward_backward(emit: np.ndarray, first: np.ndarray, size: np.ndarray, trans: np.ndarray, start: float):
+def block_matrices(emit: np.ndarray, first: np.ndarray, size: np.ndarray, trans: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """Log-sum over the labels of each block by (label before the block, label of its last word), shape (blocks, 2, 2).
+
+    With ``start``, the scores of the first word's labels, what stands before plays no part.
+    """
+    order = np.argsort(-size, kind="stable")
+    f, s = first[order], size[order]
+    out = np.zeros((len(f), 2, 2))
+    for a in range(2):
+        enter = trans[a] if start is None else start
+        x0, x1 = np.full(len(f), enter[0]), enter[1] + emit[f]
+        for t in range(1, int(s[0]) if len(s) else 0):
+            m = int(np.searchsorted(-s, -t, "left"))
+            p0, p1 = x0[:m].copy(), x1[:m].copy()
+            x0[:m] = _log_add(p0 + trans[0, 0], p1 + trans[1, 0])
+            x1[:m] = _log_add(p0 + trans[0, 1], p1 + trans[1, 1]) + emit[f[:m] + t]
+        out[order, a, 0], out[order, a, 1] = x0, x1
+    return out
+
+
+def whole_text_marginals(emit: np.ndarray, rows: np.ndarray, trans: np.ndarray, start: float) -> np.ndarray:
+    """Marginals of the toxic label for each word, one chain a row."""
+    first, size = chains(rows)
+    if not len(first):
+        return np.zeros(0)
+    blocks = -(-np.diff(rows) // CHAIN)
+    lead = np.cumsum(blocks) - blocks
+    heads = np.zeros(len(first), bool)
+    heads[lead[blocks > 0]] = True
+    matrix = block_matrices(emit, first, size, trans)
+    # no label stands before a text's first block: it has the start score instead of a transition
+    matrix[heads] = block_matrices(emit, first[heads], size[heads], trans, np.array([0.0, start]))
+    head, tail = np.zeros((len(first), 2)), np.zeros((len(first), 2))
+    head[heads] = np.column_stack([np.zeros(heads.sum()), start + emit[first[heads]]])
+    order = np.argsort(-blocks, kind="stable")
+    most = int(blocks.max())
+    alive = [int(np.searchsorted(-blocks[order], -k, "left")) for k in range(most + 1)]
+    message = None
+    for k in range(most):
+        at = lead[order[: alive[k]]] + k
+        if k:
+            v = message[: alive[k]]
+            for b in range(2):
+                head[at, b] = _log_add(v[:, 0] + trans[0, b], v[:, 1] + trans[1, b])
+            head[at, 1] += emit[first[at]]
+            message = np.column_stack([_log_add(v[:, 0] + matrix[at, 0, b], v[:, 1] + matrix[at, 1, b]) for b in range(2)])
+        else:
+            message = matrix[at, 0]
+        message = message - message.max(axis=1, keepdims=True)
+    for k in range(most - 2, -1, -1):
+        at = lead[order[: alive[k + 1]]] + k
+        nxt = at + 1
+        back = np.column_stack([_log_add(matrix[nxt, a, 0] + tail[nxt, 0], matrix[nxt, a, 1] + tail[nxt, 1]) for a in range(2)])
+        tail[at] = back - back.max(axis=1, keepdims=True)
+    return forward_backward(emit, first, size, trans, start, head, tail)[0]
+
+
+def forward_backward(
+    emit: np.ndarray, first: np.ndarray, size: np.ndarray, trans: np.ndarray, start: float, head: np.ndarray | None = None, tail: np.ndarray | None = None
+):
     """Marginals of the toxic label for each word, and the pair marginals summed by transition.
 
     ``emit`` holds the toxic label's score of each word (the plain label's is 0);
     ``trans[a, b]`` is the score of label ``b`` after ``a``; chains run in parallel.
+    Chains that are blocks of a longer one get ``head``, the scores of their first
+    word's labels from the left, and ``tail``, those of their last word's from the right.
     """
     order = np.argsort(-size, kind="stable")
     first, size = first[order], size[order]
+    head = None if head is None else head[order]
+    tail = np.zeros((len(size), 2)) if tail is None else tail[order]
     out = np.zeros(len(emit))
     pairs = np.zeros((2, 2))
     if not len(size):
@@ -104,17 +170,17 @@ def forward_backward(emit: np.ndarray, first: np.ndarray, size: np.ndarray, tran
         m = alive[t]
         e = emit[first[:m] + t]
         if t == 0:
-            a0[t], a1[t] = np.zeros(m), start + e
+            a0[t], a1[t] = (np.zeros(m), start + e) if head is None else (head[:m, 0], head[:m, 1])
         else:
             p0, p1 = a0[t - 1][:m], a1[t - 1][:m]
             a0[t] = _log_add(p0 + trans[0, 0], p1 + trans[1, 0])
             a1[t] = _log_add(p0 + trans[0, 1], p1 + trans[1, 1]) + e
-    b0, b1 = np.zeros(alive[-1]), np.zeros(alive[-1])
+    b0, b1 = tail[: alive[-1], 0], tail[: alive[-1], 1]
     for t in range(steps - 1, -1, -1):
         m = alive[t]
         if len(b0) < m:
-            grow = np.zeros(m - len(b0))
-            b0, b1 = np.concatenate([b0, grow]), np.concatenate([b1, grow])
+            ended = tail[len(b0) : m]
+            b0, b1 = np.concatenate([b0, ended[:, 0]]), np.concatenate([b1, ended[:, 1]])
         diff = (a1[t] + b1) - (a0[t] + b0)
         out[first[:m] + t] = 1.0 / (1.0 + np.exp(-np.clip(diff, -60, 60)))
         if t:
@@ -137,8 +203,7 @@ class Field:
 
     def marginals(self, hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
         emit = self.weights[_slots(hashes)].sum(axis=0).astype(float) if hashes.shape[1] else np.zeros(0)
-        first, size = chains(rows)
-        return forward_backward(emit, first, size, self.trans, self.start)[0]
+        return whole_text_marginals(emit, rows, self.trans, self.start)
 
 
 def document_features(marginal: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -232,7 +297,7 @@ def fit_field(data: np.ndarray, offs: np.ndarray, toxic: np.ndarray, positive_sh
     field = Field(weights.astype(np.float32), trans, start, np.zeros(3))
     x = document_features(field.marginals(hashes, rows), rows)
     share = toxic.mean()
-    weight = np.where(toxic, positive_share / share, (1 - positive_share) / (1 - share)) * len(toxic) / len(toxic)
+    weight = np.where(toxic, positive_share / share, (1 - positive_share) / (1 - share))
     field.calibration = _logistic(x, toxic.astype(float), weight)
     return field
 
