@@ -4,13 +4,19 @@ A text is a vector of hashed character n-grams (1 to 3 UTF-8 bytes of its
 lower-cased letters, words kept apart by one blank), weighted by TF-IDF and
 brought to length 1.  For each language spherical k-means finds ``CENTROIDS``
 centroids.  A text gets the language of the centroid with the greatest cosine;
-it is rejected if that cosine is below the centroid's radius, which is
-``REJECT_SHARE`` of the least similarity that the centroid's own training texts
-have with it.
+it is rejected if that cosine is below the radius for a text of so many letters.
+
+Radii come from texts that the centroids did not see.  One half of the sample
+gives centroids; pieces of the other half, of 16 letters and twice as many up to
+4,096, are compared with the centroids of their own language and, as if that
+had been left out, with those of the others.  The radius for a length rejects
+``FOREIGN`` of the pieces whose language is left out, but at most ``CLEAN`` of
+the pieces whose language is known.
 
 Document frequencies count all training texts.  The centroids are fitted on a
-bounded sample: at most ``SAMPLE`` texts over all languages, those with the
-least hash of their text.
+bounded sample: at most ``SAMPLE`` different texts over all languages, for each
+language those with the least hashes, so that copies count once and no language
+with a text is left without a centroid.
 
 Results: ``lang_pred`` (``und`` for null texts and texts without a letter, or
 if nothing could be learned), ``lang_score`` (the cosine, 0 for ``und``),
@@ -26,18 +32,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.llm import packed
-from strideframe.llm.stored import small_batches
+from strideframe.llm.stored import Scratch, small_batches
 
 DIMS = 4096
 CENTROIDS = 4
 #: the bound of the sample that the centroids are fitted on, over all languages
 SAMPLE = 4000
-REJECT_SHARE = 0.2
+#: shares of the calibration pieces that a radius rejects: of left-out languages at best, of known ones at most
+FOREIGN = 0.995
+CLEAN = 0.002
+#: letters of the calibration pieces; longer texts have the last radius, shorter ones are not rejected
+PIECES = tuple(16 << k for k in range(9))
+#: most different values of the language column
+MAX_LANGS = 1000
 #: rows of a slice: their dense count matrix stays below 16 MB
 ROWS = 512
 
@@ -122,9 +134,21 @@ def spherical_kmeans(vectors: np.ndarray, k: int, rounds: int = 20) -> tuple[np.
 class Model:
     idf: np.ndarray
     centres: np.ndarray
-    radius: np.ndarray
+    radius: np.ndarray  # for each of PIECES
     langs: list[str]
 
+    def rejects(self, top: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Whether a text of so many letters is too far from its nearest centroid."""
+        at = np.searchsorted(PIECES, letters, "right") - 1
+        return np.where(at >= 0, top < self.radius[np.maximum(at, 0)], False)
+
+
+def letter_counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Characters of each row that are letters (by their lead bytes)."""
+    low = packed.LOWER[data]
+    seen = np.concatenate([[0], np.cumsum(_LETTER[low] & ((low & 0xC0) != 0x80))])
+    return seen[offs[1:]] - seen[offs[:-1]]
+
 
 def _sliced(batches: Iterator[pa.RecordBatch], text: str):
     packed.held("langid")
@@ -151,43 +175,114 @@ def _document_frequency(train: DataFrame, text: str) -> tuple[np.ndarray, int]:
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE, k: int = CENTROIDS) -> Model | None:
     """Learn from rows with a language; None if there is no such row with a letter."""
     train = small_batches(train).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    sizes = {r[0]: r[1] for r in train.groupBy("lang").agg(F.count("*")).collect()}
-    if not sizes:
+    found = train.groupBy("lang").agg(F.count("*")).limit(MAX_LANGS + 1).collect()
+    if not found:
         return None
+    if len(found) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     seen, n = _document_frequency(train, "text")
     idf = np.log((1 + n) / (1 + seen)) + 1.0
-    share = max(1, sample // len(sizes))
-    # a uniform draw by the hash of the text: about ``share`` rows of each language
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    limits = F.create_map(*[F.lit(x) for name, size in sizes.items() for x in (name, min(1.0, share / size))])
-    drawn = train.filter(draw < limits[F.col("lang")])
+    folder = Scratch(train.sparkSession, "langid")
+    drawn = folder.write(_sample(train, max(1, sample // len(found))), "sample")
+    by_lang = _vectors(drawn, idf)
+    if not by_lang:
+        folder.drop()
+        return None
+    halves = [{name: rows[part::2] for name, rows in by_lang.items()} for part in range(2)]
+    # a language of one text is known by that text
+    known = _centroids({name: rows if len(rows) else by_lang[name] for name, rows in halves[0].items()}, k)
+    radius = _radii(drawn, idf, *known)
+    folder.drop()
+    langs, centres = _centroids(by_lang, k)
+    return Model(idf, centres, radius, langs)
+
+
+def _sample(train: DataFrame, share: int) -> DataFrame:
+    """``lang, text, place``: for each language the ``share`` different texts with the least hashes, in the hashes' order."""
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for b in batches:
+            names, code = np.unique(np.array(b.column("lang").to_pylist(), object).astype(str), return_inverse=True)
+            hashes = b.column("hash").to_numpy()
+            for i, name in enumerate(names.tolist()):
+                held[name] = np.unique(np.concatenate([held.get(name, hashes[:0]), hashes[code == i]]))[:share]
+        for name, hashes in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(hashes), pa.string()), pa.array(hashes)], names=["lang", "hash"])
+
+    rows = train.withColumn("hash", F.xxhash64("text"))
+    kept = rows.select(F.col("lang").cast("string").alias("lang"), "hash").mapInArrow(least, "lang string, hash long").distinct()
+    order = Window.partitionBy("lang").orderBy("hash")
+    kept = kept.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= share)
+    # at most SAMPLE rows: broadcast
+    texts = rows.join(F.broadcast(kept), ["lang", "hash"])
+    # copies of a text are equal but for a collision of hashes
+    return texts.groupBy("lang", "place").agg(F.min("text").alias("text"))
+
+
+def _vectors(drawn: DataFrame, idf: np.ndarray) -> dict[str, np.ndarray]:
+    """The unit vectors of the sample's texts with a letter, by language, in the order of their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offs in _sliced(batches, "text"):
+            rows = [v.tobytes() for v in unit_vectors(counts(data, offs), idf)]
+            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("place"), pa.array(rows, pa.binary())], names=["lang", "place", "vector"])
+
+    found: dict[str, list] = {}
+    for name, place, raw in drawn.mapInArrow(run, "lang string, place int, vector binary").toLocalIterator():
+        vector = np.frombuffer(bytes(raw), np.float32)
+        if np.linalg.norm(vector) > 0.5:
+            found.setdefault(name, []).append((place, vector))
+    return {name: np.array([v for _, v in sorted(rows, key=lambda r: r[0])]) for name, rows in sorted(found.items())}
+
+
+def _centroids(by_lang: dict[str, np.ndarray], k: int) -> tuple[list[str], np.ndarray]:
+    langs, centres = [], []
+    for name, rows in by_lang.items():
+        found, _ = spherical_kmeans(rows, k)
+        langs += [name] * len(found)
+        centres.append(found)
+    return langs, np.concatenate(centres).astype(np.float32)
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _radii(drawn: DataFrame, idf: np.ndarray, langs: list[str], centres: np.ndarray) -> np.ndarray:
+    """The radius for each length of ``PIECES``, from pieces of the texts at even places (the odd ones made ``centres``)."""
+    names = np.array(langs, object)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in _sliced(batches, "text"):
-            raw = unit_vectors(counts(data, offs), idf)
-            rows = [v.tobytes() for v in raw]
-            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("hash"), pa.array(rows, pa.binary())], names=["lang", "hash", "vector"])
-
-    rows = drawn.withColumn("hash", F.xxhash64("text")).mapInArrow(vectors, "lang string, hash long, vector binary")
-    by_lang: dict[str, list] = {name: [] for name in sorted(sizes)}
-    for name, key, raw in rows.toLocalIterator():
-        by_lang[name].append((key, bytes(raw)))
-    langs, centres, radius = [], [], []
-    for name, found in by_lang.items():
-        found.sort()
-        mat = np.array([np.frombuffer(raw, np.float32) for _, raw in found[:share]]).reshape(-1, DIMS)
-        mat = mat[np.linalg.norm(mat, axis=1) > 0.5]
-        if not len(mat):
+            own = np.array(part.column("lang").to_pylist(), object)
+            low = packed.LOWER[data]
+            letter = np.concatenate([[0], np.cumsum(_LETTER[low] & ((low & 0xC0) != 0x80))])
+            for number, size in enumerate(PIECES):
+                # the bytes up to each text's ``size``-th letter, of texts that have so many
+                begin = letter[offs[:-1]]
+                rows = np.flatnonzero(letter[offs[1:]] - begin >= size)
+                if not len(rows):
+                    continue
+                end = np.searchsorted(letter, begin[rows] + size)
+                spans = [data[a:b] for a, b in zip(offs[rows].tolist(), end.tolist(), strict=True)]
+                at = np.concatenate([[0], np.cumsum([len(x) for x in spans])])
+                near = unit_vectors(counts(np.concatenate(spans), at), idf) @ centres.T
+                mine = names[None, :] == own[rows, None]
+                best = np.where(mine, near, -1.0).max(axis=1)
+                other = np.where(mine, -1.0, near).max(axis=1)
+                cols = [pa.array([number] * len(rows), pa.int32()), pa.array(np.maximum(best, other).astype(float)), pa.array(other.astype(float))]
+                yield pa.RecordBatch.from_arrays(cols, names=["number", "top", "other"])
+
+    held_out = drawn.filter("place % 2 = 0").mapInArrow(run, "number int, top double, other double").toArrow()
+    number, top, other = (held_out.column(c).to_numpy() for c in ("number", "top", "other"))
+    radius = np.zeros(len(PIECES))
+    for i in range(len(PIECES)):
+        here = number == i
+        if not here.any():  # no text is so long: what holds for shorter ones
+            radius[i] = radius[i - 1] if i else 0.0
             continue
-        centre, member = spherical_kmeans(mat, k)
-        near = (mat * centre[member]).sum(axis=1)
-        for c in range(len(centre)):
-            langs.append(name)
-            centres.append(centre[c])
-            radius.append(REJECT_SHARE * float(near[member == c].min()) if (member == c).any() else 0.0)
-    if not langs:
-        return None
-    return Model(idf, np.array(centres, np.float32), np.array(radius), langs)
+        radius[i] = np.quantile(top[here], CLEAN)
+        foreign = other[here & (other >= 0)]
+        if len(foreign):
+            radius[i] = min(radius[i], np.quantile(foreign, FOREIGN))
+    return radius
 
 
 ADDED = ("lang_pred", "lang_score", "lang_rejected")
@@ -211,7 +306,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
                 top = np.clip(near[np.arange(len(best)), best].astype(float), 0.0, 1.0)
                 pred[known] = np.array(model.langs, object)[best[known]]
                 score[known] = top[known]
-                rejected |= top < model.radius[best]
+                rejected |= model.rejects(top, letter_counts(data, offs))
             cols = [pa.array(pred, pa.string()), pa.array(score), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=schema.names)
 

@@ -10,6 +10,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from llm_helpers import EDGE_TEXTS, by_id, documents, edge_docs, empty_docs
 from strideframe.llm import brown, catalog, chunks, langid, lzprint, neardup, packed, toxicity
 from strideframe.llm.components import components
@@ -526,3 +528,70 @@ def test_language_edges(spark, sf_small):
     assert langid.fit(empty_docs(spark)) is None
     assert {r["lang_pred"] for r in langid.identify(edge, None).collect()} == {"und"}
     assert langid.predictions(edge).count() == edge.count()
+
+
+def plain_ngrams(text):
+    """Counts of the 1 to 3 byte n-grams of lower-cased letters, words kept apart by one blank, by dimension."""
+    low = text.encode().replace(b"\x20", b" ")
+    raw = bytearray()
+    previous = 0
+    for b in low:
+        c = b + 32 if 65 <= b <= 90 else b
+        if previous == 0xC3 and 0x80 <= b <= 0x9E:
+            c = b + 32
+        previous = b
+        raw.append(c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20)
+    out = Counter()
+    for i in range(len(raw)):
+        for n in (1, 2, 3):
+            gram = bytes(raw[i : i + n])
+            if len(gram) < n or b"  " in gram or gram == b" ":
+                continue
+            code = int.from_bytes(gram, "big")
+            out[code if n == 1 else 256 + (((code + n * 0x1000000) * 0x9E3779B1 & 0xFFFFFFFF) >> 8) % (langid.DIMS - 256)] += 1
+    return out
+
+
+def test_language_by_plain_vectors(spark, sf_small):
+    """Document frequencies, unit vectors and the nearest centroid, one text at a time."""
+    docs = documents(spark, sf_small)
+    model = langid.fit(docs)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(-1, "ÄÖÜ äöü straße"), (-2, "x"), (-3, "a  b\n\nc-d")]
+    grams = {i: plain_ngrams(t) for i, t in rows}
+    seen = Counter(d for i, _ in rows if i >= 0 for d in grams[i])
+    n = sum(i >= 0 for i, _ in rows)
+    idf = np.array([math.log((1 + n) / (1 + seen[d])) + 1 for d in range(langid.DIMS)])
+    assert np.allclose(idf, model.idf)
+    got = by_id(langid.identify(spark.createDataFrame(rows, "doc_id long, text string"), model))
+    for i, _ in rows:
+        v = np.zeros(langid.DIMS)
+        for d, c in grams[i].items():
+            v[d] = math.log1p(c) * idf[d]
+        near = model.centres @ (v / np.linalg.norm(v))
+        assert got[i]["lang_pred"] == model.langs[int(near.argmax())] and abs(got[i]["lang_score"] - near.max()) < 1e-4
+
+
+def test_languages_left_out_and_random_letters_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").cache()
+    rng = np.random.default_rng(1)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    salad = [(i, " ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(int(rng.choice([20, 100, 500]))))) for i in range(100)]
+    salad = spark.createDataFrame(salad, "doc_id long, text string")
+    share = lambda df: df.agg(F.avg(F.col("lang_rejected").cast("double"))).first()[0]
+    for lang in ("de", "en", "es", "fr"):
+        model = langid.fit(docs.filter(F.col("lang") != lang))
+        assert share(langid.identify(docs.filter(F.col("lang") == lang), model)) > 0.9
+        assert share(langid.identify(docs.filter(F.col("lang") != lang), model)) < 0.01
+        assert share(langid.identify(salad, model)) > 0.9
+
+
+@pytest.mark.parametrize("trial", range(4))
+def test_a_language_of_copies_keeps_its_centroid(spark, trial):
+    french = f"le chat {trial} est sur la table et la lune est belle ce soir"
+    rows = [(i, french, "fr") for i in range(400)]
+    rows += [(1000 + i, f"the {i} dogs of number {i * 7} were running over these hills {trial}", "en") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, sample=20)
+    assert set(model.langs) == {"en", "fr"}
+    assert langid._sample(docs.select("text", "lang"), 10).groupBy("lang").count().orderBy("lang").collect() == [("en", 10), ("fr", 1)]
+    assert by_id(langid.identify(docs, model))[0]["lang_pred"] == "fr"
