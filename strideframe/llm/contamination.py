@@ -155,14 +155,16 @@ def find_contaminated(
     for more in parts[1:]:
         found = found.unionByName(more.select("row_", "n_words", F.inline("hits")).checkpoint())
 
-    # rarity over all documents; a window's prefix is its rarest shingle
+    # rarity over all documents; a window's prefix is its rarest shingle, and a window
+    # with a shingle that no document holds cannot occur
     rarity = found.groupBy("shingle").agg(F.count("*").alias("n"))
     rarest = F.struct("n", "shingle", "offset")
     prefix = (
-        unique.select("win", "words", F.posexplode("shingles").alias("offset", "shingle"))
+        unique.select("win", "words", F.size("shingles").alias("of"), F.posexplode("shingles").alias("offset", "shingle"))
         .join(rarity, "shingle")
         .groupBy("win")
-        .agg(F.min(rarest).alias("p"), F.first("words").alias("target"))
+        .agg(F.min(rarest).alias("p"), F.first("words").alias("target"), F.count("*").alias("present"), F.first("of").alias("of"))
+        .filter("present = of")
         .select("win", "target", "p.shingle", "p.offset")
     )
     prefix = broadcast_if_small(prefix, MAX_BROADCAST_WINDOWS)

@@ -70,12 +70,14 @@ Query = tuple[frozenset[frozenset[str]], ...]
 
 
 def _grams(text: str) -> frozenset[str]:
-    return frozenset(text[i : i + 3] for i in range(len(text) - 2))
+    """Trigrams of the UTF-8 bytes, each byte written as the character of its number."""
+    raw = text.encode("utf-8", "surrogatepass").decode("latin-1")
+    return frozenset(raw[i : i + 3] for i in range(len(raw) - 2))
 
 
 def _clause(texts: set[str]) -> Query:
     """What is known when one of ``texts`` must occur: nothing, if one of them has no trigram."""
-    if not texts or any(len(t) < 3 for t in texts):
+    if not texts or any(not _grams(t) for t in texts):
         return ()
     return (frozenset(map(_grams, texts)),)
 

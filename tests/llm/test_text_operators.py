@@ -146,6 +146,23 @@ def test_candidates_lose_no_match(parts):
     assert got == sorted(want)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["café_", "CAFÉ_", "12", "34", "ключ=", "КЛЮЧ=", "ключ", " ", "ab", "é", "鍵:", "Z"]), max_size=12))
+def test_candidates_of_rules_beyond_ascii_lose_no_match(parts):
+    rules = (
+        secrets.Rule("latin", r"café_[0-9]{4}"),
+        secrets.Rule("any_case", r"café_[0-9]{2}", True),
+        secrets.Rule("cyrillic", r"ключ=[0-9]+"),
+        secrets.Rule("choice", r"(?:鍵|ключ)[:=]?[0-9]{2}"),
+        secrets.Rule("short", r"é[0-9]"),
+    )
+    text = "x " + "".join(parts)
+    data, offs = secrets.packed.text_bytes(secrets.pa.array([text]))
+    got = secrets.Scanner(rules).scan([text], data, offs)[0]
+    assert got == sorted((m.start(), k, m.end()) for k, r in enumerate(rules) for m in r.compiled().finditer(text))
+    assert secrets.trigram_query(rules[2].pattern) and secrets.trigram_query(rules[0].pattern)
+
+
 # --- decontamination
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
