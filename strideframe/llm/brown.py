@@ -9,10 +9,9 @@ same ending (last two bytes, hashed), so an unseen word has a unit too.  The
 exchange algorithm moves units between ``CLASSES`` classes while the class
 bigram likelihood grows; it needs the unit bigram counts only, whose number is
 bounded by the square of ``UNITS``, whatever the size of the corpus.  Then each
-further word of the dictionary that occurs ``SEEN`` times or more goes to the
-class of greatest likelihood by its own counts of (class before, class after),
-over all training texts.  Unseen and rarer words, and words beyond the
-dictionary, keep the class of their ending.
+further word that occurs ``SEEN`` times or more goes to the class of greatest
+likelihood by its own counts of (class before, class after), over all training
+texts.  Unseen and rarer words keep the class of their ending.
 
 Model.  ``p(w | previous) = p(class(w) | class(previous)) * p(w | class(w))``.
 Transitions are smoothed towards the classes' shares with ``TRANSITION`` pseudo
@@ -21,9 +20,10 @@ place in each class is kept for unseen words.  The score of a text is the log10
 of its probability, with the first word following an end token.
 
 Counts cover all training texts and every word.  Words are counted by a 64-bit
-hash.  At most ``DICTIONARY`` words, the most frequent, are handed to all
-tasks; the words beyond are looked up by a shuffled join, so every count is
-used.
+hash.  At most ``DICTIONARY`` words, the most frequent, are handed to all tasks
+with their counts and classes.  Occurrences of words beyond, with the classes
+beside them, meet counts and classes in shuffled joins, so results do not depend
+on ``DICTIONARY``.
 
 Results: ``n_tokens``, ``n_known``, ``base_score`` (unigram), ``score``.  A null
 or empty text holds the end token only.  Rows are told apart by a row number,
@@ -38,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,27 +175,86 @@ def _units(h: np.ndarray, ending: np.ndarray, own: np.ndarray) -> np.ndarray:
     return np.where(known, UNITS + at, ending)
 
 
-def class_bigrams(train: DataFrame, shared) -> np.ndarray:
-    """Counts of consecutive classes over all training texts; ``shared`` holds the words with a class and ``Model.cls``."""
+def class_bigrams(train: DataFrame, shared, further: DataFrame | None = None) -> np.ndarray:
+    """Counts of consecutive classes over all training texts.
+
+    ``shared`` holds the words with a class, ``Model.cls`` and the dictionary;
+    ``further`` (``word, cls``) the classes of words beyond it, if any has one.
+    """
+    apart = further is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, cls = shared.value
+        own, cls, keys = shared.value
         total = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
             for _, data, offs in packed.slices(batch, "text"):
                 h, u, rows = tokens(data, offs)
-                _, u, _ = _sequence(h, _units(h, u, own), rows)
+                h, u, _ = _sequence(h, _units(h, u, own), rows)
                 c = cls[u]
-                total += np.bincount(np.concatenate([[0], c[:-1]]) * CLASSES + c, minlength=CLASSES * CLASSES)
+                pair = np.concatenate([[0], c[:-1]]) * CLASSES + c
+                if apart and len(h):
+                    known = _known(keys, h)
+                    pair = pair[known & np.concatenate([[True], known[:-1]])]
+                total += np.bincount(pair, minlength=CLASSES * CLASSES)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["pair", "n"])
 
+    counted = train.select("text").mapInArrow(run, "pair int, n long")
+    if apart:
+        found = beyond_dictionary(train, shared).join(further, "word", "left").withColumn("cls", F.coalesce("cls", "unit"))
+        pairs = F.array(F.when(F.col("before") >= 0, F.col("before") * CLASSES + F.col("cls")), F.col("cls") * CLASSES + F.col("after"))
+        found = _with_neighbours(found).select(F.explode(pairs).alias("pair")).filter("pair is not null")
+        counted = counted.unionByName(found.groupBy("pair").agg(F.count("*").alias("n")))
     out = np.zeros(CLASSES * CLASSES)
-    for pair, n in train.select("text").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n")).collect():
+    for pair, n in counted.groupBy("pair").agg(F.sum("n")).collect():
         out[pair] = n
     return out.reshape(CLASSES, CLASSES)
 
 
+_GAPS = "row long, at int, word long, unit int, before int, after int"
+
+
+def _gaps(h: np.ndarray, c: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the words beyond the dictionary in a sequence, and the classes before and after them (-1 beside another such word)."""
+    at = np.flatnonzero(~known)  # an end token is known, so each has a token after it
+    before = np.where(at > 0, np.where(known[at - 1], c[at - 1], -1), 0)
+    after = np.where(known[np.minimum(at + 1, len(h) - 1)], c[np.minimum(at + 1, len(h) - 1)], -1)
+    return at, before, after
+
+
+def _known(keys: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return _lookup(keys, h)[1] | (h == END)
+
+
+def beyond_dictionary(texts: DataFrame, shared) -> DataFrame:
+    """``row, at, word, unit (class of the ending), before, after``: all occurrences of words that are not in the dictionary.
+
+    ``shared`` holds the words with a class, ``Model.cls`` and the dictionary.
+    """
+    number = "row_number_"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cls, keys = shared.value
+        for batch in batches:
+            for part, data, offs in packed.slices(batch, "text"):
+                h, u, rows = tokens(data, offs)
+                h, u, rows = _sequence(h, _units(h, u, own), rows)
+                c = cls[u]
+                at, before, after = _gaps(h, c, _known(keys, h))
+                of = np.searchsorted(rows, at, "right") - 1
+                ids = part.column(number).to_numpy()[of]
+                cols = [pa.array(ids), *[pa.array(x.astype(np.int32)) for x in (at - rows[of],)], _signed(h[at]), *[pa.array(x.astype(np.int32)) for x in (c[at], before, after)]]
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "at", "word", "unit", "before", "after"])
+
+    return texts.select("text", F.monotonically_increasing_id().alias(number)).mapInArrow(run, _GAPS)
+
+
+def _with_neighbours(found: DataFrame) -> DataFrame:
+    """Occurrences with their ``cls``: a class after that was unknown is the next occurrence's."""
+    order = Window.partitionBy("row").orderBy("at")
+    return found.withColumn("after", F.when(F.col("after") >= 0, F.col("after")).otherwise(F.lead("cls").over(order)))
+
+
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys, code = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
     return keys, np.bincount(code, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
@@ -233,6 +292,30 @@ def word_classes(train: DataFrame, shared, log_trans: np.ndarray, log_size: np.n
                         parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         yield from rows(*_summed(parts))
 
+    return _likeliest(train.select("text").mapInArrow(contexts, "word int, pair int, n long"), "int", log_trans, log_size)
+
+
+def further_classes(train: DataFrame, shared, tail: DataFrame, log_trans: np.ndarray, log_size: np.ndarray) -> DataFrame:
+    """The same for the words of ``tail`` (``word``: hashes), which are beyond the dictionary that ``shared`` holds."""
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cls, keys = shared.value
+        for batch in batches:
+            for _, data, offs in packed.slices(batch, "text"):
+                h, u, rows = tokens(data, offs)
+                h, u, _ = _sequence(h, _units(h, u, own), rows)
+                c = cls[u]
+                i = np.flatnonzero(~_known(keys, h))
+                before = np.where(i > 0, c[i - 1], 0)
+                pair = before * CLASSES + c[np.minimum(i + 1, len(c) - 1)]
+                yield pa.RecordBatch.from_arrays([_signed(h[i]), pa.array(pair.astype(np.int32)), pa.array(np.ones(len(i), np.int64))], names=["word", "pair", "n"])
+
+    found = train.select("text").mapInArrow(contexts, "word long, pair int, n long").join(tail, "word", "left_semi")
+    return _likeliest(found, "long", log_trans, log_size)
+
+
+def _likeliest(contexts: DataFrame, kind: str, log_trans: np.ndarray, log_size: np.ndarray) -> DataFrame:
+    """``word, cls`` from counts ``word, pair, n`` of (class before, class after)."""
     # log of p(class | before) and p(after | class), less the emission's denominator
     gain = np.concatenate([log_trans - log_size[None, :], log_trans.T])
 
@@ -250,8 +333,9 @@ def word_classes(train: DataFrame, shared, log_trans: np.ndarray, log_size: np.n
                 score[:, 0] = -np.inf  # the end token's class
                 yield pa.RecordBatch.from_arrays([part.column("word"), pa.array(score.argmax(axis=1).astype(np.int32))], names=["word", "cls"])
 
-    counted = train.select("text").mapInArrow(contexts, "word int, pair int, n long").repartition("word").groupBy("word", "pair").agg(F.sum("n").alias("n"))
-    return counted.groupBy("word").agg(F.collect_list(F.struct("pair", "n")).alias("found")).mapInArrow(best, "word int, cls int")
+    # counts of one word and pair are added up before a word's rows (CLASSES squared at most) come together
+    counted = contexts.groupBy("word", "pair").agg(F.sum("n").alias("n"))
+    return counted.groupBy("word").agg(F.collect_list(F.struct("pair", "n")).alias("found")).mapInArrow(best, f"word {kind}, cls int")
 
 
 def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
@@ -325,7 +409,7 @@ class Model:
 
 
 def fit(train: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the written table of all word counts (``word, unit, n, frequent``)."""
+    """The model, and the table of all word counts (``word, unit, n, frequent``, and ``cls`` of words beyond the dictionary that have one)."""
     spark = small_batches(train).sparkSession
     counts = written(word_counts(train), "word-counts")
     whole = counts.agg(F.sum("n"), F.count("*")).first()
@@ -343,13 +427,17 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
         words[unit] += k
     words[0] = 1
 
-    def parameters(table: np.ndarray, cls: np.ndarray, endings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def parameters(table: np.ndarray, cls: np.ndarray, endings: np.ndarray, more: list = []) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
         after = table.sum(axis=0)
         share = (after + 1.0) / (after.sum() + CLASSES)
         log_trans = np.log10((table + TRANSITION * share[None, :]) / (table.sum(axis=1, keepdims=True) + TRANSITION))
         distinct = words.copy()
         np.subtract.at(distinct, endings, 1)
-        v = np.bincount(cls[:UNITS], distinct, CLASSES) + np.bincount(cls[UNITS:], minlength=CLASSES)
+        v = np.bincount(cls[UNITS:], minlength=CLASSES).astype(float)
+        for unit, c, k in more:  # words beyond the dictionary with a class of their own
+            distinct[unit] -= k
+            v[c] += k
+        v += np.bincount(cls[:UNITS], distinct, CLASSES)
         return log_trans, np.log10(after + ADD * (v + 1))
 
     held = top.filter(F.col("word") != end).select("word", "unit", "n").toPandas()
@@ -361,7 +449,14 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     by_word = {r[0]: r[1] for r in frequent}
     own_endings = np.array([by_word[w] for w in own.view(np.int64).tolist()], np.int64)
     log_trans, log_size = parameters(table, cls, own_endings)
+    counts = counts.withColumn("frequent", F.col("n") >= least)
+    wanted_too = counts.filter(~F.col("frequent") & (F.col("n") >= SEEN))
+    tail_classes = None
+    if least > SEEN:
+        found = further_classes(train, spark.sparkContext.broadcast((own, cls, keys)), wanted_too.select("word"), log_trans, log_size)
+        tail_classes = written(found, "word-classes")
     further = (times >= SEEN) & ~np.isin(h, own)
+    endings = own_endings
     if further.any():
         wanted = h[further]
         found = word_classes(train, spark.sparkContext.broadcast((own, cls, wanted)), log_trans, log_size).toPandas()
@@ -370,10 +465,17 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
         own = np.concatenate([own, wanted])
         order = np.argsort(own)
         own, cls = own[order], np.concatenate([units, np.concatenate([cls[UNITS:], new])[order]])
-        table = class_bigrams(train, spark.sparkContext.broadcast((own, cls)))
-        log_trans, log_size = parameters(table, cls, np.concatenate([own_endings, ending[further]]))
+        endings = np.concatenate([own_endings, ending[further]])
+    if further.any() or tail_classes is not None:
+        more = []
+        if tail_classes is not None:
+            more = [tuple(r) for r in tail_classes.join(counts, "word").groupBy("unit", "cls").agg(F.count("*")).collect()]
+        table = class_bigrams(train, spark.sparkContext.broadcast((own, cls, keys)), tail_classes)
+        log_trans, log_size = parameters(table, cls, endings, more)
     model = Model(own, cls, log_trans, log_size, keys, n, total, distinct)
-    return model, counts.withColumn("frequent", F.col("n") >= least)
+    if tail_classes is None:
+        return model, counts.withColumn("cls", F.lit(None).cast("int"))
+    return model, counts.join(tail_classes, "word", "left")
 
 
 _ROW = "brown_row_"
@@ -385,7 +487,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     added = ("n_tokens", "n_known", "base_score", "score", "part_", "rare_", _ROW)
     kept = docs.drop(*[c for c in docs.columns if c.lower() in added]).withColumn(_ROW, F.monotonically_increasing_id())
     fields = [f for f in kept.schema.fields if f.name != "text"]
-    rare_type = T._parse_datatype_string("array<struct<word:long,n:int>>")
+    rare_type = T._parse_datatype_string("array<struct<word:long,at:int,unit:int,before:int,after:int>>")
     schema = T.StructType(
         [*fields, T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("part_", T.DoubleType())]
         + [T.StructField("model_", T.DoubleType()), T.StructField("rare_", rare_type)]
@@ -407,30 +509,32 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 c = np.where(known, m.n[at] if len(m.n) else 0, 0)
                 logs = log_c(c + ADD)
                 logs[~known] = 0.0
-                sure = known[code]
+                sure = known[code] | (h == END)
                 emitted = np.bincount(row, logs[code], part.num_rows)
-                n_known = np.bincount(row, sure, part.num_rows).astype(np.int64)
+                n_known = np.bincount(row, known[code], part.num_rows).astype(np.int64)
                 cls = m.cls[u]
-                steps = m.log_trans[np.concatenate([[0], cls[:-1]]), cls] - m.log_size[cls]
+                steps = m.log_trans[np.concatenate([[0], cls[:-1]]), cls] * (sure & np.concatenate([[True], sure[:-1]])) - m.log_size[cls] * sure
                 inner = np.bincount(row, steps, part.num_rows)
-                # words beyond the dictionary, with their number in the row
-                rare = np.flatnonzero(~sure)
-                keys, times = np.unique(row[rare] * np.int64(len(values)) + code[rare], return_counts=True)
-                rare_rows = np.searchsorted(keys // max(len(values), 1), np.arange(part.num_rows + 1))
-                pairs = pa.StructArray.from_arrays([_signed(values[keys % max(len(values), 1)]), pa.array(times.astype(np.int32))], ["word", "n"])
+                # words beyond the dictionary, with their place and what is beside them
+                at, before, after = _gaps(h, cls, sure)
+                rare_rows = np.searchsorted(at, rows)
+                kinds = [pa.array(x.astype(np.int32)) for x in (at - rows[row[at]], cls[at], before, after)]
+                pairs = pa.StructArray.from_arrays([_signed(h[at]), *kinds], ["word", "at", "unit", "before", "after"])
                 cols = [part.column(f.name) for f in fields]
                 cols += [pa.array(np.diff(rows)), pa.array(n_known), pa.array(emitted), pa.array(inner)]
                 cols.append(pa.ListArray.from_arrays(pa.array(rare_rows.astype(np.int32)), pairs))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     base = written(kept.mapInArrow(run, schema), "brown-scores")
-    rare = base.select(_ROW, F.inline("rare_"))
-    tail = counts.filter(~F.col("frequent")).select("word", F.col("n").alias("c"))
+    rare = base.select(F.col(_ROW).alias("row"), F.inline("rare_"))
+    tail = counts.filter(~F.col("frequent")).select("word", F.col("n").alias("c"), "cls")
+    found = _with_neighbours(rare.join(tail, "word", "left").withColumn("cls", F.coalesce("cls", "unit")))
     c = F.coalesce(F.col("c"), F.lit(0))
-    looked_up = (
-        rare.join(tail, "word", "left")
-        .groupBy(_ROW)
-        .agg(F.sum(F.col("n") * F.log10(c + ADD)).alias("rare_sum"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("rare_known"))
+    trans, size = F.lit(model.log_trans.ravel().tolist()), F.lit(model.log_size.tolist())
+    move = lambda a, b: F.element_at(trans, F.col(a) * CLASSES + F.col(b) + 1)
+    steps = F.when(F.col("before") >= 0, move("before", "cls")).otherwise(0.0) + move("cls", "after") - F.element_at(size, F.col("cls") + 1)
+    looked_up = found.groupBy(F.col("row").alias(_ROW)).agg(
+        F.sum(F.log10(c + ADD)).alias("rare_sum"), F.sum((c > 0).cast("int")).alias("rare_known"), F.sum(steps).alias("rare_steps")
     )
     floor = float(np.log10(model.total + ADD * (model.distinct + 1)))
     emitted = F.col("part_") + F.coalesce("rare_sum", F.lit(0.0))
@@ -440,7 +544,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         (emitted - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
-        (emitted + F.col("model_")).alias("score"),
+        (emitted + F.col("model_") + F.coalesce("rare_steps", F.lit(0.0))).alias("score"),
     )
 
 

@@ -153,6 +153,25 @@ def test_top_words_are_bounded_at_any_count(spark, counts, most):
     assert sorted(taken) == sorted(want) and all(n >= least for n in taken)
 
 
+@pytest.mark.parametrize("dictionary", [40, 100, 900])
+def test_scores_do_not_depend_on_the_dictionary(spark, monkeypatch, dictionary):
+    """Words beyond the dictionary get their classes by the same contexts, and scores stay the same."""
+    monkeypatch.setattr(brown, "OWN_UNITS", 30)
+    rng = np.random.default_rng(2)
+    names = [f"{a}{b}" for a in "bdfgklmnprst" for b in ("ab", "ec", "id", "of", "ug", "yx", "aq", "ez")]
+    weight = 1 / np.arange(1, len(names) + 1)
+    texts = [" ".join(rng.choice(names, rng.integers(0, 60), p=weight / weight.sum())) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate([*texts, None, "unseenword", "bab unseen1 unseen2 dab"])), "doc_id long, text string").repartition(4)
+    want = by_id(brown.scores(docs))
+    monkeypatch.setattr(brown, "DICTIONARY", dictionary)
+    got = by_id(brown.scores(docs))
+    assert set(got) == set(want) == set(range(len(texts) + 3))
+    for i, r in want.items():
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (r["n_tokens"], r["n_known"], r["train_tokens"])
+        assert abs(got[i]["base_score"] - r["base_score"]) < 1e-9 * max(1, abs(r["base_score"]))
+        assert abs(got[i]["score"] - r["score"]) < 1e-9 * max(1, abs(r["score"]))
+
+
 def test_brown_edges(spark):
     edge = edge_docs(spark)
     found = brown.scores(edge)
