@@ -8,15 +8,13 @@ row per test that those aggregates produce.
 
 from __future__ import annotations
 
-import math
 from statistics import NormalDist
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strideframe.functions.hashing import bucket
+from strideframe.functions.special import chi_square_tail, student_two_sided
 
 
 def chi2_critical(confidence: float) -> float:
@@ -94,10 +92,9 @@ def chi_square_yates(a_ok: Column, a_bad: Column, b_ok: Column, b_bad: Column) -
     return F.when(degenerate, F.lit(0.0)).otherwise(total)
 
 
-@F.pandas_udf(T.DoubleType())
-def chi2_p_value(chi2: pd.Series) -> pd.Series:
-    """Upper tail of chi-square with 1 degree of freedom: ``erfc(sqrt(x / 2))``."""
-    return chi2.map(lambda x: float("nan") if x is None or x != x else math.erfc(math.sqrt(max(x, 0.0) / 2.0)))
+def chi2_p_value(chi2: Column) -> Column:
+    """Upper tail of chi-square with 1 degree of freedom; NaN for a missing statistic."""
+    return F.coalesce(chi_square_tail(chi2), F.lit(float("nan")))
 
 
 def ab_result(metrics: DataFrame, control: str | None = None, confidence: float = 0.95) -> DataFrame:
@@ -149,7 +146,7 @@ def sample_size(baseline: Column, mde: Column, z_alpha: Column, z_beta: Column)
 
 
 def welch_t(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
-    """Welch t statistic and degrees of freedom between two groups (from count, mean, sample variance)."""
+    """Welch t statistic, degrees of freedom and two-sided p-value between two groups (from count, mean, sample variance)."""
     s = df.groupBy(group).agg(F.count(value).alias("n"), F.avg(value).alias("m"), F.var_samp(value).alias("v"))
     pick = lambda g, c: F.max(F.when(F.col(group) == g, F.col(c)))
     r = s.agg(*[pick(g, c).alias(f"{c}_{k}") for g, k in ((a, "a"), (b, "b")) for c in ("n", "m", "v")])
@@ -157,7 +154,8 @@ def welch_t(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
     df_ = se2 * se2 / (
         (F.col("v_a") / F.col("n_a")) ** 2 / (F.col("n_a") - 1) + (F.col("v_b") / F.col("n_b")) ** 2 / (F.col("n_b") - 1)
     )
-    return r.select(((F.col("m_a") - F.col("m_b")) / F.sqrt(se2)).alias("t_stat"), df_.alias("dof"))
+    found = r.select(((F.col("m_a") - F.col("m_b")) / F.sqrt(se2)).alias("t_stat"), df_.alias("dof"))
+    return found.withColumn("p_value", student_two_sided(F.col("t_stat"), F.col("dof")))
 
 
 def summary(weights: dict[str, float], routed: DataFrame, metrics: DataFrame) -> DataFrame:
