@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.operators import freqfeat, timefeat, windows
+from strideframe.operators import freqfeat, panes, timefeat, windows
 from strideframe.plans.catalog import register, with_ctes
 from strideframe.sources.tables import read_table
 from strideframe.plans.derived import SQL_SERIES, series, sql_windowed
@@ -182,7 +182,25 @@ _W2_FLOATS = [f"{a}_{s}" for a in AXES for s in ("mean", "std", "min", "max")]
     floats=_W2_FLOATS,
 )
 def w2_window_stats(spark, d):
-    return windows.window_stats(windowed(spark, d), KEY, AXES)
+    return panes.window_stats(series(spark, d), KEY, AXES, SIZE, OVERLAP)
+
+
+DENSE = 0.75
+
+
+@register(
+    "w2_dense_windows",
+    with_ctes(SQL_SERIES, sql_windowed(SIZE, windows.window_step(SIZE, DENSE)))
+    + "SELECT user_id, window_id, "
+    + ", ".join(
+        f"avg({a}) AS {a}_mean, stddev_pop({a}) AS {a}_std, min({a}) AS {a}_min, max({a}) AS {a}_max" for a in AXES
+    )
+    + " FROM win GROUP BY user_id, window_id",
+    floats=_W2_FLOATS,
+)
+def w2_dense_windows(spark, d):
+    """Windows that begin every fourth sample: each sample is shuffled once, as in its pane's moments."""
+    return panes.window_stats(series(spark, d), KEY, AXES, SIZE, DENSE)
 
 
 @register(
@@ -230,20 +248,24 @@ def t1_time_stats(spark, d):
     return features(spark, d, True, False, True).select(KEY, "window_id", *_T1, "label")
 
 
-def _time_query(name, cols, bits=None):
+def _time_query(name, cols, bits=None, moments=False):
+    """``moments``: the columns follow from the moments of panes."""
+
     @register(name, _sql_full(True, False, False, cols), floats=cols, bits=bits)
     def q(spark, d):
+        if moments:
+            return panes.window_signals(series(spark, d), KEY, AXES, SIZE, OVERLAP).select(KEY, "window_id", *cols)
         return features(spark, d, True, False, False).select(KEY, "window_id", *cols)
 
     return q
 
 
 _time_query("t2_zero_crossing_rate", [f"zcr_{a}" for a in AXES])
-_time_query("t3_energy", [f"energy_{a}" for a in AXES], ENERGY_BITS)
+_time_query("t3_energy", [f"energy_{a}" for a in AXES], ENERGY_BITS, moments=True)
 _time_query("t4_iqr", [f"iqr_{a}" for a in AXES])
 _time_query("t5_entropy", [f"entropy_{a}" for a in AXES])
-_time_query("t6_sma", ["sma"])
-_time_query("t7_magnitude", ["magnitude_mean", "magnitude_std"])
+_time_query("t6_sma", ["sma"], moments=True)
+_time_query("t7_magnitude", ["magnitude_mean", "magnitude_std"], moments=True)
 
 
 # ------------------------------------------------------------------ F1-F7
