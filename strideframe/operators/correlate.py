@@ -18,10 +18,22 @@ from pyspark.sql import functions as F
 from strideframe.functions.nullsafe import join_by
 from strideframe.functions.ranking import prefix_below
 from strideframe.functions.sizing import local_if_small
+from strideframe.operators.gramian import blocked_correlation
+
+#: features whose correlation matrix the driver takes as a whole (32 MB)
+DENSE = 2000
 
 
 def correlation_matrix(df: DataFrame, vector_col: str | None = None, cols: list[str] | None = None) -> DataFrame:
-    """Pearson matrix as ``i, j, r`` (feature indices); a constant feature gives NaN."""
+    """Pearson matrix as ``i, j, r`` (feature indices); a constant feature gives NaN.
+
+    Up to ``DENSE`` features the matrix is one aggregate, whose result one
+    process holds; wider ones are computed by blocks and stay distributed.
+    """
+    width = len(cols) if cols is not None else df.select(F.max(F.size(vector_col))).first()[0] or 0
+    if width > DENSE:
+        vectors = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("_v")) if cols is not None else df.select(F.col(vector_col).alias("_v"))
+        return blocked_correlation(vectors, "_v")
     if vector_col is None:
         vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="keep").transform(df).select("_v")
     else:

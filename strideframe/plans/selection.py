@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strideframe.functions.hashing import sql_normal
 from strideframe.operators import correlate as co
 from strideframe.operators import information as info
+from strideframe.operators.gramian import blocked_correlation
 from strideframe.operators import naming
 from strideframe.plans.catalog import register, with_ctes
 from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_NAMED, matrix_long, named_matrix, table
@@ -32,6 +33,12 @@ def c1_correlation(spark, d):
     return corr(spark, d)
 
 
+@register("c1_blocked_correlation", with_ctes(SQL_MATRIX_LONG, SQL_CORR) + "SELECT i, j, r FROM corr_m", floats=["r"])
+def c1_blocked_correlation(spark, d):
+    """The matrix as wide tables get it: pairs of feature blocks over row batches (here of 24 features)."""
+    return blocked_correlation(table(spark, d, "embeddings"), "embedding", features=24)
+
+
 @register(
     "c2_correlated_pairs",
     with_ctes(SQL_MATRIX_LONG, SQL_CORR) + f"SELECT i, j, r FROM corr_m WHERE i < j AND abs(r) > {THRESHOLD!r}",
