@@ -92,3 +92,25 @@ def prefix_below(df: DataFrame, group: list[str], order: str, values: list[str],
     for v in values:
         out = out.withColumn(f"{v}_below", F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(inner), F.lit(0)))
     return out.drop(*[k for k in keys if k not in df.columns], "_r", *[f"_o_{v}" for v in values])
+
+
+def row_before(df: DataFrame, group: list[str], order: str, values: list[str], rows_per_range: int | None = None) -> DataFrame:
+    """For rows with DISTINCT ``order`` values per group, add ``<v>_before``: ``v`` of the group's row with
+    the next smaller ``order`` (NULL for the least).
+
+    Inside a range that is a ``lag``; the first row of a range takes it from the
+    greatest row of the range before, out of a table with one row for each range.
+    """
+    keyed, keys = key_columns(df, group)
+    if not keys:
+        keyed, keys = keyed.withColumn("_key0", F.lit(0)), ["_key0"]
+    table = cut_table(keyed, keys, order, rows_per_range=rows_per_range)
+    rows = keyed.join(table, keys).withColumn("_r", below(F.col("_cuts"), F.col(order))).drop("_cuts")
+    parts = [*keys, "_r"]
+    last = rows.groupBy(*parts).agg(F.max_by(F.struct(*values), order).alias("_last"))
+    halo = last.withColumn("_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_r")))
+    inner = Window.partitionBy(*parts).orderBy(order)
+    placed = rows.withColumn("_own", F.lag(F.struct(*values)).over(inner)).join(halo, parts)
+    before = F.coalesce(F.col("_own"), F.col("_last"))
+    out = placed.withColumns({f"{v}_before": before[v] for v in values})
+    return out.drop(*[k for k in keys if k not in df.columns], "_r", "_own", "_last")

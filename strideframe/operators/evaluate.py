@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strideframe.functions.ranking import prefix_below
+from strideframe.functions.ranking import prefix_below, row_before
 from strideframe.functions.sizing import local_if_small
 
 #: labels of a dense confusion matrix
@@ -131,14 +131,25 @@ def roc_auc(scores: DataFrame, cls: str = "cls", y_true: str = "y_true", p: str
     return per.agg(F.avg("auc").alias("auc"))
 
 
-def roc_curve(scores: DataFrame, cls: str = "cls", y_true: str = "y_true", p: str = "p") -> DataFrame:
+def roc_curve(scores: DataFrame, cls: str = "cls", y_true: str = "y_true", p: str = "p", corners: bool = False) -> DataFrame:
     """Per class and distinct score (descending), cumulative TPR and FPR; plus the (0, 0) start.
 
-    All points are kept (sklearn drops collinear ones).
+    With ``corners`` a point between two equal steps goes (the curve does not
+    bend there), so the curve is not as long as the number of scores.
     """
-    sc = prefix_below(_score_counts(scores, cls, y_true, p), [cls], p, ["pos", "neg"])
+    counts = _score_counts(scores, cls, y_true, p)
+    if corners:
+        # the step to a point and the step after it, to the next lower score
+        steps = row_before(counts, [cls], p, ["pos", "neg"])
+        same = (F.col("pos") == F.col("pos_before")) & (F.col("neg") == F.col("neg_before"))
+        counts = steps.withColumn("_flat", F.coalesce(same, F.lit(False))).drop("pos_before", "neg_before")
+    sc = prefix_below(counts, [cls], p, ["pos", "neg"])
     tot = sc.groupBy(cls).agg(F.sum("pos").alias("_npos"), F.sum("neg").alias("_nneg"))
-    pts = sc.join(tot, cls).select(
+    joined = sc.join(tot, cls)
+    if corners:
+        highest = F.col("pos_below") + F.col("pos") + F.col("neg_below") + F.col("neg") == F.col("_npos") + F.col("_nneg")
+        joined = joined.where(~F.col("_flat") | highest)
+    pts = joined.select(
         cls,
         F.col(p).alias("threshold"),
         F.try_divide(F.col("_npos") - F.col("pos_below"), F.col("_npos")).alias("tpr"),

@@ -150,6 +150,26 @@ def e8_roc_curve(spark, d):
     return ev.roc_curve(scored_prob(spark, d))
 
 
+@register(
+    "e8_roc_corners",
+    with_ctes(
+        SQL_SCORED_PROB,
+        """cnt AS (SELECT cls, p, count_if(y_true = cls) AS pos, count_if(y_true <> cls) AS neg FROM scored_prob GROUP BY ALL),
+st AS (SELECT cls, p, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps, row_number() OVER w AS k, count(*) OVER (PARTITION BY cls) AS n,
+              sum(pos) OVER (PARTITION BY cls) AS allp, sum(neg) OVER (PARTITION BY cls) AS alln
+       FROM cnt WINDOW w AS (PARTITION BY cls ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+bend AS (SELECT *, lead(tps) OVER w - 2 * tps + lag(tps) OVER w AS d2t, lead(fps) OVER w - 2 * fps + lag(fps) OVER w AS d2f
+         FROM st WINDOW w AS (PARTITION BY cls ORDER BY k))""",
+    )
+    + """SELECT cls, p AS threshold, tps / allp AS tpr, fps / alln AS fpr FROM bend WHERE k = 1 OR k = n OR d2t <> 0 OR d2f <> 0
+UNION ALL SELECT DISTINCT cls, NULL, 0.0, 0.0 FROM cnt""",
+    floats=["threshold", "tpr", "fpr"],
+)
+def e8_roc_corners(spark, d):
+    """The curve without points between equal steps (second differences of both counts are zero there)."""
+    return ev.roc_curve(scored_prob(spark, d), corners=True)
+
+
 def _two_models(spark, d):
     s = scored(spark, d)
     a = s.select(F.lit("centroid").alias("model"), F.lit(0).alias("model_order"), "vec_id", "y_true", "y_pred")

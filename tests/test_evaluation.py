@@ -47,6 +47,33 @@ def test_auc_matches_brute_force_with_ties(spark):
     assert max(r["tpr"] for r in curve) == 1.0
 
 
+@pytest.mark.parametrize("per_range", [None, 5])
+def test_roc_corners_keep_the_area_and_drop_flat_points(spark, monkeypatch, per_range):
+    import random
+
+    from strideframe.functions import cuts
+
+    if per_range:
+        monkeypatch.setattr(cuts, "ROWS_PER_RANGE", per_range)
+    rng = random.Random(8)
+    rows = [(c, int(rng.random() < 0.4) if c else 1 - int(i < 30), round(i / 60, 4) if c == 2 else rng.randrange(25) / 25) for c in range(3) for i in range(60)]
+    df = spark.createDataFrame([(c, c if y else -1, p) for c, y, p in rows], "cls int, y_true int, p double")
+    whole, corners = (
+        {c: sorted(((r["fpr"], r["tpr"], r["threshold"] is not None) for r in ev.roc_curve(df, corners=k).collect() if r["cls"] == c)) for c in range(3)} for k in (False, True)
+    )
+    area = lambda points: sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:], strict=False))
+    for c in range(3):
+        assert set(corners[c]) <= set(whole[c]) and abs(area(corners[c]) - area(whole[c])) < 1e-12
+        counts = {}
+        for k, y, p in rows:
+            if k == c:
+                counts.setdefault(p, [0, 0])[1 - y] += 1
+        steps = [tuple(counts[p]) for p in sorted(counts, reverse=True)]
+        kept = [i for i in range(len(steps)) if i in (0, len(steps) - 1) or steps[i] != steps[i + 1]]
+        assert len(corners[c]) == len(kept) + 1
+    assert sum(map(len, corners.values())) < sum(map(len, whole.values()))
+
+
 def test_chi_square_yates_and_p_value(spark):
     m = spark.createDataFrame([("control", 10, 8), ("treatment", 10, 4)], "variant string, n long, correct long")
     r = ex.ab_result(m, "control").first()
