@@ -19,6 +19,7 @@ from strideframe.functions.nullsafe import join_by
 from strideframe.functions.ranking import prefix_below
 from strideframe.functions.sizing import local_if_small
 from strideframe.operators.gramian import blocked_correlation
+from strideframe.operators.widepca import randomised_pca
 
 #: features whose correlation matrix the driver takes as a whole (32 MB)
 DENSE = 2000
@@ -114,8 +115,11 @@ def pca(df: DataFrame, vector_col: str, k: int = 2):
     """PCA on mean-centred vectors (Spark's PCA projects without centring).
 
     Returns ``(projected frame with pc_0..pc_{k-1}, explained variance ratios)``.
-    Component signs are arbitrary.
+    Component signs are arbitrary.  Vectors of more than ``DENSE`` values go
+    through the randomised form, which needs no square matrix.
     """
+    if (df.select(F.max(F.size(vector_col))).first()[0] or 0) > DENSE:
+        return randomised_pca(df, vector_col, k)[:2]
     vec = df.withColumn("_v", array_to_vector(F.col(vector_col)))
     d = len(df.select(vector_col).head()[0])
     means = vec.select(vector_to_array("_v").alias("_a")).agg(

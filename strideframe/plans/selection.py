@@ -8,6 +8,7 @@ from strideframe.functions.hashing import sql_normal
 from strideframe.operators import correlate as co
 from strideframe.operators import information as info
 from strideframe.operators.gramian import blocked_correlation
+from strideframe.operators.widepca import randomised_pca
 from strideframe.operators import naming
 from strideframe.plans.catalog import register, with_ctes
 from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_NAMED, matrix_long, named_matrix, table
@@ -158,18 +159,13 @@ def c6_apply_selection(spark, d):
     return matrix_long(spark, d).join(chosen, "pos", "left_semi").select("vec_id", "pos", "val")
 
 
-@register(
-    "c7_pca",
-    with_ctes(SQL_MATRIX_LONG)
-    + """SELECT count(*) AS n_rows, (SELECT sum(v) FROM (SELECT var_samp(val) AS v FROM matrix_long GROUP BY pos)) AS total_variance,
-       true AS centred, true AS ordered, true AS uncorrelated, true AS shares_fit FROM embeddings""",
-    floats=["total_variance"],
-)
-def c7_pca(spark, d):
+SQL_PCA = with_ctes(SQL_MATRIX_LONG) + """SELECT count(*) AS n_rows, (SELECT sum(v) FROM (SELECT var_samp(val) AS v FROM matrix_long GROUP BY pos)) AS total_variance,
+       true AS centred, true AS ordered, true AS uncorrelated, true AS shares_fit FROM embeddings"""
+
+
+def _pca_report(e, proj, ratios):
     """PCA by what does not depend on component signs: the projections are centred and uncorrelated, their
     variances fall and are the stated shares of the total variance."""
-    e = table(spark, d, "embeddings").select("vec_id", "embedding")
-    proj, ratios = co.pca(e, "embedding", 2)
     total = e.select(F.posexplode("embedding").alias("pos", "val")).groupBy("pos").agg(F.var_samp(F.col("val").cast("double")).alias("v")).agg(F.sum("v").alias("total_variance"))
     s = proj.agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -188,6 +184,19 @@ def c7_pca(spark, d):
     )
 
 
+@register("c7_pca", SQL_PCA, floats=["total_variance"])
+def c7_pca(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return _pca_report(e, *co.pca(e, "embedding", 2))
+
+
+@register("c7_randomised_pca", SQL_PCA, floats=["total_variance"])
+def c7_randomised_pca(spark, d):
+    """PCA as wide vectors get it."""
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return _pca_report(e, *randomised_pca(e, "embedding", 2)[:2])
+
+
 SQL_IMPORTANCE = f"""imp AS (SELECT pos, any_value(name) AS name, var_pop(val) AS importance FROM named GROUP BY pos)"""
 
 
