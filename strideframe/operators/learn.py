@@ -19,9 +19,10 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, predict_batch_udf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strideframe.operators.boosting import BoostedModel, Booster
 
@@ -299,3 +300,20 @@ def load_model(path: str, kind: str = "pipeline"):
 def batch_predict(model, df: DataFrame, keep: list[str]) -> DataFrame:
     """M8: distributed batch inference (``transform``; no UDF, no driver loop)."""
     return model.transform(df).select(*keep, F.col("prediction").cast("int").alias("prediction"))
+
+
+def predict_outside(make_predict, df: DataFrame, vector_col: str, out: str = "prediction", batch_size: int = 4096) -> DataFrame:
+    """M8 for a model that is not Spark's: add ``out`` (double) by ``make_predict``, run batch by batch in the tasks.
+
+    ``make_predict()`` loads the model, once for each Python worker, and returns a
+    function of a matrix (rows x features) that gives one number a row.  The
+    vectors have equal lengths; a NULL vector gives NULL.
+    """
+    predict = predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size, input_tensor_shapes=[[_width(df, vector_col)]])
+    values = F.col(vector_col).cast("array<double>")
+    known = df.where(F.col(vector_col).isNotNull()).withColumn(out, predict(values))
+    return known.unionByName(df.where(F.col(vector_col).isNull()).withColumn(out, F.lit(None).cast("double")))
+
+
+def _width(df: DataFrame, vector_col: str) -> int:
+    return df.select(F.max(F.size(vector_col))).first()[0] or 1

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from strideframe.operators import learn, prep, scoring, splits
 from strideframe.plans.catalog import register, with_ctes
-from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_SCORED, SQL_SCORED_PROB, scored, scored_prob, table
+from strideframe.plans.derived import SQL_MATRIX_LONG, SQL_SCORED, SQL_SCORED_PROB, centroids, scored, scored_prob, table
 from strideframe.plans.evaluation import SQL_COMPARE, SQL_TWO_MODELS, _two_models
 from strideframe.operators import evaluate as ev
 from strideframe.plans.prep import TEST, VAL_OF_REST, _d, _h
@@ -197,6 +197,27 @@ def m8_batch_inference(spark, d):
     return learn.batch_predict(model, data, ["vec_id"]).select("vec_id", F.col("prediction").isin(classes).alias("known_class"))
 
 
+@register("m8_model_from_outside", with_ctes(SQL_SCORED) + "SELECT vec_id, y_pred AS prediction FROM scored")
+def m8_model_from_outside(spark, d):
+    """Batch inference by a numpy model (nearest class centroid) that tasks load and call with whole matrices."""
+    fitted = centroids(spark, d)
+
+    def load():
+        import numpy as np
+
+        classes = np.array(sorted(fitted), float)
+        centres = np.array([fitted[c] for c in sorted(fitted)])
+
+        def predict(x):
+            # ties go to the lower class, as argmin takes the first
+            return classes[((x[:, None, :] - centres) ** 2).sum(axis=2).argmin(axis=1)]
+
+        return predict
+
+    found = learn.predict_outside(load, table(spark, d, "embeddings").select("vec_id", "embedding"), "embedding")
+    return found.select("vec_id", F.col("prediction").cast("int").alias("prediction"))
+
+
 SQL_NAMES = "CASE " + " ".join(f"WHEN y_pred = {i} THEN '{n}'" for i, n in enumerate(scoring.SERVING_CLASSES)) + " ELSE 'UNKNOWN_' || y_pred END"
 
 
