@@ -133,12 +133,24 @@ def _top(counts: DataFrame, most: int) -> tuple[DataFrame, int]:
     return counts.filter(F.col("n") >= high), high
 
 
-def _sorted_pairs(df: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    rows = df.select("word", "n").toPandas()
-    assert len(rows) <= most
-    h = rows["word"].to_numpy(np.int64).view(np.uint64)
+def _sorted_words(df: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, ascending, with the ending units and counts of a bounded table of words."""
+    rows = df.select("word", "unit", "n").limit(most + 1).toArrow()
+    assert rows.num_rows <= most
+    h = rows.column("word").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(h)
-    return h[order], rows["n"].to_numpy(np.int64)[order]
+    return h[order], rows.column("unit").to_numpy().astype(np.int64)[order], rows.column("n").to_numpy().astype(np.int64)[order]
+
+
+def _sorted_pairs(df: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    h, _, n = _sorted_words(df if "unit" in df.columns else df.withColumn("unit", F.lit(0)), most)
+    return h, n
+
+
+def _free() -> None:
+    """Give memory of finished collects back to the system."""
+    pa.default_memory_pool().release_unused()
+    packed.trim()
 
 
 def _lookup(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,9 +175,9 @@ def unit_bigrams(train: DataFrame, own) -> np.ndarray:
             part_at = at[lo : lo + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part_at.astype(np.int32)), pa.array(total[part_at])], names=["pair", "n"])
 
-    found = train.select("text").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    found = train.select("text").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(UNITS * UNITS)
-    out[found["pair"].to_numpy()] = found["n"].to_numpy()
+    out[found.column("pair").to_numpy()] = found.column("n").to_numpy()
     return out.reshape(UNITS, UNITS)
 
 
@@ -417,8 +429,11 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     end = int(END)
     own, _ = _sorted_pairs(_most_frequent(counts.filter(F.col("word") != end), OWN_UNITS), OWN_UNITS)
     top, least = _top(counts, DICTIONARY)
-    keys, n = _sorted_pairs(top, DICTIONARY)
-    pairs = unit_bigrams(train, spark.sparkContext.broadcast(own))
+    keys, key_units, n = _sorted_words(top, DICTIONARY)
+    shared = spark.sparkContext.broadcast(own)
+    pairs = unit_bigrams(train, shared)
+    shared.destroy()
+    _free()
     units = exchange(pairs)
     cls = np.concatenate([units, units[1 : 1 + len(own)]])
     # how many distinct words each ending has, those with a class of their own among them
@@ -440,9 +455,8 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
         v += np.bincount(cls[:UNITS], distinct, CLASSES)
         return log_trans, np.log10(after + ADD * (v + 1))
 
-    held = top.filter(F.col("word") != end).select("word", "unit", "n").toPandas()
-    held = held.assign(h=held["word"].to_numpy(np.int64).view(np.uint64)).sort_values("h")
-    h, ending, times = held["h"].to_numpy(np.uint64), held["unit"].to_numpy(np.int64), held["n"].to_numpy(np.int64)
+    is_word = keys != END
+    h, ending, times = keys[is_word], key_units[is_word], n[is_word]
     member = np.eye(CLASSES)[units]
     table = member.T @ pairs @ member
     frequent = counts.filter(F.col("word").isin(own.view(np.int64).tolist())).select("word", "unit").collect()
@@ -453,15 +467,21 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     wanted_too = counts.filter(~F.col("frequent") & (F.col("n") >= SEEN))
     tail_classes = None
     if least > SEEN:
-        found = further_classes(train, spark.sparkContext.broadcast((own, cls, keys)), wanted_too.select("word"), log_trans, log_size)
-        tail_classes = written(found, "word-classes")
+        shared = spark.sparkContext.broadcast((own, cls, keys))
+        tail_classes = written(further_classes(train, shared, wanted_too.select("word"), log_trans, log_size), "word-classes")
+        shared.destroy()
+        _free()
     further = (times >= SEEN) & ~np.isin(h, own)
     endings = own_endings
     if further.any():
         wanted = h[further]
-        found = word_classes(train, spark.sparkContext.broadcast((own, cls, wanted)), log_trans, log_size).toPandas()
+        shared = spark.sparkContext.broadcast((own, cls, wanted))
+        found = word_classes(train, shared, log_trans, log_size).toArrow()
+        shared.destroy()
         new = np.zeros(len(wanted), np.int64)
-        new[found["word"].to_numpy()] = found["cls"].to_numpy()
+        new[found.column("word").to_numpy()] = found.column("cls").to_numpy()
+        del found
+        _free()
         own = np.concatenate([own, wanted])
         order = np.argsort(own)
         own, cls = own[order], np.concatenate([units, np.concatenate([cls[UNITS:], new])[order]])
@@ -470,7 +490,10 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
         more = []
         if tail_classes is not None:
             more = [tuple(r) for r in tail_classes.join(counts, "word").groupBy("unit", "cls").agg(F.count("*")).collect()]
-        table = class_bigrams(train, spark.sparkContext.broadcast((own, cls, keys)), tail_classes)
+        shared = spark.sparkContext.broadcast((own, cls, keys))
+        table = class_bigrams(train, shared, tail_classes)
+        shared.destroy()
+        _free()
         log_trans, log_size = parameters(table, cls, endings, more)
     model = Model(own, cls, log_trans, log_size, keys, n, total, distinct)
     if tail_classes is None:

@@ -30,6 +30,12 @@ _inv = np.ones(1, _U)
 _held: dict[str, object] = {}
 
 
+def trim() -> None:
+    """Memory that is free in the C library's heap goes back to the system."""
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def held(owner: str, make: Callable[[], object] = lambda: None) -> object:
     """State that a Python worker keeps between tasks; what other operators kept is let go.
 
@@ -38,8 +44,7 @@ def held(owner: str, make: Callable[[], object] = lambda: None) -> object:
     """
     if owner not in _held:
         _held.clear()
-    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
-        ctypes.CDLL(None).malloc_trim(0)
+    trim()
     if owner not in _held:
         _held[owner] = make()
     return _held[owner]
