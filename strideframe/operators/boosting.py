@@ -36,8 +36,9 @@ BINS = 64
 REGULARISATION = 1.0
 #: features whose sums travel as one vector
 FEATURE_BLOCK = 512
-#: bytes of rows that one task handles
+#: bytes of rows that one task handles at most, and at least while cores are idle
 TASK_BYTES = 64 << 20
+LEAST_BYTES = 1 << 20
 CHECKPOINT_ROUNDS = 8
 #: sums of so many tasks are added in one step, then those sums, until one is left
 ADDED_TOGETHER = 64
@@ -71,6 +72,15 @@ def number_of_task() -> int:
     return context.partitionId() if context else 0
 
 
+def spread(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """Rows of ``size`` bytes over as many tasks as they fill, on all cores if each still gets ``LEAST_BYTES``, and that number."""
+    cores = min(-(-size // LEAST_BYTES), rows.sparkSession.sparkContext.defaultParallelism)
+    parts, now = max(-(-size // TASK_BYTES), cores), rows.rdd.getNumPartitions()
+    if parts < now:
+        return rows.coalesce(parts), parts
+    return (rows.repartition(cores), cores) if now < cores else (rows, now)
+
+
 def _softmax(margins: np.ndarray) -> np.ndarray:
     e = np.exp(margins - margins.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -85,6 +95,36 @@ def _binned(values: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def quantile_cuts(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
+    """The cut points of each feature of the arrays ``x``: its quantiles, each once."""
+    if width * bins > MAX_CUTS:
+        raise ValueError(f"{width} features x {bins} bins exceed {MAX_CUTS} cut points")
+    shares = [i / bins for i in range(1, bins)]
+    long = rows.select(F.posexplode("x").alias("f", "v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    found = long.groupBy("f").agg(F.percentile_approx("v", shares, 20 * bins).alias("at")).collect()
+    cuts = [np.zeros(0)] * width
+    for r in found:
+        cuts[r["f"]] = np.unique(np.array(r["at"], float))
+    return cuts
+
+
+def binned_rows(rows: DataFrame, cuts: list[np.ndarray], classes: int) -> DataFrame:
+    """Numbered rows with the bins of their features and margins of 0."""
+    width = len(cuts)
+    zero = np.zeros(classes).tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values = np.full((b.num_rows, width), np.nan)
+            for i, x in enumerate(b.column("x").to_pylist()):
+                values[i, : len(x)] = [np.nan if v is None else v for v in x]
+            bins = [r.tobytes() for r in _binned(values, cuts)]
+            cols = [b.column("row"), b.column("label"), b.column("weight"), pa.array(bins, pa.binary()), pa.array([zero] * b.num_rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["row", "label", "weight", "bins", "margins"])
+
+    return rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, _STATE)
+
+
 @dataclass
 class Round:
     """The trees of one round in heap order, one row for each class."""
@@ -207,11 +247,9 @@ class Booster:
         if not size["n"]:
             raise ValueError("no labelled rows to learn from")
         classes, width = size["top"] + 1, size["width"]
-        cuts = self._cuts(rows, width)
-        parts = -(-size["n"] * (width + 8 * classes + 24) // TASK_BYTES)
-        now = rows.rdd.getNumPartitions()
-        rows, parts = (rows.coalesce(parts), parts) if parts < now else (rows, now)
-        state = self._start(rows, cuts, classes).persist(StorageLevel.MEMORY_AND_DISK)
+        cuts = quantile_cuts(rows, width, self.bins)
+        rows, parts = spread(rows, size["n"] * (width + 8 * classes + 24))
+        state = binned_rows(rows, cuts, classes).persist(StorageLevel.MEMORY_AND_DISK)
         model = BoostedModel(cuts, [], classes, np.zeros(width), self.features_col)
         checkpoint_dir(df.sparkSession)
         pending: list[Round] = []  # rounds that the rows' margins do not hold yet
@@ -225,32 +263,6 @@ class Booster:
         state.unpersist()
         return model
 
-    def _cuts(self, rows: DataFrame, width: int) -> list[np.ndarray]:
-        if width * self.bins > MAX_CUTS:
-            raise ValueError(f"{width} features x {self.bins} bins exceed {MAX_CUTS} cut points")
-        shares = [i / self.bins for i in range(1, self.bins)]
-        long = rows.select(F.posexplode("x").alias("f", "v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-        found = long.groupBy("f").agg(F.percentile_approx("v", shares, 20 * self.bins).alias("at")).collect()
-        cuts = [np.zeros(0)] * width
-        for r in found:
-            cuts[r["f"]] = np.unique(np.array(r["at"], float))
-        return cuts
-
-    def _start(self, rows: DataFrame, cuts: list[np.ndarray], classes: int) -> DataFrame:
-        width = len(cuts)
-        zero = np.zeros(classes).tobytes()
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                values = np.full((b.num_rows, width), np.nan)
-                for i, x in enumerate(b.column("x").to_pylist()):
-                    values[i, : len(x)] = [np.nan if v is None else v for v in x]
-                bins = [r.tobytes() for r in _binned(values, cuts)]
-                cols = [b.column("row"), b.column("label"), b.column("weight"), pa.array(bins, pa.binary()), pa.array([zero] * b.num_rows, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["row", "label", "weight", "bins", "margins"])
-
-        return rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, _STATE)
-
     def _advance(self, state: DataFrame, pending: list[Round], classes: int, width: int) -> DataFrame:
         """Add the leaf values of some rounds to the rows' margins."""
 
@@ -317,7 +329,7 @@ class Booster:
                     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
                     weight = weight * ((h >> np.uint64(11)) / 2.0**53 < subsample)
                 label = b.column("label").to_numpy()
-                cell = own.astype(np.int64) + np.arange(width) * bins
+                columns = np.ascontiguousarray(own.T).astype(np.int64)
                 for k in range(classes):
                     node = place[k][_leaves(own, trees.feature[k], trees.cut[k])]
                     rows = np.flatnonzero((node >= 0) & (weight > 0))
@@ -326,10 +338,12 @@ class Booster:
                     q = p[rows, k]
                     g = weight[rows] * (q - (label[rows] == k))
                     h2 = weight[rows] * np.maximum(2 * q * (1 - q), 1e-16)
-                    at = (cell[rows] + node[rows, None] * (width * bins)).ravel()
-                    size = len(open_nodes[k]) * width * bins
-                    for part, x in enumerate((g, h2)):
-                        total[k][:, :, part] += np.bincount(at, np.repeat(x, width), size).reshape(len(open_nodes[k]), -1)
+                    inner = total[k].reshape(len(open_nodes[k]), width, bins, 2)
+                    first, size = node[rows] * bins, len(open_nodes[k]) * bins
+                    for f in range(width):
+                        at = first + columns[f][rows]
+                        inner[:, f, :, 0] += np.bincount(at, g, size).reshape(-1, bins)
+                        inner[:, f, :, 1] += np.bincount(at, h2, size).reshape(-1, bins)
             for k, nodes in enumerate(open_nodes):
                 for i, node in enumerate(nodes):
                     for block in blocks:

@@ -25,8 +25,9 @@ from strideframe.plans.prep import TEST, VAL_OF_REST, _d, _h
 from strideframe.session import checkpoint_dir
 
 SEED = 42
-#: rows of a fit that one task holds at ease; fits run a job for each level, whose tasks should not be tiny
+#: rows of a fit that one task holds at ease, and at least while cores are idle: fits run a job for each level, whose tasks should not be tiny
 ROWS_PER_TASK = 100_000
+LEAST_ROWS = 5_000
 
 
 def labelled(spark, d):
@@ -52,7 +53,8 @@ def held(df):
     """Rows that several fits read, cached for as long as they do, in as many partitions as their size asks for."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        parts = max(2, -(-df.count() // ROWS_PER_TASK))
+        n = df.count()
+        parts = max(2, -(-n // ROWS_PER_TASK), min(-(-n // LEAST_ROWS), df.sparkSession.sparkContext.defaultParallelism))
         yield df.coalesce(parts) if parts < df.rdd.getNumPartitions() else df
     finally:
         df.unpersist()

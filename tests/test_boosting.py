@@ -102,3 +102,11 @@ def test_booster_settings_and_saving(spark):
         boosting.Booster().fit(df.limit(0))
     with pytest.raises(ValueError):
         boosting.Booster(max_depth=0).fit(df)
+
+
+def test_small_tables_are_spread_over_idle_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(1000, numPartitions=1)
+    assert [boosting.spread(rows, n << 20)[1] for n in (1, 2, 1000)] == [1, min(2, cores), cores]
+    wide = spark.range(1000, numPartitions=40)
+    assert [boosting.spread(wide, n << 20)[1] for n in (1, 640)] == [1, max(10, cores)]
