@@ -25,8 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.operators.boosting import BoostedModel, Booster
+from strideframe.operators.forest import Forest, ForestModel
 
 MAX_TREE_DEPTH = 30  # Spark's limit stands in for "unlimited" depth
+#: depth up to which a forest is Spark's, which holds a table of sums for each node; deeper ones have as many nodes as rows
+TABLE_DEPTH = 12
 
 
 @dataclass
@@ -100,14 +103,26 @@ def with_features(df: DataFrame, array_col: str, out: str = "features") -> DataF
     return df.withColumn(out, array_to_vector(F.transform(F.col(array_col), lambda x: x.cast("double"))))
 
 
-def random_forest(config: ModelConfig | None = None, label: str = "label", weight: str | None = None) -> RandomForestClassifier:
+def random_forest(config: ModelConfig | None = None, label: str = "label", weight: str | None = None) -> RandomForestClassifier | Forest:
     """M1: class-balanced forest when a weight column (D10) is given."""
     c = config or ModelConfig()
+    depth = MAX_TREE_DEPTH if c.max_depth is None else c.max_depth
+    if TABLE_DEPTH < depth <= MAX_TREE_DEPTH:
+        return Forest(
+            n_estimators=c.n_estimators,
+            max_depth=depth,
+            min_instances=c.instances_per_node,
+            max_features=c.max_features,
+            subsample=c.subsample,
+            seed=c.random_state,
+            label_col=label,
+            weight_col=weight,
+        )
     rf = RandomForestClassifier(
         labelCol=label,
         featuresCol="features",
         numTrees=c.n_estimators,
-        maxDepth=MAX_TREE_DEPTH if c.max_depth is None else c.max_depth,
+        maxDepth=depth,
         minInstancesPerNode=c.instances_per_node,
         featureSubsetStrategy=c.subset_strategy,
         subsamplingRate=c.subsample,
@@ -140,7 +155,7 @@ def importances(model, names: list[str]) -> DataFrame:
     The table has one row for each feature, as the model has.
     """
     fitted = model.stages[-1] if isinstance(model, PipelineModel) else model
-    if isinstance(fitted, BoostedModel):
+    if isinstance(fitted, (BoostedModel, ForestModel)):
         values = fitted.importances
     elif hasattr(fitted, "featureImportances"):
         values = [float(v) for v in fitted.featureImportances.toArray()]
@@ -278,22 +293,23 @@ def train_and_compare(kinds: list[str], train: DataFrame, val: DataFrame | None
 
 
 def fit_pipeline(estimator, df: DataFrame):
-    """The fitted pipeline of an estimator, or the booster's model, which transforms alike."""
-    return estimator.fit(df) if isinstance(estimator, Booster) else Pipeline(stages=[estimator]).fit(df)
+    """The fitted pipeline of an estimator, or the model of a booster or deep forest, which transforms alike."""
+    return estimator.fit(df) if isinstance(estimator, (Booster, Forest)) else Pipeline(stages=[estimator]).fit(df)
 
 
 def save_model(model, path: str) -> None:
-    """Persist a fitted pipeline or booster (overwrite)."""
-    if isinstance(model, BoostedModel):
+    """Persist a fitted pipeline, booster or deep forest (overwrite)."""
+    if isinstance(model, (BoostedModel, ForestModel)):
         model.save(SparkSession.getActiveSession(), path)
     else:
         model.write().overwrite().save(path)
 
 
 def load_model(path: str, kind: str = "pipeline"):
-    """A saved model; ``kind`` is ``pipeline`` or ``boosted_trees``."""
-    if kind == "boosted_trees":
-        return BoostedModel.load(SparkSession.getActiveSession(), path)
+    """A saved model; ``kind`` is ``pipeline``, ``boosted_trees`` or ``deep_forest``."""
+    own = {"boosted_trees": BoostedModel, "deep_forest": ForestModel}
+    if kind in own:
+        return own[kind].load(SparkSession.getActiveSession(), path)
     return PipelineModel.load(path)
 
 
