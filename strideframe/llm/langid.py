@@ -6,17 +6,20 @@ brought to length 1.  For each language spherical k-means finds ``CENTROIDS``
 centroids.  A text gets the language of the centroid with the greatest cosine;
 it is rejected if that cosine is below the radius for a text of so many letters.
 
-Radii come from texts that the centroids did not see.  One half of the sample
-gives centroids; pieces of the other half, of 16 letters and twice as many up to
+Radii come from texts that the centroids did not see.  One half of the texts, by
+hash, gives centroids; pieces of the other half, of 16 letters and twice as many up to
 4,096, are compared with the centroids of their own language and, as if that
 had been left out, with those of the others.  The radius for a length rejects
 ``FOREIGN`` of the pieces whose language is left out, but at most ``CLEAN`` of
 the pieces whose language is known.
 
-Document frequencies count all training texts.  The centroids are fitted on a
-bounded sample: at most ``SAMPLE`` different texts over all languages, for each
-language those with the least hashes, so that copies count once and no language
-with a text is left without a centroid.
+Document frequencies count all training texts.  Centroids and radii are learned
+from all different ones, so that copies count once: their n-gram counts are
+written in a compact form, and each round of k-means is a job over them that adds
+up the vectors nearest to each centroid.  The rounds only start from a bounded
+sample's centroids (at most ``SAMPLE`` different texts over all languages, for each
+language those with the least hashes), so that they are few and no language with
+a text is left without a centroid.
 
 Results: ``lang_pred`` (``und`` for null texts and texts without a letter, or
 if nothing could be learned), ``lang_score`` (the cosine, 0 for ``und``),
@@ -36,13 +39,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strideframe.functions.quantiles import exact_quantiles
 from strideframe.llm import packed
 from strideframe.llm.stored import Scratch, small_batches
+from strideframe.operators.boosting import number_of_task
 
 DIMS = 4096
 CENTROIDS = 4
-#: the bound of the sample that the centroids are fitted on, over all languages
+#: the bound of the sample that k-means starts from, over all languages
 SAMPLE = 4000
+#: rounds of k-means over all texts at most; they end when each centroid's cosine with its last place is above ``STILL``
+ROUNDS = 20
+STILL = 0.9999
+#: sums of so many tasks are added in one step, then those sums
+ADDED_TOGETHER = 64
 #: shares of the calibration pieces that a radius rejects: of left-out languages at best, of known ones at most
 FOREIGN = 0.995
 CLEAN = 0.002
@@ -174,7 +184,8 @@ def _document_frequency(train: DataFrame, text: str) -> tuple[np.ndarray, int]:
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE, k: int = CENTROIDS) -> Model | None:
     """Learn from rows with a language; None if there is no such row with a letter."""
-    train = small_batches(train).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    train = small_batches(train).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    train = train.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     found = train.groupBy("lang").agg(F.count("*")).limit(MAX_LANGS + 1).collect()
     if not found:
         return None
@@ -183,20 +194,93 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample: int =
     seen, n = _document_frequency(train, "text")
     idf = np.log((1 + n) / (1 + seen)) + 1.0
     folder = Scratch(train.sparkSession, "langid")
-    drawn = folder.write(_sample(train, max(1, sample // len(found))), "sample")
-    by_lang = _vectors(drawn, idf)
+    by_lang = _vectors(_sample(train, max(1, sample // len(found))), idf)
     if not by_lang:
         folder.drop()
         return None
-    halves = [{name: rows[part::2] for name, rows in by_lang.items()} for part in range(2)]
-    # a language of one text is known by that text
-    known = _centroids({name: rows if len(rows) else by_lang[name] for name, rows in halves[0].items()}, k)
-    radius = _radii(drawn, idf, *known)
+    texts = folder.write(_packed(train), "texts")
+    whole = _centroids({name: rows for name, (rows, _) in by_lang.items()}, k)
+    # a language without a text in the first half is known by those of the second
+    half = _centroids({name: rows[part == 0] if (part == 0).any() else rows for name, (rows, part) in by_lang.items()}, k)
+    (langs, centres), known = _moved(texts, idf, [whole, half])
+    pieces = folder.write(_pieces(train.filter(F.pmod(F.xxhash64("text"), F.lit(2)) == 1), idf, *known), "pieces")
+    radius = _radii(pieces)
     folder.drop()
-    langs, centres = _centroids(by_lang, k)
     return Model(idf, centres, radius, langs)
 
 
+def _packed(train: DataFrame) -> DataFrame:
+    """``lang, hash, dims, counts``: the n-gram counts of each different text, as a bit for each dimension and the counts of those present."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offs in _sliced(batches, "text"):
+            total = counts(data, offs)
+            some = np.flatnonzero(total.any(axis=1))
+            total = total[some]
+            dims = [x.tobytes() for x in np.packbits(total > 0, axis=1)]
+            present = [row[row > 0].astype("u1" if row.max() < 256 else "<u4").tobytes() for row in total]
+            keys = part.select(["lang", "hash"]).take(pa.array(some))
+            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(dims, pa.binary()), pa.array(present, pa.binary())], names=["lang", "hash", "dims", "counts"])
+
+    rows = train.withColumn("hash", F.xxhash64("text")).mapInArrow(run, "lang string, hash long, dims binary, counts binary")
+    return rows.dropDuplicates(["lang", "hash"])
+
+
+def _unpacked(dims: list[bytes], present: list[bytes]) -> np.ndarray:
+    """The counts of ``_packed`` as a matrix."""
+    there = np.unpackbits(np.frombuffer(b"".join(dims), np.uint8).reshape(-1, DIMS // 8), axis=1).astype(bool)
+    total = np.zeros(there.shape, np.int64)
+    many = there.sum(axis=1).tolist()
+    total[there] = np.concatenate([np.frombuffer(x, "u1" if len(x) == n else "<u4").astype(np.int64) for x, n in zip(present, many, strict=True)])
+    return total
+
+
+def _moved(texts: DataFrame, idf: np.ndarray, models: list[tuple[list[str], np.ndarray]]) -> list[tuple[list[str], np.ndarray]]:
+    """Spherical k-means over all texts (first model) and over those of even hash (second), from the given centroids."""
+    names = [np.array(langs, object) for langs, _ in models]
+    places = [centres.astype(np.float64) for _, centres in models]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros(c.shape) for c in places]
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                b = batch.slice(at, ROWS)
+                vectors = unit_vectors(_unpacked(b.column("dims").to_pylist(), b.column("counts").to_pylist()), idf)
+                own = np.array(b.column("lang").to_pylist(), object)
+                for m, centres in enumerate(places):
+                    rows = np.flatnonzero((b.column("hash").to_numpy() % 2 == 0) | (m == 0))
+                    near = np.where(names[m][None, :] == own[rows, None], vectors[rows] @ centres.T.astype(np.float32), -2.0)
+                    rows, near = rows[near.max(axis=1, initial=-2.0) > -2], near[near.max(axis=1, initial=-2.0) > -2]
+                    if len(rows):
+                        nearest = near.argmax(axis=1)
+                        for c in np.unique(nearest).tolist():
+                            total[m][c] += vectors[rows[nearest == c]].sum(axis=0, dtype=np.float64)
+        for m, found in enumerate(total):
+            for c in np.flatnonzero(found.any(axis=1)).tolist():
+                key = [pa.array([x], pa.int32()) for x in (m, c, number_of_task())]
+                yield pa.RecordBatch.from_arrays([*key, pa.array([found[c].tobytes()], pa.binary())], names=["model", "centre", "part", "sums"])
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, "<f8") for x in group.column("sums").to_pylist())
+        return group.slice(0, 1).set_column(3, "sums", pa.array([total.tobytes()], pa.binary()))
+
+    kind = "model int, centre int, part int, sums binary"
+    for _ in range(ROUNDS):
+        added, parts = texts.mapInArrow(sums, kind), texts.rdd.getNumPartitions()
+        while parts > 1:
+            parts = -(-parts // ADDED_TOGETHER)
+            added = added.withColumn("part", F.col("part") % parts).groupBy("model", "centre", "part").applyInArrow(add, kind)
+        after = [c.copy() for c in places]
+        for r in added.collect():
+            mean = np.frombuffer(bytes(r["sums"]), "<f8")
+            after[r["model"]][r["centre"]] = mean / max(float(np.linalg.norm(mean)), 1e-12)
+        still = min(float((a * b).sum(axis=1).min()) for a, b in zip(after, places, strict=True))
+        places = after
+        if still > STILL:
+            break
+    return [(langs, c.astype(np.float32)) for (langs, _), c in zip(models, places, strict=True)]
+
+
 def _sample(train: DataFrame, share: int) -> DataFrame:
     """``lang, text, place``: for each language the ``share`` different texts with the least hashes, in the hashes' order."""
 
@@ -220,20 +304,25 @@ def _sample(train: DataFrame, share: int) -> DataFrame:
     return texts.groupBy("lang", "place").agg(F.min("text").alias("text"))
 
 
-def _vectors(drawn: DataFrame, idf: np.ndarray) -> dict[str, np.ndarray]:
-    """The unit vectors of the sample's texts with a letter, by language, in the order of their places."""
+def _vectors(drawn: DataFrame, idf: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The unit vectors of the sample's texts with a letter, by language, in the order of their places, and the half of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in _sliced(batches, "text"):
             rows = [v.tobytes() for v in unit_vectors(counts(data, offs), idf)]
-            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("place"), pa.array(rows, pa.binary())], names=["lang", "place", "vector"])
+            yield pa.RecordBatch.from_arrays([*part.select(["lang", "place", "half"]).columns, pa.array(rows, pa.binary())], names=["lang", "place", "half", "vector"])
 
     found: dict[str, list] = {}
-    for name, place, raw in drawn.mapInArrow(run, "lang string, place int, vector binary").toLocalIterator():
+    drawn = drawn.withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))
+    for name, place, half, raw in drawn.mapInArrow(run, "lang string, place int, half int, vector binary").collect():
         vector = np.frombuffer(bytes(raw), np.float32)
         if np.linalg.norm(vector) > 0.5:
-            found.setdefault(name, []).append((place, vector))
-    return {name: np.array([v for _, v in sorted(rows, key=lambda r: r[0])]) for name, rows in sorted(found.items())}
+            found.setdefault(name, []).append((place, half, vector))
+    out = {}
+    for name, rows in sorted(found.items()):
+        rows.sort(key=lambda r: r[0])
+        out[name] = np.array([v for *_, v in rows]), np.array([h for _, h, _ in rows])
+    return out
 
 
 def _centroids(by_lang: dict[str, np.ndarray], k: int) -> tuple[list[str], np.ndarray]:
@@ -245,8 +334,9 @@ def _centroids(by_lang: dict[str, np.ndarray], k: int) -> tuple[list[str], np.nd
     return langs, np.concatenate(centres).astype(np.float32)
 
 
-def _radii(drawn: DataFrame, idf: np.ndarray, langs: list[str], centres: np.ndarray) -> np.ndarray:
-    """The radius for each length of ``PIECES``, from pieces of the texts at even places (the odd ones made ``centres``)."""
+def _pieces(held_out: DataFrame, idf: np.ndarray, langs: list[str], centres: np.ndarray) -> DataFrame:
+    """``number, top, other``: for each different text and each length of ``PIECES`` that it has, the cosine with the
+    nearest centroid, and with the nearest of another language."""
     names = np.array(langs, object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,21 +357,25 @@ def _radii(drawn: DataFrame, idf: np.ndarray, langs: list[str], centres: np.ndar
                 mine = names[None, :] == own[rows, None]
                 best = np.where(mine, near, -1.0).max(axis=1)
                 other = np.where(mine, -1.0, near).max(axis=1)
-                cols = [pa.array([number] * len(rows), pa.int32()), pa.array(np.maximum(best, other).astype(float)), pa.array(other.astype(float))]
-                yield pa.RecordBatch.from_arrays(cols, names=["number", "top", "other"])
+                keys = part.select(["lang", "hash"]).take(pa.array(rows)).columns
+                cols = [*keys, pa.array([number] * len(rows), pa.int32()), pa.array(np.maximum(best, other).astype(float)), pa.array(other.astype(float))]
+                yield pa.RecordBatch.from_arrays(cols, names=["lang", "hash", "number", "top", "other"])
+
+    kind = "lang string, hash long, number int, top double, other double"
+    found = held_out.withColumn("hash", F.xxhash64("text")).mapInArrow(run, kind)
+    return found.dropDuplicates(["lang", "hash", "number"]).select("number", "top", "other")
+
 
-    held_out = drawn.filter("place % 2 = 0").mapInArrow(run, "number int, top double, other double").toArrow()
-    number, top, other = (held_out.column(c).to_numpy() for c in ("number", "top", "other"))
+def _radii(pieces: DataFrame) -> np.ndarray:
+    """The radius for each length of ``PIECES``, from all pieces."""
+    clean = {r["number"]: r["q"] for r in exact_quantiles(pieces, ["number"], "top", [CLEAN]).collect()}
+    foreign = {r["number"]: r["q"] for r in exact_quantiles(pieces.filter("other >= 0"), ["number"], "other", [FOREIGN]).collect()}
     radius = np.zeros(len(PIECES))
     for i in range(len(PIECES)):
-        here = number == i
-        if not here.any():  # no text is so long: what holds for shorter ones
+        if i in clean:
+            radius[i] = min(clean[i], foreign.get(i, clean[i]))
+        else:  # no text is so long: what holds for shorter ones
             radius[i] = radius[i - 1] if i else 0.0
-            continue
-        radius[i] = np.quantile(top[here], CLEAN)
-        foreign = other[here & (other >= 0)]
-        if len(foreign):
-            radius[i] = min(radius[i], np.quantile(foreign, FOREIGN))
     return radius
 
 

@@ -614,3 +614,16 @@ def test_a_language_of_copies_keeps_its_centroid(spark, trial):
     assert set(model.langs) == {"en", "fr"}
     assert langid._sample(docs.select("text", "lang"), 10).groupBy("lang").count().orderBy("lang").collect() == [("en", 10), ("fr", 1)]
     assert by_id(langid.identify(docs, model))[0]["lang_pred"] == "fr"
+
+
+def test_language_centroids_and_radii_come_from_all_texts(spark, monkeypatch):
+    """A sample of two texts a language gives no other radii, and centroids as near to the texts, as one of all texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id % 3 = 0").cache()
+    seen = []
+    pieces = langid._pieces
+    monkeypatch.setattr(langid, "_pieces", lambda *a: seen.append(pieces(*a).filter("number = 0").count()) or pieces(*a))
+    models = [langid.fit(docs, sample=s, k=1) for s in (8, 4000)]
+    assert seen[0] == seen[1] > docs.count() / 3
+    assert models[0].langs == models[1].langs
+    assert np.allclose(models[0].centres, models[1].centres, atol=1e-4)
+    assert np.allclose(models[0].radius, models[1].radius, atol=1e-3)
