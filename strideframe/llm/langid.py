@@ -15,8 +15,9 @@ the pieces whose language is known.
 
 Document frequencies count all training texts.  Centroids and radii are learned
 from all different ones, so that copies count once: their n-gram counts are
-written in a compact form, and each round of k-means is a job over them that adds
-up the vectors nearest to each centroid.  The rounds only start from a bounded
+written in a compact form, with the number of copies for the document
+frequencies, and each round of k-means is a job over them that adds up the
+vectors nearest to each centroid.  The rounds only start from a bounded
 sample's centroids (at most ``SAMPLE`` different texts over all languages, for each
 language those with the least hashes), so that they are few and no language with
 a text is left without a centroid.
@@ -35,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,57 +62,81 @@ CLEAN = 0.002
 PIECES = tuple(16 << k for k in range(9))
 #: most different values of the language column
 MAX_LANGS = 1000
-#: rows of a slice: their dense count matrix stays below 16 MB
-ROWS = 512
+#: rows of a slice: their dense matrices stay in the processor's cache
+ROWS = 64
 
 _GAP = 0x20
 _LETTER = np.zeros(256, bool)
 _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
+#: for each byte: its lower case, or a blank for no letter; whether it begins a letter; whether it is an ASCII letter
+_FOLDED = np.where(_LETTER[packed.LOWER], packed.LOWER, _GAP).astype(np.uint8).tobytes()
+_LEAD = (_LETTER[packed.LOWER] & ((np.arange(256) & 0xC0) != 0x80)).tobytes()
+_ASCII = (_LETTER[packed.LOWER] & (np.arange(256) < 0x80)).tobytes()
+#: logarithms of one plus the usual counts
+_LOG = np.log1p(np.arange(1 << 16), dtype=np.float32)
+
+
+def _mapped(data: np.ndarray, table: bytes) -> np.ndarray:
+    return np.frombuffer(bytearray(data).translate(table), np.uint8)
 
 
 def _letters(data: np.ndarray) -> np.ndarray:
     """Lower-cased letter bytes, all other bytes as blanks."""
-    low = packed.LOWER[data]
-    if len(low) > 1:
-        # capital letters of Latin-1 after their lead byte
-        second = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] <= 0x9E)
-        low[1:][second] += 0x20
-    low[~_LETTER[low]] = _GAP
+    low = _mapped(data, _FOLDED)
+    # capital letters of Latin-1 after their lead byte
+    second = np.flatnonzero(low[:-1] == 0xC3) + 1
+    low[second[(low[second] >= 0x80) & (low[second] <= 0x9E)]] += 0x20
     return low
 
 
 def counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """n-gram counts of each row, shape (rows, DIMS)."""
     n = len(offs) - 1
-    low = _letters(data).astype(np.int64)
-    row = np.repeat(np.arange(n), np.diff(offs))
+    low = _letters(data)
+    begin = np.repeat(np.arange(n) * DIMS, np.diff(offs))
     gap = low == _GAP
-    total = np.bincount((row * DIMS + low)[~gap], minlength=n * DIMS)
+    # what is no n-gram counts in dimension 0, which no letter has
+    found = [low * ~gap + begin]
     if len(low) > 1:
-        two = gap[:-1] & gap[1:]
-        pair = low[:-1] * 256 + low[1:]
-        keep = (row[:-1] == row[1:]) & ~two
-        total += np.bincount((row[:-1] * DIMS + _slot(pair, 2))[keep], minlength=n * DIMS)
+        whole = ~(gap[:-1] & gap[1:])
+        last = offs[1:-1]
+        whole[last[(last > 0) & (last < len(low))] - 1] = False
+        low = low.astype(np.uint32)
+        pair = low[:-1] * np.uint32(256) + low[1:]
+        found.append(_slot(pair, 2) * whole + begin[:-1])
         if len(low) > 2:
-            keep = (row[:-2] == row[2:]) & ~(two[:-1] | two[1:])
-            total += np.bincount((row[:-2] * DIMS + _slot(pair[:-1] * 256 + low[2:], 3))[keep], minlength=n * DIMS)
-    return total.reshape(n, DIMS)
+            found.append(_slot(pair[:-1] * np.uint32(256) + low[2:], 3) * (whole[:-1] & whole[1:]) + begin[:-2])
+    total = np.bincount(np.concatenate(found), minlength=n * DIMS).reshape(n, DIMS)
+    total[:, 0] = 0
+    return total
 
 
 def _slot(code: np.ndarray, n: int) -> np.ndarray:
-    # multiplicative hashing into the dimensions above the single bytes
-    mixed = (code + n * 0x1000000) * 0x9E3779B1 & 0xFFFFFFFF
-    return 256 + (mixed >> 8) % (DIMS - 256)
+    # multiplicative hashing modulo 2^32 into the dimensions above the single bytes
+    mixed = (code + np.uint32(n * 0x1000000)) * np.uint32(0x9E3779B1) >> np.uint32(8)
+    return np.uint32(256) + mixed - mixed // np.uint32(DIMS - 256) * np.uint32(DIMS - 256)
 
 
-def unit_vectors(total: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    weighted = np.log1p(total, dtype=np.float32) * idf.astype(np.float32)
+def _logs(total: np.ndarray) -> np.ndarray:
+    """The logarithm of one plus each count."""
+    if total.max(initial=0) < len(_LOG):
+        return _LOG[total]
+    return np.log1p(total, dtype=np.float32)
+
+
+def _unit(weighted: np.ndarray) -> np.ndarray:
+    """Rows brought to length 1, in place."""
     norm = np.sqrt((weighted * weighted).sum(axis=1, keepdims=True))
-    return weighted / np.maximum(norm, 1e-12)
+    weighted /= np.maximum(norm, 1e-12)
+    return weighted
+
+
+def unit_vectors(total: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    return _unit(_logs(total) * idf.astype(np.float32))
 
 
 def has_letter(part: pa.RecordBatch, text: str, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    seen = np.concatenate([[0], np.cumsum((packed.LOWER[data] >= 0x61) & (packed.LOWER[data] <= 0x7A))])
+    seen = np.concatenate([[0], np.cumsum(_mapped(data, _ASCII), dtype=np.int64)])
     found = seen[offs[1:]] > seen[offs[:-1]]
     rest = np.flatnonzero(~found & (np.diff(offs) > 0))
     for i in rest.tolist():
@@ -155,8 +181,7 @@ class Model:
 
 def letter_counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Characters of each row that are letters (by their lead bytes)."""
-    low = packed.LOWER[data]
-    seen = np.concatenate([[0], np.cumsum(_LETTER[low] & ((low & 0xC0) != 0x80))])
+    seen = np.concatenate([[0], np.cumsum(_mapped(data, _LEAD), dtype=np.int64)])
     return seen[offs[1:]] - seen[offs[:-1]]
 
 
@@ -167,38 +192,41 @@ def _sliced(batches: Iterator[pa.RecordBatch], text: str):
             yield from packed.slices(batch.slice(at, ROWS), text)
 
 
-def _document_frequency(train: DataFrame, text: str) -> tuple[np.ndarray, int]:
+def _document_frequency(texts: DataFrame) -> np.ndarray:
+    """How many training texts, copies among them, have each dimension."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(DIMS + 1, np.int64)
-        for part, data, offs in _sliced(batches, text):
-            seen[:DIMS] += (counts(data, offs) > 0).sum(axis=0)
-            seen[DIMS] += part.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMS + 1, dtype=np.int32)), pa.array(seen)], names=["dim", "n"])
+        seen = np.zeros(DIMS, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                b = batch.slice(at, ROWS)
+                # exact: numbers of texts are far below 2^53
+                seen += (b.column("copies").to_numpy().astype(np.float64) @ _there(b).astype(np.float64)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMS, dtype=np.int32)), pa.array(seen)], names=["dim", "n"])
 
-    found = train.select(text).mapInArrow(run, "dim int, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(DIMS + 1, np.int64)
+    found = texts.select("dims", "copies").mapInArrow(run, "dim int, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(DIMS, np.int64)
     for dim, n in found:
         out[dim] = n
-    return out[:DIMS], int(out[DIMS])
+    return out
 
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE, k: int = CENTROIDS) -> Model | None:
     """Learn from rows with a language; None if there is no such row with a letter."""
     train = small_batches(train).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     train = train.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    found = train.groupBy("lang").agg(F.count("*")).limit(MAX_LANGS + 1).collect()
+    found = train.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()
     if not found:
         return None
     if len(found) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    seen, n = _document_frequency(train, "text")
-    idf = np.log((1 + n) / (1 + seen)) + 1.0
     folder = Scratch(train.sparkSession, "langid")
+    texts = folder.write(_packed(train), "texts")
+    idf = np.log((1 + sum(r["n"] for r in found)) / (1 + _document_frequency(texts))) + 1.0
     by_lang = _vectors(_sample(train, max(1, sample // len(found))), idf)
     if not by_lang:
         folder.drop()
         return None
-    texts = folder.write(_packed(train), "texts")
     whole = _centroids({name: rows for name, (rows, _) in by_lang.items()}, k)
     # a language without a text in the first half is known by those of the second
     half = _centroids({name: rows[part == 0] if (part == 0).any() else rows for name, (rows, part) in by_lang.items()}, k)
@@ -210,7 +238,8 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample: int =
 
 
 def _packed(train: DataFrame) -> DataFrame:
-    """``lang, hash, dims, counts``: the n-gram counts of each different text, as a bit for each dimension and the counts of those present."""
+    """``lang, hash, copies, dims, counts``: of each different text the number of copies and the n-gram counts, as a bit
+    for each dimension and the counts of those present."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in _sliced(batches, "text"):
@@ -223,38 +252,48 @@ def _packed(train: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(dims, pa.binary()), pa.array(present, pa.binary())], names=["lang", "hash", "dims", "counts"])
 
     rows = train.withColumn("hash", F.xxhash64("text")).mapInArrow(run, "lang string, hash long, dims binary, counts binary")
-    return rows.dropDuplicates(["lang", "hash"])
+    return rows.groupBy("lang", "hash").agg(F.count("*").alias("copies"), F.first("dims").alias("dims"), F.first("counts").alias("counts"))
 
 
-def _unpacked(dims: list[bytes], present: list[bytes]) -> np.ndarray:
-    """The counts of ``_packed`` as a matrix."""
-    there = np.unpackbits(np.frombuffer(b"".join(dims), np.uint8).reshape(-1, DIMS // 8), axis=1).astype(bool)
-    total = np.zeros(there.shape, np.int64)
-    many = there.sum(axis=1).tolist()
-    total[there] = np.concatenate([np.frombuffer(x, "u1" if len(x) == n else "<u4").astype(np.int64) for x, n in zip(present, many, strict=True)])
-    return total
+def _there(b: pa.RecordBatch) -> np.ndarray:
+    """Which dimensions each text of ``_packed`` has."""
+    dims = b"".join(b.column("dims").to_pylist())
+    return np.unpackbits(np.frombuffer(dims, np.uint8).reshape(-1, DIMS // 8), axis=1).view(bool)
+
+
+def _unpacked(b: pa.RecordBatch, idf: np.ndarray) -> np.ndarray:
+    """The unit vectors of texts of ``_packed``."""
+    there = _there(b)
+    many = np.count_nonzero(there, axis=1).tolist()
+    present = b.column("counts").to_pylist()
+    total = np.concatenate([np.frombuffer(x, "u1" if len(x) == n else "<u4") for x, n in zip(present, many, strict=True)])
+    weighted = np.zeros(there.shape, np.float32)
+    weighted.ravel()[np.flatnonzero(there)] = _logs(total)
+    weighted *= idf.astype(np.float32)
+    return _unit(weighted)
 
 
 def _moved(texts: DataFrame, idf: np.ndarray, models: list[tuple[list[str], np.ndarray]]) -> list[tuple[list[str], np.ndarray]]:
     """Spherical k-means over all texts (first model) and over those of even hash (second), from the given centroids."""
-    names = [np.array(langs, object) for langs, _ in models]
+    known = sorted({name for langs, _ in models for name in langs})
+    of_centre = [np.array([known.index(name) for name in langs]) for langs, _ in models]
     places = [centres.astype(np.float64) for _, centres in models]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [np.zeros(c.shape) for c in places]
+        turned = [c.T.astype(np.float32) for c in places]
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 b = batch.slice(at, ROWS)
-                vectors = unit_vectors(_unpacked(b.column("dims").to_pylist(), b.column("counts").to_pylist()), idf)
-                own = np.array(b.column("lang").to_pylist(), object)
-                for m, centres in enumerate(places):
-                    rows = np.flatnonzero((b.column("hash").to_numpy() % 2 == 0) | (m == 0))
-                    near = np.where(names[m][None, :] == own[rows, None], vectors[rows] @ centres.T.astype(np.float32), -2.0)
-                    rows, near = rows[near.max(axis=1, initial=-2.0) > -2], near[near.max(axis=1, initial=-2.0) > -2]
-                    if len(rows):
-                        nearest = near.argmax(axis=1)
-                        for c in np.unique(nearest).tolist():
-                            total[m][c] += vectors[rows[nearest == c]].sum(axis=0, dtype=np.float64)
+                vectors = _unpacked(b, idf)
+                own = pc.index_in(b.column("lang"), value_set=pa.array(known, pa.string())).fill_null(-1).to_numpy()
+                even = b.column("hash").to_numpy() % 2 == 0
+                for m, langs in enumerate(of_centre):
+                    mine = (langs[None, :] == own[:, None]) & (even[:, None] | (m == 0))
+                    nearest = np.where(mine, vectors @ turned[m], -2.0).argmax(axis=1)
+                    nearest[~mine.any(axis=1)] = -1
+                    for c in np.unique(nearest[nearest >= 0]).tolist():
+                        total[m][c] += vectors[nearest == c].sum(axis=0, dtype=np.float64)
         for m, found in enumerate(total):
             for c in np.flatnonzero(found.any(axis=1)).tolist():
                 key = [pa.array([x], pa.int32()) for x in (m, c, number_of_task())]
@@ -266,7 +305,7 @@ def _moved(texts: DataFrame, idf: np.ndarray, models: list[tuple[list[str], np.n
 
     kind = "model int, centre int, part int, sums binary"
     for _ in range(ROUNDS):
-        added, parts = texts.mapInArrow(sums, kind), texts.rdd.getNumPartitions()
+        added, parts = texts.drop("copies").mapInArrow(sums, kind), texts.rdd.getNumPartitions()
         while parts > 1:
             parts = -(-parts // ADDED_TOGETHER)
             added = added.withColumn("part", F.col("part") % parts).groupBy("model", "centre", "part").applyInArrow(add, kind)
@@ -342,8 +381,7 @@ def _pieces(held_out: DataFrame, idf: np.ndarray, langs: list[str], centres: np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in _sliced(batches, "text"):
             own = np.array(part.column("lang").to_pylist(), object)
-            low = packed.LOWER[data]
-            letter = np.concatenate([[0], np.cumsum(_LETTER[low] & ((low & 0xC0) != 0x80))])
+            letter = np.concatenate([[0], np.cumsum(_mapped(data, _LEAD), dtype=np.int64)])
             for number, size in enumerate(PIECES):
                 # the bytes up to each text's ``size``-th letter, of texts that have so many
                 begin = letter[offs[:-1]]

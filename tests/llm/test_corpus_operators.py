@@ -616,6 +616,18 @@ def test_a_language_of_copies_keeps_its_centroid(spark, trial):
     assert by_id(langid.identify(docs, model))[0]["lang_pred"] == "fr"
 
 
+def test_language_texts_are_cut_into_ngrams_once(spark):
+    """Document frequencies come from the stored counts, with their copies; a slice's matrix stays in the cache."""
+    texts = ["the cat", "the cat", "le chat", "12 34", "x" * 700, "Élan É"]
+    docs = spark.createDataFrame([(t, "fr" if "l" in t else "en") for t in texts], "text string, lang string")
+    rows = langid._packed(docs)
+    assert rows.agg(F.sum("copies")).first()[0] == len(texts) - 1  # one has no n-gram
+    want = Counter(d for t in texts for d in plain_ngrams(t))
+    seen = langid._document_frequency(rows)
+    assert {d: int(n) for d, n in enumerate(seen) if n} == want
+    assert langid.ROWS * langid.DIMS * 8 <= 4 << 20
+
+
 def test_language_centroids_and_radii_come_from_all_texts(spark, monkeypatch):
     """A sample of two texts a language gives no other radii, and centroids as near to the texts, as one of all texts."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id % 3 = 0").cache()
