@@ -38,6 +38,8 @@ from strideframe.llm.stored import small_batches
 CACHE_WORDS = 200_000
 #: text encoded at a time: the more, the fewer distinct words
 SLICE_BYTES = 8 << 20
+#: bytes of new pre-tokens that are merged at a time: each takes some 200 bytes meanwhile
+MERGED_BYTES = 128 << 10
 
 #: Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -169,7 +171,13 @@ class PairIndexEncoder:
 
     def _learn(self, split: list[list[str]]) -> None:
         new = list({w for words in split for w in words if w not in self.known})
-        self.known.update(zip(new, self.encode_words(new), strict=True))
+        ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) for w in new])
+        at = 0
+        while at < len(new):
+            # a longer pre-token is merged alone
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + MERGED_BYTES, "right")))
+            self.known.update(zip(new[at:end], self.encode_words(new[at:end]), strict=True))
+            at = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""

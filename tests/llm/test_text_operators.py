@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -34,6 +35,18 @@ def test_bpe_overlapping_pairs_and_special_tokens():
         assert ids_of(raw) == REFERENCE.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_merges_new_words_in_portions(monkeypatch):
+    """Memory while merging is bounded by portions of words, not by all new words of a slice."""
+    texts = [" ".join(f"w{(i * 7919 + j) ** 3:x}é" for j in range(100)) for i in range(300)] + ["", "ab" * (bpe.MERGED_BYTES // 2 + 9)]
+    coder = bpe.PairIndexEncoder(bpe.load_vocabulary(PATH))
+    whole, sizes = coder.encode_words, []
+    monkeypatch.setattr(coder, "encode_words", lambda words: sizes.append((len(words), len("".join(words).encode()))) or whole(words))
+    got = coder.encode(texts)
+    assert len(sizes) > 2 and all(size <= bpe.MERGED_BYTES or n == 1 for n, size in sizes)
+    library = Tokenizer.from_file(PATH)
+    assert [list(np.frombuffer(x, "<u4")) for x in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_op3_equals_the_library(spark, sf_small):
     got = by_id(catalog.op3_bpe_codec(spark, sf_small))
     docs = documents(spark, sf_small).collect()
