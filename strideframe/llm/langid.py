@@ -62,8 +62,10 @@ CLEAN = 0.002
 PIECES = tuple(16 << k for k in range(9))
 #: most different values of the language column
 MAX_LANGS = 1000
-#: rows of a slice: their dense matrices stay in the processor's cache
-ROWS = 64
+#: rows of a slice: their dense vectors stay below 8 MB
+ROWS = 512
+#: rows that are counted at a time: their dense counts stay near the processor's cache
+COUNTED = 64
 
 _GAP = 0x20
 _LETTER = np.zeros(256, bool)
@@ -185,11 +187,20 @@ def letter_counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return seen[offs[1:]] - seen[offs[:-1]]
 
 
-def _sliced(batches: Iterator[pa.RecordBatch], text: str):
+def text_vectors(data: np.ndarray, offs: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The unit vector of each row."""
+    out = np.empty((len(offs) - 1, DIMS), np.float32)
+    for at in range(0, len(out), COUNTED):
+        part = offs[at : at + COUNTED + 1]
+        out[at : at + COUNTED] = unit_vectors(counts(data[part[0] : part[-1]], part - part[0]), idf)
+    return out
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], text: str, rows: int = ROWS):
     packed.held("langid")
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            yield from packed.slices(batch.slice(at, ROWS), text)
+        for at in range(0, batch.num_rows, rows):
+            yield from packed.slices(batch.slice(at, rows), text)
 
 
 def _document_frequency(texts: DataFrame) -> np.ndarray:
@@ -198,8 +209,8 @@ def _document_frequency(texts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(DIMS, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                b = batch.slice(at, ROWS)
+            for at in range(0, batch.num_rows, COUNTED):
+                b = batch.slice(at, COUNTED)
                 # exact: numbers of texts are far below 2^53
                 seen += (b.column("copies").to_numpy().astype(np.float64) @ _there(b).astype(np.float64)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMS, dtype=np.int32)), pa.array(seen)], names=["dim", "n"])
@@ -242,7 +253,7 @@ def _packed(train: DataFrame) -> DataFrame:
     for each dimension and the counts of those present."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in _sliced(batches, "text"):
+        for part, data, offs in _sliced(batches, "text", COUNTED):
             total = counts(data, offs)
             some = np.flatnonzero(total.any(axis=1))
             total = total[some]
@@ -283,8 +294,8 @@ def _moved(texts: DataFrame, idf: np.ndarray, models: list[tuple[list[str], np.n
         total = [np.zeros(c.shape) for c in places]
         turned = [c.T.astype(np.float32) for c in places]
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                b = batch.slice(at, ROWS)
+            for at in range(0, batch.num_rows, COUNTED):
+                b = batch.slice(at, COUNTED)
                 vectors = _unpacked(b, idf)
                 own = pc.index_in(b.column("lang"), value_set=pa.array(known, pa.string())).fill_null(-1).to_numpy()
                 even = b.column("hash").to_numpy() % 2 == 0
@@ -348,7 +359,7 @@ def _vectors(drawn: DataFrame, idf: np.ndarray) -> dict[str, tuple[np.ndarray, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in _sliced(batches, "text"):
-            rows = [v.tobytes() for v in unit_vectors(counts(data, offs), idf)]
+            rows = [v.tobytes() for v in text_vectors(data, offs, idf)]
             yield pa.RecordBatch.from_arrays([*part.select(["lang", "place", "half"]).columns, pa.array(rows, pa.binary())], names=["lang", "place", "half", "vector"])
 
     found: dict[str, list] = {}
@@ -391,7 +402,7 @@ def _pieces(held_out: DataFrame, idf: np.ndarray, langs: list[str], centres: np.
                 end = np.searchsorted(letter, begin[rows] + size)
                 spans = [data[a:b] for a, b in zip(offs[rows].tolist(), end.tolist(), strict=True)]
                 at = np.concatenate([[0], np.cumsum([len(x) for x in spans])])
-                near = unit_vectors(counts(np.concatenate(spans), at), idf) @ centres.T
+                near = text_vectors(np.concatenate(spans), at, idf) @ centres.T
                 mine = names[None, :] == own[rows, None]
                 best = np.where(mine, near, -1.0).max(axis=1)
                 other = np.where(mine, -1.0, near).max(axis=1)
@@ -433,7 +444,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
             score = np.zeros(part.num_rows)
             rejected = ~known
             if known.any():
-                near = unit_vectors(counts(data, offs), model.idf) @ model.centres.T
+                near = text_vectors(data, offs, model.idf) @ model.centres.T
                 best = near.argmax(axis=1)
                 top = np.clip(near[np.arange(len(best)), best].astype(float), 0.0, 1.0)
                 pred[known] = np.array(model.langs, object)[best[known]]

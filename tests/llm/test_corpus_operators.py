@@ -625,7 +625,7 @@ def test_language_texts_are_cut_into_ngrams_once(spark):
     want = Counter(d for t in texts for d in plain_ngrams(t))
     seen = langid._document_frequency(rows)
     assert {d: int(n) for d, n in enumerate(seen) if n} == want
-    assert langid.ROWS * langid.DIMS * 8 <= 4 << 20
+    assert langid.COUNTED * langid.DIMS * 8 <= 4 << 20
 
 
 def test_language_centroids_and_radii_come_from_all_texts(spark, monkeypatch):
