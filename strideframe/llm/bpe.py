@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.llm import packed
-from strideframe.llm.stored import small_batches
+from strideframe.llm.stored import BATCH_BYTES, small_batches
 
 CACHE_WORDS = 200_000
 #: text encoded at a time: the more, the fewer distinct words
@@ -301,7 +301,7 @@ def encode(
     ``cache_words`` (encodings a worker keeps) and ``slice_bytes`` (text encoded
     at a time) trade memory for time; results do not depend on them.
     """
-    small_batches(docs)
+    small_batches(docs, min(slice_bytes, BATCH_BYTES))
     shared = _Shared(docs.sparkSession, load_vocabulary(tokenizer_path))
     added = ["bpe_n", "bpe_ids", "bpe_text"] if decoded else ["bpe_n", "bpe_ids"]
     kept = docs.drop(*[c for c in docs.columns if c.lower() in added and c.lower() != text.lower()])

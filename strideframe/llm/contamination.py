@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from strideframe.functions.sizing import broadcast_if_small
 from strideframe.llm import packed
-from strideframe.llm.stored import small_batches, unused
+from strideframe.llm.stored import SMALL_BATCH_BYTES, small_batches, unused
 from strideframe.session import checkpoint_dir
 
 WINDOW = 10
@@ -57,7 +57,7 @@ def _windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offs in packed.slices(batch, "text"):
+            for part, data, offs in packed.slices(batch, "text", packed.HASHED_BYTES):
                 low, starts, ends, rows, hashes = packed.words(data, offs)
                 sh, _, sh_rows = packed.shingle_hashes(hashes, rows, shingle)
                 names = packed.word_list(low, starts, ends)
@@ -91,7 +91,7 @@ def _occurrences(docs: DataFrame, wanted, reach: int, sizes: list[int]) -> DataF
         coarse = np.zeros(1 << 24, bool)
         coarse[(hashes_wanted >> np.uint64(40)).astype(np.int64)] = True
         for batch in batches:
-            for part, data, offs in packed.slices(batch, "text"):
+            for part, data, offs in packed.slices(batch, "text", packed.HASHED_BYTES):
                 low, starts, ends, rows, hashes = packed.words(data, offs)
                 raw = low.tobytes()
                 hits: list[list[dict]] = [[] for _ in range(part.num_rows)]
@@ -129,7 +129,7 @@ def find_contaminated(
 ) -> DataFrame:
     """Every row of ``docs`` with ``n_words``, ``n_hit`` and ``items``; its text is dropped."""
     checkpoint_dir(spark)
-    small_batches(docs)
+    small_batches(docs, SMALL_BATCH_BYTES)
     windows = _windows(benchmark, window, shingle).checkpoint()
     unique = windows.select("words", "shingles").distinct().withColumn("win", F.sha2(F.concat_ws(" ", "words"), 256))
     hashes = windows.select(F.explode("shingles").alias("shingle")).distinct()

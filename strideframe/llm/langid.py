@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from strideframe.functions.quantiles import exact_quantiles
 from strideframe.llm import packed
-from strideframe.llm.stored import Scratch, small_batches
+from strideframe.llm.stored import SMALL_BATCH_BYTES, Scratch, small_batches
 from strideframe.operators.boosting import number_of_task
 
 DIMS = 4096
@@ -207,6 +207,7 @@ def _document_frequency(texts: DataFrame) -> np.ndarray:
     """How many training texts, copies among them, have each dimension."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("langid")
         seen = np.zeros(DIMS, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, COUNTED):
@@ -224,7 +225,7 @@ def _document_frequency(texts: DataFrame) -> np.ndarray:
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE, k: int = CENTROIDS) -> Model | None:
     """Learn from rows with a language; None if there is no such row with a letter."""
-    train = small_batches(train).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    train = small_batches(train, SMALL_BATCH_BYTES).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     train = train.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     found = train.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()
     if not found:
@@ -291,6 +292,7 @@ def _moved(texts: DataFrame, idf: np.ndarray, models: list[tuple[list[str], np.n
     places = [centres.astype(np.float64) for _, centres in models]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("langid")
         total = [np.zeros(c.shape) for c in places]
         turned = [c.T.astype(np.float32) for c in places]
         for batch in batches:
@@ -335,6 +337,7 @@ def _sample(train: DataFrame, share: int) -> DataFrame:
     """``lang, text, place``: for each language the ``share`` different texts with the least hashes, in the hashes' order."""
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("langid")
         held: dict[str, np.ndarray] = {}
         for b in batches:
             names, code = np.unique(np.array(b.column("lang").to_pylist(), object).astype(str), return_inverse=True)
@@ -433,7 +436,7 @@ ADDED = ("lang_pred", "lang_score", "lang_rejected")
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``lang_score`` and ``lang_rejected``; columns of those names are replaced."""
-    kept = small_batches(docs).drop(*[c for c in docs.columns if c.lower() in ADDED])
+    kept = small_batches(docs, SMALL_BATCH_BYTES).drop(*[c for c in docs.columns if c.lower() in ADDED])
     kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
     schema = T.StructType([*kept.schema.fields, *[T.StructField(c, t) for c, t in zip(ADDED, kinds, strict=True)]])
 

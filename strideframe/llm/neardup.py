@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from strideframe.functions.sizing import broadcast_if_small
 from strideframe.llm import packed
 from strideframe.llm.components import components
-from strideframe.llm.stored import Scratch, small_batches, unused
+from strideframe.llm.stored import SMALL_BATCH_BYTES, Scratch, small_batches, unused
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -132,7 +132,7 @@ def _sign(docs: DataFrame) -> DataFrame:
         packed.held("neardup")
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
-                for part, data, offs in packed.slices(batch.slice(at, ROWS), "text"):
+                for part, data, offs in packed.slices(batch.slice(at, ROWS), "text", packed.HASHED_BYTES):
                     sh, n, rows = bags(data, offs)
                     sig = signatures(sh, n, rows)
                     raw = data.tobytes()
@@ -158,9 +158,10 @@ def _bags(docs: DataFrame) -> DataFrame:
     """``bag_key`` and the packed bag of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("neardup")
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
-                for part, data, offs in packed.slices(batch.slice(at, ROWS), "text"):
+                for part, data, offs in packed.slices(batch.slice(at, ROWS), "text", packed.HASHED_BYTES):
                     sh, n, rows = bags(data, offs)
                     weights = [n[a:b].astype("<u4").tobytes() if (n[a:b] > 1).any() else None for a, b in zip(rows[:-1], rows[1:], strict=True)]
                     cols = [part.column("bag_key"), packed.binary_rows(sh, rows), pa.array(weights, pa.binary())]
@@ -176,6 +177,7 @@ def _agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     kept = ["u", "v", "key_u", "key_v"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("neardup")
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, REGISTERS) for c in ("s", "t"))
             at = pa.array(np.flatnonzero((a == b).sum(axis=1) >= LEAST_AGREE))
@@ -199,6 +201,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed.held("neardup")
         for batch in batches:
             keep, values = [], []
             cols = [batch.column(c) for c in ("shingles", "weights", "shingles_v", "weights_v")]
@@ -316,7 +319,7 @@ def find_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     stays``; ``links`` has verified links ``u, v, similarity`` between the rows
     that stand for groups of copies, enough of them to connect each class.
     """
-    store = Scratch(small_batches(docs).sparkSession, "neardup")
+    store = Scratch(small_batches(docs, SMALL_BATCH_BYTES).sparkSession, "neardup")
     key = F.md5(F.col("text").cast("binary")).alias("text_key")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), key, "text")
     signed = store.write(_sign(rows), "signed")

@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+#: slices whose words are hashed: every byte takes some 50 bytes meanwhile
+HASHED_BYTES = 512 << 10
 
 _U = np.uint64
 #: odd multiplier of the byte polynomial and its inverse modulo 2^64
@@ -31,7 +33,8 @@ _held: dict[str, object] = {}
 
 
 def trim() -> None:
-    """Memory that is free in the C library's heap goes back to the system."""
+    """Memory that is free in Arrow's pool and in the C library's heap goes back to the system."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
         ctypes.CDLL(None).malloc_trim(0)
 
@@ -39,11 +42,14 @@ def trim() -> None:
 def held(owner: str, make: Callable[[], object] = lambda: None) -> object:
     """State that a Python worker keeps between tasks; what other operators kept is let go.
 
-    Called when a task begins.  The memory that earlier tasks' arrays left in
-    the C library's heap goes back to the system then.
+    Called when a task begins.  The tables of powers go with what others kept, and
+    the memory that earlier tasks' arrays left in Arrow's pool and the C
+    library's heap goes back to the system then.
     """
+    global _pow, _inv
     if owner not in _held:
         _held.clear()
+        _pow = _inv = np.ones(1, _U)
     trim()
     if owner not in _held:
         _held[owner] = make()
@@ -79,7 +85,7 @@ _SLOT = mix(np.arange(1, 65, dtype=_U) * _U(0xA0761D6478BD642F)) | _U(1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _pow, _inv
     if len(_pow) < n:
-        size = max(n, SLICE_BYTES + (1 << 16))
+        size = -(-n >> 16) << 16
         steps = np.full(size, _BASE, _U)
         steps[0] = 1
         _pow = np.cumprod(steps, dtype=_U)

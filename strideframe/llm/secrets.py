@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.llm import packed
-from strideframe.llm.stored import small_batches
+from strideframe.llm.stored import SMALL_BATCH_BYTES, small_batches
 
 #: a set of alternatives larger than this is not followed further
 MAX_ALTERNATIVES = 256
@@ -212,7 +212,7 @@ SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start
 
 def find_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, out: str = "secret_spans") -> DataFrame:
     """Add the array ``secret_spans`` of (kind, start, end); a column of that name is replaced."""
-    kept = small_batches(docs.drop(out) if out != text else docs)
+    kept = small_batches(docs.drop(out) if out != text else docs, SMALL_BATCH_BYTES)
     schema = T.StructType([*kept.schema.fields, T.StructField(out, T.ArrayType(SPAN))])
     kinds = [r.kind for r in rules]
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))

@@ -11,15 +11,17 @@ from strideframe.session import checkpoint_dir
 
 #: bytes of an Arrow batch that goes to a Python worker and back
 BATCH_BYTES = 8 << 20
+#: the same for operators that gain nothing from more text at a time
+SMALL_BATCH_BYTES = 2 << 20
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """Bound the Arrow batches of ``df``'s session by bytes, and return ``df``.
+def small_batches(df: DataFrame, size: int = BATCH_BYTES) -> DataFrame:
+    """Bound the Arrow batches of ``df``'s session by ``size`` bytes, and return ``df``.
 
     Rows of text differ in size a thousandfold; the default of 64 MB is held by
     the executor and by its Python worker, going and coming, for each task.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     return df
 
 

@@ -1,8 +1,10 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +13,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm_helpers import EDGE_TEXTS, by_id, documents, edge_docs, empty_docs
-from strideframe.llm import brown, catalog, chunks, langid, lzprint, neardup, packed, toxicity
+from strideframe.llm import brown, catalog, chunks, contamination, langid, lzprint, neardup, packed, toxicity
 from strideframe.llm.components import components
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -55,6 +58,41 @@ def test_slices_keep_all_rows_and_bound_the_text():
     assert all(len(d) <= 10 or p.num_rows == 1 for p, d, _ in parts)
 
 
+class _Captured:
+    """Stands for a table whose ``mapInArrow`` hands out the function of a task."""
+
+    def __init__(self, columns: str):
+        self.schema = T._parse_datatype_string(columns)
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_hashed_words_of_a_task_take_bounded_memory(spark):
+    # 6 MB of text in one batch; a slice of 2 MB took over 100 MB
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 3000, pa.int64()), pa.array(["some words of text " * 110] * 3000)], names=["bag_key", "text"])
+    wanted = SimpleNamespace(value=np.sort(packed.mix(np.arange(1000, dtype=np.uint64))))
+    occurrences = contamination._occurrences(_Captured("bag_key long, text string"), wanted, 10, [5])
+    for run, most in ((occurrences, 64), (neardup._bags(_Captured("bag_key long, text string")), 64)):
+        packed.held("a task before")
+        tracemalloc.start()
+        assert sum(b.num_rows for b in run(iter([batch]))) == 3000
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert peak < most
+
+
+def test_what_words_are_hashed_with_goes_with_another_operator():
+    data, offs = np.full(1000, 97, np.uint8), np.array([0, 1000])
+    packed.held("one")
+    packed.words(data, offs)
+    assert 1000 < len(packed._pow) <= 1 << 16
+    before = packed.words(data, offs)[4]
+    packed.held("other")
+    assert len(packed._pow) == len(packed._inv) == 1
+    assert (packed.words(data, offs)[4] == before).all()
+
+
 # --- class bigrams
 
 

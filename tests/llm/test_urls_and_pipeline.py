@@ -104,6 +104,14 @@ def test_pipeline_equals_its_parts_by_brute_force(spark, sf_small):
             assert len(re.split(re.escape("[secret]"), decoded)[0]) <= len(text) and text.startswith(decoded.split("[secret]")[0])
 
 
+def test_pipeline_stages_bound_their_batches(spark, sf_small):
+    docs = documents(spark, sf_small)
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs, sf_small)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 2 << 20
+
+
 def test_pipeline_near_copies_leave_the_least_document(spark):
     base = " ".join(f"word{i}" for i in range(120))
     docs = spark.createDataFrame([(3, base, "en", "s", 1), (1, base + " more", "en", "s", 1), (2, "other text here that is quite different", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
