@@ -235,14 +235,11 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample: int =
     folder = Scratch(train.sparkSession, "langid")
     texts = folder.write(_packed(train), "texts")
     idf = np.log((1 + sum(r["n"] for r in found)) / (1 + _document_frequency(texts))) + 1.0
-    by_lang = _vectors(_sample(train, max(1, sample // len(found))), idf)
+    by_lang = _drawn(_sample(train, max(1, sample // len(found))))
     if not by_lang:
         folder.drop()
         return None
-    whole = _centroids({name: rows for name, (rows, _) in by_lang.items()}, k)
-    # a language without a text in the first half is known by those of the second
-    half = _centroids({name: rows[part == 0] if (part == 0).any() else rows for name, (rows, part) in by_lang.items()}, k)
-    (langs, centres), known = _moved(texts, idf, [whole, half])
+    (langs, centres), known = _moved(texts, idf, _starts(by_lang, idf, k))
     pieces = folder.write(_pieces(train.filter(F.pmod(F.xxhash64("text"), F.lit(2)) == 1), idf, *known), "pieces")
     radius = _radii(pieces)
     folder.drop()
@@ -252,6 +249,13 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample: int =
 def _packed(train: DataFrame) -> DataFrame:
     """``lang, hash, copies, dims, counts``: of each different text the number of copies and the n-gram counts, as a bit
     for each dimension and the counts of those present."""
+    rows = _counted(train.withColumn("hash", F.xxhash64("text")), "lang string, hash long")
+    return rows.groupBy("lang", "hash").agg(F.count("*").alias("copies"), F.first("dims").alias("dims"), F.first("counts").alias("counts"))
+
+
+def _counted(rows: DataFrame, keys: str) -> DataFrame:
+    """The ``keys`` of each text with an n-gram, with its ``dims`` and ``counts``."""
+    names = [x.split()[0] for x in keys.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in _sliced(batches, "text", COUNTED):
@@ -260,11 +264,10 @@ def _packed(train: DataFrame) -> DataFrame:
             total = total[some]
             dims = [x.tobytes() for x in np.packbits(total > 0, axis=1)]
             present = [row[row > 0].astype("u1" if row.max() < 256 else "<u4").tobytes() for row in total]
-            keys = part.select(["lang", "hash"]).take(pa.array(some))
-            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(dims, pa.binary()), pa.array(present, pa.binary())], names=["lang", "hash", "dims", "counts"])
+            kept = part.select(names).take(pa.array(some))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(dims, pa.binary()), pa.array(present, pa.binary())], names=[*names, "dims", "counts"])
 
-    rows = train.withColumn("hash", F.xxhash64("text")).mapInArrow(run, "lang string, hash long, dims binary, counts binary")
-    return rows.groupBy("lang", "hash").agg(F.count("*").alias("copies"), F.first("dims").alias("dims"), F.first("counts").alias("counts"))
+    return rows.mapInArrow(run, f"{keys}, dims binary, counts binary")
 
 
 def _there(b: pa.RecordBatch) -> np.ndarray:
@@ -357,34 +360,36 @@ def _sample(train: DataFrame, share: int) -> DataFrame:
     return texts.groupBy("lang", "place").agg(F.min("text").alias("text"))
 
 
-def _vectors(drawn: DataFrame, idf: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """The unit vectors of the sample's texts with a letter, by language, in the order of their places, and the half of each."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in _sliced(batches, "text"):
-            rows = [v.tobytes() for v in text_vectors(data, offs, idf)]
-            yield pa.RecordBatch.from_arrays([*part.select(["lang", "place", "half"]).columns, pa.array(rows, pa.binary())], names=["lang", "place", "half", "vector"])
-
+def _drawn(drawn: DataFrame) -> dict[str, pa.RecordBatch]:
+    """``half, dims, counts`` of the sample's texts with a letter, by language, in the order of their places: n-gram counts
+    take the driver some hundred bytes a text, their vectors 16 KB."""
     found: dict[str, list] = {}
     drawn = drawn.withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))
-    for name, place, half, raw in drawn.mapInArrow(run, "lang string, place int, half int, vector binary").collect():
-        vector = np.frombuffer(bytes(raw), np.float32)
-        if np.linalg.norm(vector) > 0.5:
-            found.setdefault(name, []).append((place, half, vector))
+    for name, place, half, dims, present in _counted(drawn, "lang string, place int, half int").collect():
+        found.setdefault(name, []).append((place, half, bytes(dims), bytes(present)))
     out = {}
     for name, rows in sorted(found.items()):
         rows.sort(key=lambda r: r[0])
-        out[name] = np.array([v for *_, v in rows]), np.array([h for _, h, _ in rows])
+        _, half, dims, present = zip(*rows, strict=True)
+        out[name] = pa.record_batch({"half": pa.array(half, pa.int32()), "dims": pa.array(dims, pa.binary()), "counts": pa.array(present, pa.binary())})
     return out
 
 
-def _centroids(by_lang: dict[str, np.ndarray], k: int) -> tuple[list[str], np.ndarray]:
-    langs, centres = [], []
-    for name, rows in by_lang.items():
-        found, _ = spherical_kmeans(rows, k)
-        langs += [name] * len(found)
-        centres.append(found)
-    return langs, np.concatenate(centres).astype(np.float32)
+def _starts(by_lang: dict[str, pa.RecordBatch], idf: np.ndarray, k: int) -> list[tuple[list[str], np.ndarray]]:
+    """Languages and centroids of all texts, and of those of the first half; the driver holds one language's vectors at a time."""
+    langs: list[list[str]] = [[], []]
+    centres: list[list[np.ndarray]] = [[], []]
+    for name, batch in by_lang.items():
+        rows = np.empty((batch.num_rows, DIMS), np.float32)
+        for at in range(0, len(rows), COUNTED):
+            rows[at : at + COUNTED] = _unpacked(batch.slice(at, COUNTED), idf)
+        first = batch.column("half").to_numpy() == 0
+        # a language without a text in the first half is known by those of the second
+        for m, own in enumerate((rows, rows[first] if first.any() else rows)):
+            found, _ = spherical_kmeans(own, k)
+            langs[m] += [name] * len(found)
+            centres[m].append(found)
+    return [(names, np.concatenate(own).astype(np.float32)) for names, own in zip(langs, centres, strict=True)]
 
 
 def _pieces(held_out: DataFrame, idf: np.ndarray, langs: list[str], centres: np.ndarray) -> DataFrame:

@@ -321,6 +321,7 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+
 # --- repeated passages
 
 
@@ -677,3 +678,22 @@ def test_language_centroids_and_radii_come_from_all_texts(spark, monkeypatch):
     assert models[0].langs == models[1].langs
     assert np.allclose(models[0].centres, models[1].centres, atol=1e-4)
     assert np.allclose(models[0].radius, models[1].radius, atol=1e-3)
+
+
+def test_language_sample_reaches_the_driver_as_counts(spark):
+    texts = [(" ".join(f"{w}{i}" for w in ("the", "old", "house", "by", "a", "river")) * (300 if i == 3 else 1), "en" if i % 2 else "fr") for i in range(30)]
+    docs = spark.createDataFrame([*texts, ("123", "en")], "text string, lang string")
+    sample = langid._sample(docs, 40)
+    idf = np.linspace(1.0, 3.0, langid.DIMS)
+    drawn = langid._drawn(sample)
+    assert {name: b.num_rows for name, b in drawn.items()} == {"en": 15, "fr": 15}  # not the one without a letter
+    assert all(b.nbytes < 1000 * b.num_rows for b in drawn.values())
+    text = {(r["lang"], r["place"]): r["text"] for r in sample.collect()}
+    for name, b in drawn.items():
+        own = [text[key] for key in sorted(text) if key[0] == name and text[key] != "123"]
+        vectors = langid.text_vectors(*packed.text_bytes(pa.array(own)), idf)
+        assert (langid._unpacked(b, idf) == vectors).all()
+        half = b.column("half").to_numpy() == 0
+        (langs, centres), (_, first) = langid._starts({name: b}, idf, 4)
+        assert langs == [name] * 4 and (centres == langid.spherical_kmeans(vectors, 4)[0]).all()
+        assert (first == langid.spherical_kmeans(vectors[half], 4)[0]).all()
