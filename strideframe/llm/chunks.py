@@ -134,7 +134,8 @@ def _text_digests(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 def _chunked(docs: DataFrame) -> DataFrame:
     """Every row without its text, with ``n_chars``, the ``whole`` text's digest and arrays of chunk ``digests``, ``ends``
-    (code points) and ``words`` (begins of words in the chunk, ``REACH`` bytes before it and after it, 10 bits each)."""
+    (code points) and ``words`` (begins of words in the chunk, ``REACH`` bytes before it and after it, 6 bits each: at
+    most one in two bytes)."""
     kept = docs.drop("text")
     names = kept.columns
     schema = T.StructType([*kept.schema.fields, *T._parse_datatype_string("chars_ long, whole_ long, digests_ array<long>, ends_ array<int>, words_ array<int>").fields])
@@ -152,7 +153,7 @@ def _chunked(docs: DataFrame) -> DataFrame:
                 seen = np.cumsum(seen)
                 before = seen[starts] - seen[np.maximum(starts - REACH, offs[owner])]
                 after = seen[np.minimum(ends + REACH, offs[owner + 1])] - seen[ends]
-                words = (seen[ends] - seen[starts]) << 20 | before << 10 | after
+                words = (seen[ends] - seen[starts]) << 12 | before << 6 | after
                 cols = [part.column(name) for name in names]
                 cols.append(pa.array(chars[offs[1:]] - chars[offs[:-1]]))
                 cols.append(pa.array(_text_digests(data, offs).view(np.int64)))
@@ -210,6 +211,9 @@ def _spans(df: DataFrame) -> DataFrame:
         for batch in batches:
             repeated, removed, asked = [], [], []
             for found in batch.column("found").to_pylist():
+                for x in found:
+                    x["end"] = x["place"] >> 25
+                    x["start"] = x["end"] - (x["place"] >> 18 & 127)
                 found.sort(key=lambda x: x["start"])
                 runs: list[list[dict]] = []
                 for x in found:
@@ -224,7 +228,7 @@ def _spans(df: DataFrame) -> DataFrame:
                         spans.append((start, end))
                         # of a repeated passage, the chunks that an earlier row has
                         cut += [(x["start"], x["end"]) for x in chunks if not x["first"]]
-                    elif (chunks[0]["words"] >> 10 & 1023) + sum(x["words"] >> 20 for x in chunks) + (chunks[-1]["words"] & 1023) > RUN_WORDS:
+                    elif (chunks[0]["place"] >> 6 & 63) + sum(x["place"] >> 12 & 63 for x in chunks) + (chunks[-1]["place"] & 63) > RUN_WORDS:
                         digests += [x["digest"] for x in chunks]
                 repeated.append(_union(spans))
                 removed.append(_union(cut))
@@ -297,9 +301,12 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     chunk = base.select("row_", F.posexplode("digests_").alias("k", "digest"))
     repeated = chunk.groupBy("digest").agg(F.min("row_").alias("first"), F.max("row_").alias("last")).filter("first <> last").select("digest", "first")
     zipped = F.arrays_zip(F.col("digests_").alias("digest"), F.col("ends_").alias("end"), F.array_insert("ends_", 1, F.lit(0)).alias("start"), F.col("words_").alias("words"))
-    placed = base.select("row_", F.inline(zipped))
-    hit = F.struct("digest", "start", "end", "words", (F.col("row_") == F.col("first")).alias("first"))
-    hits = placed.filter("digest is not null").join(repeated, "digest").select("row_", hit.alias("x"))
+    # end, length (below 128) and words as one number: every chunk moves once, and what it takes in the shuffle is on disk
+    end, length = F.col("end").cast("long"), (F.col("end") - F.col("start")).cast("long")
+    place = F.shiftleft(end, 25).bitwiseOR(F.shiftleft(length, 18)).bitwiseOR(F.col("words")).alias("place")
+    placed = base.select("row_", F.inline(zipped)).filter("digest is not null").select("row_", "digest", place)
+    hit = F.struct("digest", "place", (F.col("row_") == F.col("first")).alias("first"))
+    hits = placed.join(repeated, "digest").select("row_", hit.alias("x"))
     spans = store.write(_spans(hits.groupBy("row_").agg(F.collect_list("x").alias("found"))), "runs")
     windows = _repeated_windows(kept, base, spans, store)
     if windows is None:

@@ -697,3 +697,24 @@ def test_language_sample_reaches_the_driver_as_counts(spark):
         (langs, centres), (_, first) = langid._starts({name: b}, idf, 4)
         assert langs == [name] * 4 and (centres == langid.spherical_kmeans(vectors, 4)[0]).all()
         assert (first == langid.spherical_kmeans(vectors[half], 4)[0]).all()
+
+
+def test_chunks_move_with_one_number_for_their_place(spark, monkeypatch):
+    """What moves for each chunk decides the disk; places and words of the densest chunks come back whole."""
+    seen = []
+    monkeypatch.setattr(chunks, "_spans", lambda df, f=chunks._spans: seen.append(df) or f(df))
+    dense = "a b " * 200  # a word in two bytes
+    rare = " ".join(f"w{i * 7919 % 100_000}" for i in range(400))
+    docs = [(1, dense + rare), (2, rare + " x " + dense), (3, "é" * 700 + " nothing else")]
+    got = by_id(chunks.find_repeats(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert seen[0].schema["found"].dataType.elementType.names == ["digest", "place", "first"]
+    for i, text in docs[:2]:
+        at = text.index(rare)
+        assert any(s["start"] <= at + 80 and s["end"] >= at + len(rare) - 80 for s in got[i]["repeated"])
+        assert all(0 <= s["start"] < s["end"] <= len(text) for s in got[i]["repeated"])
+    assert got[3]["repeated"] == []
+    data, offs = packed.text_bytes(pa.array([t for _, t in docs]))
+    starts, ends, _, _ = chunks._digested(data, offs)
+    assert (ends - starts).max() < 128
+    base = chunks._chunked(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert max(w >> 12 for r in base for w in r["words_"]) < 64 and max(w >> 6 & 63 for r in base for w in r["words_"]) <= chunks.REACH // 2
