@@ -20,7 +20,9 @@ Jaccard similarity of the shingle sets).
    joined to components.  Buckets that then still hold several components are
    searched whole: members are dealt in blocks, and within a pair of blocks the
    members of different components that agree enough are verified where they
-   are, and only links that join components leave the block.  A group of thousands of near copies
+   are, and only links that join components leave the block.  A pair that shares
+   several bands is verified in the first of them only, and the links found join
+   the components themselves, not their members again.  A group of thousands of near copies
    costs one pair for each, and no candidate pair between different components
    goes unchecked.
 4. Verification computes J_P from the shingles themselves; only the texts of
@@ -61,6 +63,8 @@ LEAST_AGREE = 38
 BLOCK = 1024
 #: shingles of those members, so that long texts make smaller blocks
 BLOCK_SHINGLES = 1_000_000
+#: shingles of members that are compared with one member at a time (one member's at least)
+GATHERED = 1 << 17
 #: rows of a slice while signing
 ROWS = 2048
 #: 64-bit keys that are handed to all tasks; more are joined by shuffle
@@ -223,12 +227,14 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(right, "key_v").join(left, "key_u").mapInArrow(run, "u long, v long, similarity double")
 
 
-_PLACED = "bucket long, p int, q int, block int, rep long, component long, signature binary, bag_key long"
+_PLACED = "bucket long, band int, p int, q int, block int, rep long, component long, signature binary, bag_key long"
 
 
 def _candidates(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    """Rows of the left block with the rows of the right block that are in other components and agree enough."""
+    """Rows of the left block with the rows of the right block that are in other components, agree enough and agree in no
+    whole band before this one (a pair that does shares that band's bucket, and is compared there)."""
     block = table.column("block").to_numpy()
+    band = table.column("band").to_numpy()
     comp = table.column("component").to_numpy()
     p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
     sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, REGISTERS)
@@ -236,9 +242,11 @@ def _candidates(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     for k, i in enumerate(left.tolist()):
         others = right[k + 1 :] if p == q else right
         others = others[comp[others] != comp[i]]
-        near = others[(sig[others] == sig[i]).sum(axis=1) >= LEAST_AGREE]
-        if len(near):
-            yield i, near
+        same = sig[others] == sig[i]
+        near = same.sum(axis=1) >= LEAST_AGREE
+        near[near] = ~same[near][:, : BAND * band[i]].reshape(near.sum(), band[i], BAND).all(axis=2).any(axis=1)
+        if near.any():
+            yield i, others[near]
 
 
 def _suspects(table: pa.Table) -> pa.Table:
@@ -252,7 +260,7 @@ def _suspects(table: pa.Table) -> pa.Table:
 
 def _links_inside(table: pa.Table) -> pa.Table:
     """Links that join the components of a group: of the candidate pairs whose similarity is at least
-    ``SIMILAR``, those between components that no earlier link has joined (at most one for each member)."""
+    ``SIMILAR``, those between components that no earlier link has joined (at most one for each member), with both components."""
     rep = table.column("rep").to_numpy()
     comp = table.column("component").to_numpy()
     joined = {int(c): int(c) for c in comp}
@@ -263,33 +271,42 @@ def _links_inside(table: pa.Table) -> pa.Table:
         return c
 
     bag = [np.frombuffer(x, _U) for x in table.column("shingles").to_pylist()]
-    weight = [None if x is None else np.frombuffer(x, "<u4") for x in table.column("weights").to_pylist()]
     size = np.array([len(x) for x in bag])
+    weight = [np.ones(n, np.uint32) if x is None else np.frombuffer(x, "<u4") for n, x in zip(size, table.column("weights").to_pylist(), strict=True)]
+    total = np.array([x.sum() for x in weight], np.int64)
     starts = np.cumsum(size) - size
     values, code = np.unique(np.concatenate(bag), return_inverse=True)
+    count = np.concatenate(weight).astype(np.int64)
     held = np.zeros(len(values), np.int64)
-    found: list[tuple[int, int, float]] = []
+    found: list[tuple[int, int, float, int, int]] = []
     for i, near in _candidates(table):
-        apart = [j for j in near.tolist() if root(int(comp[j])) != root(int(comp[i]))]
-        if not apart:
+        apart = np.array([j for j in near.tolist() if root(int(comp[j])) != root(int(comp[i]))], np.int64)
+        if not len(apart):
             continue
         own = code[starts[i] : starts[i] + size[i]]
-        held[own] = 1
-        shared = np.add.reduceat(held[code], starts)
+        held[own] = weight[i]
+        for part in np.split(apart, np.flatnonzero(np.diff(np.cumsum(size[apart]) // GATHERED)) + 1):
+            begin = np.cumsum(size[part]) - size[part]
+            at = np.arange(size[part].sum()) + np.repeat(starts[part] - begin, size[part])
+            x, y = held[code[at]], count[at]
+            shared = np.add.reduceat(x, begin)
+            # with equal weights of the shared shingles J_P is shared / all, else it is at most the common part of both shares
+            differ = np.logical_or.reduceat((x > 0) & (x != y), begin)
+            most = np.add.reduceat(np.minimum(x / total[i], y / np.repeat(total[part], size[part])), begin)
+            plain = shared / (total[i] + total[part] - shared)
+            for j, uneven, bound, score in zip(part.tolist(), differ.tolist(), most.tolist(), plain.tolist(), strict=True):
+                a, b = root(int(comp[i])), root(int(comp[j]))
+                if a == b or uneven and bound < SIMILAR - 1e-9:
+                    continue
+                if uneven:
+                    score = probability_jaccard(bag[i], weight[i], bag[j], weight[j])
+                if score >= SIMILAR - 1e-12:
+                    joined[a] = b
+                    found.append((min(rep[i], rep[j]), max(rep[i], rep[j]), score, comp[i], comp[j]))
         held[own] = 0
-        for j in apart:
-            a, b = root(int(comp[i])), root(int(comp[j]))
-            if a == b:
-                continue
-            score = float(shared[j] / (size[i] + size[j] - shared[j]))
-            if weight[i] is not None or weight[j] is not None:
-                x, y = (np.ones(size[k], np.uint32) if weight[k] is None else weight[k] for k in (i, j))
-                score = probability_jaccard(bag[i], x, bag[j], y)
-            if score >= SIMILAR - 1e-12:
-                joined[a] = b
-                found.append((min(rep[i], rep[j]), max(rep[i], rep[j]), score))
-    u, v, scores = zip(*found, strict=True) if found else ((), (), ())
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "similarity": pa.array(scores, pa.float64())})
+    u, v, scores, a, b = zip(*found, strict=True) if found else ((), (), (), (), ())
+    kinds = {"u": pa.int64(), "v": pa.int64(), "similarity": pa.float64(), "a": pa.int64(), "b": pa.int64()}
+    return pa.table({name: pa.array(x, kind) for (name, kind), x in zip(kinds.items(), (u, v, scores, a, b), strict=True)})
 
 
 def _placed(members: DataFrame) -> DataFrame:
@@ -302,13 +319,20 @@ def _placed(members: DataFrame) -> DataFrame:
     placed = members.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     p, q = F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")
-    return dealt.select("bucket", p, q, "block", "rep", "component", "signature", "bag_key")
+    return dealt.select("bucket", "band", p, q, "block", "rep", "component", "signature", "bag_key")
 
 
 def _labelled(reps: DataFrame, edges: DataFrame) -> DataFrame:
-    """``rep, component`` for every representative."""
+    """The representatives with their ``component``."""
     comp = components(edges).withColumnRenamed("node", "rep")
-    return reps.select("rep").join(comp, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"))
+    return reps.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _merged(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """``labels`` after links between the components ``u, v`` of ``joined``."""
+    comp = components(joined).select(F.col("node").alias("component"), F.col("component").alias("least"))
+    found = labels.join(broadcast_if_small(comp, MAX_BROADCAST_KEYS), "component", "left")
+    return found.withColumn("component", F.coalesce("least", "component")).drop("least")
 
 
 def find_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -328,24 +352,24 @@ def find_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = signed.filter("digest is not null").groupBy("digest").agg(F.min(member).alias("r"))
     reps = store.write(groups.select("digest", F.col("r.row").alias("rep"), "r.n", "r.signature", "r.bag_key"), "reps")
     bands = [F.xxhash64(F.lit(b), F.substring("signature", 4 * BAND * b + 1, 4 * BAND)) for b in range(REGISTERS // BAND)]
-    banded = reps.filter("signature is not null").select("rep", F.explode(F.array(*bands)).alias("bucket"))
+    banded = reps.filter("signature is not null").select("rep", F.posexplode(F.array(*bands)).alias("band", "bucket"))
     heads = banded.groupBy("bucket").agg(F.min("rep").alias("head"), F.count("*").alias("size")).filter("size > 1").select("bucket", "head")
     in_buckets = store.write(banded.join(heads, "bucket"), "buckets")
     stars = in_buckets.filter("rep <> head").select(F.col("head").alias("u"), F.col("rep").alias("v")).distinct()
     near = store.write(_agreeing(stars, reps), "near-stars")
     links = store.write(_verified(near, rows), "star-links")
     labels = _labelled(reps, links.select("u", "v"))
-    members = in_buckets.join(labels, "rep").select("bucket", "rep", "component").join(reps.select("rep", "n", "signature", "bag_key"), "rep")
+    members = in_buckets.select("bucket", "band", "rep").join(labels.drop("digest"), "rep")
     suspects = store.write(_placed(members).groupBy("bucket", "p", "q").applyInArrow(_suspects, _PLACED), "suspects")
     with_bags = suspects.join(_bags_of(suspects.select("bag_key"), rows), "bag_key")
-    inside = with_bags.groupBy("bucket", "p", "q").applyInArrow(_links_inside, "u long, v long, similarity double")
+    inside = with_bags.groupBy("bucket", "p", "q").applyInArrow(_links_inside, "u long, v long, similarity double, a long, b long")
     more = store.write(inside.dropDuplicates(["u", "v"]), "bucket-links")
-    links = store.write(links.unionByName(more).dropDuplicates(["u", "v"]), "links")
+    links = store.write(links.unionByName(more.select("u", "v", "similarity")).dropDuplicates(["u", "v"]), "links")
     if not more.isEmpty():
-        labels = _labelled(reps, links.select("u", "v"))
+        labels = _merged(labels, more.select(F.col("a").alias("u"), F.col("b").alias("v")))
     placed = (
         signed.select("row", "doc_id", "text_key", "digest")
-        .join(reps.join(labels, "rep").select("digest", "component"), "digest", "left")
+        .join(labels.select("digest", "component"), "digest", "left")
         .withColumn("component", F.coalesce("component", "row"))
     )
     classes = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.min("row").alias("first"))

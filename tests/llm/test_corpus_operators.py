@@ -321,6 +321,61 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_stars_take_no_round_of_components(spark, monkeypatch):
+    import strideframe.llm.components as own
+
+    rounds = []
+    monkeypatch.setattr(own, "_large_star", lambda edges, f=own._large_star: rounds.append(1) or f(edges))
+    stars = spark.createDataFrame([(1, 5), (6, 1), (2, 7), (1, 5)], "u long, v long")
+    assert {tuple(r) for r in own.components(stars).collect()} == {(1, 1), (5, 1), (6, 1), (2, 2), (7, 2)}
+    assert not rounds
+    chain = spark.createDataFrame([(i, i + 1) for i in range(9)], "u long, v long")
+    assert {tuple(r) for r in own.components(chain).collect()} == {(i, 0) for i in range(10)}
+    with pytest.raises(RuntimeError):
+        own.components(chain, most_rounds=1)
+
+
+def test_links_inside_a_bucket_by_brute_force(monkeypatch):
+    """Equal and uneven weights; a pair that shares several bands is compared in the first of them only."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(neardup, "LEAST_AGREE", 4)
+    monkeypatch.setattr(neardup, "GATHERED", 64)
+    core = np.sort(rng.choice(1 << 40, 30, replace=False).astype(np.uint64))
+    bags, weights, sigs = [], [], []
+    for i in range(24):
+        bag = np.sort(np.concatenate([core, rng.choice(1 << 40, int(rng.integers(0, 9)), replace=False).astype(np.uint64)]))
+        w = np.ones(len(bag), np.uint32) if i % 3 else rng.integers(1, 4 if i % 2 else 2, len(bag)).astype(np.uint32) + np.uint32(i % 6 == 3)
+        sig = rng.integers(0, 1 << 32, neardup.REGISTERS).astype(np.uint32)
+        sig[20:24] = 7  # all share band 5
+        if i % 4 == 0:
+            sig[8:12] = 9  # these share band 2 before
+        bags.append(bag), weights.append(w), sigs.append(sig)
+    n = len(bags)
+
+    def table(band):
+        packed_weights = [w.astype("<u4").tobytes() if (w > 1).any() else None for w in weights]
+        ints = {"block": [0] * n, "band": [band] * n, "p": [0] * n, "q": [0] * n}
+        cols = {k: pa.array(v, pa.int32()) for k, v in ints.items()} | {k: pa.array(range(n), pa.int64()) for k in ("rep", "component")}
+        return pa.table(cols | {"signature": [x.tobytes() for x in sigs], "shingles": [x.tobytes() for x in bags], "weights": pa.array(packed_weights, pa.binary())})
+
+    found = lambda t: {(t["rep"][i].as_py(), t["rep"][j].as_py()) for i, near in neardup._candidates(t) for j in near.tolist()}
+    early = {(i, j) for i in range(0, n, 4) for j in range(i + 4, n, 4)}
+    pairs = {2: found(table(2).take(pa.array(range(0, n, 4)))), 5: found(table(5))}
+    assert pairs[2] == early
+    assert pairs[5] == {(i, j) for i in range(n) for j in range(i + 1, n)} - early
+    near = {p: neardup.probability_jaccard(bags[p[0]], weights[p[0]], bags[p[1]], weights[p[1]]) for p in pairs[5]}
+    links = neardup._links_inside(table(5)).to_pylist()
+    assert links and all(abs(r["similarity"] - near[r["u"], r["v"]]) < 1e-12 and r["similarity"] >= neardup.SIMILAR - 1e-12 for r in links)
+    assert all({r["u"], r["v"]} == {r["a"], r["b"]} for r in links)
+    want, got = ({i: i for i in range(n)} for _ in range(2))
+    for label, edges in ((want, [p for p, x in near.items() if x >= neardup.SIMILAR]), (got, [(r["u"], r["v"]) for r in links])):
+        for a, b in edges:
+            label.update({k: label[a] for k, x in list(label.items()) if x == label[b]})
+    same = lambda label: {(i, j) for i in range(n) for j in range(n) if label[i] == label[j]}
+    assert same(want) == same(got)
+    assert len(links) == n - len(set(want.values()))
+
+
 
 # --- repeated passages
 
